@@ -43,7 +43,7 @@ def exclude_paths(df: DataFrame, patterns, col: str = "path") -> DataFrame:
         raise ValueError(
             f"more than {MAX_WILDCARD_PATTERNS} wildcard exclusion patterns; "
             "split them into literal paths or prefixes")
-    return out.join(wild_b, F.col(col).rlike(F.col("__re")), "left_anti")
+    return out.join(wild_b, F.regexp_like(F.col(col), F.col("__re")), "left_anti")
 
 
 def _glob_regex_udf():

@@ -313,13 +313,17 @@ def q_nul_cut(spark, sf):
     return good.select("seq", F.col("value").cast("string").alias("value"))
 
 
-def _mixed_wire(spark, sf):
-    good, _ = codec.encode(_enriched(spark, sf), _encoder_col())
+def _mixed_wire(spark, sf, types=None):
+    e = _enriched(spark, sf)
+    if types:
+        e = e.where(_event_type().isin(*types))
+    good, _ = codec.encode(e, _encoder_col())
     return good
 
 
 def q_deobfuscate(spark, sf):
-    return _mixed_wire(spark, sf).select("seq", codec.deobfuscate("value").cast("string").alias("value"))
+    wire = _mixed_wire(spark, sf, types=("view", "click", "purchase"))
+    return wire.select("seq", codec.deobfuscate("value").cast("string").alias("value"))
 
 
 def q_decode_events(spark, sf):
