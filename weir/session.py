@@ -23,9 +23,40 @@ SESSION_CONFS = {
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in SESSION_CONFS.items():
         spark.conf.set(key, value)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``weir`` importable in every executor's Python workers (pandas UDFs
+    and stateful processors are pickled by reference): zip the package once per
+    SparkContext and ``addPyFile`` it. A deployment that already ships the
+    package (``--py-files``, an installed wheel) is left alone."""
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    _SHIPPED.add(key)
+    if sc.getConf().get("spark.submit.pyFiles", ""):
+        return
+    import zipfile
+
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="weir-pyfiles-"), "weir.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _dirs, names in os.walk(pkg):
+            if "__pycache__" in d:
+                continue
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(d, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder of the cluster.
 

@@ -1,0 +1,139 @@
+"""Sinks (K1, K3, K5), the event-bus source (S10, S11) and the extension
+registries (X1, X2).
+
+The Kafka connector is not on this image's classpath, so ``read_bus`` and
+``write_bus`` only build the standard ``format("kafka")`` reader/writer; the
+wire frame they carry (``value`` BINARY, null ``key``, ``topic``) is produced
+and tested independently (``bus_frame``).
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from weir.schema import DEFAULT_TOPIC
+
+
+def bus_options(servers, topic: str = DEFAULT_TOPIC, group_id: str | None = None,
+                min_partitions: int | None = None, starting: str = "latest") -> dict:
+    """Options of the Kafka source: subscription, consumer group,
+    parallelism (``minPartitions``) and the start position."""
+    opts = {
+        "kafka.bootstrap.servers": servers if isinstance(servers, str) else ",".join(servers),
+        "subscribe": topic,
+        "startingOffsets": starting,
+    }
+    if group_id:
+        opts["kafka.group.id"] = group_id
+    if min_partitions:
+        opts["minPartitions"] = str(int(min_partitions))
+    return opts
+
+
+def read_bus(spark: SparkSession, servers, topic: str = DEFAULT_TOPIC, group_id: str | None = None,
+             min_partitions: int | None = None, starting: str = "latest", fmt: str = "kafka") -> DataFrame:
+    """Subscribe to the topic; returns the stream of wire records
+    (``value`` BINARY, plus the connector's ``topic/partition/offset``)."""
+    r = spark.readStream.format(fmt)
+    for k, v in bus_options(servers, topic, group_id, min_partitions, starting).items():
+        r = r.option(k, v)
+    return r.load()
+
+
+def bus_frame(df: DataFrame, topic: str | None = None) -> DataFrame:
+    """K1 frame: null key, the wire bytes as ``value``, and ``topic`` (K2) when
+    the rows carry one or a name is given; partition left to the producer."""
+    cols = [F.lit(None).cast("binary").alias("key"), F.col("value").cast("binary").alias("value")]
+    if topic is not None:
+        cols.append(F.lit(topic).alias("topic"))
+    elif "topic" in df.columns:
+        cols.append(F.coalesce(F.col("topic"), F.lit(DEFAULT_TOPIC)).alias("topic"))
+    return df.select(*cols)
+
+
+def write_bus(df: DataFrame, servers, topic: str | None = None, checkpoint: str | None = None,
+              fmt: str = "kafka", trigger: dict | None = None):
+    """K1: send every wire record to the bus. Streams are written with a
+    checkpoint (at-least-once delivery); batch frames with ``write``."""
+    frame = bus_frame(df, topic if topic is not None else (None if "topic" in df.columns else DEFAULT_TOPIC))
+    servers = servers if isinstance(servers, str) else ",".join(servers)
+    if not df.isStreaming:
+        return frame.write.format(fmt).option("kafka.bootstrap.servers", servers).save()
+    w = frame.writeStream.format(fmt).option("kafka.bootstrap.servers", servers)
+    if checkpoint:
+        w = w.option("checkpointLocation", checkpoint)
+    if trigger:
+        w = w.trigger(**trigger)
+    return w.start()
+
+
+def write_console(df: DataFrame, truncate: bool = False, checkpoint: str | None = None):
+    """K3: print events as they come (with S3 and the text encoder: a
+    cluster-wide ``tail -f``)."""
+    if not df.isStreaming:
+        df.show(truncate=truncate)
+        return None
+    w = df.writeStream.format("console").option("truncate", str(truncate).lower())
+    if checkpoint:
+        w = w.option("checkpointLocation", checkpoint)
+    return w.start()
+
+
+class Sink:
+    """A named sink with the setup / send / clean life cycle.
+
+    ``send(batch_df, batch_id)`` runs once per micro-batch on the driver through
+    ``foreachBatch`` and should itself write with DataFrame writers (it gets a
+    distributed frame, not rows).
+    """
+
+    def __init__(self, name: str, send: Callable[[DataFrame, int], None],
+                 setup: Callable[[], None] | None = None, clean: Callable[[], None] | None = None):
+        self.name = name
+        self.send = send
+        self.setup = setup
+        self.clean = clean
+
+
+_SINKS: dict[str, Sink] = {}
+
+
+def register_sink(name: str, send, setup=None, clean=None) -> Sink:
+    """Register a custom sink under a name."""
+    sink = Sink(name, send, setup, clean)
+    _SINKS[name] = sink
+    return sink
+
+
+def registered_sinks() -> list[str]:
+    return sorted(_SINKS)
+
+
+def write_to(df: DataFrame, name: str, checkpoint: str | None = None, trigger: dict | None = None):
+    """K5: write a stream (or a batch frame) to a registered sink."""
+    sink = _SINKS[name]
+    if sink.setup:
+        sink.setup()
+    if not df.isStreaming:
+        try:
+            sink.send(df, 0)
+        finally:
+            if sink.clean:
+                sink.clean()
+        return None
+    w = df.writeStream.foreachBatch(sink.send)
+    if checkpoint:
+        w = w.option("checkpointLocation", checkpoint)
+    if trigger:
+        w = w.trigger(**trigger)
+    return w.start()
+
+
+def register_source(spark: SparkSession, source_cls) -> str:
+    """Register a custom source (a ``pyspark.sql.datasource.DataSource``
+    subclass) so ``spark.read(Stream).format(name)`` finds it."""
+    spark.dataSource.register(source_cls)
+    return source_cls.name()
