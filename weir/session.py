@@ -74,6 +74,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def materialize(df):
+    """Cut the lineage of a frame that several branches of a plan read: an
+    eager, reliable ``checkpoint()`` into the cluster's checkpoint folder (it
+    survives executor loss, unlike a cache or a local checkpoint)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
                   app_name: str = "weir", extra: dict | None = None) -> SparkSession:
     master = master or os.environ.get("WEIR_MASTER", "local[8]")

@@ -7,10 +7,36 @@ offset rules.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weir.functions.scalars import utf8_repair
+from weir.operators.joins import broadcast_if_small
+
+OFFSETS_BROADCAST_ROWS = 2_000_000
+
+
+def _prefix_sums():
+    """Exclusive prefix sums of an ``array<bigint>`` per row (Arrow batches,
+    numpy ``cumsum``). Spark has no array scan; only the small arrays of line
+    lengths cross into Python, never the text."""
+    import numpy as np
+    import pandas as pd
+
+    def sums(lengths):
+        out = []
+        for arr in lengths:
+            a = np.asarray(arr, dtype=np.int64)
+            c = np.empty_like(a)
+            if len(a):
+                c[0] = 0
+                np.cumsum(a[:-1], out=c[1:])
+            out.append(c)
+        return pd.Series(out)
+
+    sums.__annotations__ = {"lengths": pd.Series, "return": pd.Series}
+    return F.pandas_udf(sums, T.ArrayType(T.LongType()))
 
 
 def split_lines(df: DataFrame, path: str = "path", text: str = "text", keep=()) -> DataFrame:
@@ -18,19 +44,20 @@ def split_lines(df: DataFrame, path: str = "path", text: str = "text", keep=())
     a line too. Columns: ``keep``, ``path``, ``line_no`` (0-based), ``offset``
     (byte position of the line in the text), ``nbytes``, ``message``.
 
-    Lines come from one native ``split`` (look-behind on ``\\n``); byte offsets
-    are a running sum over the file's lines, a window keyed by path.
+    A narrow transformation: lines come from one native ``split`` (look-behind
+    on ``\\n``), their byte offsets from a prefix sum over the row's line
+    lengths. No shuffle, so the text is never moved between executors.
     """
-    pieces = F.split(F.col(text), r"(?<=\n)")
-    exploded = df.select(*keep, F.col(path).alias("path"),
-                         F.posexplode(pieces).alias("line_no", "message")) \
-        .where(F.col("message") != "")
-    nbytes = F.octet_length("message").cast("bigint")
-    w = Window.partitionBy("path").orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
-    return exploded.select(
+    pieces = df.select(*keep, F.col(path).alias("path"),
+                       F.split(F.col(text), r"(?<=\n)").alias("__lines"))
+    lens = F.transform(F.col("__lines"), lambda x: F.octet_length(x).cast("bigint"))
+    with_offs = pieces.withColumn("__offs", _prefix_sums()(lens))
+    exploded = with_offs.select(*keep, "path", F.posexplode(F.arrays_zip(
+        F.col("__lines").alias("message"), F.col("__offs").alias("offset"))).alias("line_no", "__l"))
+    return exploded.where(F.col("__l.message") != "").select(
         *keep, "path", F.col("line_no").cast("bigint").alias("line_no"),
-        F.coalesce(F.sum(nbytes).over(w), F.lit(0)).cast("bigint").alias("offset"),
-        nbytes.alias("nbytes"), "message")
+        F.col("__l.offset").alias("offset"), F.octet_length("__l.message").cast("bigint").alias("nbytes"),
+        F.col("__l.message").alias("message"))
 
 
 def tail_from_offsets(files: DataFrame, offsets: DataFrame | None = None, starting: str = "earliest",
@@ -52,6 +79,9 @@ def tail_from_offsets(files: DataFrame, offsets: DataFrame | None = None, starti
         staged = f.withColumn("__start", start)
     else:
         o = offsets.select(F.col("path"), F.col("offset").cast("bigint").alias("__saved"))
+        # One small row per file: broadcast when counted small, so the texts are
+        # never shuffled for this join; beyond that a shuffle join on path.
+        o = broadcast_if_small(o, OFFSETS_BROADCAST_ROWS) or o
         unknown = F.lit(0).cast("bigint") if starting == "earliest" else size
         staged = f.join(o, "path", "left").withColumn(
             "__start", F.when(F.col("__saved").isNull(), unknown)
@@ -69,7 +99,7 @@ def tail_from_offsets(files: DataFrame, offsets: DataFrame | None = None, starti
         .otherwise(utf8_repair(F.substr(F.col("message").cast("binary"), (cut + 1).cast("int")))).alias("message"))
     if whole_lines:
         # End of the last complete line, never before the old start.
-        tail = F.octet_length(F.regexp_extract("text", r"[^\n]*\z", 0))
+        tail = F.octet_length(F.substring_index("text", "\n", -1))
         new_off = staged.select("path", F.greatest(F.col("__size") - tail, F.col("__start")).alias("offset"))
     else:
         new_off = staged.select("path", F.col("__size").alias("offset"))

@@ -65,11 +65,11 @@ def heartbeat(spark: SparkSession, start: Column | str, end: Column | str, bound
     hours = b.select("s", "e", F.explode(F.sequence(
         F.date_trunc("hour", F.col("s")), F.date_trunc("hour", F.col("e")),
         F.expr("INTERVAL 1 HOUR"))).alias("h"))
-    n = 3600 * rows_per_second
     step_us = 1_000_000 // rows_per_second
+    step = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(step_us / 1e6).cast("decimal(18,6)"))
+    last = F.col("h") + F.expr("INTERVAL 1 HOUR") - step
     ticks = hours.repartition(F.col("h")).select(
-        "s", "e", F.explode(F.transform(F.sequence(F.lit(0), F.lit(n - 1)),
-                                        lambda i: F.timestamp_micros(F.unix_micros("h") + i.cast("bigint") * step_us))).alias("ts"))
+        "s", "e", F.explode(F.sequence(F.col("h"), last, step)).alias("ts"))
     return ticks.where((F.col("ts") >= F.col("s")) & (F.col("ts") <= F.col("e"))).select(
         "ts", F.lit(HEARTBEAT_PATH).alias("path"), F.lit(HEARTBEAT_MESSAGE).alias("message"))
 
