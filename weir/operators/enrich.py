@@ -45,10 +45,10 @@ def with_static(df: DataFrame, fields=None, tags=None) -> DataFrame:
 
 
 def with_config(df: DataFrame, config_versions: DataFrame, ts: str = "ts",
-                effective_col: str = "effective_from", max_broadcast_rows: int = 1_000_000) -> DataFrame:
+                effective_col: str = "effective_from") -> DataFrame:
     """Columns of the configuration version in force at each event's time
     (as-of join on ``effective_from <= ts``); nulls before the first version."""
-    return asof_join(df, config_versions, ts, effective_col, max_broadcast_rows=max_broadcast_rows)
+    return asof_join(df, config_versions, ts, effective_col)
 
 
 def route_topic(df: DataFrame, topic: Column | str | None = None, default: str = DEFAULT_TOPIC) -> DataFrame:

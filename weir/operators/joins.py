@@ -15,6 +15,8 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, wh
     The check runs ``limit(max_rows + 1).count()``, so its cost is bounded by
     the limit, not by the size of ``df``.
     """
+    if df.isStreaming:
+        return None
     n = df.limit(max_rows + 1).count()
     if n <= max_rows:
         return F.broadcast(df)
@@ -34,62 +36,77 @@ def prefix_anti_join(df: DataFrame, col: str, prefixes: DataFrame,
     """Rows of ``df`` whose ``col`` does not start with any ``prefix``.
 
     Few prefixes: broadcast, then a left-anti join on ``startswith``. Many
-    prefixes: every leading substring of ``col`` (up to ``max_len`` characters,
-    beyond which a prefix cannot match any stored one) is generated and
-    equi-anti-joined to the prefixes, which partitions like any hash join.
+    prefixes: the leading substrings of ``col`` of every length that some
+    prefix has are generated and equi-anti-joined to the prefixes, which
+    partitions like any hash join.
     """
     prefixes = prefixes.where(F.col("prefix").isNotNull()).distinct()
     small = broadcast_if_small(prefixes, max_broadcast_rows)
     if small is not None:
         return df.join(small, F.col(col).startswith(F.col("prefix")), "left_anti")
-    longest = prefixes.agg(F.max(F.length("prefix"))).first()[0] or 0
-    limit = min(int(longest), max_len)
+    # Only the prefix lengths that occur in the table (a bounded set of small
+    # integers) are generated for each row.
+    lengths = sorted(r[0] for r in prefixes.select(F.length("prefix")).distinct().collect() if r[0] <= max_len)
     keyed = df.withColumn("__rid", F.monotonically_increasing_id())
-    heads = keyed.select("__rid", F.explode(F.transform(
-        F.sequence(F.lit(0), F.least(F.length(F.col(col)), F.lit(limit))),
-        lambda n: F.substring(F.col(col), 1, n))).alias("prefix"))
+    heads = keyed.select("__rid", F.explode(F.filter(
+        F.array(*[F.when(F.length(F.col(col)) >= n, F.substring(F.col(col), 1, n)) for n in lengths]),
+        lambda x: x.isNotNull())).alias("prefix"))
     hit = heads.join(prefixes, "prefix", "left_semi").select("__rid").distinct()
     return keyed.join(hit, "__rid", "left_anti").drop("__rid")
 
 
+# A configuration history this short is joined as a broadcast range join; a
+# longer one (e.g. a status history that grows with the data) goes through the
+# sort-based path below, whose cost does not multiply the two sides.
+ASOF_BROADCAST_ROWS = 256
+
+
 def asof_join(left: DataFrame, right: DataFrame, left_ts: str, right_ts: str, by=None,
-              max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, bucket_seconds: int = 86400) -> DataFrame:
+              max_broadcast_rows: int = ASOF_BROADCAST_ROWS, bucket_seconds: int = 3600) -> DataFrame:
     """Left rows with the columns of the latest ``right`` row whose ``right_ts``
     is <= ``left_ts`` (same ``by`` keys); nulls when there is none.
 
-    ``right`` is turned into validity intervals ``[from, next from)`` with
-    ``lead``. Small (counted) right side: broadcast range join. Larger: both
-    sides get a time bucket, each interval is exploded to the buckets it
-    covers, and the join is an equi-join on ``(by, bucket)`` plus the range
-    condition, so it shuffles like a hash join.
+    Short right side (counted): validity intervals ``[from, next from)`` from
+    ``lead``, broadcast, range join. Otherwise both sides are unioned and keyed
+    by ``(by, time bucket)``; inside a bucket the latest right row is carried
+    forward with ``last(..., ignorenulls)`` in time order, and a per-bucket
+    partial aggregate, ordered over buckets, carries it across buckets. One
+    shuffle of both sides, and a key with a third of all rows is spread over
+    its buckets.
     """
     by = [] if by is None else ([by] if isinstance(by, str) else list(by))
-    order = F.col(f"__r_{right_ts}")
-    w = Window.partitionBy(*by).orderBy(order) if by else Window.orderBy(order)
     rcols = [c for c in right.columns if c not in by]
-    iv = right.select(*by, *[F.col(c).alias(f"__r_{c}") for c in rcols]) \
-        .withColumn("__from", F.col(f"__r_{right_ts}")) \
-        .withColumn("__to", F.lead(F.col(f"__r_{right_ts}")).over(w))
-    small = broadcast_if_small(iv, max_broadcast_rows)
-    cond_cols = [left[c] == F.col(f"__rb_{c}") for c in by]
+    small = broadcast_if_small(right, max_broadcast_rows)
     if small is not None:
-        ivb = small.select(*[F.col(c).alias(f"__rb_{c}") for c in by], *[c for c in small.columns if c not in by])
+        order = F.col(f"__r_{right_ts}")
+        w = Window.partitionBy(*by).orderBy(order) if by else Window.orderBy(order)
+        iv = small.select(*[F.col(c).alias(f"__rb_{c}") for c in by], *[F.col(c).alias(f"__r_{c}") for c in rcols]) \
+            .withColumn("__from", F.col(f"__r_{right_ts}")) \
+            .withColumn("__to", F.lead(F.col(f"__r_{right_ts}")).over(
+                Window.partitionBy(*[f"__rb_{c}" for c in by]).orderBy(order) if by else w))
         cond = (left[left_ts] >= F.col("__from")) & (F.col("__to").isNull() | (left[left_ts] < F.col("__to")))
-        for c in cond_cols:
-            cond = cond & c
-        joined = left.join(ivb, cond, "left")
-    else:
-        width = bucket_seconds * 1_000_000
-        hi = left.agg(F.max(F.unix_micros(F.col(left_ts).cast("timestamp")))).first()[0] or 0
-        ivk = iv.withColumn("__bucket", F.explode(F.sequence(
-            F.floor(F.unix_micros(F.col("__from").cast("timestamp")) / width),
-            F.floor((F.coalesce(F.unix_micros(F.col("__to").cast("timestamp")) - 1, F.lit(hi))) / width))))
-        ivk = ivk.select(*[F.col(c).alias(f"__rb_{c}") for c in by], *[c for c in ivk.columns if c not in by])
-        lk = left.withColumn("__lbucket", F.floor(F.unix_micros(F.col(left_ts).cast("timestamp")) / width))
-        cond = (lk["__lbucket"] == F.col("__bucket")) & (lk[left_ts] >= F.col("__from")) \
-            & (F.col("__to").isNull() | (lk[left_ts] < F.col("__to")))
         for c in by:
-            cond = cond & (lk[c] == F.col(f"__rb_{c}"))
-        joined = lk.join(ivk, cond, "left").drop("__lbucket", "__bucket")
-    out = joined.select(*left.columns, *[F.col(f"__r_{c}").alias(c) for c in rcols if c not in left.columns])
-    return out
+            cond = cond & (left[c] == F.col(f"__rb_{c}"))
+        joined = left.join(F.broadcast(iv), cond, "left")
+        return joined.select(*left.columns, *[F.col(f"__r_{c}").alias(c) for c in rcols if c not in left.columns])
+
+    width = bucket_seconds * 1_000_000
+    payload_cols = [c for c in rcols if c not in left.columns]
+    lt = F.unix_micros(F.col(left_ts).cast("timestamp"))
+    rt = F.unix_micros(F.col(right_ts).cast("timestamp"))
+    lside = left.select(*by, lt.alias("__t"), F.lit(1).alias("__side"),
+                        F.struct(*[F.col(c) for c in left.columns]).alias("__row"),
+                        F.lit(None).cast(right.select(F.struct(*payload_cols)).schema[0].dataType).alias("__pay"))
+    rside = right.select(*by, rt.alias("__t"), F.lit(0).alias("__side"),
+                         F.lit(None).cast(left.select(F.struct(*left.columns)).schema[0].dataType).alias("__row"),
+                         F.struct(*[F.col(c) for c in payload_cols]).alias("__pay"))
+    u = lside.unionByName(rside).where(F.col("__t").isNotNull()).withColumn("__b", F.floor(F.col("__t") / width))
+    w_in = Window.partitionBy(*by, "__b").orderBy("__t", "__side").rowsBetween(Window.unboundedPreceding, 0)
+    carried = u.withColumn("__last", F.last("__pay", ignorenulls=True).over(w_in))
+    per_bucket = u.groupBy(*by, "__b").agg(F.max_by("__pay", F.when(F.col("__side") == 0, F.col("__t"))).alias("__bl"))
+    w_b = Window.partitionBy(*by).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_bucket.withColumn("__carry", F.last("__bl", ignorenulls=True).over(w_b)).select(*by, "__b", "__carry")
+    out = (carried.where(F.col("__side") == 1).join(carry, [*by, "__b"], "left")
+           .withColumn("__p", F.coalesce(F.col("__last"), F.col("__carry"))))
+    return out.select(*[F.col(f"__row.{c}").alias(c) for c in left.columns],
+                      *[F.col(f"__p.{c}").alias(c) for c in payload_cols])
