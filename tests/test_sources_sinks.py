@@ -46,27 +46,26 @@ def test_console_sink(spark, scratch, capsys):
     assert "foo" in capsys.readouterr().out
 
 
-class Numbers(DataSource):
-    @classmethod
-    def name(cls):
-        return "numbers_test"
-
-    def schema(self):
-        return "n int"
-
-    def reader(self, schema):
-        return NumbersReader(int(self.options.get("count", 3)))
+def test_custom_source_by_name(spark):
+    # Defined locally so the classes are pickled by value for the Python workers.
+    class NumbersReader(DataSourceReader):
+        def __init__(self, count):
+            self.count = count
 
+        def read(self, partition):
+            for i in range(self.count):
+                yield (i,)
 
-class NumbersReader(DataSourceReader):
-    def __init__(self, count):
-        self.count = count
+    class Numbers(DataSource):
+        @classmethod
+        def name(cls):
+            return "numbers_test"
 
-    def read(self, partition):
-        for i in range(self.count):
-            yield (i,)
+        def schema(self):
+            return "n int"
 
+        def reader(self, schema):
+            return NumbersReader(int(self.options.get("count", 3)))
 
-def test_custom_source_by_name(spark):
     name = register_source(spark, Numbers)
     assert [r.n for r in spark.read.format(name).option("count", 4).load().collect()] == [0, 1, 2, 3]

@@ -17,8 +17,8 @@ def get_property(lines: DataFrame, name: str, file_col: str = "file",
     """
     parts = F.split(F.col(line_col), "=", 2)
     return (
-        lines.where((F.size(parts) == 2) & (F.element_at(parts, 1) == F.lit(name)))
+        lines.where((F.size(parts) == 2) & (F.try_element_at(parts, F.lit(1)) == F.lit(name)))
         .groupBy(file_col)
-        .agg(F.min_by(F.regexp_replace(F.element_at(parts, 2), r"^\s+|\s+$", ""),
+        .agg(F.min_by(F.regexp_replace(F.try_element_at(parts, F.lit(2)), r"^\s+|\s+$", ""),
                       F.col(line_no_col)).alias("value"))
     )

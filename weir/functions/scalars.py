@@ -87,8 +87,8 @@ def pairs_to_map(c) -> Column:
     arr = _col(c)
     entries = F.transform(
         F.sequence(F.lit(0), F.floor(F.size(arr) / 2).cast("int") - 1),
-        lambda i: F.struct(F.element_at(arr, i * 2 + 1).alias("key"),
-                           F.element_at(arr, i * 2 + 2).alias("value")),
+        lambda i: F.struct(F.try_element_at(arr, i * 2 + 1).alias("key"),
+                           F.try_element_at(arr, i * 2 + 2).alias("value")),
     )
     n = F.floor(F.size(arr) / 2).cast("int")
     last_only = F.filter(
@@ -136,8 +136,12 @@ def ruby_to_i(c) -> Column:
 
 def version_at_least(c, minimum) -> Column:
     """True when the dotted version string is >= ``minimum`` (e.g. "0.1.2").
-    Parts are compared as integers, lexicographically; a non-numeric part makes
-    the result false."""
-    parts = F.transform(F.split(_col(c), r"\."), lambda x: x.try_cast("int"))
+    Parts are compared as integers, lexicographically (``0.2`` > ``0.1.2`` >
+    ``0.1``); a version with a non-numeric part is never >= anything. Native
+    expressions only: a pattern check, a cast of the split parts to
+    ``array<int>`` and an array comparison."""
+    col = F.col(c) if isinstance(c, str) else c
+    numeric = col.rlike(r"^[0-9]{1,9}(\.[0-9]{1,9})*$")
+    parts = F.split(col, r"\.").cast("array<int>")
     want = F.array(*[F.lit(int(p)) for p in minimum.split(".")])
-    return F.coalesce(~F.exists(parts, lambda x: x.isNull()) & (parts >= want), F.lit(False))
+    return F.coalesce(F.when(numeric, parts >= want), F.lit(False))

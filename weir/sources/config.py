@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weir.operators.codec import once
 from weir.schema import KNOWN_OPTIONS
 
 # Key prefixes a property line must carry to be read, and the
@@ -41,8 +42,9 @@ def load_config(lines: DataFrame, file: str = "file", line_no: str = "line_no",
     ``merge_config``. Non-JSON values give no rows.
     """
     parts = F.split(F.col(line), "=", 2)
-    k0 = F.element_at(parts, 1)
-    js = F.element_at(parts, 2)
+    # try_element_at: Catalyst may evaluate these before the size check (ANSI mode).
+    k0 = F.try_element_at(parts, F.lit(1))
+    js = F.try_element_at(parts, F.lit(2))
     known = F.lit(False)
     for p in PROPERTY_PREFIXES:
         known = known | k0.startswith(p)
@@ -78,17 +80,17 @@ def parse_args(df: DataFrame, line: str = "line", keep=()) -> DataFrame:
     n = F.size(toks)
     is_opt = lambda t: (F.length(t) > 2) & t.startswith("--")
     opt_pos = F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-                       lambda i: (i <= n) & is_opt(F.element_at(toks, i)))
+                       lambda i: (i <= n) & is_opt(F.try_element_at(toks, i)))
     known = F.array(*[F.lit(k) for k in KNOWN_OPTIONS])
-    bad = F.exists(opt_pos, lambda i: ~F.array_contains(known, F.substring(F.element_at(toks, i), 3, 1 << 20)))
+    bad = F.exists(opt_pos, lambda i: ~F.array_contains(known, F.substring(F.try_element_at(toks, i), 3, 1 << 20)))
     # Positions of the last occurrence of each option name.
     last_pos = F.filter(opt_pos, lambda i: ~F.exists(
-        opt_pos, lambda j: (j > i) & (F.element_at(toks, j) == F.element_at(toks, i))))
+        opt_pos, lambda j: (j > i) & (F.try_element_at(toks, j) == F.try_element_at(toks, i))))
     entries = F.transform(last_pos, lambda i: F.struct(
-        F.substring(F.element_at(toks, i), 3, 1 << 20).alias("key"),
+        F.substring(F.try_element_at(toks, i), 3, 1 << 20).alias("key"),
         F.slice(toks, i + 1, F.coalesce(
             F.array_min(F.filter(opt_pos, lambda j: j > i)), n + 1) - i - 1).alias("values")))
-    staged = df.select(*keep, (~bad).alias("ok"), entries.alias("__e"))
+    staged = once(df.select(*keep, (~bad).alias("ok"), entries.alias("__e")))
     good = staged.where("ok").select(*keep, "ok", F.explode("__e").alias("__x")) \
         .select(*keep, "ok", F.col("__x.key").alias("key"), F.col("__x.values").alias("values"))
     rejected = staged.where(~F.col("ok")).select(*keep, "ok", F.lit(None).cast("string").alias("key"),

@@ -190,6 +190,13 @@ class TailDataSource(DataSource):
 
 
 def register(spark):
+    # The data source instance is created in a driver-side Python worker that
+    # does not see ``--py-files``; ship this module's code by value.
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(TailDataSource)
     return spark
 
