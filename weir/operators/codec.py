@@ -158,7 +158,11 @@ def decode(df: DataFrame, value="value", keep=(), version_gate=True):
     """
     text = utf8_repair(deobfuscate(value))
     staged = once(df.select(*keep, text.alias("__text")), keep)
-    staged = once(staged.select(*keep, "__text", F.from_json("__text", EVENT_SCHEMA).alias("__e")), keep)
+    # Only text that can be a JSON object is parsed: a parser failure per bad
+    # record is costly and the answer (dead letter) is the same.
+    looks_json = F.ltrim(F.col("__text")).startswith("{")
+    staged = once(staged.select(*keep, "__text", F.when(looks_json, F.from_json("__text", EVENT_SCHEMA)).alias("__e")),
+                  keep)
     ok = F.col("__e").isNotNull() & F.col("__e.path").isNotNull()
     events_raw = staged.where(ok)
     e = F.col("__e")

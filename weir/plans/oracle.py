@@ -85,6 +85,18 @@ FROM lines l JOIN (SELECT f.path, CASE WHEN o."offset" IS NULL THEN 0 WHEN strle
                                        ELSE o."offset" END AS start
                    FROM files f LEFT JOIN offsets o USING (path)) t USING (path)
 WHERE l."offset" + l.nbytes > t.start""", "files", "offsets", "lines"),
+    "utf8_repair": sql("""SELECT path, line_no,
+       CASE WHEN cut = 0 THEN message
+            ELSE repeat(chr(65533), CAST(strlen(lead) / 2 AS INTEGER)) || decode(unhex(substr(h, strlen(lead) + 1))) END
+         AS message
+FROM (SELECT l.path, l.line_no, l.message, greatest(t.start - l."offset", 0) AS cut,
+             substr(hex(l.message), 2 * greatest(t.start - l."offset", 0) + 1) AS h,
+             regexp_extract(substr(hex(l.message), 2 * greatest(t.start - l."offset", 0) + 1),
+                            '^(([89AB][0-9A-F])*)', 1) AS lead
+      FROM lines l JOIN (SELECT f.path, CASE WHEN o."offset" IS NULL THEN 0 WHEN strlen(f.text) < o."offset" THEN 0
+                                             ELSE o."offset" END AS start
+                         FROM files f LEFT JOIN offsets o USING (path)) t USING (path)
+      WHERE l."offset" + l.nbytes > t.start)""", "files", "offsets", "lines"),
     "tail_latest": sql("""SELECT l.path, l.line_no, l."offset" + greatest(t.start - l."offset", 0) AS "offset",
        l.nbytes - greatest(t.start - l."offset", 0) AS nbytes
 FROM lines l JOIN (SELECT f.path, CASE WHEN o."offset" IS NULL THEN strlen(f.text) WHEN strlen(f.text) < o."offset" THEN 0
