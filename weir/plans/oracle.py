@@ -175,6 +175,26 @@ WHERE s.fs IS NOT NULL AND c.turn > s.fs AND (s.fe IS NULL OR c.turn < s.fe)
        CASE WHEN us - prev > 0 THEN CAST(size AS DOUBLE) * 1000000.0 / CAST(us - prev AS DOUBLE) END AS rate,
        {OVERFLOW} AS overflow FROM flagged""", "writes", "flagged"),
     "last_seen": sql("SELECT path, max(epoch_us(ts)) AS last_seen_us FROM writes GROUP BY path", "writes"),
+    # Q3: the FIFO ring of 20 tracked paths replayed row by row in (ts, seq) order.
+    "rate_limit_bounded": sql("""rw AS (SELECT row_number() OVER (ORDER BY ts, seq) AS i, seq, path, epoch_us(ts) AS us, size
+       FROM writes),
+r AS (
+  SELECT 0::BIGINT AS i, NULL::BIGINT AS seq, NULL::BOOLEAN AS overflow,
+         list_transform(range(20), lambda x: NULL::VARCHAR) AS ks,
+         list_transform(range(20), lambda x: 0::BIGINT) AS ls, 0 AS ptr
+  UNION ALL
+  SELECT w.i, w.seq,
+         CASE WHEN list_position(r.ks, w.path) IS NULL THEN false
+              WHEN w.us - r.ls[list_position(r.ks, w.path)] = 0 THEN true
+              ELSE CAST(w.size AS DOUBLE) * 1000000.0 / CAST(w.us - r.ls[list_position(r.ks, w.path)] AS DOUBLE) > 0.0001 END,
+         CASE WHEN list_position(r.ks, w.path) IS NULL
+              THEN list_transform(r.ks, lambda k, j: CASE WHEN j = (r.ptr + 1) % 20 + 1 THEN w.path ELSE k END)
+              ELSE r.ks END,
+         list_transform(r.ls, lambda v, j: CASE WHEN j = coalesce(list_position(r.ks, w.path), (r.ptr + 1) % 20 + 1)
+                                                 THEN w.us ELSE v END),
+         CASE WHEN list_position(r.ks, w.path) IS NULL THEN (r.ptr + 1) % 20 ELSE r.ptr END
+  FROM r JOIN rw w ON w.i = r.i + 1)
+SELECT seq, path, overflow FROM r JOIN rw USING (seq, i) WHERE i > 0""", "writes").replace("WITH writes", "WITH RECURSIVE writes", 1),
     "bounded_backlog": sql("SELECT seq, path FROM writes ORDER BY ts DESC, seq DESC LIMIT 1000", "writes"),
     "bounded_backlog_sharded": sql(f"""SELECT seq, event_type FROM (
   SELECT seq, {ET} AS event_type,
