@@ -9,21 +9,21 @@ from weir.operators.joins import asof_join, lookup_join
 from weir.schema import DEFAULT_TOPIC
 
 
-def with_user(df: DataFrame, users: DataFrame, max_broadcast_rows: int = 1_000_000) -> DataFrame:
+def with_user(df: DataFrame, users: DataFrame, max_broadcast_rows: int | None = None) -> DataFrame:
     """``user`` = name of ``uid`` in ``users(uid, name)``, '' when unknown."""
     dim = users.select(F.col("uid").cast("int").alias("uid"), F.col("name").alias("__user"))
     return lookup_join(df, dim, "uid", max_broadcast_rows) \
         .withColumn("user", F.coalesce(F.col("__user"), F.lit(""))).drop("__user")
 
 
-def with_group(df: DataFrame, groups: DataFrame, max_broadcast_rows: int = 1_000_000) -> DataFrame:
+def with_group(df: DataFrame, groups: DataFrame, max_broadcast_rows: int | None = None) -> DataFrame:
     """``group`` = name of ``gid`` in ``groups(gid, name)``, '' when unknown."""
     dim = groups.select(F.col("gid").cast("int").alias("gid"), F.col("name").alias("__group"))
     return lookup_join(df, dim, "gid", max_broadcast_rows) \
         .withColumn("group", F.coalesce(F.col("__group"), F.lit(""))).drop("__group")
 
 
-def with_command(df: DataFrame, procs: DataFrame, max_broadcast_rows: int = 1_000_000) -> DataFrame:
+def with_command(df: DataFrame, procs: DataFrame, max_broadcast_rows: int | None = None) -> DataFrame:
     """``cmdline`` = command line of ``pid`` in ``procs(pid, cmdline)``
     (NUL-separated), '' when unknown. The encoders turn it into the base64
     ``command`` key (NULs become spaces)."""

@@ -23,12 +23,21 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, wh
     return None
 
 
-def lookup_join(df: DataFrame, dim: DataFrame, on: str, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Left join to a dimension keyed by ``on`` (unique). Broadcast when the
-    dimension is small; otherwise a shuffle join, where AQE splits a hot key of
-    the fact side (``spark.sql.adaptive.skewJoin.enabled``)."""
-    small = broadcast_if_small(dim, max_broadcast_rows)
-    return df.join(small if small is not None else dim, on, "left")
+def lookup_join(df: DataFrame, dim: DataFrame, on: str, max_broadcast_rows: int | None = None) -> DataFrame:
+    """Left join to a dimension keyed by ``on`` (unique).
+
+    By default Spark picks the strategy from sizes it checks itself: the
+    planner broadcasts a dimension whose scan statistics are under
+    ``spark.sql.autoBroadcastJoinThreshold``, and AQE re-plans from the real
+    shuffle sizes (broadcasting a side that turned out small, splitting a hot
+    key of the fact side with the skew join). No extra job is run. With
+    ``max_broadcast_rows`` the dimension is counted and broadcast explicitly
+    when it has at most that many rows."""
+    if max_broadcast_rows is not None:
+        small = broadcast_if_small(dim, max_broadcast_rows)
+        if small is not None:
+            dim = small
+    return df.join(dim, on, "left")
 
 
 def prefix_anti_join(df: DataFrame, col: str, prefixes: DataFrame,
