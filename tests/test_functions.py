@@ -45,9 +45,12 @@ def test_base64_decode_tolerant(spark):
 
 
 def test_djb2_golden(spark):
-    got = spark.range(1).select(djb2(F.lit("hello world")).alias("h"), djb2(F.lit("")).alias("e")).first()
+    got = spark.range(1).select(djb2(F.lit("hello world")).alias("h"), djb2(F.lit("")).alias("e"),
+                                djb2(F.lit("é")).alias("u"), djb2(F.lit("a\x00b")).alias("z")).first()
     assert got.h == Decimal(13876786532495509697)
     assert got.e == Decimal(5381)
+    assert got.u == Decimal((5381 * 33 + 0xC3) * 33 + 0xA9)      # bytes, not characters
+    assert got.z == Decimal(5381 * 33 + ord("a"))                   # stops at NUL
 
 
 def test_path_join(spark):

@@ -41,3 +41,15 @@ def test_prefix_anti_join_paths_agree(spark):
     small = sorted(r.path for r in prefix_anti_join(paths, "path", prefixes).collect())
     large = sorted(r.path for r in prefix_anti_join(paths, "path", prefixes, max_broadcast_rows=0).collect())
     assert small == large == ["/srv", "/v"]
+
+
+def test_exclusion_patterns_in_chunks(spark, monkeypatch):
+    from weir.operators import filters
+
+    paths = spark.createDataFrame([(f"./d{i}/f{j}.log",) for i in range(6) for j in range(3)], "path string")
+    pats = spark.createDataFrame([(f"./d{i}/*",) for i in range(0, 6, 2)] + [("*/f2.log",), ("./d1/f0.log",)],
+                                 "pattern string")
+    want = sorted(r.path for r in filters.exclude_paths(paths, pats).collect())
+    monkeypatch.setattr(filters, "MAX_WILDCARD_PATTERNS", 1)
+    got = sorted(r.path for r in filters.exclude_paths(paths, pats).collect())
+    assert got == want == sorted(f"./d{i}/f{j}.log" for i in (1, 3, 5) for j in (0, 1) if (i, j) != (1, 0))

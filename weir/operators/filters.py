@@ -25,7 +25,8 @@ def exclude_paths(df: DataFrame, patterns, col: str = "path") -> DataFrame:
     DataFrame with a ``pattern`` column (F2). For a table, literal patterns (no
     wildcard) become an equi left-anti join, which scales with the table; the
     wildcard ones are translated to regexes and broadcast -- after checking
-    their count -- into a left-anti join on ``rlike``.
+    their count -- into a left-anti join on ``rlike``; beyond the limit they are
+    applied in hash chunks, each checked and broadcast in turn.
     """
     if not isinstance(patterns, DataFrame):
         return df.where(~glob_match(col, list(patterns)))
@@ -38,12 +39,22 @@ def exclude_paths(df: DataFrame, patterns, col: str = "path") -> DataFrame:
     wild = pats.where(is_wild).distinct()
     regex = _glob_regex_udf()(F.col("pattern"))
     wild = wild.select(F.concat(F.lit("(?s)\\A(?:"), regex, F.lit(")\\z")).alias("__re"))
-    wild_b = broadcast_if_small(wild, MAX_WILDCARD_PATTERNS, what="wildcard exclusion patterns")
-    if wild_b is None:
-        raise ValueError(
-            f"more than {MAX_WILDCARD_PATTERNS} wildcard exclusion patterns; "
-            "split them into literal paths or prefixes")
-    return out.join(wild_b, F.regexp_like(F.col(col), F.col("__re")), "left_anti")
+    wild_b = broadcast_if_small(wild, MAX_WILDCARD_PATTERNS)
+    if wild_b is not None:
+        return out.join(wild_b, F.regexp_like(F.col(col), F.col("__re")), "left_anti")
+    # Many wildcard patterns: split them by hash into chunks, each counted before
+    # it is broadcast, and drop matches chunk by chunk -- every pattern is applied.
+    n = wild.count()
+    k = 2 * -(-n // MAX_WILDCARD_PATTERNS)
+    while True:
+        chunks = [wild.where(F.pmod(F.hash("__re"), F.lit(k)) == i) for i in range(k)]
+        checked = [broadcast_if_small(c, MAX_WILDCARD_PATTERNS) for c in chunks]
+        if all(c is not None for c in checked):
+            break
+        k *= 2
+    for chunk in checked:
+        out = out.join(chunk, F.regexp_like(F.col(col), F.col("__re")), "left_anti")
+    return out
 
 
 def _glob_regex_udf():
