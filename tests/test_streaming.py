@@ -167,3 +167,35 @@ def test_custom_sink_receives_batches(spark, scratch):
     q.processAllAvailable()
     q.stop()
     assert seen == [(0, 2)]
+
+
+def test_capture_stream_end_to_end(spark, scratch):
+    from weir.operators.codec import decode
+    from weir.streaming.pipeline import capture_stream
+
+    root = os.path.join(scratch, "watch")
+    os.makedirs(root)
+    keep = os.path.join(root, "app.log")
+    skip = os.path.join(root, "debug.tmp")
+    users = spark.createDataFrame([(0, "root")], "uid int, name string")
+    wire = capture_stream(spark, root, excludes=["*.tmp"], quota=1e9, users=users,
+                          fields={"dc": "eu"}, tags=["gen"], topic="logs", starting="earliest")
+    got = []
+
+    def collect(batch, epoch):
+        events, _ = decode(batch)
+        got.extend((r.path, r["@message"], r.user, r["@fields"]["dc"]) for r in events.collect())
+
+    q = (wire.writeStream.foreachBatch(collect).option("checkpointLocation", os.path.join(scratch, "pk"))
+         .start())
+    try:
+        _append(keep, b"one\ntwo\n")
+        _append(skip, b"nope\n")
+        deadline = time.time() + 90
+        while len(got) < 2 and time.time() < deadline:
+            if q.exception() is not None:
+                raise q.exception()
+            time.sleep(0.5)
+    finally:
+        q.stop()
+    assert sorted(got) == [(keep, "one\n", "root", "eu"), (keep, "two\n", "root", "eu")]

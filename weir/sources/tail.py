@@ -152,8 +152,14 @@ class TailStreamReader(DataSourceStreamReader):
 
     def read(self, partition):
         import datetime
-
-        ts = datetime.datetime.now(tz=datetime.timezone.utc)
+        import time
+
+        # Emission time: the read time, one microsecond apart per line, so lines
+        # read together still have distinct, ordered times (as events stamped
+        # one by one would).
+        base_us = time.time_ns() // 1000
+        epoch = datetime.datetime(1970, 1, 1, tzinfo=datetime.timezone.utc)
+        n = 0
         with open(partition.path, "rb") as f:
             pos = partition.lo
             if not partition.first:
@@ -167,9 +173,11 @@ class TailStreamReader(DataSourceStreamReader):
                 line = f.readline(partition.end - pos)
                 if not line:
                     break
+                ts = epoch + datetime.timedelta(microseconds=base_us + n)
                 yield (partition.prefix, partition.path, pos, len(line),
                        line.decode("utf-8", errors="replace"), ts)
                 pos += len(line)
+                n += 1
 
     def commit(self, end):
         pass
