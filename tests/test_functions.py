@@ -102,3 +102,26 @@ def test_ruby_to_i(spark):
 def test_pairs_to_map_last_wins(spark):
     got = spark.range(1).select(pairs_to_map(F.array(*[F.lit(x) for x in "a 1 b 2 a 3 c".split()])).alias("m")).first().m
     assert got == {"a": "3", "b": "2"}
+
+
+def test_split_lines_edges(spark):
+    from weir.sources.lines import split_lines
+
+    df = spark.createDataFrame([("a", "x\ny"), ("b", "x\n"), ("c", ""), ("d", "\n\nz"), ("e", "é\nü")],
+                               "path string, text string")
+    got = sorted((r.path, r.line_no, r.offset, r.nbytes, r.message) for r in split_lines(df).collect())
+    assert got == [("a", 0, 0, 2, "x\n"), ("a", 1, 2, 1, "y"),
+                   ("b", 0, 0, 2, "x\n"),
+                   ("d", 0, 0, 1, "\n"), ("d", 1, 1, 1, "\n"), ("d", 2, 2, 1, "z"),
+                   ("e", 0, 0, 3, "é\n"), ("e", 1, 3, 2, "ü")]
+
+
+def test_tail_cut_inside_character(spark):
+    from weir.sources.lines import tail_from_offsets
+
+    files = spark.createDataFrame([("/f", "aé\nb\n")], "path string, text string")
+    offsets = spark.createDataFrame([("/f", 2)], "path string, offset long")   # inside 'é'
+    lines, new = tail_from_offsets(files, offsets)
+    got = sorted((r.offset, r.nbytes, r.message) for r in lines.collect())
+    assert got == [(2, 2, "�\n"), (4, 2, "b\n")]
+    assert new.first().offset == 6

@@ -22,22 +22,10 @@ from weir.functions.scalars import (
     version_at_least,
     xor255,
 )
+from weir.session import once
 from weir.schema import DEFAULT_ENCODER, EVENT_SCHEMA, EVENT_VERSION, MESSAGE_SIZE_KEY, OBFUSCATION_MARKER
 
 
-def once(df: DataFrame, keep=()) -> DataFrame:
-    """Evaluate the (expensive) columns of ``df`` exactly once per row.
-
-    A later filter on such a column would otherwise be pushed below the
-    projection with the expression copied into it (JSON parsing, encoding),
-    and a column read several times would be recomputed. ``inline`` of a
-    one-element array is a generator, which predicates and projections do not
-    cross; it emits the same single row.
-    """
-    cols = df.columns
-    return df.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in cols]))))
-
-
 def _lit_or_col(v) -> Column:
     return v if isinstance(v, Column) else F.lit(v)
 
@@ -157,12 +145,12 @@ def decode(df: DataFrame, value="value", keep=(), version_gate=True):
     when ``@version`` >= 0.1.2; without it (the console consumer) always.
     """
     text = utf8_repair(deobfuscate(value))
-    staged = once(df.select(*keep, text.alias("__text")), keep)
+    staged = once(df.select(*keep, text.alias("__text")))
     # Only text that can be a JSON object is parsed: a parser failure per bad
     # record is costly and the answer (dead letter) is the same.
     looks_json = F.ltrim(F.col("__text")).startswith("{")
-    staged = once(staged.select(*keep, "__text", F.when(looks_json, F.from_json("__text", EVENT_SCHEMA)).alias("__e")),
-                  keep)
+    staged = once(staged.select(*keep, "__text",
+                                F.when(looks_json, F.from_json("__text", EVENT_SCHEMA)).alias("__e")))
     ok = F.col("__e").isNotNull() & F.col("__e.path").isNotNull()
     events_raw = staged.where(ok)
     e = F.col("__e")

@@ -14,10 +14,6 @@ from weir.operators.joins import broadcast_if_small, prefix_anti_join
 MAX_WILDCARD_PATTERNS = 10000
 
 
-def _has_wildcard(p: str) -> bool:
-    return any(ch in p for ch in "*?[\\")
-
-
 def exclude_paths(df: DataFrame, patterns, col: str = "path") -> DataFrame:
     """drop rows whose ``col`` matches any glob (``fnmatch`` flags 0).
 

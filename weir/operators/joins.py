@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, what: str = "") -> DataFrame | None:
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame | None:
     """``broadcast(df)`` when it has at most ``max_rows`` rows, else None.
 
     The check runs ``limit(max_rows + 1).count()``, so its cost is bounded by

@@ -41,10 +41,6 @@ VERSION_BY_TYPE = {"view": "0.1.1", "click": "0.1.2", "error": "0.2", "purchase"
 SELECTED_FIELDS = "path @message no_such_field uid"
 
 
-def _writes_typed(spark, sf):
-    return fx.writes(spark, sf)
-
-
 def _event_type(path_col="path"):
     return F.regexp_extract(F.col(path_col), r"^\./([^/]+)/", 1)
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings every job of this package expects. All are runtime SQL confs, so they
 # can be applied to a session someone else built (the driver, a notebook).
@@ -82,6 +83,18 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
+def once(df: DataFrame) -> DataFrame:
+    """Evaluate the (expensive) columns of ``df`` exactly once per row.
+
+    A later filter on such a column would otherwise be pushed below the
+    projection with the expression copied into it (JSON parsing, encoding),
+    and a column read several times would be recomputed. ``inline`` of a
+    one-element array is a generator, which predicates and projections do not
+    cross; it emits the same single row.
+    """
+    return df.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
+
+
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
                   app_name: str = "weir", extra: dict | None = None) -> SparkSession:
     master = master or os.environ.get("WEIR_MASTER", "local[8]")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weir.operators.codec import once
+from weir.session import once
 from weir.schema import KNOWN_OPTIONS
 
 # Key prefixes a property line must carry to be read, and the
