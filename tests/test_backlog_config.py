@@ -106,3 +106,17 @@ def test_missing_ranges(spark):
     assert got == [(2, 3), (6, 8), (10, 11), (13, 14)]
     empty = spark.createDataFrame([], "id long")
     assert [tuple(r) for r in missing_ranges(empty, n=3).collect()] == [(0, 2)]
+
+
+def test_compare_captures_multiset(spark):
+    from weir.operators.delivery import compare_captures
+
+    a = spark.createDataFrame([("p", "x"), ("p", "x"), ("p", "y"), ("q", "z")], "path string, message string")
+    b = spark.createDataFrame([("p", "x"), ("p", "w"), ("r", "v")], "path string, message string")
+    got = {r.path: (r.n_a, r.n_b, r.only_a, r.only_b) for r in compare_captures(a, b).collect()}
+    want = {}
+    for k in ("p", "q", "r"):
+        ea = a.where(f"path = '{k}'").exceptAll(b).count()
+        eb = b.where(f"path = '{k}'").exceptAll(a).count()
+        want[k] = (a.where(f"path = '{k}'").count(), b.where(f"path = '{k}'").count(), ea, eb)
+    assert got == want == {"p": (3, 2, 2, 1), "q": (1, 0, 1, 0), "r": (0, 1, 0, 1)}
