@@ -199,3 +199,21 @@ def test_capture_stream_end_to_end(spark, scratch):
     finally:
         q.stop()
     assert sorted(got) == [(keep, "one\n", "root", "eu"), (keep, "two\n", "root", "eu")]
+
+
+def test_tail_max_bytes_per_trigger_keeps_lines_whole(spark, scratch):
+    root = os.path.join(scratch, "capped")
+    os.makedirs(root)
+    p = os.path.join(root, "a.log")
+    lines = [f"l{i:02d}-{'x' * (i % 7)}\n" for i in range(40)]
+    df = tail_stream(spark, root, starting="earliest", maxBytesPerTrigger=25)
+    out, ck = os.path.join(scratch, "cout"), os.path.join(scratch, "cck")
+    q = _run_files(df, out, ck)          # first batch of the run: nothing there yet
+    try:
+        _append(p, "".join(lines).encode())
+        q.processAllAvailable()
+        got = sorted(_file_rows(spark, out), key=lambda r: r[1])
+        assert [r[2] for r in got] == lines            # every line once, none split
+        assert len(q.recentProgress) > 5               # spread over several micro-batches
+    finally:
+        q.stop()

@@ -17,7 +17,10 @@ source reads a file once and never sees appends, hence this Python data source.
   owns the lines that start inside it), so one huge file is read in parallel.
 * ``wholeLines=true`` holds back a last line without newline until it is
   complete (the offset stops before it).
-* ``maxBytesPerTrigger`` caps how far the offsets move in one micro-batch.
+* ``maxBytesPerTrigger`` caps how far the offsets move in one micro-batch,
+  stopping on line boundaries. The reader learns the start of a run only from
+  its own planning, so the first micro-batch after a start or restart reads
+  everything available and the cap applies from the next one.
 
 Executors must see the same paths as the driver (shared storage).
 """
@@ -74,6 +77,23 @@ def last_newline_end(path, lo, hi, block=1 << 16):
     return lo
 
 
+def next_newline_end(path, lo, hi, block=1 << 16):
+    """Byte position just after the first '\\n' at or after ``lo`` (below ``hi``),
+    or ``hi``."""
+    with open(path, "rb") as f:
+        pos = lo
+        while pos < hi:
+            f.seek(pos)
+            chunk = f.read(min(block, hi - pos))
+            if not chunk:
+                break
+            i = chunk.find(b"\n")
+            if i >= 0:
+                return pos + i + 1
+            pos += len(chunk)
+    return hi
+
+
 class TailPartition(InputPartition):
     """Bytes ``[lo, hi)`` of the new range ``[.., end)`` of one file: the slice
     owns every line that starts inside it (the first slice starts a line)."""
@@ -114,18 +134,26 @@ class TailStreamReader(DataSourceStreamReader):
             if self.whole_lines and end > start:
                 end = last_newline_end(p, start, end)
             if budget is not None and end > start:
-                end = min(end, start + max(budget, 0))
+                capped = min(end, start + max(budget, 0))
+                if capped < end:
+                    # Stop on a line boundary: before the cut line, or -- when a
+                    # single line is longer than the budget -- after it.
+                    snapped = last_newline_end(p, start, capped)
+                    if snapped == start and budget > 0:
+                        snapped = next_newline_end(p, capped, end)
+                    capped = snapped
+                end = capped
                 budget -= end - start
             out[p] = max(end, start)
         return out
 
     def initialOffset(self):
+        # Does not touch the planned state: Spark may call it after the first
+        # latestOffset(), and on a restart not at all.
         if self.starting == "earliest":
-            self._last = {"files": {}}
-        else:
-            files = list_files(self.roots, self.recursive)
-            self._last = {"files": {p: size for p, (_r, size) in files.items()}}
-        return self._last
+            return {"files": {}}
+        files = list_files(self.roots, self.recursive)
+        return {"files": {p: size for p, (_r, size) in files.items()}}
 
     def latestOffset(self):
         prev = self._last["files"] if self._last is not None else None
