@@ -53,3 +53,24 @@ def test_bounded_tracker_evicts_fifo(spark):
                       (5, "c", 0.4, 1000)])
     got = {r.seq: r.overflow for r in rate_limit_bounded(df, 10, max_tracked=2).collect()}
     assert got == {1: False, 2: False, 3: False, 4: False, 5: True}
+
+
+def test_hot_path_is_spread_over_tasks(spark):
+    # A third of all writes on one path: the window runs per (path, minute), so
+    # the hot path's rows come out of several partitions, and the result still
+    # equals a plain lag over the whole path.
+    w = fx.writes(spark, "/root/testdata/sf0.01")
+    hot = w.withColumn("path", F.when(F.col("seq") % 3 == 0, F.lit("./hot/all.log")).otherwise(F.col("path")))
+    # AQE would merge this tiny shuffle into one partition; look at the plan's own partitioning.
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        per_task = (previous_time(hot).select("path", "prev_us").rdd
+                    .mapPartitions(lambda rows: [sum(1 for r in rows if r.path == "./hot/all.log")]).collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(per_task) == 3334
+    assert max(per_task) < 3334 / 2                      # no task holds the hot path
+    want = hot.select("seq", F.lag(F.unix_micros("ts")).over(Window.partitionBy("path").orderBy("ts", "seq"))
+                      .alias("prev_us"))
+    got = previous_time(hot).select("seq", "prev_us")
+    assert sorted(got.collect()) == sorted(want.collect())
