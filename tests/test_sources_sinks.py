@@ -69,3 +69,17 @@ def test_custom_source_by_name(spark):
 
     name = register_source(spark, Numbers)
     assert [r.n for r in spark.read.format(name).option("count", 4).load().collect()] == [0, 1, 2, 3]
+
+
+def test_capture_job_writes_topics(spark, scratch):
+    from weir.plans import fixtures as fx
+    from weir.plans.jobs import capture
+
+    sf = "/root/testdata/sf0.001"
+    out = os.path.join(scratch, "wire")
+    capture(spark, fx.writes(spark, sf), out, excludes=["./error/*"], rate=0.0001,
+            users=fx.users(spark, sf), config_versions=fx.config_versions(spark))
+    wire = spark.read.parquet(out)
+    topics = {r.topic for r in wire.select("topic").distinct().collect()}
+    assert topics <= {"logs", "audit"} and "logs" in topics
+    assert wire.count() > 0
