@@ -38,31 +38,18 @@ def b64decode(c) -> Column:
 
 def djb2(c) -> Column:
     """64-bit unsigned djb2 over the UTF-8 bytes, stopping at the first NUL,
-    returned as DECIMAL(20,0).
-
-    ``h = h * 33 + byte (mod 2^64)`` is folded over the bytes with the hash held
-    as two 32-bit halves in BIGINTs, so nothing overflows under ANSI mode; byte
-    values come from the hex digits by position lookup (no number parsing)."""
+    returned as DECIMAL(20,0). ``h = h * 33 + byte`` is folded in DECIMAL(38,0)
+    modulo 2^64, so ANSI mode never sees an overflow."""
     hexed = F.hex(_to_binary(F.substring_index(_col(c), "\x00", 1)))
-    digits = F.lit("0123456789ABCDEF")
+    two64 = F.expr("CAST('18446744073709551616' AS DECIMAL(38,0))")
     n = F.floor(F.length(hexed) / 2).cast("int")
-    mask = F.lit(0xFFFFFFFF).cast("bigint")
-
-    def byte_at(i):
-        hi = F.position(F.substring(hexed, i * 2 - 1, 1), digits) - 1
-        lo = F.position(F.substring(hexed, i * 2, 1), digits) - 1
-        return (hi * 16 + lo).cast("bigint")
-
-    def step(acc, i):
-        low = acc["lo"] * 33 + byte_at(i)
-        return F.struct(((acc["hi"] * 33 + F.shiftright(low, 32)).bitwiseAND(mask)).alias("hi"),
-                        low.bitwiseAND(mask).alias("lo"))
-
-    start = F.struct(F.lit(0).cast("bigint").alias("hi"), F.lit(5381).cast("bigint").alias("lo"))
-    folded = F.aggregate(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), start,
-                         lambda acc, i: F.when(i <= n, step(acc, i)).otherwise(acc))
-    return (folded["hi"].cast("decimal(20,0)") * F.lit(4294967296).cast("decimal(20,0)")
-            + folded["lo"].cast("decimal(20,0)")).cast("decimal(20,0)")
+    start = F.lit(5381).cast("decimal(38,0)")
+    folded = F.aggregate(
+        F.sequence(F.lit(1), n), start,
+        lambda acc, i: F.pmod(acc * F.lit(33) + F.conv(F.substring(hexed, i * 2 - 1, 2), 16, 10).cast("int"),
+                              two64).cast("decimal(38,0)"))
+    # sequence(1, 0) would count down: the empty string is the start value.
+    return F.when(n == 0, start).otherwise(folded).cast("decimal(20,0)")
 
 
 def ts_micros(c) -> Column:
