@@ -125,3 +125,12 @@ def test_tail_cut_inside_character(spark):
     got = sorted((r.offset, r.nbytes, r.message) for r in lines.collect())
     assert got == [(2, 2, "�\n"), (4, 2, "b\n")]
     assert new.first().offset == 6
+
+
+def test_xor255_every_byte(spark):
+    from weir.functions import xor255
+
+    df = spark.createDataFrame([(bytearray(range(256)),), (bytearray(b""),), (None,)], "v binary")
+    got = [r.x for r in df.select(xor255("v").alias("x")).collect()]
+    assert bytes(got[0]) == bytes(255 - i for i in range(256))
+    assert bytes(got[1]) == b"" and got[2] is None

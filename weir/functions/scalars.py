@@ -92,9 +92,18 @@ def pairs_to_map(c) -> Column:
         .otherwise(F.map_from_entries(last_only))
 
 
+# Byte b read as the Latin-1 character chr(b), mapped to chr(255 - b). translate()
+# deletes characters mapped to NUL, so 0xFF goes through a placeholder first.
+_XOR_SRC = "".join(chr(i) for i in range(256))
+_XOR_DST = "".join(chr(255 - i) for i in range(255)) + "\u0100"
+
+
 def xor255(c) -> Column:
-    """Every byte XOR 255, as BINARY. Done on the hex digits, fully native."""
-    return F.unhex(F.translate(F.hex(_to_binary(_col(c))), "0123456789ABCDEF", "FEDCBA9876543210"))
+    """Every byte XOR 255, as BINARY. Native and byte-exact: the bytes are
+    read as Latin-1 characters (one per byte), translated, and written back."""
+    as_chars = F.decode(_to_binary(_col(c)), "ISO-8859-1")
+    flipped = F.replace(F.translate(as_chars, _XOR_SRC, _XOR_DST), F.lit("\u0100"), F.lit("\x00"))
+    return F.encode(flipped, "ISO-8859-1")
 
 
 def nul_cut(c) -> Column:
