@@ -134,3 +134,17 @@ def test_xor255_every_byte(spark):
     got = [r.x for r in df.select(xor255("v").alias("x")).collect()]
     assert bytes(got[0]) == bytes(255 - i for i in range(256))
     assert bytes(got[1]) == b"" and got[2] is None
+
+
+def test_watch_scope_join_matches_union(spark, monkeypatch):
+    from weir.sources import lines
+
+    files = spark.createDataFrame([(p, "x\n") for p in ["/a/1", "/a/b/2", "/a/b/c/3", "/ab/4", "/x/5", "/a/b/6"]],
+                                  "path string, text string")
+    roots = ["/a", "/a/b", "/x/", "/"]
+    for rec in (True, False):
+        want = sorted((r.prefix, r.path) for r in lines.watch_scope(files, roots, rec).collect())
+        monkeypatch.setattr(lines, "WATCH_UNION_ROOTS", 0)
+        got = sorted((r.prefix, r.path) for r in lines.watch_scope(files, roots, rec).collect())
+        monkeypatch.setattr(lines, "WATCH_UNION_ROOTS", 4)
+        assert got == want, rec

@@ -106,19 +106,39 @@ def tail_from_offsets(files: DataFrame, offsets: DataFrame | None = None, starti
     return out, new_off
 
 
+WATCH_UNION_ROOTS = 4
+
+
 def watch_scope(df: DataFrame, roots, recursive: bool = True, path: str = "path") -> DataFrame:
     """Files under any watched root, each row tagged with its root as
     ``prefix``; ``recursive=False`` keeps direct children only. A file under two
-    roots appears once per root, as with two watches."""
-    out = None
-    for root in roots:
-        base = root.rstrip("/") + "/"
-        cond = F.col(path).startswith(base)
-        if not recursive:
-            cond = cond & ~F.substring(F.col(path), len(base) + 1, 1 << 30).contains("/")
-        part = df.where(cond).withColumn("prefix", F.lit(root))
-        out = part if out is None else out.unionByName(part)
-    return out
+    roots appears once per root, as with two watches.
+
+    A few roots: one filter per root (each pushed to the scan), unioned. More:
+    a single scan whose rows are joined, on their ancestor directories (the
+    parent only when not recursive), to the list of roots."""
+    roots = list(roots)
+    if len(roots) <= WATCH_UNION_ROOTS:
+        out = None
+        for root in roots:
+            base = root.rstrip("/") + "/"
+            cond = F.col(path).startswith(base)
+            if not recursive:
+                cond = cond & ~F.substring(F.col(path), len(base) + 1, 1 << 30).contains("/")
+            part = df.where(cond).withColumn("prefix", F.lit(root))
+            out = part if out is None else out.unionByName(part)
+        return out
+    p = F.col(path)
+    if recursive:
+        slashes = F.filter(F.sequence(F.lit(1), F.greatest(F.length(p), F.lit(1))),
+                           lambda i: F.substring(p, i, 1) == "/")
+        dirs = F.transform(slashes, lambda i: F.substring(p, 1, i - 1))
+    else:
+        dirs = F.array(F.regexp_extract(p, r"^(.*)/[^/]*$", 1))
+    spark = df.sparkSession
+    table = spark.createDataFrame([(r.rstrip("/"), r) for r in roots], "__dir string, prefix string")
+    return (df.withColumn("__dir", F.explode(F.array_distinct(dirs)))
+            .join(table, "__dir").drop("__dir"))
 
 
 def union_sources(*sources) -> DataFrame:
