@@ -61,7 +61,7 @@ def write_bus(df: DataFrame, servers, topic: str | None = None, checkpoint: str
     frame = bus_frame(df, topic if topic is not None else (None if "topic" in df.columns else DEFAULT_TOPIC))
     servers = servers if isinstance(servers, str) else ",".join(servers)
     if not df.isStreaming:
-        return frame.write.format(fmt).option("kafka.bootstrap.servers", servers).save()
+        return frame.write.format(fmt).mode("append").option("kafka.bootstrap.servers", servers).save()
     w = frame.writeStream.format(fmt).option("kafka.bootstrap.servers", servers)
     if checkpoint:
         w = w.option("checkpointLocation", checkpoint)
