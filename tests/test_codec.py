@@ -1,7 +1,6 @@
 import datetime as dt
 import json
 
-from pyspark.sql import functions as F
 
 from weir.operators.codec import decode, deobfuscate, encode, render_event, select_fields
 from weir.operators.enrich import with_static

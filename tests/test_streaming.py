@@ -3,7 +3,6 @@ import json
 import os
 import time
 
-import pytest
 from pyspark.sql import functions as F
 
 from weir.sinks import bus_frame, bus_options, register_sink, write_to
