@@ -93,3 +93,9 @@ def test_select_and_render(spark):
     assert select_fields(events, "path nope @message").columns == ["path", "@message"]
     text = render_event(events.select("path", "@fields", "@tags")).first().text
     assert text == "event:\n  path: /var/log/app.log\n  @fields: \n     k: v\n  @tags: \n    -  t"
+
+
+def test_render_lists_empty_and_null(spark):
+    df = spark.createDataFrame([(["a", None, "b"],), ([],), (None,)], "t array<string>")
+    got = [r.text for r in render_event(df).collect()]
+    assert got == ["event:\n  t: \n    -  a\n    -  b", "event:\n  t: \n", "event:\n  t: "]

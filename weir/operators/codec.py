@@ -197,8 +197,12 @@ def render_event(df: DataFrame, keys=None, out="text") -> DataFrame:
                 F.lit("     "), x["key"], F.lit(": "), F.coalesce(x["value"].cast("string"), F.lit("None"))))
             parts.append(F.concat_ws("\n", F.lit(f"  {k}: "), F.array_join(entries, "\n")))
         elif isinstance(dt, T.ArrayType):
-            items = F.transform(c, lambda x: F.concat(F.lit("    -  "), x.cast("string")))
-            parts.append(F.concat_ws("\n", F.lit(f"  {k}: "), F.array_join(items, "\n")))
+            # "    -  item" lines with one native array_join (no per-element lambda).
+            items = (F.when(c.isNull(), F.lit(None).cast("string"))
+                     .when(F.size(c) > 0, F.concat(F.lit("    -  "),
+                                                   F.array_join(c.cast("array<string>"), "\n    -  ")))
+                     .otherwise(F.lit("")))
+            parts.append(F.concat_ws("\n", F.lit(f"  {k}: "), items))
         else:
             parts.append(F.concat(F.lit(f"  {k}: "), F.coalesce(c.cast("string"), F.lit("None"))))
     return df.withColumn(out, F.concat_ws("\n", *parts))
