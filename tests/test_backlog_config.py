@@ -120,3 +120,19 @@ def test_compare_captures_multiset(spark):
         eb = b.where(f"path = '{k}'").exceptAll(a).count()
         want[k] = (a.where(f"path = '{k}'").count(), b.where(f"path = '{k}'").count(), ea, eb)
     assert got == want == {"p": (3, 2, 2, 1), "q": (1, 0, 1, 0), "r": (0, 1, 0, 1)}
+
+
+def test_between_markers_rules(spark):
+    from weir.operators.filters import between_markers
+
+    rows = [
+        ("p1", 1, "x"), ("p1", 2, "START"), ("p1", 3, "a"), ("p1", 4, "START"), ("p1", 5, "b"),
+        ("p1", 6, "STOP"), ("p1", 7, "c"),                       # a, b kept; markers and c dropped
+        ("p2", 1, "a"), ("p2", 2, "b"),                          # never started: nothing
+        ("p3", 1, "STOP"), ("p3", 2, "START"), ("p3", 3, "d"),   # stopped before the start: nothing
+        ("p4", 1, "START"), ("p4", 2, "e"),                      # no stop: to the end
+    ]
+    df = spark.createDataFrame(rows, "part string, seq long, msg string")
+    got = sorted((r.part, r.msg) for r in between_markers(
+        df, F.col("msg") == "START", F.col("msg") == "STOP", "part", order_by=("seq",)).collect())
+    assert got == [("p1", "a"), ("p1", "b"), ("p4", "e")]
