@@ -136,3 +136,13 @@ def test_between_markers_rules(spark):
     got = sorted((r.part, r.msg) for r in between_markers(
         df, F.col("msg") == "START", F.col("msg") == "STOP", "part", order_by=("seq",)).collect())
     assert got == [("p1", "a"), ("p1", "b"), ("p4", "e")]
+
+
+def test_normalize_path_edges(spark):
+    import posixpath
+
+    cases = ["/../a", "/a/./b/../../c", "rel/x/", "/", "//double//slash", "/a/b/.."]
+    df = spark.createDataFrame([(c,) for c in cases], "p string")
+    got = [r.n for r in df.select(normalize_path("p", "/srv").alias("n")).collect()]
+    want = [posixpath.normpath(posixpath.join("/srv", c)).replace("//", "/") for c in cases]
+    assert got == want
