@@ -5,10 +5,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from weir.plans import catalog, oracle
 from weir.plans.fixtures import TABLES
 
 SF = "/root/testdata/sf0.001"
-ORACLE = E.oracle_sql()
+ORACLE = oracle.oracle_sql()
 
 
 def _canon(cols, rows):
@@ -27,7 +28,7 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(ORACLE)
+    assert set(catalog.queries()) == set(oracle.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
