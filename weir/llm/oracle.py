@@ -48,5 +48,41 @@ SELECT doc_id, size, source_size, target,
 """
 
 
+LINES = r"""
+WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS x FROM documents),
+l AS (SELECT doc_id, unnest(x) AS line, generate_subscripts(x, 1) AS i FROM d WHERE x IS NOT NULL),
+b AS (
+  SELECT doc_id, i, line, lead(line, 1) OVER o AS l2, lead(line, 2) OVER o AS l3, lead(i, 2) OVER o AS j
+  FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]') WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+r AS (
+  SELECT doc_id, i, j, row_number() OVER (PARTITION BY line || chr(10) || l2 || chr(10) || l3 ORDER BY doc_id, i) AS k
+  FROM b WHERE j IS NOT NULL),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, j + 1)) AS i FROM r WHERE k > 1),
+g AS (
+  SELECT l.doc_id, count(*) AS n_lines, count(c.i) AS n_removed,
+         string_agg(l.line, chr(10) ORDER BY l.i) FILTER (c.i IS NULL) AS kept
+  FROM l LEFT JOIN c ON c.doc_id = l.doc_id AND c.i = l.i GROUP BY l.doc_id)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN g ON g.doc_id = d.doc_id
+"""
+
+SUBSTRING = rf"""
+WITH d AS (SELECT doc_id, {WORDS} AS x FROM documents),
+l AS (SELECT doc_id, unnest(x) AS word, generate_subscripts(x, 1) AS i FROM d),
+b AS (
+  SELECT doc_id, i, string_agg(word, ' ') OVER f AS win, count(*) OVER f AS n FROM l
+  WINDOW f AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)),
+r AS (SELECT doc_id, i, row_number() OVER (PARTITION BY win ORDER BY doc_id, i) AS k FROM b WHERE n = 20),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM r WHERE k > 1),
+g AS (
+  SELECT l.doc_id, count(*) AS n_words, count(c.i) AS n_removed,
+         string_agg(l.word, ' ' ORDER BY l.i) FILTER (c.i IS NULL) AS kept
+  FROM l LEFT JOIN c ON c.doc_id = l.doc_id AND c.i = l.i GROUP BY l.doc_id)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN g ON g.doc_id = d.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_formatting": CHAT, "op4_source_mixing": MIXING}
+    return {"op1_chat_formatting": CHAT, "op3_line_dedup": LINES, "op4_source_mixing": MIXING,
+            "op6_substring_dedup": SUBSTRING}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weir.llm import bpe, chat, mixing, simhash
+from weir.llm import bpe, chat, lines, mixing, simhash, substring
 from weir.llm.text import table
 from weir.session import configure
 
@@ -27,6 +27,14 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_digest(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_digest(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.substring_digest(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digest(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -35,7 +43,7 @@ def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_digest(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-_QUERIES = [op1_chat_formatting, op4_source_mixing, op7_bpe, op9_simhash_dedup]
+_QUERIES = [op1_chat_formatting, op3_line_dedup, op4_source_mixing, op6_substring_dedup, op7_bpe, op9_simhash_dedup]
 
 
 def _ready(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

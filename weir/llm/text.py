@@ -80,6 +80,39 @@ def text_udf(ddl: str, per_batch: Callable[[list], list[tuple]]):
     return F.arrow_udf(run, StructType.fromDDL(ddl))
 
 
+def batch_udf(ddl: str, per_batch: Callable[..., list[tuple]]):
+    """As ``text_udf``, over two columns: ``per_batch(firsts, seconds)``."""
+    schema = to_arrow_schema(StructType.fromDDL(ddl))
+    kind = pa.struct(list(schema))
+    names = [f.name for f in schema]
+
+    def run(a: pa.Array, b: pa.Array) -> pa.Array:
+        return pa.array([dict(zip(names, r)) for r in per_batch(a.to_pylist(), b.to_pylist())], type=kind)
+
+    run.__annotations__ = {"a": pa.Array, "b": pa.Array, "return": pa.Array}
+    return F.arrow_udf(run, StructType.fromDDL(ddl))
+
+
+def with_ranges(df: DataFrame, ranges: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]:
+    """``df`` plus a column of its rows' ranges, whose name is returned. ``ranges``:
+    ``doc_id, text_key, i, j``, gathered per document (bounded by its text)."""
+    name = fresh("__ranges", df.columns)
+    keys = [fresh("__id_key", df.columns), fresh("__text_key", df.columns)]
+    found = ranges.groupBy(F.xxhash64("doc_id").alias(keys[0]), F.col("text_key").alias(keys[1])).agg(
+        F.collect_list(F.struct("i", "j")).alias(name))
+    rows = df.withColumns({keys[0]: F.xxhash64(F.col(f"`{id_col}`")), keys[1]: text_key(F.col(f"`{text_col}`"))})
+    return rows.join(found, keys, "left").drop(*keys), name
+
+
+def outside(n: int, ranges: list[dict] | None) -> np.ndarray:
+    """Which of ``n`` positions no range ``[i, j)`` covers."""
+    edge = np.zeros(n + 1, np.int64)
+    for r in ranges or ():
+        edge[r["i"]] += 1
+        edge[r["j"]] -= 1
+    return np.cumsum(edge[:n]) == 0
+
+
 def fresh(name: str, taken: list[str]) -> str:
     """A column name that ``taken`` does not hold (compared as Spark does, without case)."""
     lower = {c.lower() for c in taken}
