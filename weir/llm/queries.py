@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weir.llm import bpe, chat, lines, mixing, simhash, substring
+from weir.llm import ann, bpe, chat, licenses, lines, mixing, quality, secrets, simhash, substring
 from weir.llm.text import table
 from weir.session import configure
 
@@ -27,10 +27,19 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_digest(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.quality_digest(docs, table(spark, sf_dir, "labels"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_digest(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_digest(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.substring_digest(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -39,11 +48,20 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digest(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_digest(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-_QUERIES = [op1_chat_formatting, op3_line_dedup, op4_source_mixing, op6_substring_dedup, op7_bpe, op9_simhash_dedup]
+def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+_QUERIES = [op1_chat_formatting, op2_quality_rules, op3_line_dedup, op4_source_mixing, op5_secret_scans,
+            op6_substring_dedup, op7_bpe, op8_nearest_neighbours, op9_simhash_dedup, op10_license_scans]
 
 
 def _ready(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
