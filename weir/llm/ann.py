@@ -23,14 +23,12 @@ an empty table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weir.session import checkpoint_dir
+from weir.llm.text import write_table
 
 SHARD_ROWS = 4096
 BLOCK_ROWS = 2048
@@ -175,15 +173,12 @@ def _index_task(degree: int, keep: int):
 
 def build_index(vectors: DataFrame, n: int, nearest: int = NEAREST, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """``shard, node, entry, members, vec, edges``: the graphs of all shards."""
-    spark = vectors.sparkSession
     shards = max(1, -(-n // shard_rows))
     dealt = vectors.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
     index = dealt.groupBy("shard").applyInPandas(
         _index_task(DEGREE, nearest + 1),
         "shard int, node int, entry int, members array<long>, vec array<double>, edges array<int>")
-    path = f"{checkpoint_dir(spark).rstrip('/')}/graph-{uuid.uuid4().hex}"
-    index.write.parquet(path)
-    return spark.read.schema(index.schema).parquet(path)
+    return write_table(index, "graph")
 
 
 def _search_task(nearest: int, beam: int):

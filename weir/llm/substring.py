@@ -34,7 +34,6 @@ extra columns are kept by ``dedup_substrings`` under any name.
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,8 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weir.llm.text import (batch_udf, fresh, on_text, outside, text_key, text_udf, window_hashes, with_ranges,
-                           word_hashes, words_of)
-from weir.session import checkpoint_dir
+                           word_hashes, words_of, write_table)
 
 WINDOW = 20
 ANCHOR = 5
@@ -104,14 +102,6 @@ def _list_udf(ddl: str, per_text, *args):
     return text_udf(ddl, lambda texts: [(per_text(t, *args),) for t in texts])
 
 
-def _written(df: DataFrame) -> DataFrame:
-    """Cut lineage with a table in the cluster's shared checkpoint folder."""
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/pieces-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def _cut_batch(window: int):
     def batch(texts, wanted):
         out = []
@@ -203,7 +193,7 @@ def repeated_ranges(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     again = places.select(F.explode("a").alias("a")).groupBy("a").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("a")
     pieces = on_text(docs, _list_udf("p array<struct<a: long, b: long, s: int, n: int>>", pieces_of, window, anchor),
                      ["doc_id", "text_key"]).select("doc_id", "text_key", F.inline("p"))
-    pieces = _written(pieces.join(again, "a", "left_semi").select("a", "b", "doc_id", "s", "n", "text_key"))
+    pieces = write_table(pieces.join(again, "a", "left_semi").select("a", "b", "doc_id", "s", "n", "text_key"), "pieces")
     firsts = pieces.groupBy("a", "b").agg(F.min(F.struct("doc_id", "s", "n", "text_key")).alias("f"))
     # Texts of the first places, cut out where their documents are.
     wanted = firsts.select(F.xxhash64("f.doc_id").alias("k"), F.col("f.text_key").alias("key"), "a", "b", "f.s", "f.n")

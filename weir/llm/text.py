@@ -7,6 +7,7 @@ a multi-byte UTF-8 character is such a blank.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from weir.session import checkpoint_dir
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -24,6 +27,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def write_table(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage with a table in the cluster's shared checkpoint folder (columnar
+    and compressed, for frames too large for a plain checkpoint)."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def word_count(text: Column) -> Column:
     """Number of words of a text as long (null: 0)."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
