@@ -66,45 +66,81 @@ def test_watch_diff_prefix(spark):
     assert sorted(r.dir for r in stop.collect()) == ["/old", "/var/log"]
 
 
-ARGS = ("--topic logs --fields datacenter eu-west-1a --directories /usr/local/tomcat1/logs "
-        "--brokers server:9092 --tags gen --persist no --excluded_files blah --substitutions lol")
+def test_watch_diff_normalises_both_lists(spark):
+    conf = spark.createDataFrame([("/var//log/./a/",), ("/var/log/a",), ("srv/x",), ("/srv/../srv/x",), (None,)], "dir string")
+    watched = spark.createDataFrame([("/var/log/a/.",), ("/gone//",)], "dir string")
+    start, stop = watch_diff(conf, watched)
+    assert [r.dir for r in start.collect()] == ["/srv/x"]
+    assert [r.dir for r in stop.collect()] == ["/gone"]
+
+
+def test_sharded_backlog_any_size_and_order(spark):
+    df = spark.range(5000).select(F.col("id").alias("seq"), (F.col("id") % 3).alias("k"),
+                                  F.timestamp_seconds(F.col("id") % 700).alias("ts"))
+    rows = [(r.k, r.ts, r.seq) for r in df.collect()]
+    for n in (7, 1200, 10_000):
+        got = sorted((r.k, r.ts, r.seq) for r in bounded_backlog(df, n, shard="k").collect())
+        want = [x for k in range(3) for x in sorted((r for r in rows if r[0] == k), reverse=True)[:n]]
+        assert got == sorted(want)
+
+
+def test_prefixes_are_compared_normalised(spark):
+    from weir.operators.filters import apply_sleep, exclude_prefixes
+
+    paths = ["/var//log/./click/u1", "/var/log/click", "/var/log2", "var/log/x", None, "/tmp"]
+    df = spark.createDataFrame([(p,) for p in paths], "path string")
+    for prefixes in (["/var/./log//", "/var/log/"], spark.createDataFrame([("/var/./log//",), (None,)], "prefix string")):
+        got = [r.path for r in exclude_prefixes(df, prefixes).collect()]
+        assert sorted(got, key=repr) == sorted(["/tmp", None], key=repr)  # a plain string prefix: /var/log2 goes too
+    asleep = apply_sleep(df, ["/var/log/click/"], F.col("path").isNotNull(), col="path")
+    assert sorted((r.path for r in asleep.collect()), key=repr) == sorted(["/tmp", "/var/log2", "var/log/x", None], key=repr)
+
+
+ARGS = ("--topic logs --fields site rack-7 --directories /usr/local/tomcat1/logs "
+        "--brokers server:9092 --tags orders --persist no --excluded_files blah --substitutions lol")
 
 
 def test_parse_args(spark):
-    df = spark.createDataFrame([(1, ARGS), (2, "--lol"), (3, "-lol"), (4, "--zookeepers  test "),
+    df = spark.createDataFrame([(1, ARGS), (2, "--colour"), (3, "-colour"), (4, "--zookeepers  test "),
                                 (5, "--tags a b --tags c")], "id long, line string")
     got = {(r.id, r.key): (r.ok, r["values"]) for r in parse_args(df, keep=("id",)).collect()}
-    assert got[(1, "fields")] == (True, ["datacenter", "eu-west-1a"])
+    assert got[(1, "fields")] == (True, ["site", "rack-7"])
     assert got[(1, "substitutions")] == (True, ["lol"])
     assert got[(2, None)][0] is False
-    assert not any(k[0] == 3 for k in got)        # '-lol' is a value without option: ignored
+    assert not any(k[0] == 3 for k in got)        # '-colour' is a value without option: ignored
     assert got[(4, "zookeepers")] == (True, ["test"])
     assert got[(5, "tags")] == (True, ["c"])      # a repeated option replaces
 
 
 def test_load_and_merge_config(spark):
     lines = spark.createDataFrame([
-        ("f1", 1, 'fuse_kafka_directories=["/a", "/b"]'),
-        ("f1", 2, 'fuse_kafka_fields={"hostname": "test", "dc": "x"}'),
-        ("f1", 3, '#fuse_kafka_directories=["/c"]'),
-        ("f2", 1, 'fuse_kafka_directories=["/d"]'),
+        ("f1", 1, 'agent_directories=["/a", "/b"]'),
+        ("f1", 2, 'agent_fields={"hostname": "test", "dc": "x"}'),
+        ("f1", 3, '#agent_directories=["/c"]'),
+        ("f2", 1, 'agent_directories=["/d"]'),
         ("f2", 2, 'monitoring_logging_tags=["t"]'),
-        ("f2", 3, 'fuse_kafka_quota=[500000]'),
+        ("f2", 3, 'agent_quota=[500000]'),
         ("f2", 4, 'other=["x"]'),
     ], "file string, line_no long, line string")
     e = load_config(lines)
-    merged = {r.key: r["values"] for r in merge_config(e, collect=True).collect()}
+    merged = {}
+    for r in sorted(merge_config(e).collect(), key=lambda r: (r.key, r.pos)):
+        assert r.pos == len(merged.setdefault(r.key, []))
+        merged[r.key].append(r.value)
     assert merged == {"directories": ["/a", "/b", "/d"], "fields": ["hostname", "test", "dc", "x"],
                       "tags": ["t"], "quota": ["500000"]}
-    summary = {r.key: (r.n_values, r.first_value, r.last_value) for r in merge_config(e).collect()}
-    assert summary["directories"] == (3, "/a", "/d")
 
 
 def test_missing_ranges(spark):
     rec = spark.createDataFrame([(i,) for i in [0, 1, 4, 5, 9, 12, 40]], "id long")
     got = sorted(tuple(r) for r in missing_ranges(rec, n=15, block=4).collect())
     assert got == [(2, 3), (6, 8), (10, 11), (13, 14)]
+    sent = spark.range(15).agg(F.count("*").alias("n"))
+    assert sorted(tuple(r) for r in missing_ranges(rec, expected=sent, block=4).collect()) == got
+    twice = rec.unionByName(rec).unionByName(spark.createDataFrame([(None,), (-3,)], "id long"))
+    assert sorted(tuple(r) for r in missing_ranges(twice, n=15, block=4).collect()) == got
     empty = spark.createDataFrame([], "id long")
+    assert missing_ranges(empty, n=0).count() == 0
     assert [tuple(r) for r in missing_ranges(empty, n=3).collect()] == [(0, 2)]
 
 

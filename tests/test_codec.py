@@ -1,6 +1,8 @@
 import datetime as dt
 import json
 
+from pyspark.sql import functions as F
+
 
 from weir.operators.codec import decode, deobfuscate, encode, render_event, select_fields
 from weir.operators.enrich import with_static
@@ -18,14 +20,14 @@ def writes(spark, buf=b'say "hi"\n', size=None):
 
 
 def test_base64_json_event_shape(spark):
-    w = with_static(writes(spark), {"datacenter": "eu"}, ["gen"])
+    w = with_static(writes(spark), {"site": "eu"}, ["orders"])
     good, dead = encode(w)
     ev = json.loads(bytes(good.first().value).decode())
     assert list(ev) == EVENT_KEYS
     assert ev["path"] == "/var/log/app.log"
     assert ev["@message"] == "c2F5ICJoaSIK"
     assert ev["@timestamp"] == "2024-01-01T12:00:00.123+0000"
-    assert ev["@version"] == "0.1.6" and ev["@fields"] == {"datacenter": "eu"} and ev["@tags"] == ["gen"]
+    assert ev["@version"] == "0.1.6" and ev["@fields"] == {"site": "eu"} and ev["@tags"] == ["orders"]
     assert ev["user"] == "" and ev["command"] == ""
     assert dead.count() == 0
 
@@ -65,14 +67,45 @@ def test_obfuscation_round_trip(spark):
 
 def test_decode_minimal_event(spark):
     df = spark.createDataFrame(
-        [('{"path": "/x", "command": "bXkgY29tbWFuZGU=", "@message": "bXkgbWVzc2FnZQ==", "@version": "0.1.6"}',),
-         ("not json",)], "value string")
+        [('{"command": "bXkgY29tbWFuZGU=", "@message": "bXkgbWVzc2FnZQ=="}',), ("not json",)], "value string")
     events, dead = decode(df, version_gate=False)
     r = events.first()
     assert (r.command, r["@message"], r["message_size-added"]) == ("my commande", "my message", 10)
+    assert r.path is None and r["@tags"] is None
     assert dead.count() == 1
 
 
+def test_decode_rejects_what_is_not_one_object(spark):
+    good = '{"pid": 1, "@message": "bQ==", "@version": "0.1.6", "own": "x", "@tags": ["a]", "}],"]}'
+    bad = [good + " trailing", good + good, good + "," + good, good + "]", "[" + good + "]", good + "],[" + good, '{"pid": 1',
+           good + ',"x":' + good, "1", "null", "", '"x"']
+    typed = ['{"pid": "abc"}', '{"@tags": 7}', '{"@fields": ["a"]}']
+    rows = [(t,) for t in [good, good + " \n", "{}", *bad, *typed, None]]
+    df = spark.createDataFrame(rows, "value string")
+    events, dead = decode(df)
+    assert [r["@message"] for r in events.collect()] == ["m", "m", None]
+    reasons = {r.value: r.reason for r in dead.collect()}
+    as_text = [t for t in bad if t.startswith("{")]         # other first bytes are taken for obfuscated
+    assert {t: reasons[t] for t in as_text} == {t: "not a JSON event" for t in as_text}
+    assert {t: reasons[t] for t in typed} == {t: "a key of another type" for t in typed}
+    assert dead.count() == len(bad) + len(typed) + 1
+
+
+def test_own_keys_and_only_wanted_keys(spark):
+    df = spark.createDataFrame([('{"own": "x", "n": 5, "o": {"a": 1}, "pid": 3, "user": "u"}',)], "value string")
+    events, _ = decode(df, columns=["own", "n", "o", "none", "pid"])
+    assert tuple(events.first()) == ("x", "5", '{"a":1}', None, 3)
+    plan = events._jdf.queryExecution().optimizedPlan().toString()
+    assert "user" not in plan
+
+
+def test_null_values_stay_on_the_wire(spark):
+    w = writes(spark).withColumn("pid", F.lit(None).cast("int"))
+    good, _ = encode(w, "logstash")
+    import json
+    assert list(json.loads(bytes(good.first().value))) == EVENT_KEYS and json.loads(bytes(good.first().value))["pid"] is None
+
+
 def test_version_gate_keeps_old_events_encoded(spark):
     df = spark.createDataFrame([('{"path": "/x", "@message": "bXkgbWVzc2FnZQ==", "@version": "0.1.1"}',)],
                                "value string")

@@ -136,15 +136,14 @@ def test_xor255_every_byte(spark):
     assert bytes(got[1]) == b"" and got[2] is None
 
 
-def test_watch_scope_join_matches_union(spark, monkeypatch):
+def test_watch_scope_roots(spark):
     from weir.sources import lines
 
-    files = spark.createDataFrame([(p, "x\n") for p in ["/a/1", "/a/b/2", "/a/b/c/3", "/ab/4", "/x/5", "/a/b/6"]],
-                                  "path string, text string")
-    roots = ["/a", "/a/b", "/x/", "/"]
-    for rec in (True, False):
-        want = sorted((r.prefix, r.path) for r in lines.watch_scope(files, roots, rec).collect())
-        monkeypatch.setattr(lines, "WATCH_UNION_ROOTS", 0)
-        got = sorted((r.prefix, r.path) for r in lines.watch_scope(files, roots, rec).collect())
-        monkeypatch.setattr(lines, "WATCH_UNION_ROOTS", 4)
-        assert got == want, rec
+    paths = ["/a/1", "/a/b/2", "/a/b/c/3", "/ab/4", "/x/5", "/a/b/6", None]
+    files = spark.createDataFrame([(p, "x\n") for p in paths], "path string, text string")
+    for roots in ([], ["/a"], ["/a", "/a/b", "/x/", "/"], [f"/r{i}" for i in range(30)] + ["/a/b"]):
+        for rec in (True, False):
+            want = [(r, p) for r in roots for p in paths if p and p.startswith(r.rstrip("/") + "/")
+                    and (rec or "/" not in p[len(r.rstrip("/")) + 1:])]
+            got = [(r.prefix, r.path) for r in lines.watch_scope(files, roots, rec).collect()]
+            assert sorted(got) == sorted(want), (roots, rec)

@@ -1,55 +1,62 @@
 import datetime as dt
 import random
 
+import pytest
+
+from weir.operators.filters import exclude_paths
 from weir.operators.joins import asof_join, prefix_anti_join
 
 T0 = dt.datetime(2024, 1, 1)
 
 
-def _frames(spark, n_left=400, n_right=60, keys=("a", "b", "c")):
-    rnd = random.Random(7)
-    left = [(i, rnd.choice(keys), T0 + dt.timedelta(seconds=rnd.randint(0, 20000))) for i in range(n_left)]
-    right = [(rnd.choice(keys), T0 + dt.timedelta(seconds=rnd.randint(0, 20000)), f"v{j}") for j in range(n_right)]
-    return (spark.createDataFrame(left, "seq long, k string, ts timestamp"),
-            spark.createDataFrame(right, "k string, eff timestamp, val string"))
-
-
 def _brute(left, right, by):
     out = {}
     for seq, k, ts in left:
         best = None
-        for rk, eff, val in right:
-            if (not by or rk == k) and eff <= ts and (best is None or eff > best[0]):
-                best = (eff, val)
+        for rk, eff, n, val in right:
+            if eff is not None and ts is not None and (not by or rk == k) and eff <= ts and (best is None or (eff, n) > best[0]):
+                best = ((eff, n), val)
         out[seq] = best[1] if best else None
     return out
 
 
-def test_asof_paths_agree_with_brute_force(spark):
-    left, right = _frames(spark)
-    lrows, rrows = [tuple(r) for r in left.collect()], [tuple(r) for r in right.collect()]
-    for by in (None, "k"):
-        want = _brute(lrows, rrows, by)
-        for limit, bucket in ((10_000, 3600), (0, 600), (0, 7)):
-            got = asof_join(left, right, "ts", "eff", by=by, max_broadcast_rows=limit, bucket_seconds=bucket)
-            assert {r.seq: r.val for r in got.collect()} == want, (by, limit, bucket)
-
-
-def test_prefix_anti_join_paths_agree(spark):
-    paths = spark.createDataFrame([(p,) for p in ["/var/log/a", "/var/log2", "/tmp/x", "/srv", "/v"]], "path string")
-    prefixes = spark.createDataFrame([("/var/log",), ("/tm",), ("/nothing/here",)], "prefix string")
-    small = sorted(r.path for r in prefix_anti_join(paths, "path", prefixes).collect())
-    large = sorted(r.path for r in prefix_anti_join(paths, "path", prefixes, max_broadcast_rows=0).collect())
-    assert small == large == ["/srv", "/v"]
-
-
-def test_exclusion_patterns_in_chunks(spark, monkeypatch):
-    from weir.operators import filters
-
-    paths = spark.createDataFrame([(f"./d{i}/f{j}.log",) for i in range(6) for j in range(3)], "path string")
-    pats = spark.createDataFrame([(f"./d{i}/*",) for i in range(0, 6, 2)] + [("*/f2.log",), ("./d1/f0.log",)],
-                                 "pattern string")
-    want = sorted(r.path for r in filters.exclude_paths(paths, pats).collect())
-    monkeypatch.setattr(filters, "MAX_WILDCARD_PATTERNS", 1)
-    got = sorted(r.path for r in filters.exclude_paths(paths, pats).collect())
-    assert got == want == sorted(f"./d{i}/f{j}.log" for i in (1, 3, 5) for j in (0, 1) if (i, j) != (1, 0))
+@pytest.mark.parametrize("by", [None, "k"])
+@pytest.mark.parametrize("bucket,spread", [(60, 8), (3600, 1), (7, 3)])
+def test_asof_against_brute_force(spark, by, bucket, spread):
+    """Null times and keys on both sides, ties of time, few and many right rows."""
+    rnd = random.Random(7)
+    at = lambda: None if rnd.random() < 0.05 else T0 + dt.timedelta(seconds=rnd.randint(0, 900) * 20)
+    left = [(i, rnd.choice(["a", "b", None]), at()) for i in range(400)]
+    for n_right in (0, 3, 700):
+        right = [(rnd.choice(["a", "b", None]), at(), j, f"v{j}") for j in range(n_right)]
+        got = asof_join(spark.createDataFrame(left, "seq long, k string, ts timestamp"),
+                        spark.createDataFrame(right, "k string, eff timestamp, n long, val string"),
+                        "ts", "eff", by=by, seq="n", bucket_seconds=bucket, spread=spread).collect()
+        assert len(got) == len(left)
+        assert {r.seq: r.val for r in got} == _brute(left, right, by)
+
+
+def test_prefix_anti_join_any_length(spark):
+    long = "/x" * 2500
+    values = ["/var/log/a", "/var/log2", "/tmp/x", "/srv", "/v", "", None, long + "/tail", long, long[:-1]]
+    paths = spark.createDataFrame([(p,) for p in values], "path string")
+    prefixes = ["/var/log", "/tm", "/nothing/here", long, None]
+    got = [r.path for r in prefix_anti_join(paths, "path", spark.createDataFrame([(p,) for p in prefixes], "prefix string")).collect()]
+    want = [v for v in values if v is None or not any(p is not None and v.startswith(p) for p in prefixes)]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    empty = spark.createDataFrame([("",)], "prefix string")
+    assert [r.path for r in prefix_anti_join(paths, "path", empty).collect()] == [None]
+    assert prefix_anti_join(paths, "path", empty.where("prefix = 'x'")).count() == len(values)
+
+
+def test_exclusion_table_matches_list(spark):
+    paths = [f"./d{i}/f{j}.log" for i in range(6) for j in range(3)] + ["./a[b", "x\ny", None, ""]
+    df = spark.createDataFrame([(p,) for p in paths for _ in range(2)], "path string")
+    globs = ["./d[0-3]/*0.log", "*/f2.log", "./d1/f0.log", "./a[[]b", "x?y", "*[z-a]*", "./d4/[!1]*"]
+    table = spark.createDataFrame([(g,) for g in [*globs, None]], "pattern string")
+    got = sorted((r.path for r in exclude_paths(df, table).collect()), key=repr)
+    import fnmatch
+    want = [p for p in paths for _ in range(2) if p is None or not any(fnmatch.fnmatchcase(p, g) for g in globs)]
+    assert got == sorted(want, key=repr)
+    listed = exclude_paths(df.where("path IS NOT NULL"), globs).collect()
+    assert sorted(r.path for r in listed) == sorted(p for p in want if p is not None)

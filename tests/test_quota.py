@@ -36,10 +36,19 @@ def test_buckets_match_plain_lag_on_hot_key(spark):
     # One hot key spread over many buckets, with ties on ts resolved by seq.
     data = [(i, "hot" if i % 3 else f"k{i % 7}", i * 7.3 % 500 + (i % 2) * 0.0, 5) for i in range(600)]
     df = rows(spark, data)
-    got = previous_time(df, bucket_seconds=10).select("seq", "prev_us")
     w = Window.partitionBy("path").orderBy("ts", "seq")
     want = df.select("seq", F.lag(F.unix_micros("ts")).over(w).alias("prev_us"))
-    assert sorted(got.collect()) == sorted(want.collect())
+    for hot_rows in (0, 100, 1_000_000):  # every key bucketed, the hot one, none
+        got = previous_time(df, bucket_seconds=10, hot_rows=hot_rows).select("seq", "prev_us")
+        assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_null_keys_and_times_are_kept(spark):
+    df = spark.createDataFrame([(1, None, 5), (2, None, 7), (3, "a", None), (4, "a", 9), (5, "a", None)],
+                               "seq long, path string, s long").select("seq", "path", F.timestamp_seconds("s").alias("ts"))
+    for hot_rows in (0, 100):
+        got = {r.seq: r.prev_us for r in previous_time(df, hot_rows=hot_rows).collect()}
+        assert got == {1: None, 2: 5_000_000, 3: None, 4: None, 5: None}
 
 
 def test_quota_matches_fixture_split(spark):
@@ -56,7 +65,7 @@ def test_bounded_tracker_evicts_fifo(spark):
 
 
 def test_hot_path_is_spread_over_tasks(spark):
-    # A third of all writes on one path: the window runs per (path, minute), so
+    # A third of all writes on one path: its window runs per (path, minute), so
     # the hot path's rows come out of several partitions, and the result still
     # equals a plain lag over the whole path.
     w = fx.writes(spark, "/root/testdata/sf0.01")
@@ -64,7 +73,7 @@ def test_hot_path_is_spread_over_tasks(spark):
     # AQE would merge this tiny shuffle into one partition; look at the plan's own partitioning.
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        per_task = (previous_time(hot).select("path", "prev_us").rdd
+        per_task = (previous_time(hot, hot_rows=1000).select("path", "prev_us").rdd
                     .mapPartitions(lambda rows: [sum(1 for r in rows if r.path == "./hot/all.log")]).collect())
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
@@ -72,5 +81,5 @@ def test_hot_path_is_spread_over_tasks(spark):
     assert max(per_task) < 3334 / 2                      # no task holds the hot path
     want = hot.select("seq", F.lag(F.unix_micros("ts")).over(Window.partitionBy("path").orderBy("ts", "seq"))
                       .alias("prev_us"))
-    got = previous_time(hot).select("seq", "prev_us")
+    got = previous_time(hot, hot_rows=1000).select("seq", "prev_us")
     assert sorted(got.collect()) == sorted(want.collect())

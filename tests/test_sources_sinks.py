@@ -12,9 +12,9 @@ def test_property_files_extend_across_files(spark, scratch):
     conf = os.path.join(scratch, "conf")
     os.makedirs(conf)
     with open(os.path.join(conf, "a.properties"), "w") as f:
-        f.write('# comment\nfuse_kafka_directories=["/tmp/a"]\nfuse_kafka_fields={"hostname": "test"}\n')
+        f.write('# comment\nagent_directories=["/tmp/a"]\nagent_fields={"hostname": "test"}\n')
     with open(os.path.join(conf, "b.properties"), "w") as f:
-        f.write('fuse_kafka_directories=["/tmp/b", "/tmp/c"]\nfuse_kafka_sleep=["/tmp/a"]\n')
+        f.write('agent_directories=["/tmp/b", "/tmp/c"]\nagent_sleep=["/tmp/a"]\n')
     lines = read_property_files(spark, [os.path.join(conf, "*.properties")])
     entries = load_config(lines, file_ord="file_ord")
     merged = {r.key: r["values"] for r in merge_config(entries, collect=True,

@@ -23,7 +23,7 @@ def _run(spark, df, name, ckpt):
 
 
 def _rows(spark, name):
-    return sorted((r.path, r.offset, r.message) for r in spark.sql(f"SELECT * FROM {name}").collect())
+    return sorted((r.path, r.offset, bytes(r.message).decode()) for r in spark.sql(f"SELECT * FROM {name}").collect())
 
 
 def _run_files(df, out, ckpt):
@@ -33,7 +33,7 @@ def _run_files(df, out, ckpt):
 
 
 def _file_rows(spark, out):
-    return sorted((r.path, r.offset, r.message) for r in spark.read.parquet(out).collect())
+    return sorted((r.path, r.offset, bytes(r.message).decode()) for r in spark.read.parquet(out).collect())
 
 
 def test_tail_append_new_file_truncate_new_dir_restart(spark, scratch):
@@ -180,7 +180,7 @@ def test_capture_stream_end_to_end(spark, scratch):
     skip = os.path.join(root, "debug.tmp")
     users = spark.createDataFrame([(0, "root")], "uid int, name string")
     wire = capture_stream(spark, root, excludes=["*.tmp"], quota=1e9, users=users,
-                          fields={"dc": "eu"}, tags=["gen"], topic="logs", starting="earliest")
+                          fields={"dc": "eu"}, tags=["orders"], topic="logs", starting="earliest")
     got = []
 
     def collect(batch, epoch):
@@ -237,3 +237,85 @@ def test_bus_wrappers_run_with_stand_in_formats(spark, scratch):
     q.stop()
     rs = read_bus(spark, "h:9092", "logs", group_id="g", min_partitions=2, fmt="rate")
     assert rs.isStreaming
+
+
+def test_tail_bytes_roots_and_partial_line_at_start(spark, scratch):
+    root = os.path.join(scratch, "raw")
+    os.makedirs(os.path.join(root, "in"))
+    p = os.path.join(root, "in", "a.log")
+    _append(p, b"one\ntwo\npar")
+    df = tail_stream(spark, [root, os.path.join(root, "in")], starting="latest", whole_lines=True)
+    out = os.path.join(scratch, "rawout")
+    q = _run_files(df, out, os.path.join(scratch, "rawck"))
+    try:
+        _append(p, b"tial \xff\n\xc3")                # an invalid byte; half a character held back
+        q.processAllAvailable()
+        _append(p, b"\xa9\n")
+        q.processAllAvailable()
+        rows = sorted((r.offset, r.prefix, bytes(r.message), r.nbytes) for r in spark.read.parquet(out).collect())
+    finally:
+        q.stop()
+    want = [(8, b"partial \xff\n"), (18, b"\xc3\xa9\n")]     # nothing before the start again; once per root
+    assert rows == sorted((o, r, m, len(m)) for o, m in want for r in (root, os.path.join(root, "in")))
+
+
+def test_tail_cap_after_restart_and_fair_shares(spark, scratch):
+    from weir.sources.tail import TailStreamReader
+
+    root = os.path.join(scratch, "fair")
+    os.makedirs(root)
+    note = os.path.join(scratch, "progress.json")
+    opts = {"path": root, "startingOffsets": "earliest", "maxBytesPerTrigger": "30", "progressPath": note}
+    for name in "abc":
+        _append(os.path.join(root, name), b"123456789\n" * 20)
+    r = TailStreamReader(opts)
+    seen = []
+    for _ in range(4):
+        start = r.latestOffset()
+        seen.append({os.path.basename(k): v for k, v in start["files"].items()})
+    assert seen[0] == {"a": 10, "b": 10, "c": 10} and seen[3] == {"a": 40, "b": 40, "c": 40}
+    again = TailStreamReader(opts)                          # a restart keeps the cap
+    end = again.latestOffset()
+    assert {os.path.basename(k): v for k, v in end["files"].items()} == {"a": 50, "b": 50, "c": 50}
+    assert sum(p.hi - p.lo for p in again.partitions(start, end)) == 30
+
+
+def test_config_changes_while_the_stream_runs(spark, scratch):
+    from weir.streaming.pipeline import start_capture
+
+    root = os.path.join(scratch, "live")
+    os.makedirs(root)
+    got, updates, cleaned, settings = [], [], [], {"topic": "t1", "tags": ["x"], "excludes": ["*.tmp"]}
+    register_sink("live", lambda d, _: got.extend(d.collect()), update=lambda s: updates.append(dict(s)),
+                  clean=lambda: cleaned.append(1))
+    q = start_capture(spark, root, "live", lambda: dict(settings), os.path.join(scratch, "lck"), starting="earliest")
+    try:
+        _append(os.path.join(root, "a.log"), b"one\n")
+        _append(os.path.join(root, "a.tmp"), b"no\n")
+        q.processAllAvailable()
+        settings.update(topic="t2", tags=["y"], excludes=[])
+        _append(os.path.join(root, "a.log"), b"two\n")
+        _append(os.path.join(root, "a.tmp"), b"yes\n")
+        q.processAllAvailable()
+        settings.update(encoder="csv")
+        _append(os.path.join(root, "a.log"), b"three\n")
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    sent = sorted((r.topic, json.loads(bytes(r.value))["@tags"][0], os.path.basename(r.path)) for r in got if r.reason is None)
+    assert sent == [("t1", "x", "a.log"), ("t2", "y", "a.log"), ("t2", "y", "a.tmp")]
+    assert [r.reason for r in got if r.reason] == ["unsupported encoder: csv"]
+    assert [u["topic"] for u in updates] == ["t1", "t2", "t2"]
+    deadline = time.time() + 20
+    while not cleaned and time.time() < deadline:
+        time.sleep(0.1)
+    assert cleaned == [1]
+
+
+def test_capture_stream_rejects_are_not_silent(spark, scratch):
+    import pytest
+
+    from weir.streaming.pipeline import capture_stream
+
+    with pytest.raises(ValueError, match="unsupported encoder: csv"):
+        capture_stream(spark, scratch, encoder="csv")

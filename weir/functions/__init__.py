@@ -7,12 +7,10 @@ from weir.functions.scalars import (  # noqa: F401
     iso_timestamp,
     ts_micros,
     path_join,
-    to_json_text,
     pairs_to_map,
     xor255,
     nul_cut,
     utf8_repair,
-    byte_substring,
     ruby_to_i,
     version_at_least,
 )

@@ -55,6 +55,8 @@ def _bracket(pat: str, i: int):
         ch = pat[j]
         if ch == "]" and not first:
             body = "".join(items)
+            if not body:
+                return ("." if negate else "(?!)"), j + 1
             return ("[^" + body + "]" if negate else "[" + body + "]"), j + 1
         first = False
         if ch == "[" and j + 1 < len(pat) and pat[j + 1] == ":":
@@ -73,7 +75,8 @@ def _bracket(pat: str, i: int):
             if hi == "\\" and j + 3 < len(pat):
                 hi = pat[j + 3]
                 k = j + 4
-            items.append(_class_lit(ch) + "-" + _class_lit(hi))
+            if ord(ch) <= ord(hi):  # a reversed range holds no character
+                items.append(_class_lit(ch) + "-" + _class_lit(hi))
             j = k
             continue
         items.append(_class_lit(ch))

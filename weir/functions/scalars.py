@@ -10,6 +10,12 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once per row however often the body
+    reads it (a lambda variable; a plain reuse would copy the expression)."""
+    return F.get(F.transform(F.array(value), lambda v: body(v)), F.lit(0))
+
+
 def _to_binary(c: Column) -> Column:
     # STRING -> its UTF-8 bytes; BINARY stays BINARY (cast is a no-op then).
     return c.cast("binary")
@@ -38,18 +44,22 @@ def b64decode(c) -> Column:
 
 def djb2(c) -> Column:
     """64-bit unsigned djb2 over the UTF-8 bytes, stopping at the first NUL,
-    returned as DECIMAL(20,0). ``h = h * 33 + byte`` is folded in DECIMAL(38,0)
-    modulo 2^64, so ANSI mode never sees an overflow."""
-    hexed = F.hex(_to_binary(F.substring_index(_col(c), "\x00", 1)))
-    two64 = F.expr("CAST('18446744073709551616' AS DECIMAL(38,0))")
-    n = F.floor(F.length(hexed) / 2).cast("int")
-    start = F.lit(5381).cast("decimal(38,0)")
-    folded = F.aggregate(
-        F.sequence(F.lit(1), n), start,
-        lambda acc, i: F.pmod(acc * F.lit(33) + F.conv(F.substring(hexed, i * 2 - 1, 2), 16, 10).cast("int"),
-                              two64).cast("decimal(38,0)"))
-    # sequence(1, 0) would count down: the empty string is the start value.
-    return F.when(n == 0, start).otherwise(folded).cast("decimal(20,0)")
+    returned as DECIMAL(20,0). The bytes are split into an array once (read as
+    Latin-1 characters) and ``h = h * 33 + byte`` is folded in two 32-bit halves of
+    BIGINT, which never overflow."""
+    chars = F.decode(_to_binary(F.substring_index(_col(c), "\x00", 1)), "ISO-8859-1")
+    codes = F.filter(F.split(chars, ""), lambda x: x != "")
+    low = F.lit((1 << 32) - 1).cast("bigint")
+    start = F.struct(F.lit(0).cast("bigint").alias("hi"), F.lit(5381).cast("bigint").alias("lo"))
+
+    def step(acc, ch):
+        lo = acc["lo"] * 33 + F.ascii(ch)
+        return F.struct((acc["hi"] * 33 + F.shiftright(lo, 32)).bitwiseAND(low).alias("hi"),
+                        lo.bitwiseAND(low).alias("lo"))
+
+    two32 = F.lit(1 << 32).cast("decimal(20,0)")
+    return F.aggregate(codes, start, step, lambda acc: (acc["hi"].cast("decimal(20,0)") * two32
+                                                        + acc["lo"].cast("decimal(20,0)")).cast("decimal(20,0)"))
 
 
 def ts_micros(c) -> Column:
@@ -67,29 +77,19 @@ def path_join(a, b) -> Column:
     return F.concat(_col(a), F.lit("/"), _col(b))
 
 
-def to_json_text(c) -> Column:
-    """JSON text of a map (object) or array, escaping done by the JSON writer."""
-    return F.to_json(_col(c))
-
-
 def pairs_to_map(c) -> Column:
     """Flat ``[k1, v1, k2, v2, ...]`` to a map. A repeated key keeps its last
     value (as a JSON reader would for a repeated object key); an odd trailing
     key is dropped."""
-    arr = _col(c)
-    entries = F.transform(
-        F.sequence(F.lit(0), F.floor(F.size(arr) / 2).cast("int") - 1),
-        lambda i: F.struct(F.try_element_at(arr, i * 2 + 1).alias("key"),
-                           F.try_element_at(arr, i * 2 + 2).alias("value")),
-    )
-    n = F.floor(F.size(arr) / 2).cast("int")
-    last_only = F.filter(
-        entries,
-        lambda e, i: ~F.exists(F.slice(entries, i + 2, F.greatest(n, F.lit(1))),
-                               lambda x: x["key"] == e["key"]),
-    )
-    return F.when(n <= 0, F.create_map().cast("map<string,string>")) \
-        .otherwise(F.map_from_entries(last_only))
+    def to_map(arr):
+        n = F.floor(F.size(arr) / 2).cast("int")
+        entries = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(
+            F.try_element_at(arr, i * 2 + 1).alias("key"), F.try_element_at(arr, i * 2 + 2).alias("value")))
+        last_only = let(entries, lambda es: F.filter(es, lambda e, i: ~F.exists(
+            F.slice(es, i + 2, F.greatest(n, F.lit(1))), lambda x: x["key"] == e["key"])))
+        return F.when(n <= 0, F.create_map().cast("map<string,string>")).otherwise(F.map_from_entries(last_only))
+
+    return let(_col(c), to_map)
 
 
 # Byte b read as the Latin-1 character chr(b), mapped to chr(255 - b). translate()
@@ -117,22 +117,12 @@ def utf8_repair(c) -> Column:
     return F.make_valid_utf8(_col(c).cast("string"))
 
 
-def byte_substring(c, start0, length=None) -> Column:
-    """Bytes ``[start0, start0 + length)`` of a STRING/BINARY, 0-based, as BINARY."""
-    b = _to_binary(_col(c))
-    start = (_col(start0) if not isinstance(start0, int) else F.lit(start0)) + 1
-    if length is None:
-        return F.substr(b, start.cast("int"))
-    ln = _col(length) if not isinstance(length, int) else F.lit(length)
-    return F.substr(b, start.cast("int"), ln.cast("int"))
-
-
 def ruby_to_i(c) -> Column:
     """Integer prefix of a string, like Ruby's ``to_i``: optional sign and
-    leading digits after leading white space; 0 when there are none (or the
-    number does not fit a BIGINT)."""
+    leading digits after leading white space; 0 when there are none. A number
+    beyond BIGINT is null, never 0."""
     digits = F.regexp_extract(_col(c), r"^\s*([+-]?[0-9]+)", 1)
-    return F.coalesce(digits.try_cast("bigint"), F.lit(0).cast("bigint"))
+    return F.when(digits == "", F.lit(0).cast("bigint")).otherwise(digits.try_cast("bigint"))
 
 
 def version_at_least(c, minimum) -> Column:

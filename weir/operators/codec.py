@@ -92,34 +92,44 @@ def encoder_kind(encoder: Column) -> Column:
             .when(encoder == "text", F.lit("text")))
 
 
-def encode(df: DataFrame, encoder=DEFAULT_ENCODER, keep=("seq",)):
-    """E1-E4 + F5. Returns ``(good, dead_letters)``.
-
-    ``good``: ``keep`` columns + ``topic`` (when present) + ``value`` BINARY (the
-    wire bytes, XOR-255 obfuscated when the encoder name holds the marker).
-    ``dead_letters``: ``keep`` columns + ``encoder`` + ``reason`` for rows whose
-    encoder is not supported; they are never sent.
+def encode_marked(df: DataFrame, encoder=DEFAULT_ENCODER, keep=("seq",)) -> DataFrame:
+    """E1-E4 + F5 as one frame: ``keep`` + ``topic`` (when present) + ``encoder`` +
+    ``value`` BINARY (the wire bytes, XOR-255 obfuscated when the encoder name holds
+    the marker) + ``reason``: null, or why the row must not be sent (``value`` null).
 
     ``encoder`` is a name or a Column (per-row encoder from a config join).
     """
     df = _with_defaults(df)
     enc = _lit_or_col(encoder)
-    kind = encoder_kind(enc)
-    json_b64 = F.to_json(event_struct(b64encode(message_bytes())))
-    json_raw = F.to_json(event_struct(raw_message()))
+    kind = F.col("__kind")
+    # All twelve keys are on the wire, null values included.
+    json_b64 = F.to_json(event_struct(b64encode(message_bytes())), {"ignoreNullFields": "false"})
+    json_raw = F.to_json(event_struct(raw_message()), {"ignoreNullFields": "false"})
     text = F.format_string("%s: %s: %s", iso_timestamp("ts"), F.col("path"), raw_message())
     plain = (F.when(kind == "logstash_base64", json_b64)
              .when(kind == "logstash", json_raw)
              .when(kind == "text", text)).cast("binary")
-    value = F.when(enc.contains(OBFUSCATION_MARKER), xor255(plain)).otherwise(plain)
+    value = F.when(F.col("__enc").contains(OBFUSCATION_MARKER), xor255(plain)).otherwise(plain)
+    keep = [c for c in keep if c in df.columns]
+    extra = ["topic"] if "topic" in df.columns else []
+    staged = df.withColumn("__kind", encoder_kind(enc)).withColumn("__enc", enc)
+    reason = F.when(kind.isNull(), F.concat(F.lit("unsupported encoder: "), F.coalesce(F.col("__enc"), F.lit("null"))))
+    return staged.select(*keep, *extra, F.col("__enc").alias("encoder"),
+                         F.when(kind.isNotNull(), value).alias("value"), reason.alias("reason"))
+
+
+def encode(df: DataFrame, encoder=DEFAULT_ENCODER, keep=("seq",)):
+    """E1-E4 + F5. Returns ``(good, dead_letters)`` of ``encode_marked``.
+
+    ``good``: ``keep`` columns + ``topic`` (when present) + ``value``.
+    ``dead_letters``: ``keep`` columns + ``encoder`` + ``reason`` for rows whose
+    encoder is not supported; they are never sent.
+    """
+    marked = encode_marked(df, encoder, keep)
     keep = [c for c in keep if c in df.columns]
     extra = ["topic"] if "topic" in df.columns else []
-    staged = df.withColumn("__kind", kind).withColumn("__enc", enc)
-    good = staged.where(F.col("__kind").isNotNull()).select(*keep, *extra, value.alias("value"))
-    dead = staged.where(F.col("__kind").isNull()).select(
-        *keep, F.col("__enc").alias("encoder"),
-        F.concat(F.lit("unsupported encoder: "), F.coalesce(F.col("__enc"), F.lit("null"))).alias("reason"))
-    return good, dead
+    good = marked.where(F.col("reason").isNull()).select(*keep, *extra, "value")
+    return good, marked.where(F.col("reason").isNotNull()).select(*keep, "encoder", "reason")
 
 
 def deobfuscate(value="value") -> Column:
@@ -133,48 +143,67 @@ def _decoded(c: Column, gate: Column) -> Column:
     return utf8_repair(F.when(gate, b64decode(c)).otherwise(c.cast("binary")))
 
 
-def decode(df: DataFrame, value="value", keep=(), version_gate=True):
-    """D1-D5. Returns ``(events, dead_letters)``.
+_BAD = "__bad"
+
+
+def is_json_object(text: Column) -> Column:
+    """Is the text one JSON object and nothing else (blanks around it aside)?
+
+    Wrapped in an array it must count as one element, and it must begin and end
+    like an object; a text that closes the array itself must also be the one
+    member of an object. No value is built.
+    """
+    one = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+    alone = F.json_object_keys(F.concat(F.lit('{"r":'), text, F.lit("}"))) == F.array(F.lit("r"))
+    shape = text.rlike(r"\A\s*\{") & text.rlike(r"\}\s*\z")
+    return F.coalesce(shape & one & (~text.rlike(r"\}\s*\]\s*,") | alone), F.lit(False))
 
-    ``events``: ``keep`` + the twelve keys with ``command`` and ``@message``
-    decoded, + ``message_size-added`` (bytes of the decoded message).
-    ``dead_letters``: ``keep`` + ``value`` (text) + ``reason`` for records that are
-    not a JSON event.
+
+def decode(df: DataFrame, value="value", keep=(), version_gate=True, columns=None):
+    """D1-D6. Returns ``(events, dead_letters)``.
+
+    A record is an event if its text is one JSON object (nothing after it) whose
+    integer, map and list keys hold such values; missing keys are null.
+    ``events``: ``keep`` + ``columns``: by default the twelve keys and
+    ``message_size-added`` (bytes of the decoded message); any other name is read
+    from the object as text. Only the keys that are asked for (and those whose type
+    is checked) are parsed. ``dead_letters``: ``keep`` + ``value`` (text) + ``reason``.
 
     With ``version_gate`` (the bus consumer) the base64 fields are decoded only
     when ``@version`` >= 0.1.2; without it (the console consumer) always.
     """
-    text = utf8_repair(deobfuscate(value))
-    staged = once(df.select(*keep, text.alias("__text")))
-    # Only text that can be a JSON object is parsed: a parser failure per bad
-    # record is costly and the answer (dead letter) is the same.
-    looks_json = F.ltrim(F.col("__text")).startswith("{")
-    staged = once(staged.select(*keep, "__text",
-                                F.when(looks_json, F.from_json("__text", EVENT_SCHEMA)).alias("__e")))
-    ok = F.col("__e").isNotNull() & F.col("__e.path").isNotNull()
-    events_raw = staged.where(ok)
+    columns = list(columns) if columns is not None else [*EVENT_SCHEMA.names, MESSAGE_SIZE_KEY]
+    known = {f.name: f.dataType for f in EVENT_SCHEMA.fields}
+    base64_keys = {"@message", "command", MESSAGE_SIZE_KEY}
+    read = [n for n, t in known.items() if t != T.StringType() or n in columns
+            or n == "@message" and MESSAGE_SIZE_KEY in columns
+            or n == "@version" and version_gate and base64_keys & set(columns)]
+    read += [c for c in columns if c not in known and c != MESSAGE_SIZE_KEY]
+    schema = T.StructType([T.StructField(n, known.get(n, T.StringType())) for n in dict.fromkeys(read)]
+                          + [T.StructField(_BAD, T.StringType())])
+
+    staged = once(df.select(*keep, utf8_repair(deobfuscate(value)).alias("__text")))
+    # Only texts that are an object are parsed: a parser failure per bad record is
+    # costly and the answer (dead letter) is the same.
+    parsed = F.when(is_json_object(F.col("__text")), F.from_json("__text", schema, {"columnNameOfCorruptRecord": _BAD}))
+    staged = once(staged.select(*keep, "__text", parsed.alias("__e")))
     e = F.col("__e")
-    gate = version_at_least(e["@version"], "0.1.2") if version_gate else F.lit(True)
-    msg_bin = F.when(gate, b64decode(e["@message"])).otherwise(e["@message"].cast("binary"))
-    events = events_raw.select(
-        *keep,
-        e["path"].alias("path"), e["pid"].alias("pid"), e["uid"].alias("uid"), e["gid"].alias("gid"),
-        utf8_repair(msg_bin).alias("@message"),
-        e["@timestamp"].alias("@timestamp"), e["user"].alias("user"), e["group"].alias("group"),
-        _decoded(e["command"], gate).alias("command"),
-        e["@version"].alias("@version"), e["@fields"].alias("@fields"), e["@tags"].alias("@tags"),
-        F.octet_length(msg_bin).cast("int").alias(MESSAGE_SIZE_KEY),
-    )
-    dead = staged.where(~ok | ok.isNull()).select(
-        *keep, F.col("__text").alias("value"), F.lit("not a JSON event").alias("reason"))
+    ok = e.isNotNull() & e[_BAD].isNull()
+    gate = version_at_least(e["@version"], "0.1.2") if "@version" in schema.names and version_gate else F.lit(True)
+
+    def column(name: str) -> Column:
+        if name in ("@message", MESSAGE_SIZE_KEY):
+            raw = F.when(gate, b64decode(e["@message"])).otherwise(e["@message"].cast("binary"))
+            return utf8_repair(raw) if name == "@message" else F.octet_length(raw).cast("int")
+        return _decoded(e[name], gate) if name == "command" else e[name]
+
+    events = staged.where(ok).select(*keep, *[column(n).alias(n) for n in columns])
+    dead = staged.where(~ok).select(
+        *keep, F.col("__text").alias("value"),
+        F.when(e.isNull(), F.lit("not a JSON event")).otherwise(F.lit("a key of another type")).alias("reason"))
     return events, dead
 
 
-def with_message_size(df: DataFrame, message="@message") -> DataFrame:
-    """Bytes of the (decoded) message."""
-    return df.withColumn(MESSAGE_SIZE_KEY, F.octet_length(F.col(message)).cast("int"))
-
-
 def select_fields(df: DataFrame, names: str) -> DataFrame:
     """Keep the whitespace-separated field names that exist, in the order
     given; unknown names are ignored."""

@@ -2,44 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weir.operators.joins import prefix_anti_join
+from weir.operators.joins import prefix_matches
+from weir.operators.paths import normalize_path
 
 
-def merge_config(entries: DataFrame, collect: bool = False, order=("file", "line_no", "idx")) -> DataFrame:
-    """G1: the values of a key from all files, in ``order`` (file order, line,
-    position in the line).
+def merge_config(entries: DataFrame, order=("file", "line_no", "idx")) -> DataFrame:
+    """G1: the merged values of a key as rows ``(key, pos, value)``: all its values
+    from all files, numbered from 0 in ``order`` (file order, line, position in the
+    line).
 
-    Default: one summary row per key -- ``n_values``, ``first_value``,
-    ``last_value`` -- from partial aggregates, so a key with millions of values
-    never sits in one task. ``collect=True`` returns ``values`` as one ordered
-    array per key; use it for configuration-sized inputs only.
-    """
-    pos = F.struct(*[F.col(c) for c in order])
-    if collect:
-        return entries.groupBy("key").agg(
-            F.transform(F.array_sort(F.collect_list(F.struct(pos.alias("p"), F.col("value").alias("v")))),
-                        lambda x: x["v"]).alias("values"))
-    return entries.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n_values"),
-        F.min_by("value", pos).alias("first_value"),
-        F.max_by("value", pos).alias("last_value"))
-
-
-def normalize_path(c, cwd: str = "/") -> Column:
-    """Absolute, normalised path: relative paths are taken from ``cwd``, repeated
-    slashes and ``.`` are dropped and ``..`` removes the previous segment."""
-    col = F.col(c) if isinstance(c, str) else c
-    absolute = F.when(col.startswith("/"), col).otherwise(F.concat(F.lit(cwd.rstrip("/") + "/"), col))
-    segs = F.split(absolute, "/")
-    stack = F.aggregate(
-        segs, F.array().cast("array<string>"),
-        lambda acc, s: F.when((s == "") | (s == "."), acc)
-        .when(s == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))))
-        .otherwise(F.concat(acc, F.array(s))))
-    return F.concat(F.lit("/"), F.array_join(stack, "/"))
+    Numbering is two-level: ``row_number`` inside ``(key, file)``, plus the number of
+    values in the files before, from one count per ``(key, file)``; a key with
+    millions of values is spread over its files."""
+    first, rest = order[0], list(order[1:])
+    inside = Window.partitionBy("key", first).orderBy(*rest)
+    numbered = entries.withColumn("__rn", F.row_number().over(inside))
+    along = Window.partitionBy("__key").orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
+    before = entries.groupBy(F.col("key").alias("__key"), F.col(first).alias("__file")).agg(F.count(F.lit(1)).alias("__n")) \
+        .withColumn("__before", F.coalesce(F.sum("__n").over(along), F.lit(0)))
+    return numbered.join(before, F.col("key").eqNullSafe(F.col("__key")) & F.col(first).eqNullSafe(F.col("__file"))) \
+        .select("key", (F.col("__before") + F.col("__rn") - 1).cast("bigint").alias("pos"), "value")
 
 
 def unique_paths(df: DataFrame, path: str = "dir", order: str = "ord", cwd: str = "/") -> DataFrame:
@@ -72,8 +57,9 @@ def merge_servers(known, incoming) -> tuple[Column, Column]:
 def watch_diff(configured: DataFrame, watched: DataFrame, col: str = "dir"):
     """After a reload, ``to_start`` = configured directories not under any
     watched one (string prefix), ``to_stop`` = watched directories no longer
-    configured. Both are anti joins; the prefix one broadcasts a small watch
-    list and otherwise equi-joins on generated prefixes."""
-    to_start = prefix_anti_join(configured, col, watched.select(F.col(col).alias("prefix")))
-    to_stop = watched.join(configured.select(col).distinct(), col, "left_anti")
-    return to_start, to_stop
+    configured; both lists are compared normalised and returned normalised, each
+    directory once. An equi join on leading parts and an equi anti join."""
+    want = configured.select(normalize_path(col).alias(col)).where(F.col(col).isNotNull()).distinct()
+    have = watched.select(normalize_path(col).alias(col)).where(F.col(col).isNotNull()).distinct()
+    to_start = want.join(prefix_matches(want, col, have.select(F.col(col).alias("prefix"))), col, "left_anti")
+    return to_start, have.join(want, col, "left_anti")

@@ -7,51 +7,38 @@ from pyspark.sql import functions as F
 
 from weir.functions.scalars import ruby_to_i
 from weir.schema import MESSAGE_SIZE_KEY
-from weir.session import materialize
 
 
 def missing_ranges(received: DataFrame, n: int | None = None, expected: DataFrame | None = None,
                    id_col: str = "id", block: int = 1 << 20) -> DataFrame:
     """Maximal runs ``[first, last]`` (inclusive) of ids in ``0 .. n-1`` that
     were not received. ``n`` is a number, or ``expected`` a one-row frame with a
-    column ``n`` (e.g. the count of what was sent; read as one scalar).
-
-    Distributed gaps-and-islands in one windowed pass, without a window over
-    all ids: distinct received ids are grouped in blocks of ``block`` ids and
-    ``lead``/``lag`` run inside each block. Gaps inside a block come straight
-    from ``lead``; each block's first and last id (one row per block -- the
-    only part ordered as a whole) give the gaps between blocks, before the
-    first and after the last.
+    column ``n`` (e.g. the count of what was sent; a scalar subquery of the plan).
+
+    Distributed gaps-and-islands on one shuffle of the ids: they are grouped in
+    blocks of ``block`` ids, made distinct and given their successor inside the
+    block. Gaps inside a block come straight from ``lead``. Each block's first and
+    last id (one row per block -- the only part ordered as a whole) and a closing
+    row at ``n`` give the gaps before, between and after the blocks. Nothing is
+    run or written while the plan is built.
     """
     if expected is not None:
-        n = expected.select(F.col("n").cast("bigint")).first()[0] or 0
-    n = int(n)
+        total = F.coalesce(expected.agg(F.max(F.col("n").cast("bigint"))).scalar(), F.lit(0).cast("bigint"))
+    else:
+        total = F.lit(int(n)).cast("bigint")
     ids = (received.select(F.col(id_col).cast("bigint").alias("id"))
-           .where((F.col("id") >= 0) & (F.col("id") < n))
-           .distinct()
-           .withColumn("__blk", F.floor(F.col("id") / block)))
+           .where((F.col("id") >= 0) & (F.col("id") < total))
+           .withColumn("__blk", F.floor(F.col("id") / block))
+           .repartition("__blk").distinct())
     w = Window.partitionBy("__blk").orderBy("id")
-    # Read by three branches below: computed once, then read from the checkpoint.
-    marked = materialize(ids.select("id", "__blk", F.lead("id").over(w).alias("__next"),
-                                    F.lag("id").over(w).alias("__prev")))
-
-    inner = marked.where(F.col("__next") > F.col("id") + 1).select(
+    inner = ids.withColumn("__next", F.lead("id").over(w)).where(F.col("__next") > F.col("id") + 1).select(
         (F.col("id") + 1).alias("first"), (F.col("__next") - 1).alias("last"))
-
-    blocks = (marked.where(F.col("__prev").isNull() | F.col("__next").isNull())
-              .groupBy("__blk").agg(F.min("id").alias("__lo"), F.max("id").alias("__hi")))
-    wb = Window.orderBy("__blk")
-    edges = (blocks.withColumn("__prev_hi", F.lag("__hi").over(wb))
-             .withColumn("__is_last", F.lead("__blk").over(wb).isNull()))
-    before = edges.where(F.coalesce(F.col("__prev_hi"), F.lit(-1)) + 1 < F.col("__lo")).select(
-        (F.coalesce(F.col("__prev_hi"), F.lit(-1)) + 1).alias("first"), (F.col("__lo") - 1).alias("last"))
-    after = edges.where(F.col("__is_last") & (F.col("__hi") < n - 1)).select(
-        (F.col("__hi") + 1).alias("first"), F.lit(n - 1).cast("bigint").alias("last"))
-    # Nothing received at all: one range over everything expected.
-    nothing = blocks.agg(F.count(F.lit(1)).alias("__blocks")).where(
-        (F.col("__blocks") == 0) & F.lit(n > 0)).select(
-        F.lit(0).cast("bigint").alias("first"), F.lit(n - 1).cast("bigint").alias("last"))
-    return inner.unionByName(before).unionByName(after).unionByName(nothing)
+    blocks = ids.groupBy("__blk").agg(F.min("id").alias("__lo"), F.max("id").alias("__hi")).select("__lo", "__hi")
+    closing = received.sparkSession.range(1).select(total.alias("__lo"), total.alias("__hi"))
+    prev = F.coalesce(F.lag("__hi").over(Window.orderBy("__lo")), F.lit(-1).cast("bigint"))
+    between = blocks.unionByName(closing).withColumn("__prev", prev).where(F.col("__prev") + 1 < F.col("__lo")).select(
+        (F.col("__prev") + 1).alias("first"), (F.col("__lo") - 1).alias("last"))
+    return inner.unionByName(between)
 
 
 def explode_numbers(df: DataFrame, message: str = "@message", keep=()) -> DataFrame:

@@ -9,26 +9,26 @@ from weir.operators.joins import asof_join, lookup_join
 from weir.schema import DEFAULT_TOPIC
 
 
-def with_user(df: DataFrame, users: DataFrame, max_broadcast_rows: int | None = None) -> DataFrame:
+def with_user(df: DataFrame, users: DataFrame) -> DataFrame:
     """``user`` = name of ``uid`` in ``users(uid, name)``, '' when unknown."""
     dim = users.select(F.col("uid").cast("int").alias("uid"), F.col("name").alias("__user"))
-    return lookup_join(df, dim, "uid", max_broadcast_rows) \
+    return lookup_join(df, dim, "uid") \
         .withColumn("user", F.coalesce(F.col("__user"), F.lit(""))).drop("__user")
 
 
-def with_group(df: DataFrame, groups: DataFrame, max_broadcast_rows: int | None = None) -> DataFrame:
+def with_group(df: DataFrame, groups: DataFrame) -> DataFrame:
     """``group`` = name of ``gid`` in ``groups(gid, name)``, '' when unknown."""
     dim = groups.select(F.col("gid").cast("int").alias("gid"), F.col("name").alias("__group"))
-    return lookup_join(df, dim, "gid", max_broadcast_rows) \
+    return lookup_join(df, dim, "gid") \
         .withColumn("group", F.coalesce(F.col("__group"), F.lit(""))).drop("__group")
 
 
-def with_command(df: DataFrame, procs: DataFrame, max_broadcast_rows: int | None = None) -> DataFrame:
+def with_command(df: DataFrame, procs: DataFrame) -> DataFrame:
     """``cmdline`` = command line of ``pid`` in ``procs(pid, cmdline)``
     (NUL-separated), '' when unknown. The encoders turn it into the base64
     ``command`` key (NULs become spaces)."""
     dim = procs.select(F.col("pid").cast("int").alias("pid"), F.col("cmdline").alias("__cmd"))
-    return lookup_join(df, dim, "pid", max_broadcast_rows) \
+    return lookup_join(df, dim, "pid") \
         .withColumn("cmdline", F.coalesce(F.col("__cmd"), F.lit(""))).drop("__cmd")
 
 
@@ -45,10 +45,12 @@ def with_static(df: DataFrame, fields=None, tags=None) -> DataFrame:
 
 
 def with_config(df: DataFrame, config_versions: DataFrame, ts: str = "ts",
-                effective_col: str = "effective_from") -> DataFrame:
+                effective_col: str = "effective_from", seq: str | None = None) -> DataFrame:
     """Columns of the configuration version in force at each event's time
-    (as-of join on ``effective_from <= ts``); nulls before the first version."""
-    return asof_join(df, config_versions, ts, effective_col)
+    (as-of join on ``effective_from <= ts``; of versions with the same time the
+    one with the largest ``seq``); nulls before the first version and for events
+    without a time."""
+    return asof_join(df, config_versions, ts, effective_col, seq=seq)
 
 
 def route_topic(df: DataFrame, topic: Column | str | None = None, default: str = DEFAULT_TOPIC) -> DataFrame:

@@ -7,50 +7,36 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weir.functions.glob import glob_match, glob_to_regex
-from weir.operators.joins import broadcast_if_small, prefix_anti_join
-
-# Wildcard patterns beyond this count are not broadcast: it is a config list, and
-# a theta join against a table of patterns that size would be a cross product.
-MAX_WILDCARD_PATTERNS = 10000
+from weir.operators.joins import prefix_anti_join
+from weir.operators.paths import normalize_path
 
 
 def exclude_paths(df: DataFrame, patterns, col: str = "path") -> DataFrame:
     """drop rows whose ``col`` matches any glob (``fnmatch`` flags 0).
 
     ``patterns`` is a list of globs (one anchored regex, a single ``rlike``) or a
-    DataFrame with a ``pattern`` column (F2). For a table, literal patterns (no
-    wildcard) become an equi left-anti join, which scales with the table; the
-    wildcard ones are translated to regexes and broadcast -- after checking
-    their count -- into a left-anti join on ``rlike``; beyond the limit they are
-    applied in hash chunks, each checked and broadcast in turn.
+    DataFrame with a ``pattern`` column (F2). A table is matched against the
+    distinct values of ``col``, once however many rows hold them, and the rows are
+    removed by an equi anti join. A pattern is looked up by its literal head (the
+    text before its first wildcard; all of it if it has none) among the leading
+    parts of a value, so a regex only sees values that begin like its pattern.
+    Patterns that begin with a wildcard share the empty head.
     """
     if not isinstance(patterns, DataFrame):
         return df.where(~glob_match(col, list(patterns)))
 
-    pats = patterns.select(F.col("pattern").cast("string").alias("pattern")).where(F.col("pattern").isNotNull())
-    is_wild = F.col("pattern").rlike(r"[*?\[\\]")
-    literal = pats.where(~is_wild).select(F.col("pattern").alias("__lit")).distinct()
-    out = df.join(literal, F.col(col) == F.col("__lit"), "left_anti")
-
-    wild = pats.where(is_wild).distinct()
-    regex = _glob_regex_udf()(F.col("pattern"))
-    wild = wild.select(F.concat(F.lit("(?s)\\A(?:"), regex, F.lit(")\\z")).alias("__re"))
-    wild_b = broadcast_if_small(wild, MAX_WILDCARD_PATTERNS)
-    if wild_b is not None:
-        return out.join(wild_b, F.regexp_like(F.col(col), F.col("__re")), "left_anti")
-    # Many wildcard patterns: split them by hash into chunks, each counted before
-    # it is broadcast, and drop matches chunk by chunk -- every pattern is applied.
-    n = wild.count()
-    k = 2 * -(-n // MAX_WILDCARD_PATTERNS)
-    while True:
-        chunks = [wild.where(F.pmod(F.hash("__re"), F.lit(k)) == i) for i in range(k)]
-        checked = [broadcast_if_small(c, MAX_WILDCARD_PATTERNS) for c in chunks]
-        if all(c is not None for c in checked):
-            break
-        k *= 2
-    for chunk in checked:
-        out = out.join(chunk, F.regexp_like(F.col(col), F.col("__re")), "left_anti")
-    return out
+    pats = patterns.select(F.col("pattern").cast("string").alias("pattern")).where(F.col("pattern").isNotNull()).distinct()
+    head = F.regexp_extract("pattern", r"(?s)\A([^*?\[\\]*)", 1)
+    regex = F.concat(F.lit("(?s)\\A(?:"), _glob_regex_udf()(F.col("pattern")), F.lit(")\\z"))
+    pats = pats.select(regex.alias("__re"), head.alias("__head"))
+    pats = pats.select("__re", "__head", F.length("__head").alias("__n"), F.xxhash64("__head").alias("__h"))
+    values = df.select(F.col(col).alias("__v")).where(F.col(col).isNotNull()).distinct()
+    heads = F.transform(F.sequence(F.lit(0), F.length("__v")), lambda n: F.struct(
+        n.alias("__n"), F.xxhash64(F.substring(F.col("__v"), F.lit(1), n)).alias("__h")))
+    keyed = values.select("__v", F.explode(heads).alias("__x")).select("__v", "__x.__n", "__x.__h")
+    hit = keyed.join(pats, ["__n", "__h"]).where(
+        F.col("__v").startswith(F.col("__head")) & F.regexp_like(F.col("__v"), F.col("__re")))
+    return df.join(hit.select(F.col("__v").alias(col)).distinct(), col, "left_anti")
 
 
 def _glob_regex_udf():
@@ -65,40 +51,43 @@ def _glob_regex_udf():
 
 
 def exclude_prefixes(df: DataFrame, prefixes, col: str = "path") -> DataFrame:
-    """drop rows whose ``col`` starts with any prefix (plain string prefix, so
-    ``/var/log2`` is under ``/var/log``). ``prefixes`` is a list or a DataFrame
-    with a ``prefix`` column."""
+    """drop rows whose normalised ``col`` starts with any normalised prefix
+    (plain string prefix, so ``/var/log2`` is under ``/var/log``). ``prefixes`` is
+    a list or a DataFrame with a ``prefix`` column; rows keep their spelling."""
+    staged = df.withColumn("__norm", normalize_path(col))
     if isinstance(prefixes, DataFrame):
-        return prefix_anti_join(df, col, prefixes.select(F.col("prefix").cast("string").alias("prefix")))
-    prefixes = [p for p in prefixes if p is not None]
-    if not prefixes:
-        return df
+        table = prefixes.select(normalize_path(F.col("prefix").cast("string")).alias("prefix"))
+        return prefix_anti_join(staged, "__norm", table).select(*df.columns)
+    return staged.where(~_under(prefixes)).select(*df.columns)
+
+
+def _under(prefixes) -> Column:
+    """Does ``__norm`` start with one of the listed prefixes, normalised?"""
     cond = F.lit(False)
     for p in prefixes:
-        cond = cond | F.col(col).startswith(p)
-    return df.where(~cond)
+        if p is not None:
+            cond = cond | F.coalesce(F.col("__norm").startswith(normalize_path(F.lit(p))), F.lit(False))
+    return cond
 
 
 def apply_sleep(df: DataFrame, sleep_dirs, active, col: str = "prefix") -> DataFrame:
     """while sleeping, events of watched directories under a ``sleep`` entry
-    are dropped. ``active`` is a bool or a per-row boolean Column (a flag joined
-    from a control table)."""
+    are dropped (both normalised). ``active`` is a bool or a per-row boolean Column
+    (a flag joined from a control table)."""
     if isinstance(active, bool):
         return exclude_prefixes(df, sleep_dirs, col) if active else df
-    cond = F.lit(False)
-    for p in sleep_dirs:
-        cond = cond | F.col(col).startswith(p)
-    return df.where(~(F.coalesce(active, F.lit(False)) & cond))
+    staged = df.withColumn("__norm", normalize_path(col)).withColumn("__active", F.coalesce(active, F.lit(False)))
+    return staged.where(~(F.col("__active") & _under(sleep_dirs))).select(*df.columns)
 
 
 def between_markers(df: DataFrame, is_start: Column, is_stop: Column, partition_by,
-                    order_by=("ts", "seq"), broadcast_limit: int = 1_000_000) -> DataFrame:
+                    order_by=("ts", "seq")) -> DataFrame:
     """per partition, the rows strictly after the first start marker and
     strictly before the first stop marker; marker rows are never kept.
 
     Skew-safe: the first-marker positions are a partial aggregate (one row per
-    partition), joined back -- broadcast when that summary is small, which is
-    the case for bus partitions -- instead of a window over a whole partition.
+    partition), joined back by a plain join (AQE broadcasts the summary or splits
+    a hot partition by its real size) instead of a window over a whole partition.
     """
     parts = [partition_by] if isinstance(partition_by, str) else list(partition_by)
     pos = F.struct(*[F.col(c) for c in order_by])
@@ -107,7 +96,6 @@ def between_markers(df: DataFrame, is_start: Column, is_stop: Column, partition_
         F.min(F.when(F.col("__start"), F.col("__pos"))).alias("__first_start"),
         F.min(F.when(F.col("__stop"), F.col("__pos"))).alias("__first_stop"),
     ).where(F.col("__first_start").isNotNull())
-    summary = broadcast_if_small(summary, broadcast_limit) or summary
     kept = marked.join(summary, parts, "inner").where(
         (F.col("__pos") > F.col("__first_start"))
         & (F.col("__first_stop").isNull() | (F.col("__pos") < F.col("__first_stop")))

@@ -1,121 +1,105 @@
-"""Join building blocks shared by the operators: size-checked broadcast, prefix
-anti join and as-of join."""
+"""Join building blocks shared by the operators: lookups, prefix anti join and
+as-of join. Each has one path for every size: broadcasts are left to the planner
+and AQE, which check the sizes themselves."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
 
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame | None:
-    """``broadcast(df)`` when it has at most ``max_rows`` rows, else None.
-
-    The check runs ``limit(max_rows + 1).count()``, so its cost is bounded by
-    the limit, not by the size of ``df``.
-    """
-    if df.isStreaming:
-        return None
-    n = df.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(df)
-    return None
-
-
-def lookup_join(df: DataFrame, dim: DataFrame, on: str, max_broadcast_rows: int | None = None) -> DataFrame:
+def lookup_join(df: DataFrame, dim: DataFrame, on: str) -> DataFrame:
     """Left join to a dimension keyed by ``on`` (unique).
 
-    By default Spark picks the strategy from sizes it checks itself: the
-    planner broadcasts a dimension whose scan statistics are under
+    The planner broadcasts a dimension whose scan statistics are under
     ``spark.sql.autoBroadcastJoinThreshold``, and AQE re-plans from the real
     shuffle sizes (broadcasting a side that turned out small, splitting a hot
-    key of the fact side with the skew join). No extra job is run. With
-    ``max_broadcast_rows`` the dimension is counted and broadcast explicitly
-    when it has at most that many rows."""
-    if max_broadcast_rows is not None:
-        small = broadcast_if_small(dim, max_broadcast_rows)
-        if small is not None:
-            dim = small
+    key of the fact side with the skew join)."""
     return df.join(dim, on, "left")
 
 
-def prefix_anti_join(df: DataFrame, col: str, prefixes: DataFrame,
-                     max_broadcast_rows: int = 100_000, max_len: int = 4096) -> DataFrame:
-    """Rows of ``df`` whose ``col`` does not start with any ``prefix``.
+def prefix_matches(values: DataFrame, col: str, prefixes: DataFrame) -> DataFrame:
+    """The distinct values of ``col`` that start with some ``prefix``.
 
-    Few prefixes: broadcast, then a left-anti join on ``startswith``. Many
-    prefixes: the leading substrings of ``col`` of every length that some
-    prefix has are generated and equi-anti-joined to the prefixes, which
-    partitions like any hash join.
+    Every leading part of a value is looked up by its length and hash, which
+    partitions like any hash join, and verified; a value is expanded once
+    however many rows hold it, and texts of any length take part.
     """
-    prefixes = prefixes.where(F.col("prefix").isNotNull()).distinct()
-    small = broadcast_if_small(prefixes, max_broadcast_rows)
-    if small is not None:
-        return df.join(small, F.col(col).startswith(F.col("prefix")), "left_anti")
-    # Only the prefix lengths that occur in the table (a bounded set of small
-    # integers) are generated for each row.
-    lengths = sorted(r[0] for r in prefixes.select(F.length("prefix")).distinct().collect() if r[0] <= max_len)
-    keyed = df.withColumn("__rid", F.monotonically_increasing_id())
-    heads = keyed.select("__rid", F.explode(F.filter(
-        F.array(*[F.when(F.length(F.col(col)) >= n, F.substring(F.col(col), 1, n)) for n in lengths]),
-        lambda x: x.isNotNull())).alias("prefix"))
-    hit = heads.join(prefixes, "prefix", "left_semi").select("__rid").distinct()
-    return keyed.join(hit, "__rid", "left_anti").drop("__rid")
-
-
-# A configuration history this short is joined as a broadcast range join; a
-# longer one (e.g. a status history that grows with the data) goes through the
-# sort-based path below, whose cost does not multiply the two sides.
-ASOF_BROADCAST_ROWS = 256
-
-
-def asof_join(left: DataFrame, right: DataFrame, left_ts: str, right_ts: str, by=None,
-              max_broadcast_rows: int = ASOF_BROADCAST_ROWS, bucket_seconds: int = 3600) -> DataFrame:
+    v = values.select(F.col(col).alias("__v")).where(F.col(col).isNotNull()).distinct()
+    p = prefixes.select(F.col("prefix").alias("__p")).where(F.col("prefix").isNotNull()).distinct().select(
+        "__p", F.length("__p").alias("__n"), F.xxhash64("__p").alias("__h"))
+    heads = F.transform(F.sequence(F.lit(0), F.length("__v")), lambda n: F.struct(
+        n.alias("__n"), F.xxhash64(F.substring(F.col("__v"), F.lit(1), n)).alias("__h")))
+    keyed = v.select("__v", F.explode(heads).alias("__x")).select("__v", "__x.__n", "__x.__h")
+    hit = keyed.join(p, ["__n", "__h"]).where(F.col("__v").startswith(F.col("__p")))
+    return hit.select(F.col("__v").alias(col)).distinct()
+
+
+def prefix_anti_join(df: DataFrame, col: str, prefixes: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose ``col`` does not start with any ``prefix`` (a null
+    ``col`` starts with none, an empty prefix starts every other)."""
+    return df.join(prefix_matches(df, col, prefixes), col, "left_anti")
+
+
+#: Time width of an as-of bucket, and the parts a bucket's left rows are dealt into.
+ASOF_BUCKET_SECONDS = 60
+ASOF_SPREAD = 8
+
+
+def asof_join(left: DataFrame, right: DataFrame, left_ts: str, right_ts: str, by=None, seq: str | None = None,
+              bucket_seconds: float = ASOF_BUCKET_SECONDS, spread: int = ASOF_SPREAD) -> DataFrame:
     """Left rows with the columns of the latest ``right`` row whose ``right_ts``
     is <= ``left_ts`` (same ``by`` keys); nulls when there is none.
 
-    Short right side (counted): validity intervals ``[from, next from)`` from
-    ``lead``, broadcast, range join. Otherwise both sides are unioned and keyed
-    by ``(by, time bucket)``; inside a bucket the latest right row is carried
-    forward with ``last(..., ignorenulls)`` in time order, and a per-bucket
-    partial aggregate, ordered over buckets, carries it across buckets. One
-    shuffle of both sides, and a key with a third of all rows is spread over
-    its buckets.
+    Of right rows with the same time the one with the largest ``seq`` counts
+    (without ``seq``, the largest payload in column order). A left row without a
+    time is kept with nulls; a right row without a time counts for nothing. Null
+    ``by`` keys match each other.
+
+    Both sides are keyed by ``(by, time bucket, part)``; inside, the latest right
+    row is carried forward with ``last(..., ignorenulls)`` in time order. Left rows
+    are dealt to ``spread`` parts, right rows go to each, so a busy bucket is not
+    one task. What holds at the start of a bucket comes from one summary row per
+    ``(by, bucket)``.
     """
     by = [] if by is None else ([by] if isinstance(by, str) else list(by))
-    rcols = [c for c in right.columns if c not in by]
-    small = broadcast_if_small(right, max_broadcast_rows)
-    if small is not None:
-        order = F.col(f"__r_{right_ts}")
-        w = Window.partitionBy(*by).orderBy(order) if by else Window.orderBy(order)
-        iv = small.select(*[F.col(c).alias(f"__rb_{c}") for c in by], *[F.col(c).alias(f"__r_{c}") for c in rcols]) \
-            .withColumn("__from", F.col(f"__r_{right_ts}")) \
-            .withColumn("__to", F.lead(F.col(f"__r_{right_ts}")).over(
-                Window.partitionBy(*[f"__rb_{c}" for c in by]).orderBy(order) if by else w))
-        cond = (left[left_ts] >= F.col("__from")) & (F.col("__to").isNull() | (left[left_ts] < F.col("__to")))
-        for c in by:
-            cond = cond & (left[c] == F.col(f"__rb_{c}"))
-        joined = left.join(F.broadcast(iv), cond, "left")
-        return joined.select(*left.columns, *[F.col(f"__r_{c}").alias(c) for c in rcols if c not in left.columns])
-
-    width = bucket_seconds * 1_000_000
-    payload_cols = [c for c in rcols if c not in left.columns]
-    lt = F.unix_micros(F.col(left_ts).cast("timestamp"))
-    rt = F.unix_micros(F.col(right_ts).cast("timestamp"))
-    lside = left.select(*by, lt.alias("__t"), F.lit(1).alias("__side"),
-                        F.struct(*[F.col(c) for c in left.columns]).alias("__row"),
-                        F.lit(None).cast(right.select(F.struct(*payload_cols)).schema[0].dataType).alias("__pay"))
-    rside = right.select(*by, rt.alias("__t"), F.lit(0).alias("__side"),
-                         F.lit(None).cast(left.select(F.struct(*left.columns)).schema[0].dataType).alias("__row"),
-                         F.struct(*[F.col(c) for c in payload_cols]).alias("__pay"))
-    u = lside.unionByName(rside).where(F.col("__t").isNotNull()).withColumn("__b", F.floor(F.col("__t") / width))
-    w_in = Window.partitionBy(*by, "__b").orderBy("__t", "__side").rowsBetween(Window.unboundedPreceding, 0)
-    carried = u.withColumn("__last", F.last("__pay", ignorenulls=True).over(w_in))
-    per_bucket = u.groupBy(*by, "__b").agg(F.max_by("__pay", F.when(F.col("__side") == 0, F.col("__t"))).alias("__bl"))
-    w_b = Window.partitionBy(*by).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_bucket.withColumn("__carry", F.last("__bl", ignorenulls=True).over(w_b)).select(*by, "__b", "__carry")
-    out = (carried.where(F.col("__side") == 1).join(carry, [*by, "__b"], "left")
-           .withColumn("__p", F.coalesce(F.col("__last"), F.col("__carry"))))
-    return out.select(*[F.col(f"__row.{c}").alias(c) for c in left.columns],
-                      *[F.col(f"__p.{c}").alias(c) for c in payload_cols])
+    payload = [c for c in right.columns if c not in by and c not in left.columns]
+    width = int(bucket_seconds * 1_000_000)
+    keys = [f"__by{i}" for i in range(len(by))]
+    key_cols = [F.col(f"`{c}`").alias(k) for c, k in zip(by, keys)]
+    micros = lambda c: F.unix_micros(F.col(f"`{c}`").cast("timestamp"))
+    pay_of = F.struct(*[F.col(f"`{c}`") for c in payload])
+    tie = F.col(f"`{seq}`") if seq else pay_of
+    row_of = F.struct(*[F.col(f"`{c}`") for c in left.columns])
+    pay_type, row_type = right.select(pay_of).schema[0].dataType, left.select(row_of).schema[0].dataType
+
+    latest = right.select(*key_cols, micros(right_ts).alias("__t"), pay_of.alias("__pay"), tie.alias("__tie")) \
+        .where(F.col("__t").isNotNull()).groupBy(*keys, "__t").agg(F.max_by("__pay", "__tie").alias("__pay"))
+    bucket = F.floor(F.col("__t") / width).alias("__b")
+    rside = latest.select(*keys, bucket, "__t", "__pay")
+    lside = left.select(*key_cols, micros(left_ts).alias("__t"), row_of.alias("__row"))
+    lside = lside.select(*keys, bucket, "__t", "__row",
+                         F.pmod(F.xxhash64(*[F.col("__row")[c] for c, kind in left.dtypes if "map" not in kind]),
+                                F.lit(spread)).cast("int").alias("__part"))
+
+    parts = F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("__part")
+    both = lside.where(F.col("__t").isNotNull()).select(
+        *keys, "__b", "__part", "__t", F.lit(1).alias("__side"), "__row", F.lit(None).cast(pay_type).alias("__pay")).unionByName(
+        rside.select(*keys, "__b", parts, "__t", F.lit(0).alias("__side"), F.lit(None).cast(row_type).alias("__row"), "__pay"))
+    inside = Window.partitionBy(*keys, "__b", "__part").orderBy("__t", "__side").rowsBetween(Window.unboundedPreceding, 0)
+    carried = both.withColumn("__last", F.last("__pay", ignorenulls=True).over(inside)).where(F.col("__side") == 1)
+
+    # One row per (by, bucket) of either side: the last right row of the buckets before.
+    ends = rside.groupBy(*keys, "__b").agg(F.max_by("__pay", "__t").alias("__end"))
+    places = lside.where(F.col("__t").isNotNull()).groupBy(*keys, "__b").agg(F.lit(None).cast(pay_type).alias("__end"))
+    along = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = ends.unionByName(places).groupBy(*keys, "__b").agg(F.first("__end", ignorenulls=True).alias("__end")) \
+        .withColumn("__carry", F.last("__end", ignorenulls=True).over(along)).where(F.col("__carry").isNotNull()) \
+        .select(*[F.col(k).alias(f"{k}c") for k in keys], F.col("__b").alias("__bc"), "__carry")
+    same = F.col("__b") == F.col("__bc")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"{k}c"))
+    found = carried.join(carry, same, "left").select("__row", F.coalesce("__last", "__carry").alias("__p"))
+    timeless = lside.where(F.col("__t").isNull()).select("__row", F.lit(None).cast(pay_type).alias("__p"))
+    return found.unionByName(timeless).select(
+        *[F.col("__row")[c].alias(c) for c in left.columns], *[F.col("__p")[c].alias(c) for c in payload])

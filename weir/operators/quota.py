@@ -6,14 +6,16 @@ passes; ``dt = 0`` is dropped; otherwise the event is dropped when
 ``size * 1e6 / dt > quota`` (strict).
 
 Because the last-seen time moves on drops too, "previous event" is a plain
-``lag`` in ``(ts, seq)`` order -- no sequential state is needed. To keep a hot
-key from landing in one task, the lag is computed in two levels:
+``lag`` in ``(ts, seq)`` order -- no sequential state is needed. One shuffle by
+key does it for ordinary keys. A key with more than ``HOT_ROWS`` rows (one count
+per key, a partial aggregate) is keyed by ``(key, time bucket)`` instead and
+lagged in two levels:
 
-1. rows are keyed by ``(key, time bucket)`` and lagged inside the bucket;
-2. the last time of every ``(key, bucket)`` (a partial aggregate, tiny next to
-   the data) is lagged over buckets and fills in the first row of each bucket.
+1. inside the bucket;
+2. the last time of every bucket of a hot key is lagged over its buckets and
+   fills in the first row of each.
 
-A key holding a third of all rows is thus spread over its time buckets.
+The result is the same for every ``HOT_ROWS`` and bucket width.
 """
 
 from __future__ import annotations
@@ -22,7 +24,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weir.schema import DEFAULT_TRACKED_PATHS
+
 DEFAULT_BUCKET_SECONDS = 60
+#: A key with more rows than this is spread over its time buckets.
+HOT_ROWS = 1_000_000
 
 
 def _micros(c: str):
@@ -30,27 +36,36 @@ def _micros(c: str):
 
 
 def previous_time(df: DataFrame, key="path", ts="ts", seq="seq",
-                  bucket_seconds: int = DEFAULT_BUCKET_SECONDS, out="prev_us") -> DataFrame:
+                  bucket_seconds: float = DEFAULT_BUCKET_SECONDS, hot_rows: int = HOT_ROWS, out="prev_us") -> DataFrame:
     """Adds ``out``: microseconds of the previous row of the same key in
-    ``(ts, seq)`` order (null for the first row)."""
+    ``(ts, seq)`` order (null for the first row). Null keys are one key; rows
+    without a time come before all others."""
     keys = [key] if isinstance(key, str) else list(key)
     width = int(bucket_seconds * 1_000_000)
-    staged = df.withColumn("__us", _micros(ts)).withColumn("__b", F.floor(F.col("__us") / width))
+    staged = df.withColumn("__us", _micros(ts))
+    hot = staged.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]).agg(F.count(F.lit(1)).alias("__n")) \
+        .where(F.col("__n") > hot_rows)
+    of_key = F.lit(True)
+    for i, k in enumerate(keys):
+        of_key = of_key & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    bucket = F.when(F.col("__n").isNotNull(), F.coalesce(F.floor(F.col("__us") / width), F.lit(-(1 << 62))))
+    marked = staged.join(hot, of_key, "left").withColumn("__b", bucket).drop("__n", *[f"__k{i}" for i in range(len(keys))])
     w_in = Window.partitionBy(*keys, "__b").orderBy("__us", seq)
-    inner = staged.withColumn("__lag", F.lag("__us").over(w_in))
-    last = staged.groupBy(*keys, "__b").agg(F.max("__us").alias("__last"))
-    carry = last.withColumn("__carry", F.lag("__last").over(Window.partitionBy(*keys).orderBy("__b"))) \
-        .select(*keys, "__b", "__carry")
-    return (inner.join(carry, [*keys, "__b"], "left")
+    inner = marked.withColumn("__lag", F.lag("__us").over(w_in))
+    last = staged.join(hot, of_key).groupBy(*[f"__k{i}" for i in range(len(keys))],
+                                            bucket.alias("__bc")).agg(F.max("__us").alias("__last"))
+    along = Window.partitionBy(*[f"__k{i}" for i in range(len(keys))]).orderBy("__bc")
+    carry = last.withColumn("__carry", F.lag("__last").over(along)).drop("__last")
+    return (inner.join(carry, of_key & (F.col("__b") == F.col("__bc")), "left")
             .withColumn(out, F.coalesce(F.col("__lag"), F.col("__carry")))
-            .drop("__lag", "__carry", "__b"))
+            .drop("__lag", "__carry", "__b", "__bc", *[f"__k{i}" for i in range(len(keys))]))
 
 
 def flag_overflow(df: DataFrame, quota: float, key="path", ts="ts", seq="seq", size="size",
-                  bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                  bucket_seconds: float = DEFAULT_BUCKET_SECONDS, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Q5: adds ``dt_us`` (null for a key's first event), ``rate`` (bytes/s,
     null when unknown or dt = 0) and ``overflow`` (would be dropped)."""
-    with_prev = previous_time(df, key, ts, seq, bucket_seconds)
+    with_prev = previous_time(df, key, ts, seq, bucket_seconds, hot_rows)
     dt = F.col("__us") - F.col("prev_us")
     rate = F.col(size).cast("double") * F.lit(1_000_000.0) / dt.cast("double")
     return (with_prev
@@ -63,12 +78,12 @@ def flag_overflow(df: DataFrame, quota: float, key="path", ts="ts", seq="seq", s
 
 
 def rate_limit(df: DataFrame, quota: float | None, key="path", ts="ts", seq="seq", size="size",
-               bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+               bucket_seconds: float = DEFAULT_BUCKET_SECONDS, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Q1: the rows that stay under the quota. ``quota=None`` disables it."""
     if quota is None:
         return df
     cols = df.columns
-    return flag_overflow(df, quota, key, ts, seq, size, bucket_seconds) \
+    return flag_overflow(df, quota, key, ts, seq, size, bucket_seconds, hot_rows) \
         .where(~F.col("overflow")).select(*cols)
 
 
@@ -78,7 +93,7 @@ def last_seen(df: DataFrame, key="path", ts="ts") -> DataFrame:
     return df.groupBy(*keys).agg(F.max(ts).alias("last_seen"))
 
 
-def rate_limit_bounded(df: DataFrame, quota: float, max_tracked: int = 20, shard="prefix",
+def rate_limit_bounded(df: DataFrame, quota: float, max_tracked: int = DEFAULT_TRACKED_PATHS, shard="prefix",
                        key="path", ts="ts", seq="seq", size="size") -> DataFrame:
     """Q3: quota with a tracker of only ``max_tracked`` keys per shard, replaced
     first-in-first-out when a key not tracked arrives; an evicted key passes
@@ -100,7 +115,7 @@ def rate_limit_bounded(df: DataFrame, quota: float, max_tracked: int = 20, shard
     def scan(batches):
         import numpy as np
 
-        rings: dict = {}
+        ring, current = None, object()  # rows come sorted by shard: only the present one's ring is kept
         for pdf in batches:
             flags = np.zeros(len(pdf), dtype=bool)
             shards = pdf[shard].to_numpy()
@@ -108,9 +123,8 @@ def rate_limit_bounded(df: DataFrame, quota: float, max_tracked: int = 20, shard
             times = pdf["__us"].to_numpy()
             sizes = pdf[size].to_numpy()
             for i in range(len(pdf)):
-                ring = rings.get(shards[i])
-                if ring is None:
-                    ring = rings[shards[i]] = {"keys": [None] * max_tracked, "last": [0] * max_tracked, "i": 0}
+                if ring is None or shards[i] != current:
+                    ring, current = {"keys": [None] * max_tracked, "last": [0] * max_tracked, "i": 0}, shards[i]
                 k = keys_[i]
                 t = int(times[i])
                 try:

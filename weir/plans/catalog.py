@@ -31,8 +31,8 @@ QUOTA = 0.0001                      # bytes/s; splits the events fixture
 EXCLUDE_GLOBS = ["./error/*", "*/u1?.log", "./[cv]*/u7.log", "./purchase/u[!0-4]*.log", r"./sign\up/u2.log"]
 EXCLUDE_PREFIXES = ["/var/log/view", "/var/log/click/u1"]
 SLEEP_DIRS = ["/srv/docs/src1"]
-STATIC_FIELDS = {"datacenter": "eu-west-1a", "note": 'say "hi"'}
-STATIC_TAGS = ["gen", "a/b"]
+STATIC_FIELDS = {"site": "rack-7", "note": 'two "quoted" words'}
+STATIC_TAGS = ["orders", "a/b"]
 BACKLOG_N = 1000
 REPLAY_SPLIT = "2024-01-15 00:00:00"
 ENCODER_BY_TYPE = {"view": "logstash_base64", "click": "logstash", "error": "text",
@@ -55,8 +55,8 @@ def _wire(spark, sf, encoder="logstash_base64") -> DataFrame:
     return good
 
 
-def _decoded(spark, sf) -> DataFrame:
-    events, _ = codec.decode(_wire(spark, sf), keep=["seq"], version_gate=False)
+def _decoded(spark, sf, columns=None) -> DataFrame:
+    events, _ = codec.decode(_wire(spark, sf), keep=["seq"], version_gate=False, columns=columns)
     return events
 
 
@@ -155,7 +155,7 @@ def q_route_topic(spark, sf):
 
 
 def q_render_report(spark, sf):
-    d = _decoded(spark, sf)
+    d = _decoded(spark, sf, ["@timestamp", "path", "@message"])
     return codec.render_report(d).select("seq", "line")
 
 
@@ -166,7 +166,7 @@ def q_exclude_paths(spark, sf):
 
 
 def _pattern_table(spark, sf):
-    lit_paths = fx.table(spark, sf, "customer").where(F.col("c_mktsegment") == "BUILDING").select(
+    lit_paths = fx.table(spark, sf, "customer").select(
         F.concat(F.lit("./view/u"), F.col("c_custkey").cast("string"), F.lit(".log")).alias("pattern"))
     wild = spark.createDataFrame([(p,) for p in EXCLUDE_GLOBS[:3]], "pattern string")
     return lit_paths.unionByName(wild)
@@ -177,8 +177,15 @@ def q_exclude_paths_table(spark, sf):
 
 
 def q_exclude_prefixes(spark, sf):
-    w = fx.writes(spark, sf).withColumn("event_path", codec.event_path())
-    return fl.exclude_prefixes(w, EXCLUDE_PREFIXES, col="event_path").select("seq", "event_path")
+    d = _dir_spellings(spark, sf).select(F.col("ord").alias("seq"), F.col("dir").alias("event_path"))
+    return fl.exclude_prefixes(d, EXCLUDE_PREFIXES, col="event_path").select("seq", "event_path")
+
+
+def q_exclude_prefixes_table(spark, sf):
+    d = _dir_spellings(spark, sf).select(F.col("ord").alias("seq"), F.col("dir").alias("event_path"))
+    p = fx.table(spark, sf, "customer").select(F.concat(
+        F.lit("/var/log/./click/u"), F.col("c_custkey").cast("string")).alias("prefix"))
+    return fl.exclude_prefixes(d, p, col="event_path").select("seq", "event_path")
 
 
 def q_sleep_mode(spark, sf):
@@ -224,8 +231,9 @@ def q_last_seen(spark, sf):
 
 
 def q_rate_limit_bounded(spark, sf):
-    w = fx.writes(spark, sf)
-    return qt.rate_limit_bounded(w, QUOTA, max_tracked=20, shard="prefix").select("seq", "path", "overflow")
+    w = fx.writes(spark, sf).withColumn("prefix", F.concat(
+        F.lit("/var/log/"), _event_type(), F.lit("/"), (F.col("uid") % 8).cast("string")))
+    return qt.rate_limit_bounded(w, QUOTA, max_tracked=5, shard="prefix").select("seq", "path", "overflow")
 
 
 def q_bounded_backlog(spark, sf):
@@ -237,6 +245,11 @@ def q_bounded_backlog_sharded(spark, sf):
     return bl.bounded_backlog(w, 50, shard="event_type").select("seq", "event_type")
 
 
+def q_bounded_backlog_default(spark, sf):
+    w = fx.writes(spark, sf).withColumn("event_type", _event_type())
+    return bl.bounded_backlog(w, shard="event_type").select("seq", "event_type")
+
+
 def q_drain_backlog(spark, sf):
     w = fx.writes(spark, sf)
     split = F.lit(REPLAY_SPLIT).cast("timestamp")
@@ -246,15 +259,16 @@ def q_drain_backlog(spark, sf):
 
 
 def _sink_status(spark, sf):
-    ev = fx.table(spark, sf, "events").where(F.col("event_type").isin("error", "signup"))
-    return ev.select(F.col("ts").cast("timestamp").alias("ts"), (F.col("event_type") == "signup").alias("ready"))
+    ev = fx.table(spark, sf, "events")
+    return ev.select(F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").alias("seq"),
+                     F.col("event_type").isin("signup", "view", "click").alias("ready"))
 
 
 def q_route_ready(spark, sf):
     w = fx.writes(spark, sf)
-    ok, wait = bl.route_ready(w, _sink_status(spark, sf))
-    return ok.select("seq", F.lit("sink").alias("route")).unionByName(
-        wait.select("seq", F.lit("backlog").alias("route")))
+    w = w.withColumn("ts", F.when(F.col("seq") % 97 != 0, F.col("ts")))  # some rows have lost their time
+    j = bl.with_ready(w, _sink_status(spark, sf), status_seq="seq", out="ready")
+    return j.select("seq", F.when(F.col("ready"), "sink").otherwise("backlog").alias("route"))
 
 
 # ----------------------------------------------------------------------------- enrichment
@@ -278,8 +292,9 @@ def q_with_static(spark, sf):
 
 
 def q_with_config(spark, sf):
-    w = en.with_config(fx.writes(spark, sf), fx.config_versions(spark))
-    return w.select("seq", "topic", "datacenter", "tag")
+    w = fx.writes(spark, sf)
+    w = w.withColumn("ts", F.when(F.col("seq") % 97 != 0, F.col("ts")))
+    return en.with_config(w, fx.config_versions(spark)).select("seq", "topic", "site", "tag")
 
 
 # ----------------------------------------------------------------------------- encode / decode
@@ -309,17 +324,13 @@ def q_nul_cut(spark, sf):
     return good.select("seq", F.col("value").cast("string").alias("value"))
 
 
-def _mixed_wire(spark, sf, types=None):
-    e = _enriched(spark, sf)
-    if types:
-        e = e.where(_event_type().isin(*types))
-    good, _ = codec.encode(e, _encoder_col())
+def _mixed_wire(spark, sf):
+    good, _ = codec.encode(_enriched(spark, sf), _encoder_col())
     return good
 
 
 def q_deobfuscate(spark, sf):
-    wire = _mixed_wire(spark, sf, types=("view", "click", "purchase"))
-    return wire.select("seq", codec.deobfuscate("value").cast("string").alias("value"))
+    return _mixed_wire(spark, sf).select("seq", F.hex(codec.deobfuscate("value")).alias("value_hex"))
 
 
 def q_decode_events(spark, sf):
@@ -333,6 +344,28 @@ def q_dead_letters(spark, sf):
     return dead.select("seq", "reason")
 
 
+def _minimal(spark, sf) -> DataFrame:
+    ev = fx.table(spark, sf, "events")
+    return ev.select(F.col("event_id").alias("seq"), F.concat(
+        F.lit('{"command": "'), F.base64(F.col("event_type").cast("binary")), F.lit('", "@message": "'),
+        F.base64(F.col("props").cast("binary")), F.lit('", "kind": "'), F.col("event_type"), F.lit('"}')).alias("value"))
+
+
+def q_decode_minimal(spark, sf):
+    events, _ = codec.decode(_minimal(spark, sf), keep=["seq"], version_gate=False,
+                             columns=["command", "@message", "message_size-added", "path", "kind"])
+    return events
+
+
+def q_decode_broken(spark, sf):
+    k, v = F.col("seq") % 6, F.col("value")
+    broken = (F.when(k == 0, F.concat(v, F.lit(" trailing"))).when(k == 1, F.concat(v, F.lit(","), v))
+              .when(k == 2, F.regexp_replace(v, r"^\{", '{"pid": "abc", ')).when(k == 3, F.concat(v, F.lit("]")))
+              .otherwise(v))
+    _, dead = codec.decode(_minimal(spark, sf).select("seq", broken.alias("value")), keep=["seq"])
+    return dead.select("seq", "reason")
+
+
 def q_decode_versioned(spark, sf):
     wire = _wire(spark, sf)
     et = _event_type_from_json()
@@ -350,11 +383,12 @@ def _event_type_from_json():
 
 
 def q_message_size(spark, sf):
-    return _decoded(spark, sf).select("seq", "message_size-added")
+    return _decoded(spark, sf, ["message_size-added"])
 
 
 def q_select_fields(spark, sf):
-    return codec.select_fields(_decoded(spark, sf), SELECTED_FIELDS)
+    d = _decoded(spark, sf, ["path", "@message", "uid"])
+    return codec.select_fields(d, SELECTED_FIELDS)
 
 
 def q_render_event(spark, sf):
@@ -395,7 +429,7 @@ def q_compare_captures(spark, sf):
 
 
 def q_volume_by_path(spark, sf):
-    return dv.volume_by_path(_decoded(spark, sf))
+    return dv.volume_by_path(_decoded(spark, sf, ["path", "message_size-added"]))
 
 
 def _dir_spellings(spark, sf):
@@ -425,13 +459,12 @@ def q_merge_servers(spark, sf):
 
 
 def q_watch_diff(spark, sf):
-    configured = _dir_spellings(spark, sf).where(F.col("dir").startswith("/var/log/")).select("dir").distinct()
-    watched = fx.table(spark, sf, "events").select(
-        F.concat(F.lit("/var/log/"), F.col("event_type")).alias("dir")).distinct().unionByName(
-        spark.createDataFrame([("/var/log/old",), ("/var/log/click/u1",)], "dir string"))
-    configured = configured.unionByName(spark.createDataFrame([("/srv/new",)], "dir string"))
-    start, stop = cfg.watch_diff(configured.where(~F.col("dir").startswith("/var/log/view")),
-                                 watched.where(F.col("dir") != "/var/log/error"))
+    configured = _dir_spellings(spark, sf).select("dir").unionByName(
+        spark.createDataFrame([("/srv/new/",)], "dir string"))
+    watched = fx.table(spark, sf, "events").where(F.col("event_type").isin("click", "error")).select(
+        F.concat(F.lit("/var/./log/"), F.col("event_type")).alias("dir")).unionByName(
+        spark.createDataFrame([("/var/log//old",), ("/var/log/view/u1",)], "dir string"))
+    start, stop = cfg.watch_diff(configured, watched)
     return start.select(F.lit("start").alias("action"), "dir").unionByName(
         stop.select(F.lit("stop").alias("action"), "dir"))
 
@@ -460,7 +493,7 @@ def q_pairs_to_map(spark, sf):
 
 
 def q_get_property(spark, sf):
-    return get_property(fx.properties_lines(spark, sf), "fuse_kafka_quota")
+    return get_property(fx.properties_lines(spark, sf), "agent_quota")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

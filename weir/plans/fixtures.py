@@ -31,7 +31,8 @@ def writes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.octet_length("props").cast("bigint").alias("size"),
         F.lit(0).cast("bigint").alias("offset"),
         (F.col("event_id") % 32768).cast("int").alias("pid"),
-        F.col("user_id").cast("int").alias("uid"),
+        # Some writers are not in the user table.
+        F.when(F.col("event_id") % 13 == 0, F.col("user_id") + 1000000).otherwise(F.col("user_id")).cast("int").alias("uid"),
         (F.col("user_id") % 30).cast("int").alias("gid"),
     )
 
@@ -96,12 +97,12 @@ def offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def config_versions(spark: SparkSession) -> DataFrame:
     """Live configuration history: each version applies from ``effective_from``."""
     return spark.createDataFrame(
-        [("2024-01-05 00:00:00", "logs", "eu-west-1a", "gen"),
-         ("2024-01-12 00:00:00", "audit", "eu-west-1b", "test"),
-         ("2024-01-20 00:00:00", None, "us-east-1", "prod")],
-        "effective_from string, topic string, datacenter string, tag string",
+        [("2024-01-05 00:00:00", "logs", "rack-7", "orders"),
+         ("2024-01-12 00:00:00", "audit", "rack-8", "test"),
+         ("2024-01-20 00:00:00", None, "rack-9", "prod")],
+        "effective_from string, topic string, site string, tag string",
     ).select(F.col("effective_from").cast("timestamp").alias("effective_from"), "topic",
-             "datacenter", "tag")
+             "site", "tag")
 
 
 def received(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,13 +116,13 @@ def properties_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_nationkey") == F.col("n_nationkey"))
     kind = F.col("c_custkey") % 5
     seg = F.lower(F.col("c_mktsegment"))
-    line = (F.when(kind == 0, F.concat(F.lit('fuse_kafka_directories=["/var/log/'), seg, F.lit("/"),
+    line = (F.when(kind == 0, F.concat(F.lit('agent_directories=["/var/log/'), seg, F.lit("/"),
                                        F.col("c_custkey").cast("string"), F.lit('"]')))
-            .when(kind == 1, F.concat(F.lit('fuse_kafka_fields={"segment": "'), F.col("c_mktsegment"),
+            .when(kind == 1, F.concat(F.lit('agent_fields={"segment": "'), F.col("c_mktsegment"),
                                       F.lit('", "account": "'), F.col("c_custkey").cast("string"),
                                       F.lit('"}')))
             .when(kind == 2, F.concat(F.lit('monitoring_logging_tags=["'), F.col("c_name"), F.lit('"]')))
-            .when(kind == 3, F.concat(F.lit("fuse_kafka_quota=["),
+            .when(kind == 3, F.concat(F.lit("agent_quota=["),
                                       F.floor(F.col("c_acctbal")).cast("bigint").cast("string"),
                                       F.lit("]")))
             .otherwise(F.concat(F.lit("# owner="), F.col("c_name"))))
@@ -139,11 +140,11 @@ def argument_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("s_nationkey") == F.col("n_nationkey"))
     k = F.col("s_suppkey")
     base = F.concat(
-        F.lit("--topic logs --fields datacenter "), F.lower(F.col("n_name")),
+        F.lit("--topic logs --fields site "), F.lower(F.col("n_name")),
         F.lit(" host s"), k.cast("string"),
         F.lit("  --directories /var/log/s"), k.cast("string"), F.lit(" /srv/app "),
-        F.lit("--tags gen"))
-    line = (F.when(k % 7 == 0, F.concat(base, F.lit(" --lol")))
+        F.lit("--tags orders"))
+    line = (F.when(k % 7 == 0, F.concat(base, F.lit(" --colour")))
             .when(k % 5 == 0, F.concat(base, F.lit(" --tags  prod "), F.col("n_name")))
             .when(k % 3 == 0, F.concat(F.lit("-x "), base, F.lit(" --persist ")))
             .otherwise(base))
@@ -159,7 +160,8 @@ SQL = {
   SELECT event_id AS seq, ts, '/var/log' AS prefix,
          './' || event_type || '/u' || CAST(user_id AS VARCHAR) || '.log' AS path,
          props AS buf, CAST(strlen(props) AS BIGINT) AS size, CAST(0 AS BIGINT) AS "offset",
-         CAST(event_id % 32768 AS INTEGER) AS pid, CAST(user_id AS INTEGER) AS uid,
+         CAST(event_id % 32768 AS INTEGER) AS pid,
+         CAST(CASE WHEN event_id % 13 = 0 THEN user_id + 1000000 ELSE user_id END AS INTEGER) AS uid,
          CAST(user_id % 30 AS INTEGER) AS gid
   FROM events)""",
     "users": """users AS (SELECT CAST(c_custkey AS INTEGER) AS uid, c_name AS name FROM customer)""",
@@ -174,29 +176,29 @@ SQL = {
                             ELSE strlen(text) + 10 END AS BIGINT) AS "offset"
            FROM documents WHERE lang <> 'de')""",
     "config_versions": """config_versions AS (SELECT * FROM (VALUES
-  (TIMESTAMP '2024-01-05 00:00:00', 'logs', 'eu-west-1a', 'gen'),
-  (TIMESTAMP '2024-01-12 00:00:00', 'audit', 'eu-west-1b', 'test'),
-  (TIMESTAMP '2024-01-20 00:00:00', NULL, 'us-east-1', 'prod'))
-  AS v(effective_from, topic, datacenter, tag))""",
+  (TIMESTAMP '2024-01-05 00:00:00', 'logs', 'rack-7', 'orders'),
+  (TIMESTAMP '2024-01-12 00:00:00', 'audit', 'rack-8', 'test'),
+  (TIMESTAMP '2024-01-20 00:00:00', NULL, 'rack-9', 'prod'))
+  AS v(effective_from, topic, site, tag))""",
     "received": """received AS (SELECT event_id AS id FROM events WHERE value > 5)""",
     "properties_lines": """properties_lines AS (
   SELECT '/etc/weir/' || lower(n_name) || '.properties' AS file, c_custkey AS line_no,
          CASE c_custkey % 5
-           WHEN 0 THEN 'fuse_kafka_directories=["/var/log/' || lower(c_mktsegment) || '/' || CAST(c_custkey AS VARCHAR) || '"]'
-           WHEN 1 THEN 'fuse_kafka_fields={"segment": "' || c_mktsegment || '", "account": "' || CAST(c_custkey AS VARCHAR) || '"}'
+           WHEN 0 THEN 'agent_directories=["/var/log/' || lower(c_mktsegment) || '/' || CAST(c_custkey AS VARCHAR) || '"]'
+           WHEN 1 THEN 'agent_fields={"segment": "' || c_mktsegment || '", "account": "' || CAST(c_custkey AS VARCHAR) || '"}'
            WHEN 2 THEN 'monitoring_logging_tags=["' || c_name || '"]'
-           WHEN 3 THEN 'fuse_kafka_quota=[' || CAST(CAST(floor(c_acctbal) AS BIGINT) AS VARCHAR) || ']'
+           WHEN 3 THEN 'agent_quota=[' || CAST(CAST(floor(c_acctbal) AS BIGINT) AS VARCHAR) || ']'
            ELSE '# owner=' || c_name END AS line
   FROM customer JOIN nation ON c_nationkey = n_nationkey)""",
     "argument_lines": """argument_lines AS (
   SELECT s_suppkey AS host_id,
-         CASE WHEN s_suppkey % 7 = 0 THEN base || ' --lol'
+         CASE WHEN s_suppkey % 7 = 0 THEN base || ' --colour'
               WHEN s_suppkey % 5 = 0 THEN base || ' --tags  prod ' || n_name
               WHEN s_suppkey % 3 = 0 THEN '-x ' || base || ' --persist '
               ELSE base END AS line
   FROM (SELECT s_suppkey, n_name,
-               '--topic logs --fields datacenter ' || lower(n_name) || ' host s' || CAST(s_suppkey AS VARCHAR)
-               || '  --directories /var/log/s' || CAST(s_suppkey AS VARCHAR) || ' /srv/app --tags gen' AS base
+               '--topic logs --fields site ' || lower(n_name) || ' host s' || CAST(s_suppkey AS VARCHAR)
+               || '  --directories /var/log/s' || CAST(s_suppkey AS VARCHAR) || ' /srv/app --tags orders' AS base
         FROM supplier JOIN nation ON s_nationkey = n_nationkey))""",
 }
 

@@ -3,7 +3,8 @@
 ``python -m weir.plans.jobs capture --input <writes parquet> --output <dir>``
 runs the capture pipeline (globs, quota, lookups, as-of configuration,
 encoding) over a table of captured writes and writes the wire records as
-parquet partitioned by topic; dead letters go to ``<dir>/_dead_letters``.
+parquet partitioned by ``rejected`` (dead letters, with their reason) and topic,
+in one pass.
 """
 
 from __future__ import annotations
@@ -26,13 +27,13 @@ def capture(spark: SparkSession, writes: DataFrame, output: str, excludes=(), ra
     w = enrich.enrich(w, users, groups, procs)
     if config_versions is not None:
         w = enrich.with_config(w, config_versions)
-        w = w.withColumn("fields", F.when(F.col("datacenter").isNotNull(),
-                                          F.create_map(F.lit("datacenter"), F.col("datacenter"))))
+        w = w.withColumn("fields", F.when(F.col("site").isNotNull(),
+                                          F.create_map(F.lit("site"), F.col("site"))))
         w = w.withColumn("tags", F.when(F.col("tag").isNotNull(), F.array(F.col("tag"))))
     w = enrich.route_topic(w)
-    good, dead = codec.encode(w, encoder, keep=("seq",))
-    good.write.mode("overwrite").partitionBy("topic").parquet(output)
-    dead.write.mode("overwrite").parquet(f"{output.rstrip('/')}/_dead_letters")
+    marked = codec.encode_marked(w, encoder, keep=("seq",))
+    marked.withColumn("rejected", F.col("reason").isNotNull()) \
+        .write.mode("overwrite").partitionBy("rejected", "topic").parquet(output)
 
 
 def main(argv=None) -> None:

@@ -29,16 +29,15 @@ lines AS (SELECT path, CAST(line_no AS BIGINT) AS line_no,
     "flagged": """flagged AS (
   SELECT seq, path, size, epoch_us(ts) AS us,
          lag(epoch_us(ts)) OVER (PARTITION BY path ORDER BY ts, seq) AS prev FROM writes)""",
-    "status": """status AS (SELECT ts, event_type = 'signup' AS ready FROM events
-           WHERE event_type IN ('error', 'signup'))""",
+    "status": """status AS (SELECT ts, arg_max(event_type IN ('signup', 'view', 'click'), event_id) AS ready FROM events GROUP BY ts)""",
     "entries": """pl AS (SELECT file, line_no, split_part(line, '=', 1) AS k0,
                    substr(line, strpos(line, '=') + 1) AS js FROM properties_lines WHERE strpos(line, '=') > 0),
 pk AS (SELECT file, line_no,
-              replace(replace(replace(replace(k0, 'monitoring_', ''), 'fuse_kafka_', ''), 'logging_', ''), 'top_', '') AS key,
+              replace(replace(replace(replace(k0, 'monitoring_', ''), 'agent_', ''), 'logging_', ''), 'top_', '') AS key,
               CASE WHEN starts_with(ltrim(js), '{')
                    THEN flatten(list_transform(json_keys(js), lambda k: [k, json_extract_string(js, '$.' || k)]))
                    ELSE json_extract_string(js, '$[*]') END AS vals
-       FROM pl WHERE starts_with(k0, 'monitoring_logging_') OR starts_with(k0, 'fuse_kafka_')
+       FROM pl WHERE starts_with(k0, 'monitoring_logging_') OR starts_with(k0, 'agent_')
                   OR k0 = 'monitoring_top_substitutions'),
 entries AS (SELECT file, line_no, key, unnest(range(len(vals))) AS idx, unnest(vals) AS value FROM pk)""",
     "spellings": """spellings AS (
@@ -69,8 +68,8 @@ def _event_json(message: str, fields: str = "MAP {}::MAP(VARCHAR, VARCHAR)",
             f"'command': command, '@version': '0.1.6', '@fields': {fields}, '@tags': {tags}}})::VARCHAR")
 
 
-STATIC_FIELDS_SQL = "MAP {'datacenter': 'eu-west-1a', 'note': 'say \"hi\"'}"
-STATIC_TAGS_SQL = "['gen', 'a/b']"
+STATIC_FIELDS_SQL = "MAP {'site': 'rack-7', 'note': 'two \"quoted\" words'}"
+STATIC_TAGS_SQL = "['orders', 'a/b']"
 ET = "regexp_extract(path, '^\\./([^/]+)/', 1)"
 OVERFLOW = ("CASE WHEN prev IS NULL THEN false WHEN us - prev = 0 THEN true "
             "ELSE CAST(size AS DOUBLE) * 1000000.0 / CAST(us - prev AS DOUBLE) > 0.0001 END")
@@ -144,7 +143,8 @@ WHERE l.host_id NOT IN (SELECT host_id FROM bad)
 UNION ALL SELECT host_id, false, NULL, NULL, NULL FROM bad""", "argument_lines"),
     # ---------------------------------------------------------------- sinks
     "route_topic": sql("""SELECT w.seq, coalesce(c.topic, 'logs') AS topic
-FROM writes w ASOF LEFT JOIN config_versions c ON w.ts >= c.effective_from""", "writes", "config_versions"),
+FROM (SELECT seq, CASE WHEN seq % 97 <> 0 THEN ts END AS ts FROM writes) w
+ASOF LEFT JOIN config_versions c ON w.ts >= c.effective_from""", "writes", "config_versions"),
     "render_report": sql(f"""SELECT seq, {ISO} || ' ' || '/var/log' || substr(path, 2) || ': ' || buf AS line
 FROM writes""", "writes"),
     # ---------------------------------------------------------------- filters
@@ -153,11 +153,15 @@ WHERE NOT starts_with(path, './error/') AND NOT regexp_matches(path, '^.*/u1.\\.
   AND NOT regexp_matches(path, '^\\./[cv].*/u7\\.log$') AND NOT regexp_matches(path, '^\\./purchase/u[^0-4].*\\.log$')
   AND path <> './signup/u2.log'""", "writes"),
     "exclude_paths_table": sql("""SELECT seq, path FROM writes
-WHERE path NOT IN (SELECT './view/u' || CAST(c_custkey AS VARCHAR) || '.log' FROM customer WHERE c_mktsegment = 'BUILDING')
+WHERE path NOT IN (SELECT './view/u' || CAST(c_custkey AS VARCHAR) || '.log' FROM customer)
   AND NOT starts_with(path, './error/') AND NOT regexp_matches(path, '^.*/u1.\\.log$')
   AND NOT regexp_matches(path, '^\\./[cv].*/u7\\.log$')""", "writes"),
-    "exclude_prefixes": sql("""SELECT seq, event_path FROM (SELECT seq, prefix || substr(path, 2) AS event_path FROM writes)
-WHERE NOT starts_with(event_path, '/var/log/view') AND NOT starts_with(event_path, '/var/log/click/u1')""", "writes"),
+    "exclude_prefixes": sql("""SELECT ord AS seq, dir AS event_path FROM spellings
+WHERE NOT starts_with(norm, '/var/log/view') AND NOT starts_with(norm, '/var/log/click/u1')""", "spellings"),
+    "exclude_prefixes_table": sql("""p AS (SELECT '/var/log/click/u' || CAST(c_custkey AS VARCHAR) AS prefix FROM customer),
+gone AS (SELECT DISTINCT norm FROM (SELECT DISTINCT norm FROM spellings) s WHERE EXISTS (
+  SELECT 1 FROM p WHERE starts_with(s.norm, p.prefix)))
+SELECT ord AS seq, dir AS event_path FROM spellings WHERE norm NOT IN (SELECT norm FROM gone)""", "spellings"),
     "sleep_mode": sql("""SELECT prefix, path FROM (
   SELECT prefix, path FROM writes
   UNION ALL SELECT '/srv/docs/' || source, './' || CAST(doc_id AS VARCHAR) || '.txt' FROM documents)
@@ -175,31 +179,35 @@ WHERE s.fs IS NOT NULL AND c.turn > s.fs AND (s.fe IS NULL OR c.turn < s.fe)
        CASE WHEN us - prev > 0 THEN CAST(size AS DOUBLE) * 1000000.0 / CAST(us - prev AS DOUBLE) END AS rate,
        {OVERFLOW} AS overflow FROM flagged""", "writes", "flagged"),
     "last_seen": sql("SELECT path, max(epoch_us(ts)) AS last_seen_us FROM writes GROUP BY path", "writes"),
-    # Q3: the FIFO ring of 20 tracked paths replayed row by row in (ts, seq) order.
-    "rate_limit_bounded": sql("""rw AS (SELECT row_number() OVER (ORDER BY ts, seq) AS i, seq, path, epoch_us(ts) AS us, size
-       FROM writes),
+    # Q3: the FIFO ring of 5 tracked paths of each shard, replayed row by row in (ts, seq) order.
+    "rate_limit_bounded": sql(f"""rw AS (SELECT {ET} || '/' || CAST(uid % 8 AS VARCHAR) AS shard, seq, path, epoch_us(ts) AS us, size,
+       row_number() OVER (PARTITION BY {ET} || '/' || CAST(uid % 8 AS VARCHAR) ORDER BY ts, seq) AS i FROM writes),
 r AS (
-  SELECT 0::BIGINT AS i, NULL::BIGINT AS seq, NULL::BOOLEAN AS overflow,
-         list_transform(range(20), lambda x: NULL::VARCHAR) AS ks,
-         list_transform(range(20), lambda x: 0::BIGINT) AS ls, 0 AS ptr
+  SELECT DISTINCT shard, 0::BIGINT AS i, NULL::BIGINT AS seq, NULL::BOOLEAN AS overflow,
+         list_transform(range(5), lambda x: NULL::VARCHAR) AS ks,
+         list_transform(range(5), lambda x: 0::BIGINT) AS ls, 0 AS ptr FROM rw
   UNION ALL
-  SELECT w.i, w.seq,
+  SELECT w.shard, w.i, w.seq,
          CASE WHEN list_position(r.ks, w.path) IS NULL THEN false
               WHEN w.us - r.ls[list_position(r.ks, w.path)] = 0 THEN true
               ELSE CAST(w.size AS DOUBLE) * 1000000.0 / CAST(w.us - r.ls[list_position(r.ks, w.path)] AS DOUBLE) > 0.0001 END,
          CASE WHEN list_position(r.ks, w.path) IS NULL
-              THEN list_transform(r.ks, lambda k, j: CASE WHEN j = (r.ptr + 1) % 20 + 1 THEN w.path ELSE k END)
+              THEN list_transform(r.ks, lambda k, j: CASE WHEN j = (r.ptr + 1) % 5 + 1 THEN w.path ELSE k END)
               ELSE r.ks END,
-         list_transform(r.ls, lambda v, j: CASE WHEN j = coalesce(list_position(r.ks, w.path), (r.ptr + 1) % 20 + 1)
+         list_transform(r.ls, lambda v, j: CASE WHEN j = coalesce(list_position(r.ks, w.path), (r.ptr + 1) % 5 + 1)
                                                  THEN w.us ELSE v END),
-         CASE WHEN list_position(r.ks, w.path) IS NULL THEN (r.ptr + 1) % 20 ELSE r.ptr END
-  FROM r JOIN rw w ON w.i = r.i + 1)
+         CASE WHEN list_position(r.ks, w.path) IS NULL THEN (r.ptr + 1) % 5 ELSE r.ptr END
+  FROM r JOIN rw w ON w.shard = r.shard AND w.i = r.i + 1)
 SELECT seq, path, overflow FROM r JOIN rw USING (seq, i) WHERE i > 0""", "writes").replace("WITH writes", "WITH RECURSIVE writes", 1),
     "bounded_backlog": sql("SELECT seq, path FROM writes ORDER BY ts DESC, seq DESC LIMIT 1000", "writes"),
     "bounded_backlog_sharded": sql(f"""SELECT seq, event_type FROM (
   SELECT seq, {ET} AS event_type,
          row_number() OVER (PARTITION BY {ET} ORDER BY ts DESC, seq DESC) AS rn FROM writes) WHERE rn <= 50""",
                                    "writes"),
+    "bounded_backlog_default": sql(f"""SELECT seq, event_type FROM (
+  SELECT seq, {ET} AS event_type,
+         row_number() OVER (PARTITION BY {ET} ORDER BY ts DESC, seq DESC) AS rn FROM writes) WHERE rn <= 10000""",
+                                   "writes"),
     "drain_backlog": sql(f"""b AS (SELECT * FROM writes WHERE ts < TIMESTAMP '2024-01-15 00:00:00'
            ORDER BY ts DESC, seq DESC LIMIT 1000),
 u AS (SELECT * FROM b UNION ALL SELECT * FROM writes WHERE ts >= TIMESTAMP '2024-01-15 00:00:00'),
@@ -208,7 +216,8 @@ x AS (SELECT seq, path, size, epoch_us(ts) AS us,
       FROM u WHERE NOT starts_with(path, './error/'))
 SELECT seq, path FROM x WHERE NOT ({OVERFLOW})""", "writes"),
     "route_ready": sql("""SELECT w.seq, CASE WHEN coalesce(s.ready, false) THEN 'sink' ELSE 'backlog' END AS route
-FROM writes w ASOF LEFT JOIN status s ON w.ts >= s.ts""", "writes", "status"),
+FROM (SELECT seq, CASE WHEN seq % 97 <> 0 THEN ts END AS ts FROM writes) w ASOF LEFT JOIN status s ON w.ts >= s.ts""",
+                       "writes", "status"),
     # ---------------------------------------------------------------- enrichment
     "with_user": sql("""SELECT w.seq, w.uid, coalesce(u.name, '') AS "user" FROM writes w LEFT JOIN users u USING (uid)""",
                      "writes", "users"),
@@ -218,8 +227,9 @@ FROM writes w ASOF LEFT JOIN status s ON w.ts >= s.ts""", "writes", "status"),
 FROM writes w LEFT JOIN procs p USING (pid)""", "writes", "procs"),
     "with_static": sql(f"""SELECT seq, to_json({STATIC_FIELDS_SQL})::VARCHAR AS fields_json,
        to_json({STATIC_TAGS_SQL})::VARCHAR AS tags_json FROM writes""", "writes"),
-    "with_config": sql("""SELECT w.seq, c.topic, c.datacenter, c.tag
-FROM writes w ASOF LEFT JOIN config_versions c ON w.ts >= c.effective_from""", "writes", "config_versions"),
+    "with_config": sql("""SELECT w.seq, c.topic, c.site, c.tag
+FROM (SELECT seq, CASE WHEN seq % 97 <> 0 THEN ts END AS ts FROM writes) w
+ASOF LEFT JOIN config_versions c ON w.ts >= c.effective_from""", "writes", "config_versions"),
     # ---------------------------------------------------------------- encode / decode
     "encode_b64": sql("SELECT seq, " + _event_json("to_base64(encode(buf))", STATIC_FIELDS_SQL, STATIC_TAGS_SQL)
                       + " AS value FROM enriched", "writes", "users", "groups", "procs", "enriched"),
@@ -230,9 +240,10 @@ FROM writes w ASOF LEFT JOIN config_versions c ON w.ts >= c.effective_from""", "
                      + "), '0123456789ABCDEF', 'FEDCBA9876543210') AS value_hex FROM enriched",
                      "writes", "users", "groups", "procs", "enriched"),
     "nul_cut": f"SELECT event_id AS seq, {ISO} || ': ./nul.log: ' || event_type AS value FROM events",
-    "deobfuscate": sql(f"""SELECT seq, CASE WHEN {ET} = 'click' THEN {_event_json('buf')}
-                 ELSE {_event_json('to_base64(encode(buf))')} END AS value
-FROM enriched WHERE {ET} IN ('view', 'click', 'purchase')""", "writes", "users", "groups", "procs", "enriched"),
+    "deobfuscate": sql(f"""SELECT seq, CASE {ET} WHEN 'click' THEN hex({_event_json('buf')})
+       WHEN 'error' THEN translate(hex({ISO} || ': ' || path || ': ' || buf), '0123456789ABCDEF', 'FEDCBA9876543210')
+       ELSE hex({_event_json('to_base64(encode(buf))')}) END AS value_hex
+FROM enriched WHERE {ET} <> 'signup'""", "writes", "users", "groups", "procs", "enriched"),
     "decode_events": sql("""SELECT seq, '/var/log' || substr(path, 2) AS path, uid, buf AS "@message", "user", "group",
        replace(coalesce(p.cmdline, ''), chr(0), ' ') AS command, '0.1.6' AS "@version",
        CAST(strlen(buf) AS INTEGER) AS "message_size-added"
@@ -257,15 +268,18 @@ FROM (SELECT e.*, p.cmdline FROM enriched e LEFT JOIN procs p USING (pid))""",
   '  user: ' || "user" || chr(10) || '  group: ' || "group" || chr(10) ||
   '  command: ' || replace(coalesce(p.cmdline, ''), chr(0), ' ') || chr(10) ||
   '  @version: 0.1.6' || chr(10) ||
-  '  @fields: ' || chr(10) || '     datacenter: eu-west-1a' || chr(10) || '     note: say "hi"' || chr(10) ||
-  '  @tags: ' || chr(10) || '    -  gen' || chr(10) || '    -  a/b' AS text
+  '  @fields: ' || chr(10) || '     site: rack-7' || chr(10) || '     note: two "quoted" words' || chr(10) ||
+  '  @tags: ' || chr(10) || '    -  orders' || chr(10) || '    -  a/b' AS text
 FROM (SELECT w.*, coalesce(u.name, '') AS "user", coalesce(g.name, '') AS "group"
       FROM writes w LEFT JOIN users u USING (uid) LEFT JOIN groups g USING (gid)) LEFT JOIN procs p USING (pid)""",
                         "writes", "users", "groups", "procs"),
     # ---------------------------------------------------------------- aggregates, sets
-    "merge_config": sql("""SELECT key, count(*) AS n_values, arg_min(value, (file, line_no, idx)) AS first_value,
-       arg_max(value, (file, line_no, idx)) AS last_value FROM entries GROUP BY key""",
-                        "properties_lines", "entries"),
+    "decode_minimal": """SELECT event_id AS seq, event_type AS command, props AS "@message",
+       CAST(strlen(props) AS INTEGER) AS "message_size-added", CAST(NULL AS VARCHAR) AS path, event_type AS kind FROM events""",
+    "decode_broken": """SELECT event_id AS seq, CASE event_id % 6 WHEN 2 THEN 'a key of another type' ELSE 'not a JSON event' END AS reason
+FROM events WHERE event_id % 6 < 4""",
+    "merge_config": sql("""SELECT key, row_number() OVER (PARTITION BY key ORDER BY file, line_no, idx) - 1 AS pos, value
+FROM entries""", "properties_lines", "entries"),
     "missing_ranges": """WITH r AS (SELECT DISTINCT event_id AS id FROM events WHERE value > 5),
 n AS (SELECT count(*) AS n FROM events),
 m AS (SELECT g.id FROM n, range(n.n) g(id) WHERE g.id NOT IN (SELECT id FROM r)),
@@ -296,14 +310,11 @@ FROM na FULL JOIN nb USING (path) LEFT JOIN oa USING (path) LEFT JOIN ob USING (
             ELSE lower(n_name) || ':9092,' || lower(s_name) || ':9092' END AS merged,
        s_suppkey % 4 <> 1 AS any_new
 FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
-    "watch_diff": sql("""conf AS (SELECT DISTINCT dir FROM spellings WHERE starts_with(dir, '/var/log/')
-         UNION SELECT '/srv/new'),
-conf2 AS (SELECT dir FROM conf WHERE NOT starts_with(dir, '/var/log/view')),
-wat AS (SELECT DISTINCT '/var/log/' || event_type AS dir FROM events
-        UNION SELECT '/var/log/old' UNION SELECT '/var/log/click/u1'),
-wat2 AS (SELECT dir FROM wat WHERE dir <> '/var/log/error')
-SELECT 'start' AS action, dir FROM conf2 c WHERE NOT EXISTS (SELECT 1 FROM wat2 w WHERE starts_with(c.dir, w.dir))
-UNION ALL SELECT 'stop', dir FROM wat2 WHERE dir NOT IN (SELECT dir FROM conf2)""", "spellings"),
+    "watch_diff": sql("""conf AS (SELECT DISTINCT norm AS dir FROM spellings UNION SELECT '/srv/new'),
+wat AS (SELECT DISTINCT '/var/log/' || event_type AS dir FROM events WHERE event_type IN ('click', 'error')
+        UNION SELECT '/var/log/old' UNION SELECT '/var/log/view/u1')
+SELECT 'start' AS action, dir FROM conf c WHERE NOT EXISTS (SELECT 1 FROM wat w WHERE starts_with(c.dir, w.dir))
+UNION ALL SELECT 'stop', dir FROM wat WHERE dir NOT IN (SELECT dir FROM conf)""", "spellings"),
     # ---------------------------------------------------------------- scalar functions
     "djb2": sql("""SELECT seq, path, CAST(list_reduce(list_transform(range(strlen(path)), lambda i: ascii(substr(path, i + 1, 1))),
        lambda acc, c: (acc * 33 + c) % CAST('18446744073709551616' AS HUGEINT), CAST(5381 AS HUGEINT)) AS VARCHAR) AS djb2
@@ -316,7 +327,7 @@ kv AS (SELECT a.file, a.line_no, a.idx, a.value AS k, b.value AS v
        FROM e a JOIN e b ON a.file = b.file AND a.line_no = b.line_no AND b.idx = a.idx + 1 WHERE a.idx % 2 = 0)
 SELECT file, line_no, k, arg_max(v, idx) AS v FROM kv GROUP BY file, line_no, k""", "properties_lines", "entries"),
     "get_property": sql("""SELECT file, arg_min(regexp_replace(substr(line, strpos(line, '=') + 1), '^\\s+|\\s+$', '', 'g'), line_no) AS value
-FROM properties_lines WHERE split_part(line, '=', 1) = 'fuse_kafka_quota' AND strpos(line, '=') > 0
+FROM properties_lines WHERE split_part(line, '=', 1) = 'agent_quota' AND strpos(line, '=') > 0
 GROUP BY file""", "properties_lines"),
 }
 

@@ -20,8 +20,8 @@ def capture_to_wire(spark: SparkSession, sf_dir: str, writes: DataFrame | None =
     w = quota.rate_limit(w, FLAGSHIP_QUOTA)
     w = enrich.enrich(w, fx.users(spark, sf_dir), fx.groups(spark, sf_dir), fx.procs(spark, sf_dir))
     w = enrich.with_config(w, fx.config_versions(spark))
-    w = w.withColumn("fields", F.when(F.col("datacenter").isNotNull(),
-                                      F.create_map(F.lit("datacenter"), F.col("datacenter"))))
+    w = w.withColumn("fields", F.when(F.col("site").isNotNull(),
+                                      F.create_map(F.lit("site"), F.col("site"))))
     w = w.withColumn("tags", F.when(F.col("tag").isNotNull(), F.array(F.col("tag"))))
     w = enrich.route_topic(w)
     good, _ = codec.encode(w, "logstash_base64", keep=("seq",))

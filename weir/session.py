@@ -62,12 +62,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder of the cluster.
 
     Read from ``spark.checkpoint.dir`` (set by whoever runs the cluster). Only
-    when it is unset -- tests and local runs -- a fresh scratch folder is created.
+    where it is unset and the session is local -- tests, the bench -- a fresh
+    scratch folder is taken; on a cluster an unset folder is an error, since a
+    folder of the driver's machine is not shared.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="weir-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -9,6 +9,7 @@ and tested independently (``bus_frame``).
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -83,53 +84,76 @@ def write_console(df: DataFrame, truncate: bool = False, checkpoint: str | None
 
 
 class Sink:
-    """A named sink with the setup / send / clean life cycle.
+    """A named sink with the setup / update / send / clean life cycle.
 
     ``send(batch_df, batch_id)`` runs once per micro-batch on the driver through
     ``foreachBatch`` and should itself write with DataFrame writers (it gets a
-    distributed frame, not rows).
+    distributed frame, not rows). ``update(settings)`` is called before a batch
+    whose configuration differs from the last one's, ``clean()`` once when the
+    frame is written or the stream ends, however it ends.
     """
 
     def __init__(self, name: str, send: Callable[[DataFrame, int], None],
-                 setup: Callable[[], None] | None = None, clean: Callable[[], None] | None = None):
+                 setup: Callable[[], None] | None = None, clean: Callable[[], None] | None = None,
+                 update: Callable[[dict], None] | None = None):
         self.name = name
         self.send = send
         self.setup = setup
         self.clean = clean
+        self.update = update
 
 
 _SINKS: dict[str, Sink] = {}
 
 
-def register_sink(name: str, send, setup=None, clean=None) -> Sink:
+def register_sink(name: str, send, setup=None, clean=None, update=None) -> Sink:
     """Register a custom sink under a name."""
-    sink = Sink(name, send, setup, clean)
+    sink = Sink(name, send, setup, clean, update)
     _SINKS[name] = sink
     return sink
 
 
-def registered_sinks() -> list[str]:
-    return sorted(_SINKS)
+def write_to(df: DataFrame, name: str, checkpoint: str | None = None, trigger: dict | None = None,
+             config: Callable[[], dict] | None = None,
+             prepare: Callable[[DataFrame, dict], DataFrame] | None = None):
+    """K5: write a stream (or a batch frame) to a registered sink. ``config()`` is
+    read before each batch, handed to the sink's ``update`` when it has changed, and
+    ``prepare(batch, settings)`` makes the frame that is sent."""
+    sink = _SINKS[name]
+    last: list = []
 
+    def send(batch: DataFrame, batch_id: int) -> None:
+        settings = config() if config else {}
+        if config and last != [settings]:
+            if sink.update:
+                sink.update(settings)
+            last[:] = [settings]
+        sink.send(prepare(batch, settings) if prepare else batch, batch_id)
 
-def write_to(df: DataFrame, name: str, checkpoint: str | None = None, trigger: dict | None = None):
-    """K5: write a stream (or a batch frame) to a registered sink."""
-    sink = _SINKS[name]
     if sink.setup:
         sink.setup()
     if not df.isStreaming:
         try:
-            sink.send(df, 0)
+            send(df, 0)
         finally:
             if sink.clean:
                 sink.clean()
         return None
-    w = df.writeStream.foreachBatch(sink.send)
+    w = df.writeStream.foreachBatch(send)
     if checkpoint:
         w = w.option("checkpointLocation", checkpoint)
     if trigger:
         w = w.trigger(**trigger)
-    return w.start()
+    query = w.start()
+    if sink.clean:
+        def when_ended() -> None:
+            try:
+                query.awaitTermination()
+            except Exception:  # noqa: BLE001 -- the caller sees it from the query; here it only means: ended
+                pass
+            sink.clean()
+        threading.Thread(target=when_ended, name=f"weir-clean-{name}", daemon=True).start()
+    return query
 
 
 def register_source(spark: SparkSession, source_cls) -> str:

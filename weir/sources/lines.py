@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weir.functions.scalars import utf8_repair
-from weir.operators.joins import broadcast_if_small
-
-OFFSETS_BROADCAST_ROWS = 2_000_000
 
 
 def _prefix_sums():
@@ -79,9 +76,8 @@ def tail_from_offsets(files: DataFrame, offsets: DataFrame | None = None, starti
         staged = f.withColumn("__start", start)
     else:
         o = offsets.select(F.col("path"), F.col("offset").cast("bigint").alias("__saved"))
-        # One small row per file: broadcast when counted small, so the texts are
-        # never shuffled for this join; beyond that a shuffle join on path.
-        o = broadcast_if_small(o, OFFSETS_BROADCAST_ROWS) or o
+        # One small row per file: the planner or AQE broadcasts it by its real size,
+        # and the texts are not shuffled then.
         unknown = F.lit(0).cast("bigint") if starting == "earliest" else size
         staged = f.join(o, "path", "left").withColumn(
             "__start", F.when(F.col("__saved").isNull(), unknown)
@@ -106,39 +102,23 @@ def tail_from_offsets(files: DataFrame, offsets: DataFrame | None = None, starti
     return out, new_off
 
 
-WATCH_UNION_ROOTS = 4
-
-
 def watch_scope(df: DataFrame, roots, recursive: bool = True, path: str = "path") -> DataFrame:
     """Files under any watched root, each row tagged with its root as
     ``prefix``; ``recursive=False`` keeps direct children only. A file under two
-    roots appears once per root, as with two watches.
+    roots appears once per root, as with two watches; no roots, no rows.
 
-    A few roots: one filter per root (each pushed to the scan), unioned. More:
-    a single scan whose rows are joined, on their ancestor directories (the
-    parent only when not recursive), to the list of roots."""
+    One scan: a row's list of matching roots is filtered and exploded."""
     roots = list(roots)
-    if len(roots) <= WATCH_UNION_ROOTS:
-        out = None
-        for root in roots:
-            base = root.rstrip("/") + "/"
-            cond = F.col(path).startswith(base)
-            if not recursive:
-                cond = cond & ~F.substring(F.col(path), len(base) + 1, 1 << 30).contains("/")
-            part = df.where(cond).withColumn("prefix", F.lit(root))
-            out = part if out is None else out.unionByName(part)
-        return out
     p = F.col(path)
-    if recursive:
-        slashes = F.filter(F.sequence(F.lit(1), F.greatest(F.length(p), F.lit(1))),
-                           lambda i: F.substring(p, i, 1) == "/")
-        dirs = F.transform(slashes, lambda i: F.substring(p, 1, i - 1))
-    else:
-        dirs = F.array(F.regexp_extract(p, r"^(.*)/[^/]*$", 1))
-    spark = df.sparkSession
-    table = spark.createDataFrame([(r.rstrip("/"), r) for r in roots], "__dir string, prefix string")
-    return (df.withColumn("__dir", F.explode(F.array_distinct(dirs)))
-            .join(table, "__dir").drop("__dir"))
+    hits = []
+    for root in roots:
+        base = root.rstrip("/") + "/"
+        cond = p.startswith(base)
+        if not recursive:
+            cond = cond & ~F.substring(p, len(base) + 1, 1 << 30).contains("/")
+        hits.append(F.when(cond, F.lit(root)))
+    found = F.filter(F.array(*hits), lambda x: x.isNotNull()) if hits else F.array().cast("array<string>")
+    return df.withColumn("prefix", F.explode(found))
 
 
 def union_sources(*sources) -> DataFrame:

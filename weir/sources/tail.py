@@ -16,11 +16,18 @@ source reads a file once and never sees appends, hence this Python data source.
   cut into ``splitBytes`` slices aligned on newlines by the reader (a slice
   owns the lines that start inside it), so one huge file is read in parallel.
 * ``wholeLines=true`` holds back a last line without newline until it is
-  complete (the offset stops before it).
+  complete (the offset stops before it, from the first batch on).
 * ``maxBytesPerTrigger`` caps how far the offsets move in one micro-batch,
-  stopping on line boundaries. The reader learns the start of a run only from
-  its own planning, so the first micro-batch after a start or restart reads
-  everything available and the cap applies from the next one.
+  stopping on line boundaries. The budget is shared among the files that have
+  something unread, those served longest ago first, so busy files do not starve
+  others. The API does not tell a source its start before it plans an end, so
+  the source notes each planned end in ``progressPath`` (a small file) before
+  Spark logs it, and counts the budget from there after a restart; what is read
+  is decided by Spark's own offsets alone. Without ``progressPath`` the first
+  batch after a (re)start is not capped.
+* A file under several roots comes once per root, as with two watches.
+* ``message`` is BINARY: the bytes of the line as they are. Lines are read in
+  blocks and handed over as Arrow record batches.
 
 Executors must see the same paths as the driver (shared storage).
 """
@@ -31,7 +38,7 @@ import os
 
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
-TAIL_SCHEMA = "prefix string, path string, offset bigint, nbytes bigint, message string, ts timestamp"
+TAIL_SCHEMA = "prefix string, path string, offset bigint, nbytes bigint, message binary, ts timestamp"
 
 
 def _truthy(v, default=False):
@@ -94,6 +101,16 @@ def next_newline_end(path, lo, hi, block=1 << 16):
     return hi
 
 
+def roots_of(path, roots, recursive):
+    """The roots that watch a file, in the order given."""
+    out = []
+    for r in roots:
+        base = r.rstrip("/") + "/"
+        if path.startswith(base) and (recursive or "/" not in path[len(base):]):
+            out.append(r)
+    return out
+
+
 class TailPartition(InputPartition):
     """Bytes ``[lo, hi)`` of the new range ``[.., end)`` of one file: the slice
     owns every line that starts inside it (the first slice starts a line)."""
@@ -116,36 +133,66 @@ class TailStreamReader(DataSourceStreamReader):
         self.whole_lines = _truthy(options.get("wholeLines"), False)
         self.split_bytes = int(options.get("splitBytes", 64 << 20))
         self.max_bytes = int(options.get("maxBytesPerTrigger", 0)) or None
+        self.progress_path = options.get("progressPath")
         self._last = None
+        self._turn = 0
+        self._served = {}
 
     def _snapshot(self, previous):
-        """New end offsets. ``previous`` is the last planned end (None right after
-        a restart: the real start then comes from the checkpoint, so no byte
-        budget is applied to that first batch)."""
+        """New end offsets. ``previous``: the ends planned last, or after a restart
+        those noted at the last commit (None: unknown, everything is due)."""
         files = list_files(self.roots, self.recursive)
-        out = {}
-        budget = self.max_bytes if previous is not None else None
-        for p in sorted(files):
-            _root, size = files[p]
+        ends, pending = {}, []
+        for p, (_root, size) in files.items():
             start = (previous or {}).get(p, 0)
             if size < start:
                 start = 0  # truncated
-            end = size
-            if self.whole_lines and end > start:
-                end = last_newline_end(p, start, end)
-            if budget is not None and end > start:
-                capped = min(end, start + max(budget, 0))
-                if capped < end:
-                    # Stop on a line boundary: before the cut line, or -- when a
-                    # single line is longer than the budget -- after it.
-                    snapped = last_newline_end(p, start, capped)
-                    if snapped == start and budget > 0:
-                        snapped = next_newline_end(p, capped, end)
-                    capped = snapped
-                end = capped
-                budget -= end - start
-            out[p] = max(end, start)
-        return out
+            end = last_newline_end(p, start, size) if self.whole_lines and size > start else size
+            ends[p] = start
+            if end > start:
+                pending.append((self._served.get(p, -1), p, start, end))
+        if self.max_bytes is None or previous is None:
+            ends.update({p: end for _, p, _, end in pending})
+            return ends
+        self._turn += 1
+        budget = self.max_bytes
+        share = max(1, self.max_bytes // max(1, len(pending)))
+        for _, p, start, end in sorted(pending):
+            if budget <= 0:
+                break
+            capped = min(end, start + min(share, budget))
+            if capped < end:
+                # Stop on a line boundary: before the cut line, or -- when a
+                # single line is longer than the share -- after it.
+                capped = last_newline_end(p, start, capped)
+                if capped == start:
+                    capped = next_newline_end(p, start + min(share, budget), end)
+                    if self.whole_lines:
+                        capped = min(capped, end)
+            ends[p] = capped
+            budget -= capped - start
+            self._served[p] = self._turn
+        return ends
+
+    def _noted(self):
+        """The end planned last by an earlier run; where there was none, the
+        initial offset; None if no ends are noted."""
+        import json
+
+        if not self.progress_path:
+            return None
+        try:
+            with open(self.progress_path, encoding="utf-8") as f:
+                return json.load(f)["files"]
+        except FileNotFoundError:
+            return self.initialOffset()["files"]
+
+    def _note(self, end):
+        import json
+
+        with open(self.progress_path + ".new", "w", encoding="utf-8") as f:
+            json.dump(end, f)
+        os.replace(self.progress_path + ".new", self.progress_path)
 
     def initialOffset(self):
         # Does not touch the planned state: Spark may call it after the first
@@ -153,40 +200,46 @@ class TailStreamReader(DataSourceStreamReader):
         if self.starting == "earliest":
             return {"files": {}}
         files = list_files(self.roots, self.recursive)
-        return {"files": {p: size for p, (_r, size) in files.items()}}
+        return {"files": {p: last_newline_end(p, 0, size) if self.whole_lines else size
+                          for p, (_r, size) in files.items()}}
 
     def latestOffset(self):
-        prev = self._last["files"] if self._last is not None else None
+        prev = self._last["files"] if self._last is not None else self._noted()
         self._last = {"files": self._snapshot(prev)}
+        if self.progress_path:
+            self._note(self._last)
         return self._last
 
     def partitions(self, start, end):
         s_files = start.get("files", {})
         parts = []
-        roots = sorted(self.roots, key=len, reverse=True)
         for p, e in sorted(end.get("files", {}).items()):
             s = s_files.get(p, 0)
             if e < s:
-                s = 0  # truncated since the last batch
-            if e <= s:
-                continue
-            prefix = next((r for r in roots if p.startswith(r.rstrip("/") + "/")), "/")
-            lo = s
-            while lo < e:
-                hi = min(e, lo + self.split_bytes)
-                parts.append(TailPartition(p, prefix, lo, hi, e, lo == s))
-                lo = hi
+                # Planned below the start: truncated since, or (planned without
+                # knowing the start) nothing new. The file's size tells.
+                if os.path.exists(p) and os.path.getsize(p) >= s:
+                    continue
+                s = 0
+            for prefix in roots_of(p, self.roots, self.recursive):
+                lo = s
+                while lo < e:
+                    hi = min(e, lo + self.split_bytes)
+                    parts.append(TailPartition(p, prefix, lo, hi, e, lo == s))
+                    lo = hi
         return parts
 
     def read(self, partition):
-        import datetime
         import time
 
+        import pyarrow as pa
+
         # Emission time: the read time, one microsecond apart per line, so lines
         # read together still have distinct, ordered times (as events stamped
         # one by one would).
         base_us = time.time_ns() // 1000
-        epoch = datetime.datetime(1970, 1, 1, tzinfo=datetime.timezone.utc)
+        schema = pa.schema([("prefix", pa.string()), ("path", pa.string()), ("offset", pa.int64()), ("nbytes", pa.int64()),
+                            ("message", pa.binary()), ("ts", pa.timestamp("us", "UTC"))])
         n = 0
         with open(partition.path, "rb") as f:
             pos = partition.lo
@@ -197,15 +250,28 @@ class TailStreamReader(DataSourceStreamReader):
                     f.readline()
                     pos = f.tell()
             f.seek(pos)
-            while pos < partition.hi and pos < partition.end:
-                line = f.readline(partition.end - pos)
-                if not line:
+            stop = min(partition.hi, partition.end)
+            while pos < stop:
+                # The lines of a block; the last one may run past it.
+                block = f.read(min(1 << 20, stop - pos))
+                if not block:
                     break
-                ts = epoch + datetime.timedelta(microseconds=base_us + n)
-                yield (partition.prefix, partition.path, pos, len(line),
-                       line.decode("utf-8", errors="replace"), ts)
-                pos += len(line)
-                n += 1
+                if not block.endswith(b"\n"):
+                    block += f.readline(max(0, partition.end - pos - len(block)))
+                lines = block.split(b"\n")
+                last = lines.pop()
+                lines = [x + b"\n" for x in lines] + ([last] if last else [])
+                sizes = [len(x) for x in lines]
+                offsets = []
+                for size in sizes:
+                    offsets.append(pos)
+                    pos += size
+                k = len(lines)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([partition.prefix] * k, pa.string()), pa.array([partition.path] * k, pa.string()),
+                     pa.array(offsets, pa.int64()), pa.array(sizes, pa.int64()), pa.array(lines, pa.binary()),
+                     pa.array(range(base_us + n, base_us + n + k), pa.int64()).cast(pa.timestamp("us", "UTC"))], schema=schema)
+                n += k
 
     def commit(self, end):
         pass

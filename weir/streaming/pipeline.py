@@ -9,10 +9,14 @@ the tail offsets and the quota state live there, so a restart resumes exactly.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weir.operators import codec, enrich, filters
+from weir.schema import DEFAULT_ENCODER
+from weir.sinks import write_to
 from weir.sources.tail import tail_stream
 from weir.sources.writes import write_events
 from weir.streaming.quota_state import rate_limit_stream
@@ -22,7 +26,12 @@ def capture_stream(spark: SparkSession, paths, excludes=(), quota: float | None
                    users: DataFrame | None = None, groups: DataFrame | None = None,
                    procs: DataFrame | None = None, fields=None, tags=None, topic: str | None = None,
                    encoder: str = "logstash_base64", starting: str = "latest",
-                   whole_lines: bool = False) -> DataFrame:
+                   whole_lines: bool = False, with_rejects: bool = False) -> DataFrame:
+    """Wire records (``path, seq, topic, value``); ``with_rejects`` gives every row
+    with ``encoder`` and ``reason`` (null: to be sent), so that a sink can route dead
+    letters. An encoder name that is not supported raises."""
+    if not (encoder.startswith("logstash") or encoder == "text"):
+        raise ValueError(f"unsupported encoder: {encoder}")
     lines = tail_stream(spark, paths, starting=starting, whole_lines=whole_lines)
     # The tail source has no caller: pid/uid/gid are 0, and the file path is
     # absolute under the prefix '/', as with a kernel watch.
@@ -41,5 +50,29 @@ def capture_stream(spark: SparkSession, paths, excludes=(), quota: float | None
     writes = enrich.with_static(writes, fields, tags)
     if topic is not None:
         writes = enrich.route_topic(writes, topic)
-    good, _ = codec.encode(writes, encoder, keep=("path", "seq"))
-    return good
+    marked = codec.encode_marked(writes, encoder, keep=("path", "seq"))
+    if with_rejects:
+        return marked
+    return marked.where(F.col("reason").isNull()).drop("encoder", "reason")
+
+
+def start_capture(spark: SparkSession, paths, sink: str, config: Callable[[], dict], checkpoint: str,
+                  starting: str = "latest", whole_lines: bool = False, trigger: dict | None = None):
+    """J5 live: a capture stream whose configuration is read again before each
+    micro-batch. ``config()`` returns the settings in force (``excludes, fields,
+    tags, topic, encoder``; missing ones have their defaults); when they differ from
+    the last ones the sink's ``update(settings)`` is called first. The sink is sent the
+    rows of ``encode_marked``, rejects included."""
+    lines = tail_stream(spark, paths, starting=starting, whole_lines=whole_lines)
+    writes = write_events(lines, seq=F.col("offset"), ts=F.col("ts"), prefix=F.lit("/"),
+                          path=F.col("path"), buf=F.col("message"))
+
+    def encode_batch(batch: DataFrame, settings: dict) -> DataFrame:
+        excludes = settings.get("excludes") or ()
+        kept = filters.exclude_paths(batch, list(excludes)) if excludes else batch
+        kept = enrich.with_static(kept, settings.get("fields"), settings.get("tags"))
+        kept = enrich.route_topic(kept, settings.get("topic"))
+        # A per-row encoder: an unknown name rejects rows instead of ending the stream.
+        return codec.encode_marked(kept, F.lit(settings.get("encoder") or DEFAULT_ENCODER), keep=("path", "seq"))
+
+    return write_to(writes, sink, checkpoint=checkpoint, trigger=trigger, config=config, prepare=encode_batch)

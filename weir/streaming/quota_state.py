@@ -3,8 +3,13 @@
 Each key (path) keeps one value in the state store: the time of its last event,
 in microseconds. Rows of a micro-batch are taken in ``(ts, seq)`` order; the rule
 is the batch one (``weir.operators.quota``). A row older than the stored time
-(late data) passes and does not move the time back. The state has a TTL so keys
-that went quiet do not stay in the store forever.
+(late data) passes and does not move the time back. By default the state is kept
+for good, so a stream drops what the batch operator drops; ``ttl_ms`` forgets keys
+that went quiet for so long, whose next event then passes as a first one.
+
+A key's rows of one micro-batch are ordered together (the rule needs their order),
+so a micro-batch's share of the hottest key must fit in a Python worker: bound it
+with the source's ``maxBytesPerTrigger``. The rule itself is one numpy pass.
 """
 
 from __future__ import annotations
@@ -18,7 +23,7 @@ _STATE = T.StructType([T.StructField("last_us", T.LongType())])
 
 
 def quota_processor(quota: float, size_col: str = "size", seq_col: str = "seq",
-                    ttl_ms: int | None = 24 * 3600 * 1000, keep_dropped: bool = False) -> StatefulProcessor:
+                    ttl_ms: int | None = None, keep_dropped: bool = False) -> StatefulProcessor:
     """The processor, built inside a function so it is pickled by value (the
     driver-side runner of stateful processors does not see ``--py-files``)."""
     state_schema = _STATE
@@ -35,21 +40,18 @@ def quota_processor(quota: float, size_col: str = "size", seq_col: str = "seq",
             if pdf.empty:
                 return
             pdf = pdf.sort_values(["weir_us", seq_col], kind="stable").reset_index(drop=True)
-            last = self.last.get()[0] if self.last.exists() else None
             us = pdf["weir_us"].to_numpy(dtype=np.int64)
-            sizes = pdf[size_col].to_numpy(dtype=np.float64)
-            overflow = np.zeros(len(pdf), dtype=bool)
-            for i in range(len(pdf)):
-                t = int(us[i])
-                if last is not None:
-                    dt = t - last
-                    if dt == 0:
-                        overflow[i] = True
-                    elif dt > 0:
-                        overflow[i] = sizes[i] * 1e6 / dt > quota
-                if last is None or t > last:
-                    last = t
-            self.last.update((int(last),))
+            known = self.last.exists()
+            start = self.last.get()[0] if known else us[0]
+            # The time each row is measured from: late rows never move it back.
+            seen = np.maximum.accumulate(np.concatenate([[start], us]))
+            dt = us - seen[:-1]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                rate = pdf[size_col].to_numpy(dtype=np.float64) * 1e6 / dt
+            overflow = (dt == 0) | (dt > 0) & (rate > quota)
+            if not known:
+                overflow[0] = False
+            self.last.update((int(seen[-1]),))
             pdf["overflow"] = overflow
             out = pdf if keep_dropped else pdf[~pdf["overflow"]]
             yield out.drop(columns=["weir_us"])
@@ -61,7 +63,7 @@ def quota_processor(quota: float, size_col: str = "size", seq_col: str = "seq",
 
 
 def rate_limit_stream(df: DataFrame, quota: float, key: str = "path", ts: str = "ts", size: str = "size",
-                      seq: str = "seq", keep_dropped: bool = False, ttl_ms: int | None = 24 * 3600 * 1000) -> DataFrame:
+                      seq: str = "seq", keep_dropped: bool = False, ttl_ms: int | None = None) -> DataFrame:
     """Stream of the rows under the quota (or all rows with ``overflow`` when
     ``keep_dropped``). Needs the RocksDB state store provider."""
     spark = df.sparkSession
@@ -73,4 +75,4 @@ def rate_limit_stream(df: DataFrame, quota: float, key: str = "path", ts: str =
                               + [T.StructField("overflow", T.BooleanType())])
     return staged.groupBy(key).transformWithStateInPandas(
         statefulProcessor=quota_processor(float(quota), size, seq, ttl_ms, keep_dropped),
-        outputStructType=out_schema, outputMode="Append", timeMode="ProcessingTime")
+        outputStructType=out_schema, outputMode="Append", timeMode="None" if ttl_ms is None else "ProcessingTime")
