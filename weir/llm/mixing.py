@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weir.llm.text import word_count
+from weir.session import materialize
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
@@ -83,7 +84,8 @@ def with_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     d = d.select("row", "tie", "source", "size", size_class(F.col("size")).alias("class"),
                  F.substring("h", 1, SLICE_DIGITS).alias("slice"), F.substring("h", 1 + SLICE_DIGITS, 14).alias("h"))
     keys = ["source", "class", "slice"]
-    cells = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("words"))
+    # Read by the sources' sizes and by the running sums: a small table, kept rather than counted twice.
+    cells = materialize(d.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("words")))
     sizes = cells.groupBy("source").agg(F.sum("words").alias("source_size"))
     along = Window.partitionBy("source").orderBy("class", "slice").rowsBetween(Window.unboundedPreceding, -1)
     cells = cells.withColumn("before", F.coalesce(F.sum("n").over(along), F.lit(0)))
