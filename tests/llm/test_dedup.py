@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
 from tests.llm import brute
@@ -65,13 +66,26 @@ def test_small_shards_give_the_same(spark):
     assert rows(substring.substring_digest(df, shard_words=50)) == expected("substring", df)
 
 
+def test_span_hashes():
+    rng = np.random.default_rng(1)
+    h = rng.integers(0, 1 << 63, 70000, dtype=np.uint64)
+    spans = [(0, 20), (5, 25), (69000, 70000), (10, 10)]
+    h[69000:69020] = h[:20]
+    spans.append((69000, 69020))
+    a, b = np.array(spans).T
+    got = substring._span_hashes(h, a, b).tolist()
+    assert got[0] == got[4] and len(set(got)) == 4
+    up = substring._powers(100)
+    assert int(up[0][3]) == pow(substring._BASE, 3, 1 << 64) and int(up[0][3]) * int(up[1][3]) % (1 << 64) == 1
+
+
 def test_equal_windows_have_equal_anchors():
     a = [f"n{i}" for i in range(40)]
     one = substring.pieces_of(" ".join(["x"] * 11 + a).encode())
     two = substring.pieces_of(" ".join(a + ["y"] * 5).encode())
 
-    def anchor(pieces, w):
-        return next(p["a"] for p in pieces if p["s"] <= w < p["s"] + p["n"])
+    def anchor(p, w):
+        return next(a for a, s, n in zip(p["a"], p["s"], p["n"]) if s <= w < s + n)
     for w in range(21):
         assert anchor(one, w + 11) == anchor(two, w)
-    assert {p["a"] for p in one} == set(substring.anchor_places(" ".join(["x"] * 11 + a).encode()).tolist())
+    assert set(one["a"]) == set(substring.anchor_places(" ".join(["x"] * 11 + a).encode())["a"])
