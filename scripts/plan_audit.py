@@ -10,7 +10,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from weir.plans import catalog  # noqa: E402
 from weir.plans.pipeline import flagship  # noqa: E402
 from weir.session import build_session  # noqa: E402
 
@@ -29,7 +29,7 @@ PATTERNS = {
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = build_session()
-    plans = {"flagship": flagship, **E.queries()}
+    plans = {"flagship": flagship, **catalog.queries()}
     print(f"# Physical plans at {os.path.basename(sf)} (static, before AQE re-planning)\n")
     print("| query | " + " | ".join(PATTERNS) + " | scans |")
     print("| --- | " + " | ".join("---" for _ in PATTERNS) + " | --- |")

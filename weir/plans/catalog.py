@@ -320,8 +320,11 @@ def q_nul_cut(spark, sf):
     w = sw.write_events(ev, seq=F.col("event_id"), ts=F.col("ts"), prefix=F.lit("/var/log"),
                         path=F.lit("./nul.log"),
                         buf=F.concat(F.col("event_type"), F.lit("\x00"), F.col("props")))
-    good, _ = codec.encode(w, "text")
-    return good.select("seq", F.col("value").cast("string").alias("value"))
+    sent = []
+    for name in ("text", "logstash"):
+        good, _ = codec.encode(w, name)
+        sent.append(good.select("seq", F.lit(name).alias("encoder"), F.col("value").cast("string").alias("value")))
+    return sent[0].unionByName(sent[1])
 
 
 def _mixed_wire(spark, sf):

@@ -239,7 +239,10 @@ ASOF LEFT JOIN config_versions c ON w.ts >= c.effective_from""", "writes", "conf
     "obfuscate": sql("SELECT seq, translate(hex(" + _event_json("buf", STATIC_FIELDS_SQL, STATIC_TAGS_SQL)
                      + "), '0123456789ABCDEF', 'FEDCBA9876543210') AS value_hex FROM enriched",
                      "writes", "users", "groups", "procs", "enriched"),
-    "nul_cut": f"SELECT event_id AS seq, {ISO} || ': ./nul.log: ' || event_type AS value FROM events",
+    "nul_cut": f"""SELECT event_id AS seq, 'text' AS encoder, {ISO} || ': ./nul.log: ' || event_type AS value FROM events
+UNION ALL SELECT seq, 'logstash', {_event_json('buf')} FROM (
+  SELECT event_id AS seq, ts, './nul.log' AS path, 0 AS pid, 0 AS uid, 0 AS gid, '' AS "user", '' AS "group", '' AS command,
+         event_type AS buf FROM events)""",
     "deobfuscate": sql(f"""SELECT seq, CASE {ET} WHEN 'click' THEN hex({_event_json('buf')})
        WHEN 'error' THEN translate(hex({ISO} || ': ' || path || ': ' || buf), '0123456789ABCDEF', 'FEDCBA9876543210')
        ELSE hex({_event_json('to_base64(encode(buf))')}) END AS value_hex
