@@ -84,15 +84,29 @@ def tail_from_offsets(files: DataFrame, offsets: DataFrame | None = None, starti
             .when(size < F.col("__saved"), F.lit(0).cast("bigint"))
             .otherwise(F.col("__saved"))).drop("__saved")
     staged = staged.withColumn("__size", size)
-    lines = split_lines(staged, keep=("__start", "__size"))
-    lines = lines.where(F.col("offset") + F.col("nbytes") > F.col("__start"))
+    # The bytes after the start are cut out first, so only they are split.
+    raw = F.col("text").cast("binary")
+    rest = F.substr(raw, (F.col("__start") + 1).cast("int")).cast("string")
+    head = F.substr(raw, F.lit(1), F.col("__start").cast("int")).cast("string")
+    before = F.octet_length(head) - F.octet_length(F.replace(head, F.lit("\n"), F.lit("")))
+    # A start inside a character leaves bytes that the repair below lengthens: the
+    # first line's length is taken from the bytes themselves.
+    first = F.octet_length(F.substring_index("__rest", "\n", 1)) + F.col("__rest").contains("\n").cast("int")
+    pieces = staged.where(F.col("__start") < F.col("__size")).select(
+        "path", "__start", before.cast("bigint").alias("__before"), rest.alias("__rest"))
+    pieces = pieces.select("path", "__start", "__before", first.cast("bigint").alias("__first"),
+                           F.split(utf8_repair("__rest"), r"(?<=\n)").alias("__lines"))
+    lens = F.transform("__lines", lambda x, i: F.when(i == 0, F.col("__first")).otherwise(F.octet_length(x).cast("bigint")))
+    pieces = pieces.select("path", "__start", "__before", "__lines", lens.alias("__lens"))
+    pieces = pieces.withColumn("__offs", _prefix_sums()(F.col("__lens")))
+    lines = pieces.select("path", "__start", "__before", F.posexplode(F.arrays_zip(
+        F.col("__lines").alias("message"), F.col("__offs").alias("offset"), F.col("__lens").alias("nbytes"))).alias("__no", "__l"))
+    lines = lines.where(F.col("__l.nbytes") > 0)
     if whole_lines:
-        lines = lines.where(F.col("message").endswith("\n"))
-    cut = F.greatest(F.col("__start") - F.col("offset"), F.lit(0)).cast("bigint")
+        lines = lines.where(F.col("__l.message").endswith("\n"))
     out = lines.select(
-        "path", "line_no", (F.col("offset") + cut).alias("offset"), (F.col("nbytes") - cut).alias("nbytes"),
-        F.when(cut == 0, F.col("message"))
-        .otherwise(utf8_repair(F.substr(F.col("message").cast("binary"), (cut + 1).cast("int")))).alias("message"))
+        "path", (F.col("__before") + F.col("__no")).alias("line_no"), (F.col("__start") + F.col("__l.offset")).alias("offset"),
+        F.col("__l.nbytes").alias("nbytes"), F.col("__l.message").alias("message"))
     if whole_lines:
         # End of the last complete line, never before the old start.
         tail = F.octet_length(F.substring_index("text", "\n", -1))
