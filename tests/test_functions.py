@@ -95,8 +95,10 @@ def test_version_gate(spark):
 
 
 def test_ruby_to_i(spark):
-    df = spark.createDataFrame([("12",), ("12ab",), ("ab",), ("-3",), ("69}",), ("99999999999999999999",)], "s string")
-    assert [r.n for r in df.select(ruby_to_i("s").alias("n")).collect()] == [12, 12, 0, -3, 69, 0]
+    df = spark.createDataFrame([("12",), ("12ab",), ("ab",), ("-3",), ("69}",), ("99999999999999999999",), ("9" * 39,), (None,)],
+                               "s string")
+    got = [r.n for r in df.select(ruby_to_i("s").alias("n")).collect()]
+    assert got == [12, 12, 0, -3, 69, 99999999999999999999, None, None]
 
 
 def test_pairs_to_map_last_wins(spark):

@@ -119,10 +119,10 @@ def utf8_repair(c) -> Column:
 
 def ruby_to_i(c) -> Column:
     """Integer prefix of a string, like Ruby's ``to_i``: optional sign and
-    leading digits after leading white space; 0 when there are none. A number
-    beyond BIGINT is null, never 0."""
+    leading digits after leading white space; 0 when there are none. DECIMAL(38,0),
+    since such integers have no largest; more than 38 digits give null, never 0."""
     digits = F.regexp_extract(_col(c), r"^\s*([+-]?[0-9]+)", 1)
-    return F.when(digits == "", F.lit(0).cast("bigint")).otherwise(digits.try_cast("bigint"))
+    return F.when(digits == "", F.lit(0).cast("decimal(38,0)")).otherwise(digits.try_cast("decimal(38,0)"))
 
 
 def version_at_least(c, minimum) -> Column:

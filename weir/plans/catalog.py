@@ -417,7 +417,8 @@ def q_missing_ranges(spark, sf):
 
 def q_explode_numbers(spark, sf):
     w = fx.writes(spark, sf).select("seq", F.col("buf").cast("string").alias("message"))
-    return dv.explode_numbers(w, "message", keep=("seq",)).select("seq", "pos", "item", "number")
+    n = dv.explode_numbers(w, "message", keep=("seq",))
+    return n.select("seq", "pos", "item", F.col("number").cast("bigint").alias("number"))
 
 
 def q_delivery_summary(spark, sf):
