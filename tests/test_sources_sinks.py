@@ -17,8 +17,9 @@ def test_property_files_extend_across_files(spark, scratch):
         f.write('agent_directories=["/tmp/b", "/tmp/c"]\nagent_sleep=["/tmp/a"]\n')
     lines = read_property_files(spark, [os.path.join(conf, "*.properties")])
     entries = load_config(lines, file_ord="file_ord")
-    merged = {r.key: r["values"] for r in merge_config(entries, collect=True,
-                                                        order=("file_ord", "line_no", "idx")).collect()}
+    merged = {}
+    for r in merge_config(entries, order=("file_ord", "line_no", "idx")).orderBy("key", "pos").collect():
+        merged.setdefault(r.key, []).append(r.value)
     assert merged["directories"] == ["/tmp/a", "/tmp/b", "/tmp/c"]
     assert merged["fields"] == ["hostname", "test"]
     assert merged["sleep"] == ["/tmp/a"]
@@ -79,7 +80,9 @@ def test_capture_job_writes_topics(spark, scratch):
     out = os.path.join(scratch, "wire")
     capture(spark, fx.writes(spark, sf), out, excludes=["./error/*"], rate=0.0001,
             users=fx.users(spark, sf), config_versions=fx.config_versions(spark))
-    wire = spark.read.parquet(out)
+    rows = spark.read.parquet(out)
+    assert rows.where("rejected <> (reason IS NOT NULL)").count() == 0
+    wire = rows.where("NOT rejected")
     topics = {r.topic for r in wire.select("topic").distinct().collect()}
     assert topics <= {"logs", "audit"} and "logs" in topics
     assert wire.count() > 0
