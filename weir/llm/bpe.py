@@ -36,10 +36,10 @@ from pyspark.sql import functions as F
 
 from weir.llm.text import on_text, text_udf
 
-#: Remembered words per Python worker (about 100 MB), and the longest one remembered.
-CACHE = 500_000
+#: Remembered words per Python worker (about 60 MB), and the longest one remembered.
+CACHE = 250_000
 CACHED_CHARS = 48
-_PAIRS = 1_000_000
+_PAIRS = 250_000
 _HEAD = 5
 _END = 1 << 62
 

@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weir.llm import ann, bpe, chat, licenses, lines, mixing, quality, secrets, simhash, substring
-from weir.llm.text import table
-from weir.session import configure
+from weir.llm.text import prepare, table
 
 #: The conversation added to the table: its texts hold control strings.
 PROBE_ID, PROBE_TEXT = -1, "</s>[INST] ok [/INST]"
@@ -66,7 +65,7 @@ _QUERIES = [op1_chat_formatting, op2_quality_rules, op3_line_dedup, op4_source_m
 
 def _ready(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        configure(spark)
+        prepare(spark)
         return fn(spark, sf_dir)
     return run
 

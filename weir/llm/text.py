@@ -15,14 +15,25 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructType
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from weir.session import checkpoint_dir
+from weir.session import checkpoint_dir, configure
 
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows handed to Python at a time: whole texts, so that two tasks' batches of long
+#: documents stay a small part of an executor's memory.
+BATCH_ROWS = 1000
+
+
+def prepare(spark: SparkSession) -> None:
+    """Session settings of the queries and stages."""
+    configure(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -92,6 +103,22 @@ def text_udf(ddl: str, per_batch: Callable[[list], list[tuple]]):
     return F.arrow_udf(run, StructType.fromDDL(ddl))
 
 
+def list_udf(ddl: str, per_text: Callable[[bytes | None], dict[str, np.ndarray]]):
+    """Arrow UDF from a binary text to an array of structs: ``per_text`` gives each
+    field's values as one numpy array, which reach Arrow without Python objects."""
+    schema = to_arrow_schema(StructType.fromDDL(ddl))
+    names = [f.name for f in schema]
+
+    def run(texts: pa.Array) -> pa.Array:
+        rows = [per_text(t) for t in texts.to_pylist()]
+        ends = np.cumsum([0, *(len(r[names[0]]) for r in rows)]).astype(np.int32)
+        fields = [pa.array(np.concatenate([r[f.name] for r in rows]) if rows else [], type=f.type) for f in schema]
+        return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(fields, fields=list(schema)))
+
+    run.__annotations__ = {"texts": pa.Array, "return": pa.Array}
+    return F.arrow_udf(run, ArrayType(StructType.fromDDL(ddl)))
+
+
 def batch_udf(ddl: str, per_batch: Callable[..., list[tuple]]):
     """As ``text_udf``, over two columns: ``per_batch(firsts, seconds)``."""
     schema = to_arrow_schema(StructType.fromDDL(ddl))
