@@ -13,38 +13,37 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weir.llm import bpe, lines, mixing, quality, simhash
-from weir.llm.text import table, write_table
-from weir.session import configure
+from weir.llm.text import prepare, table, write_table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the model, trained on the labels, keep."""
-    configure(spark)
+    prepare(spark)
     return quality.keep_quality(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without repeated windows of lines; ``n_chars`` follows the text."""
-    configure(spark)
+    prepare(spark)
     kept = lines.dedup_lines(docs)
     return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
-    configure(spark)
+    prepare(spark)
     return simhash.keep_one_per_group(docs)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents, each as often as the mix takes it."""
-    configure(spark)
+    prepare(spark)
     return mixing.mix(docs)
 
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each row."""
-    configure(spark)
+    prepare(spark)
     out = bpe.with_tokens(docs.select("doc_id", "lang", "source", "text"))
     return out.select("doc_id", "lang", "source", F.size("tokens").cast("long").alias("n_tokens"), "tokens")
 
@@ -58,6 +57,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents."""
+    prepare(spark)
     docs = table(spark, sf_dir, "documents")
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
