@@ -83,7 +83,8 @@ def asof_join(left: DataFrame, right: DataFrame, left_ts: str, right_ts: str, by
                                 F.lit(spread)).cast("int").alias("__part"))
 
     parts = F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("__part")
-    both = lside.where(F.col("__t").isNotNull()).select(
+    # Left rows without a time fall into a bucket of their own (null), which no right row shares.
+    both = lside.select(
         *keys, "__b", "__part", "__t", F.lit(1).alias("__side"), "__row", F.lit(None).cast(pay_type).alias("__pay")).unionByName(
         rside.select(*keys, "__b", parts, "__t", F.lit(0).alias("__side"), F.lit(None).cast(row_type).alias("__row"), "__pay"))
     inside = Window.partitionBy(*keys, "__b", "__part").orderBy("__t", "__side").rowsBetween(Window.unboundedPreceding, 0)
@@ -100,6 +101,5 @@ def asof_join(left: DataFrame, right: DataFrame, left_ts: str, right_ts: str, by
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"{k}c"))
     found = carried.join(carry, same, "left").select("__row", F.coalesce("__last", "__carry").alias("__p"))
-    timeless = lside.where(F.col("__t").isNull()).select("__row", F.lit(None).cast(pay_type).alias("__p"))
-    return found.unionByName(timeless).select(
+    return found.select(
         *[F.col("__row")[c].alias(c) for c in left.columns], *[F.col("__p")[c].alias(c) for c in payload])
