@@ -38,12 +38,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weir.llm.text import (batch_udf, fresh, on_text, outside, text_key, text_udf, window_hashes, with_ranges,
-                           word_hashes, words_of, write_table)
+from weir.llm.text import (batch_udf, fresh, list_udf, mix, outside, text_key, window_hashes, with_ranges, word_hashes,
+                           words_of, write_table)
 
 WINDOW = 20
 ANCHOR = 5
@@ -61,45 +60,62 @@ def _slide(x: np.ndarray, k: int, pick) -> np.ndarray:
     return x
 
 
-def _anchors(words: list[bytes], window: int, anchor: int) -> tuple[np.ndarray, np.ndarray]:
+def _anchors(hashes: np.ndarray, window: int, anchor: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the five-word runs, and the anchor of each window."""
-    runs = window_hashes(word_hashes(words), anchor)
+    runs = window_hashes(hashes, anchor)
     return runs, _slide(runs, window - anchor + 1, np.minimum)
 
 
-def anchor_places(text: bytes | None, window: int = WINDOW, anchor: int = ANCHOR) -> np.ndarray:
-    """The anchors of a text, one for each place where one stands."""
+def anchor_places(text: bytes | None, window: int = WINDOW, anchor: int = ANCHOR) -> dict[str, np.ndarray]:
+    """The anchors ``a`` of a text, one for each place where one stands."""
     words = words_of(text)
     if len(words) < window:
-        return np.empty(0, np.int64)
-    runs, low = _anchors(words, window, anchor)
+        return {"a": np.empty(0, np.int64)}
+    runs, low = _anchors(word_hashes(words), window, anchor)
     k = window - anchor + 1
     # A run is an anchor if it equals the largest of the minima of the windows around it.
     pad = np.concatenate([np.zeros(k - 1, np.uint64), low, np.zeros(k - 1, np.uint64)])
-    return runs[_slide(pad, k, np.maximum) == runs].astype(np.int64)
+    return {"a": runs[_slide(pad, k, np.maximum) == runs].astype(np.int64)}
 
 
-def pieces_of(text: bytes | None, window: int = WINDOW, anchor: int = ANCHOR) -> list[dict]:
+def pieces_of(text: bytes | None, window: int = WINDOW, anchor: int = ANCHOR) -> dict[str, np.ndarray]:
     """Pieces: anchor ``a``, hash ``b`` of the words, first word ``s``, ``n`` windows."""
     words = words_of(text)
     if len(words) < window:
-        return []
-    _, low = _anchors(words, window, anchor)
+        return {k: np.empty(0, np.int64) for k in "absn"}
+    hashes = word_hashes(words)
+    _, low = _anchors(hashes, window, anchor)
     cut = np.flatnonzero(low[1:] != low[:-1]) + 1
-    start = [0, *cut.tolist()]
-    stop = [*cut.tolist(), len(low)]
-    joined = b" ".join(words)
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-    begin = np.concatenate([[0], ends[:-1]])
-    first, last = begin[start].tolist(), (ends[np.array(stop) + window - 2] - 1).tolist()
-    a = low[start].astype(np.int64).tolist()
-    digest = xxhash.xxh3_64_intdigest
-    b = np.array([digest(joined[x:y]) for x, y in zip(first, last)], np.uint64).astype(np.int64).tolist()
-    return [{"a": x, "b": y, "s": s, "n": e - s} for x, y, s, e in zip(a, b, start, stop)]
+    start, stop = np.concatenate([[0], cut]), np.concatenate([cut, [len(low)]])
+    return {"a": low[start].astype(np.int64), "b": _span_hashes(hashes, start, stop + window - 1), "s": start, "n": stop - start}
 
 
-def _list_udf(ddl: str, per_text, *args):
-    return text_udf(ddl, lambda texts: [(per_text(t, *args),) for t in texts])
+#: Powers of an odd number modulo 2^64 and of its inverse, as far as needed so far.
+_BASE = 0x9E3779B97F4A7C15
+_POWERS: list[np.ndarray] = []
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    if not _POWERS or len(_POWERS[0]) < n:
+        size = max(1 << 15, 1 << n.bit_length())
+        factors = np.array([[_BASE], [pow(_BASE, -1, 1 << 64)]], np.uint64).repeat(size, 1)
+        factors[:, 0] = 1
+        _POWERS[:] = np.cumprod(factors, axis=1, dtype=np.uint64)
+    return _POWERS
+
+
+def _span_hashes(hashes: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Hash of the words of each span: a polynomial of their hashes, from one prefix sum."""
+    up, down = _powers(len(hashes) + 1)
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * up[:len(hashes)], dtype=np.uint64)])
+    return mix((total[stop] - total[start]) * down[start] + (stop - start).astype(np.uint64)).astype(np.int64)
+
+
+def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id, text`` and the two halves ``k, key`` of a row's key. Both joins of
+    documents below start from this frame, so their shuffle of the texts is one."""
+    return df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).withColumns(
+        {"k": F.xxhash64("doc_id"), "key": text_key(F.col("text"))})
 
 
 def _cut_batch(window: int):
@@ -187,20 +203,19 @@ def _locate_task(window: int, shard_words: int):
 def repeated_ranges(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     window: int = WINDOW, anchor: int = ANCHOR, shard_words: int = SHARD_WORDS) -> DataFrame:
     """``doc_id, text_key, i, j``: word ranges covered by windows that start earlier too."""
-    q = lambda c: F.col(f"`{c}`")
-    docs = df.select(q(id_col).alias("doc_id"), text_key(q(text_col)).alias("text_key"), q(text_col).alias("text"))
-    places = on_text(docs, _list_udf("a array<long>", anchor_places, window, anchor), [])
-    again = places.select(F.explode("a").alias("a")).groupBy("a").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("a")
-    pieces = on_text(docs, _list_udf("p array<struct<a: long, b: long, s: int, n: int>>", pieces_of, window, anchor),
-                     ["doc_id", "text_key"]).select("doc_id", "text_key", F.inline("p"))
+    docs = _keyed(df, id_col, text_col)
+    text = F.col("text").cast("binary")
+    places = docs.select(F.inline(list_udf("a long", lambda t: anchor_places(t, window, anchor))(text)))
+    again = places.groupBy("a").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("a")
+    cut_up = list_udf("a long, b long, s int, n int", lambda t: pieces_of(t, window, anchor))(text)
+    pieces = docs.select("doc_id", F.col("key").alias("text_key"), cut_up.alias("p")).select("doc_id", "text_key", F.inline("p"))
     pieces = write_table(pieces.join(again, "a", "left_semi").select("a", "b", "doc_id", "s", "n", "text_key"), "pieces")
     firsts = pieces.groupBy("a", "b").agg(F.min(F.struct("doc_id", "s", "n", "text_key")).alias("f"))
     # Texts of the first places, cut out where their documents are.
     wanted = firsts.select(F.xxhash64("f.doc_id").alias("k"), F.col("f.text_key").alias("key"), "a", "b", "f.s", "f.n")
     wanted = wanted.groupBy("k", "key").agg(F.collect_list(F.struct("a", "b", "s", "n")).alias("cuts"))
-    texts = docs.withColumn("k", F.xxhash64("doc_id")).withColumnRenamed("text_key", "key")
     cut = batch_udf("p array<struct<a: long, b: long, s: int, words: binary>>", _cut_batch(window))
-    phrases = texts.join(wanted.hint("shuffle_hash"), ["k", "key"]).select(
+    phrases = docs.join(wanted.hint("shuffle_hash"), ["k", "key"]).select(
         "doc_id", F.inline(cut(F.col("text").cast("binary"), F.col("cuts"))["p"]))
     phrases = phrases.select("a", "b", "doc_id", "s", "words").repartition("a").sortWithinPartitions("a", "b")
     found = phrases.mapInArrow(_locate_task(window, shard_words), "a long, b long, found array<int>")
@@ -238,6 +253,8 @@ def dedup_substrings(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def substring_digest(df: DataFrame, **options) -> DataFrame:
-    rows, ranges = with_ranges(df.select("doc_id", "text"), repeated_ranges(df, **options), "doc_id", "text")
+    ranges = repeated_ranges(df, **options).groupBy(F.xxhash64("doc_id").alias("k"), F.col("text_key").alias("key")).agg(
+        F.collect_list(F.struct("i", "j")).alias("ranges"))
+    rows = _keyed(df, "doc_id", "text").join(ranges, ["k", "key"], "left")
     udf = batch_udf("n_words long, n_removed long, kept_sha256 string", _digest_batch)
-    return rows.select("doc_id", udf(F.col("text").cast("binary"), F.col(ranges)).alias("r")).select("doc_id", "r.*")
+    return rows.select("doc_id", udf(F.col("text").cast("binary"), F.col("ranges")).alias("r")).select("doc_id", "r.*")
