@@ -25,13 +25,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weir.llm.text import fresh, mix, on_text, outside, text_udf, window_hashes, word_hashes, words_of
 
 DIMS = 1 << 17
-TRAIN_ROWS = 1000
+TRAIN_ROWS = 600
 MIN_ROWS = 10
 #: Texts whose calibrated probability of good quality is below this are rejected.
 THRESHOLD = 0.2
@@ -118,24 +119,41 @@ def _features(text: bytes | None) -> tuple[list, list]:
     return np.concatenate(at).astype(np.int32), np.concatenate(value).astype(np.float32)
 
 
+def _blocks(rows: list[tuple], entries: int = 1 << 18) -> list[tuple]:
+    """Rows as blocks of flat arrays (first row, slots, values, row of each entry)."""
+    out, first = [], 0
+    while first < len(rows):
+        last, size = first, 0
+        while last < len(rows) and (last == first or size + len(rows[last][0]) <= entries):
+            size += len(rows[last][0])
+            last += 1
+        part = rows[first:last]
+        out.append((first, last, np.concatenate([r[0] for r in part]), np.concatenate([r[1] for r in part]),
+                    np.repeat(np.arange(len(part), dtype=np.int32), [len(r[0]) for r in part])))
+        first = last
+    return out
+
+
 def _fit(rows: list[tuple[np.ndarray, np.ndarray, int]]) -> Model:
-    """Full-batch logistic regression with per-weight steps (Adagrad); every fifth row calibrates."""
+    """Full-batch logistic regression with per-weight steps (Adagrad), a block of rows
+    at a time; every fifth row calibrates."""
     held = [r for i, r in enumerate(rows) if i % 5 == 4]
     train = [r for i, r in enumerate(rows) if i % 5 != 4]
-    at = np.concatenate([r[0] for r in train])
-    value = np.concatenate([r[1] for r in train])
-    row = np.repeat(np.arange(len(train)), [len(r[0]) for r in train])
     y = np.array([r[2] for r in train], np.float64)
     share = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1))
     w, bias, seen, seen_b = np.zeros(DIMS), 0.0, np.full(DIMS, 1e-12), 1e-12
+    blocks = _blocks(train)
     for _ in range(EPOCHS):
-        score = np.bincount(row, value * w[at], len(train)) + bias
-        r = share * (_sigmoid(score) - y)
-        g = np.bincount(at, value * r[row], DIMS) + L2 * w
+        g, g_b = L2 * w, 0.0
+        for first, last, at, value, row in blocks:
+            score = np.bincount(row, value * w[at], last - first) + bias
+            r = share[first:last] * (_sigmoid(score) - y[first:last])
+            g += np.bincount(at, value * r[row], DIMS)
+            g_b += r.sum()
         seen += g * g
-        seen_b += r.sum() ** 2
+        seen_b += g_b ** 2
         w -= RATE * g / np.sqrt(seen)
-        bias -= RATE * r.sum() / np.sqrt(seen_b)
+        bias -= RATE * g_b / np.sqrt(seen_b)
     score = np.array([float(v @ w[s]) + bias for s, v, _ in held])
     y = np.array([r[2] for r in held], np.float64)
     # Platt: smoothed targets, Newton steps on (a, b).
@@ -167,11 +185,17 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     sample = F.broadcast(picked)  # at most 2 * rows ids
     texts = docs.select(q(id_col).alias("id"), q(text_col).alias("text")).join(sample, "id")
     udf = text_udf("at array<int>, value array<float>", lambda ts: [_features(t) for t in ts])
-    got = on_text(texts, udf, ["id", "y"]).toPandas()
-    got = got.assign(n=got["at"].map(len)).sort_values(["id", "n"], kind="stable").drop_duplicates("id")
-    if (got.y == 0).sum() < MIN_ROWS or (got.y == 1).sum() < MIN_ROWS:
+    got = on_text(texts, udf, ["id", "y"]).toArrow().combine_chunks()
+    ids, ys = got["id"].to_numpy(), got["y"].to_numpy()
+    ends, at, value = [np.concatenate([[0], np.cumsum(pc.list_value_length(got["at"]).to_numpy())])] + [
+        pc.list_flatten(got[c]).to_numpy() for c in ("at", "value")]
+    # Rows that repeat an id: the one with the fewest n-grams, by their slots on a tie.
+    spans = {i: (at[a:b], value[a:b]) for i, (a, b) in enumerate(zip(ends, ends[1:]))}
+    order = sorted(spans, key=lambda i: (ids[i], len(spans[i][0]), spans[i][0].tobytes()))
+    once = [i for n, i in enumerate(order) if not n or ids[order[n - 1]] != ids[i]]
+    if min((ys[once] == 0).sum(), (ys[once] == 1).sum()) < MIN_ROWS:
         return None
-    return _fit([(np.asarray(a, np.int64), np.asarray(v, np.float64), int(y)) for a, v, y in zip(got["at"], got["value"], got["y"])])
+    return _fit([(*spans[i], int(ys[i])) for i in once])
 
 
 def _score_batch(shared, threshold: float):
