@@ -31,6 +31,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weir.llm.text import write_table
+
 MIN_RUN = 16
 TRAIN_ROWS = 2000
 MIN_ROWS = 5
@@ -131,6 +133,7 @@ def judge(found: DataFrame, model: RandomForestClassificationModel | None, thres
 def scan_secrets(df: DataFrame, labelled: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All findings with the forest's verdict; ``is_secret`` false marks those removed."""
     found = with_features(candidates(df, id_col, text_col), frequent_words(df, text_col))
+    found = write_table(found, "findings")  # read by the samples of both labels and by the verdicts
     model = train(labelled if labelled is not None else label_by_format(found))
     return judge(found, model)
 
