@@ -89,3 +89,22 @@ def test_equal_windows_have_equal_anchors():
     for w in range(21):
         assert anchor(one, w + 11) == anchor(two, w)
     assert set(one["a"]) == set(substring.anchor_places(" ".join(["x"] * 11 + a).encode())["a"])
+
+
+def test_anchor_larger_than_a_shard(spark):
+    # Each text has the same five words, the smallest run of its windows, between others.
+    rng = np.random.default_rng(3)
+    runs = [f"r{i} s{i} t{i} u{i} v{i}" for i in range(4000)]
+    low = min(runs, key=lambda r: substring.window_hashes(substring.word_hashes(r.encode().split()), 5)[0])
+    texts = [" ".join([*(f"x{rng.integers(3)}" for _ in range(2)), *(f"l{k % 7}.{i}" for i in range(14)), low,
+                       *(f"m{k % 5}.{i}" for i in range(14)), f"name{k}"]) for k in range(60)]
+    df = docs(spark, texts, ids=[None, *range(59)])
+    assert rows(substring.substring_digest(df, shard_words=500)) == expected("substring", df)
+    parts = [substring.pieces_of(t.encode()) for t in texts]
+    pieces = spark.createDataFrame([(int(p["a"][i]), int(p["b"][i]), int(p["n"][i])) for p in parts for i in range(len(p["a"]))],
+                                   "a long, b long, n int")
+    large = {r.a for r in substring.large_anchors(pieces, 20, 500).collect()}
+    held = {}
+    for a, b, n in set(map(tuple, pieces.collect())):
+        held[a] = held.get(a, 0) + n + 19
+    assert large and large == {a for a, c in held.items() if c > 500}

@@ -18,11 +18,16 @@ words also start earlier (smaller doc_id, or same document, earlier start) goes.
    that can hold them -- those filed under the shard's anchors -- are streamed
    through. A match away from its phrase's first place is a range to remove; a
    piece found again at a later place is a range as a whole.
+   An anchor whose distinct pieces have more than ``SHARD_WORDS`` words is in no shard:
+   its windows are filed under 128-bit hashes, first places come from a partial
+   aggregate, and a window of many pieces is dealt over ``SALTS`` parts, so no task
+   holds such an anchor.
 4. Ranges are joined back to the documents, merged and cut out.
 
 No document is read by more shards than it has anchors in, so the work grows
 with the text and not with shards times text. Hash equality only ever decides
-between pieces that share a 64-bit anchor and a second 64-bit hash.
+between pieces that share a 64-bit anchor and a second 64-bit hash, and between windows
+of one large anchor that share 128 bits.
 
 Defined cases: null text has no words; texts shorter than a window keep all
 words; windows repeated inside one document count (the first stays); rows that
@@ -38,6 +43,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,6 +54,8 @@ WINDOW = 20
 ANCHOR = 5
 #: Words of pieces compiled into one automaton.
 SHARD_WORDS = 200_000
+#: Parts that the places of one window of a large anchor are dealt to.
+SALTS = 64
 
 
 def _slide(x: np.ndarray, k: int, pick) -> np.ndarray:
@@ -200,6 +208,38 @@ def _locate_task(window: int, shard_words: int):
     return task
 
 
+def large_anchors(pieces: DataFrame, window: int, shard_words: int) -> DataFrame:
+    """Anchors ``a`` whose distinct pieces have more than ``shard_words`` words: at most
+    one for so many words of the table."""
+    words = F.col("n") + F.lit(window - 1)
+    # A bound that needs no gathering of equal pieces leaves few anchors to count exactly.
+    some = pieces.groupBy("a").agg(F.sum(words).alias("c")).where(F.col("c") > shard_words).select("a")
+    distinct = pieces.join(F.broadcast(some), "a", "left_semi").groupBy("a", "b").agg(F.min(words).alias("c"))
+    return distinct.groupBy("a").agg(F.sum("c").alias("c")).where(F.col("c") > shard_words).select("a")
+
+
+def _windows_of(words: bytes | None, window: int) -> dict[str, np.ndarray]:
+    """Windows of a piece: first word ``o`` and two hashes."""
+    words = words_of(words)
+    other = np.fromiter((xxhash.xxh64_intdigest(w, 1) for w in words), np.uint64, len(words))
+    one, two = (window_hashes(h, window).astype(np.int64) for h in (word_hashes(words), other))
+    return {"o": np.arange(len(one)), "h1": one, "h2": two}
+
+
+def _locate_large(phrases: DataFrame, window: int) -> DataFrame:
+    """As ``_locate`` for pieces of large anchors, window by window."""
+    udf = list_udf("o int, h1 long, h2 long", lambda t: _windows_of(t, window))
+    # One exchange of the pieces feeds both uses of their windows.
+    w = phrases.repartition("a", "b").select("a", "b", "doc_id", "s", F.inline(udf(F.col("words"))))
+    w = w.select("a", "b", "o", "h1", "h2", F.struct("doc_id", (F.col("s") + F.col("o")).alias("s")).alias("place"),
+                 F.pmod(F.col("b"), F.lit(SALTS)).alias("salt"))
+    first = w.groupBy("a", "h1", "h2", "salt").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("c"))
+    first = first.groupBy("a", "h1", "h2").agg(F.min("first").alias("first"), F.sum("c").alias("c"), F.collect_list("salt").alias("salts"))
+    first = first.where("c > 1").select("a", "h1", "h2", "first", F.explode("salts").alias("salt"))
+    later = w.join(first, ["a", "h1", "h2", "salt"]).where(~F.col("place").eqNullSafe(F.col("first")))
+    return later.groupBy("a", "b").agg(F.sort_array(F.collect_set("o")).alias("found"))
+
+
 def repeated_ranges(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     window: int = WINDOW, anchor: int = ANCHOR, shard_words: int = SHARD_WORDS) -> DataFrame:
     """``doc_id, text_key, i, j``: word ranges covered by windows that start earlier too."""
@@ -211,14 +251,23 @@ def repeated_ranges(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     pieces = docs.select("doc_id", F.col("key").alias("text_key"), cut_up.alias("p")).select("doc_id", "text_key", F.inline("p"))
     pieces = write_table(pieces.join(again, "a", "left_semi").select("a", "b", "doc_id", "s", "n", "text_key"), "pieces")
     firsts = pieces.groupBy("a", "b").agg(F.min(F.struct("doc_id", "s", "n", "text_key")).alias("f"))
-    # Texts of the first places, cut out where their documents are.
-    wanted = firsts.select(F.xxhash64("f.doc_id").alias("k"), F.col("f.text_key").alias("key"), "a", "b", "f.s", "f.n")
-    wanted = wanted.groupBy("k", "key").agg(F.collect_list(F.struct("a", "b", "s", "n")).alias("cuts"))
     cut = batch_udf("p array<struct<a: long, b: long, s: int, words: binary>>", _cut_batch(window))
-    phrases = docs.join(wanted.hint("shuffle_hash"), ["k", "key"]).select(
-        "doc_id", F.inline(cut(F.col("text").cast("binary"), F.col("cuts"))["p"]))
-    phrases = phrases.select("a", "b", "doc_id", "s", "words").repartition("a").sortWithinPartitions("a", "b")
-    found = phrases.mapInArrow(_locate_task(window, shard_words), "a long, b long, found array<int>")
+
+    def phrases(some: DataFrame) -> DataFrame:
+        """Texts of first places, cut out where their documents are."""
+        wanted = some.select(F.xxhash64("f.doc_id").alias("k"), F.col("f.text_key").alias("key"), "a", "b", "f.s", "f.n")
+        wanted = wanted.groupBy("k", "key").agg(F.collect_list(F.struct("a", "b", "s", "n")).alias("cuts"))
+        found = docs.join(wanted.hint("shuffle_hash"), ["k", "key"]).select(
+            "doc_id", F.inline(cut(F.col("text").cast("binary"), F.col("cuts"))["p"]))
+        return found.select("a", "b", "doc_id", "s", "words")
+
+    large = write_table(large_anchors(pieces, window, shard_words), "large-anchors")
+    some = not large.isEmpty()
+    shards = phrases(firsts.join(F.broadcast(large), "a", "left_anti") if some else firsts)
+    found = shards.repartition("a").sortWithinPartitions("a", "b").mapInArrow(
+        _locate_task(window, shard_words), "a long, b long, found array<int>")
+    if some:
+        found = found.unionByName(_locate_large(phrases(firsts.join(F.broadcast(large), "a", "left_semi")), window))
     verdict = firsts.join(found, ["a", "b"], "left").select("a", "b", "f", "found")
     hits = pieces.join(verdict, ["a", "b"]).withColumn(
         "later", ~F.struct("doc_id", "s").eqNullSafe(F.struct("f.doc_id", "f.s")))
