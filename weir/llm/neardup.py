@@ -46,7 +46,7 @@ from weir.llm.simhash import _union
 from weir.llm.text import write_table
 
 COSINE = 0.98
-WINDOW = 64
+WINDOW = 128
 BITS = 62
 MISS = 0.001
 BLOCK = 1024

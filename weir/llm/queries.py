@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weir.llm import ann, bpe, chat, licenses, lines, mixing, neardup, quality, secrets, simhash, substring
+from weir.llm import ann, bpe, chat, licenses, lines, mixing, neardup, phrases, quality, secrets, simhash, substring, trie
 from weir.llm.text import prepare, table
 
 #: The conversation added to the table: its texts hold control strings.
@@ -59,13 +59,21 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.rebuilt_trie(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+
+
+def op12_phrase_collocation_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
 def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
 _QUERIES = [op1_chat_formatting, op2_quality_rules, op3_line_dedup, op4_source_mixing, op5_secret_scans,
             op6_substring_dedup, op7_bpe, op8_nearest_neighbours, op9_simhash_dedup, op10_license_scans,
-            op13_embedding_near_dedup]
+            op11_conversation_prefix_trie, op12_phrase_collocation_mining, op13_embedding_near_dedup]
 
 
 def _ready(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
