@@ -6,11 +6,13 @@ Grammar of the rendered text (``role`` and ``text`` free of control strings)::
     turn         := "<s>[INST] " role " [/INST]" text "</s>"
 
 Every turn is rendered as it is and reparsed; a turn that does not come back
-identical is rendered again with its conflicting content escaped. Escaping puts
-one backslash into each control string, and one more into each control string
-that already holds some (``</s>`` -> ``<\\/s>``, ``<\\/s>`` -> ``<\\\\/s>``); the
-parser takes one away, so escaping is a bijection and one escaped round always
-suffices. No control string can straddle a turn's borders, because each opens
+identical is rendered again with its conflicting content escaped. The parser accepts the
+grammar and nothing else: a mark at any place but its own, a missing head or text behind
+the last end mark makes it give no turns at all, so a turn that merely happens to split
+the same way is not identical. Escaping puts one backslash into each control string, and
+one more into each control string that already holds some (``</s>`` -> ``<\\/s>``,
+``<\\/s>`` -> ``<\\\\/s>``); the parser takes one away, so escaping is a bijection and one
+escaped round always suffices. No control string can straddle a turn's borders, because each opens
 with a character that occurs nowhere else in it. The rendered conversation is
 parsed as a whole, and every figure below is read back from it.
 
@@ -30,7 +32,8 @@ from pyspark.sql import functions as F
 
 BOS, EOS = "<s>", "</s>"
 ROLE_OPEN, ROLE_CLOSE = "[INST] ", " [/INST]"
-#: A control string, with the backslashes it may hold already.
+#: A control string as it stands, and one with the backslashes it may hold already.
+CONTROL = r"</?s>|\[/?INST\]"
 CONFLICT = r"([<\[])(\\*)(/?s>|/?INST\])"
 ESCAPED = r"([<\[])\\(\\*)(/?s>|/?INST\])"
 LOSS_ROLE = "assistant"
@@ -49,18 +52,28 @@ def render(role: Column, text: Column) -> Column:
 
 
 def parse(formatted: Column) -> Column:
-    """Deterministic parser: ``array<struct<role, text>>`` of a rendered text."""
+    """Deterministic parser: ``array<struct<role, text>>`` of a rendered text, null for a
+    text outside the grammar."""
     segments = F.split(formatted, EOS, -1)
-    head = len(BOS + ROLE_OPEN)
+    # The last segment is what follows the last end mark: nothing.
+    turns = F.slice(segments, F.lit(1), F.size(segments) - 1)
 
-    def turn(seg: Column) -> Column:
-        body = F.substr(seg, F.lit(head + 1))
+    def halves(seg: Column) -> tuple[Column, Column]:
+        body = F.substr(seg, F.lit(len(BOS + ROLE_OPEN) + 1))
         role = F.substring_index(body, ROLE_CLOSE, 1)
-        text = F.substr(body, F.length(role) + F.lit(len(ROLE_CLOSE) + 1))
+        return role, F.substr(body, F.length(role) + F.lit(len(ROLE_CLOSE) + 1))
+
+    def in_grammar(seg: Column) -> Column:
+        role, text = halves(seg)
+        closed = F.length(seg) >= F.length(role) + F.lit(len(BOS + ROLE_OPEN + ROLE_CLOSE))
+        return seg.startswith(BOS + ROLE_OPEN) & closed & ~role.rlike(CONTROL) & ~text.rlike(CONTROL)
+
+    def turn(seg: Column) -> Column:
+        role, text = halves(seg)
         return F.struct(unescape(role).alias("role"), unescape(text).alias("text"))
 
-    # The last segment is what follows the last end mark: nothing.
-    return F.transform(F.slice(segments, F.lit(1), F.size(segments) - 1), turn)
+    whole = (F.element_at(segments, -1) == "") & F.forall(turns, in_grammar)
+    return F.when(whole, F.transform(turns, turn))
 
 
 def format_chats(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
@@ -74,10 +87,10 @@ def format_chats(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn
                      F.coalesce(q(text_col), F.lit("")).alias("text"))
     source = F.array(F.struct(F.col("role"), F.col("text")))
     rows = rows.withColumn("raw", render(F.col("role"), F.col("text")))
-    rows = rows.withColumn("same", parse(F.col("raw")) == source)
+    rows = rows.withColumn("same", parse(F.col("raw")).eqNullSafe(source))
     rows = rows.withColumn("turn_text", F.when(F.col("same"), F.col("raw")).otherwise(
         render(escape(F.col("role")), escape(F.col("text")))))
-    rows = rows.withColumn("back", F.col("same") | (parse(F.col("turn_text")) == source))
+    rows = rows.withColumn("back", F.col("same") | parse(F.col("turn_text")).eqNullSafe(source))
     convs = rows.groupBy("conv_id").agg(
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("turn", "turn_text"))),
                                  lambda x: x["turn_text"]), "").alias("formatted"),
@@ -86,7 +99,7 @@ def format_chats(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn
         F.min("back").alias("back"))
     convs = convs.withColumn("turns", parse(F.col("formatted")))
     return convs.select("conv_id", "formatted", "turns", "n_rows", "n_escaped",
-                        (F.col("back") & (F.size("turns") == F.col("n_rows"))).alias("identical"))
+                        F.coalesce(F.col("back") & (F.size("turns") == F.col("n_rows")), F.lit(False)).alias("identical"))
 
 
 def chat_digest(chats: DataFrame) -> DataFrame:
