@@ -5,10 +5,13 @@ import random
 
 import numpy as np
 import pytest
+import xxhash
+from pyspark.sql import functions as F
 
 from tests.llm import brute
 from tests.llm.helpers import SF, clashing, docs, rows
 from weir.llm import lines, substring
+from weir.llm import text as text_helpers
 
 OPS = {"lines": (lines.line_digest, brute.line_dedup, lines.dedup_lines),
        "substring": (substring.substring_digest, brute.substring_dedup, substring.dedup_substrings)}
@@ -67,16 +70,47 @@ def test_small_shards_give_the_same(spark):
 
 
 def test_span_hashes():
-    rng = np.random.default_rng(1)
-    h = rng.integers(0, 1 << 63, 70000, dtype=np.uint64)
-    spans = [(0, 20), (5, 25), (69000, 70000), (10, 10)]
-    h[69000:69020] = h[:20]
-    spans.append((69000, 69020))
+    words = [b"%d" % (i % 977) for i in range(7000)]
+    spans = [(0, 20), (5, 25), (977, 997), (6980, 7000), (0, 21), (0, 7000)]
     a, b = np.array(spans).T
-    got = substring._span_hashes(h, a, b).tolist()
-    assert got[0] == got[4] and len(set(got)) == 4
-    up = substring._powers(100)
-    assert int(up[0][3]) == pow(substring._BASE, 3, 1 << 64) and int(up[0][3]) * int(up[1][3]) % (1 << 64) == 1
+    got = list(zip(*(h.tolist() for h in substring._span_hashes(words, a, b))))
+    assert got[0] == got[2] and len(set(got)) == 5
+    for (i, j), h in zip(spans, got):
+        both = xxhash.xxh3_128_intdigest(b" ".join(words[i:j]))
+        assert tuple(x & (1 << 64) - 1 for x in h) == (both >> 64, both & (1 << 64) - 1)
+
+
+def mirrored(blocks):
+    """Two texts of blocks "five fixed words, one of the block's own, left or right", left and
+    right in Thue-Morse order in one and its complement in the other: no window repeats,
+    but any polynomial of word hashes modulo 2^64 is the same for both."""
+    out = []
+    for flip in (0, 1):
+        out.append(" ".join(f"one two three four five own{i} " + ["left", "right"][(bin(i).count("1") + flip) % 2] for i in range(blocks)))
+    return out
+
+
+def test_pieces_that_cancel_in_a_polynomial(spark):
+    df = docs(spark, mirrored(1024))
+    assert rows(substring.substring_digest(df)) == expected("substring", df)
+    assert [r.n_removed for r in substring.substring_digest(df).collect()] == [0, 0]
+    assert {r.text for r in substring.dedup_substrings(df).collect()} == set(mirrored(1024))
+    assert rows(substring.substring_digest(df, shard_words=300)) == expected("substring", df)
+
+
+@pytest.mark.parametrize("op", OPS)
+def test_many_copies_of_one_row_share_its_ranges(spark, op):
+    """10,000 rows that repeat id and text hold one set of ranges, each range once."""
+    block = "\n".join(" ".join(f"line {i} word {j}" for j in range(8)) for i in range(12))
+    text = block + "\nmid\n" + block
+    few = docs(spark, [text, text, block], ids=[3, 3, 1])
+    df = few.union(docs(spark, [text], ids=[3]).join(spark.range(9998).select(F.lit(1)), how="cross").select("doc_id", "text", "lang", "source", "n_chars"))
+    module = {"lines": lines, "substring": substring}[op]
+    got, name = text_helpers.with_ranges(df, module.repeated_ranges(df), "doc_id", "text")
+    sizes = {r.doc_id: r.n for r in got.groupBy("doc_id").agg(F.max(F.size(name)).alias("n")).collect()}
+    assert 0 < sizes[3] <= len(text.split())
+    want = {tuple(r) for r in expected(op, few)}
+    assert {tuple(r) for r in OPS[op][0](df).distinct().collect()} == want
 
 
 def test_equal_windows_have_equal_anchors():
@@ -88,23 +122,38 @@ def test_equal_windows_have_equal_anchors():
         return next(a for a, s, n in zip(p["a"], p["s"], p["n"]) if s <= w < s + n)
     for w in range(21):
         assert anchor(one, w + 11) == anchor(two, w)
-    assert set(one["a"]) == set(substring.anchor_places(" ".join(["x"] * 11 + a).encode())["a"])
+    assert (one["m"] == 1).all()
+    twice = substring.pieces_of(" ".join([*a, "z", *a]).encode())
+    m = dict(zip(twice["a"], twice["m"]))
+    assert max(m.values()) == 2 and set(one["a"][1:-1]) & {x for x, n in m.items() if n == 2}
 
 
 def test_anchor_larger_than_a_shard(spark):
     # Each text has the same five words, the smallest run of its windows, between others.
     rng = np.random.default_rng(3)
     runs = [f"r{i} s{i} t{i} u{i} v{i}" for i in range(4000)]
-    low = min(runs, key=lambda r: substring.window_hashes(substring.word_hashes(r.encode().split()), 5)[0])
+    low = min(runs, key=lambda r: substring.window_hashes(substring.hashes_of(r.encode().split()), 5)[0])
     texts = [" ".join([*(f"x{rng.integers(3)}" for _ in range(2)), *(f"l{k % 7}.{i}" for i in range(14)), low,
                        *(f"m{k % 5}.{i}" for i in range(14)), f"name{k}"]) for k in range(60)]
     df = docs(spark, texts, ids=[None, *range(59)])
     assert rows(substring.substring_digest(df, shard_words=500)) == expected("substring", df)
-    parts = [substring.pieces_of(t.encode()) for t in texts]
-    pieces = spark.createDataFrame([(int(p["a"][i]), int(p["b"][i]), int(p["n"][i])) for p in parts for i in range(len(p["a"]))],
-                                   "a long, b long, n int")
-    large = {r.a for r in substring.large_anchors(pieces, 20, 500).collect()}
+    keyed = substring._keyed(df, "doc_id", "text")
+    few = substring.filed_pieces(keyed, 20, 5, 1 << 30)
+    filed = substring.filed_pieces(keyed, 20, 5, 500)
     held = {}
-    for a, b, n in set(map(tuple, pieces.collect())):
-        held[a] = held.get(a, 0) + n + 19
-    assert large and large == {a for a, c in held.items() if c > 500}
+    for a, n in {((r.a, r.b, r.c), r.n) for r in few.collect()}:
+        held[a[0]] = held.get(a[0], 0) + n + 19
+    large = {a for a, n in held.items() if n > 500}
+    assert large and large == {r.a for r in substring.large_anchors(few, 20, 500).collect()}
+    left = {}
+    for r in filed.select("a", "b", "c", "n").distinct().collect():
+        left[r.a] = left.get(r.a, 0) + r.n + 19
+    assert not large & set(left) and max(left.values()) <= 500
+
+
+def test_texts_that_repeat_themselves():
+    assert not substring._all_differ((1,) * 30, 20)
+    assert substring._all_differ(tuple(range(30)), 20)
+    assert not substring._all_differ((1, 2) * 12, 20)
+    # A word that some windows miss proves nothing.
+    assert not substring._all_differ((9,) + (1,) * 24, 20)

@@ -4,9 +4,9 @@ A window is ``WINDOW`` consecutive words; every word covered by a window whose
 words also start earlier (smaller doc_id, or same document, earlier start) goes.
 
 1. *Candidates.* Each window is filed under its anchor, the smallest hash of its
-   five-word runs: equal windows have equal anchors. Anchors that occur at one
-   place only are dropped (a partial aggregate over hashes and a semi join).
-   Consecutive windows with one anchor form a piece.
+   five-word runs: equal windows have equal anchors. Consecutive windows with one anchor
+   form a piece; one pass over the texts writes each piece's place and the 128-bit hash
+   of its words. Anchors that occur at one place only are dropped.
 2. *Confirm.* Pieces with the same words are gathered by a partial aggregate that
    keeps the first place, so a passage copied into a third of all documents is
    one row from here on. The texts of these first places are cut out of their
@@ -18,22 +18,21 @@ words also start earlier (smaller doc_id, or same document, earlier start) goes.
    that can hold them -- those filed under the shard's anchors -- are streamed
    through. A match away from its phrase's first place is a range to remove; a
    piece found again at a later place is a range as a whole.
-   An anchor whose distinct pieces have more than ``SHARD_WORDS`` words is in no shard:
-   its windows are filed under 128-bit hashes, first places come from a partial
-   aggregate, and a window of many pieces is dealt over ``SALTS`` parts, so no task
-   holds such an anchor.
+   An anchor whose distinct pieces have more than ``SHARD_WORDS`` words (five common words
+   in ever different surroundings) is filed anew, with runs as long as a window, before
+   it comes to a shard: then only equal windows share an anchor, and no task holds more.
 4. Ranges are joined back to the documents, merged and cut out.
 
 No document is read by more shards than it has anchors in, so the work grows
-with the text and not with shards times text. Hash equality only ever decides
-between pieces that share a 64-bit anchor and a second 64-bit hash, and between windows
-of one large anchor that share 128 bits.
+with the text and not with shards times text. Two pieces count as the same words if the
+128-bit xxh3 of their words and their anchors agree; all else is compared word by word.
 
 Defined cases: null text has no words; texts shorter than a window keep all
 words; windows repeated inside one document count (the first stays); rows that
 repeat a doc_id share its places: a window at the same place is not removed in
 either; a null doc_id comes before all others; an empty table gives no rows;
-extra columns are kept by ``dedup_substrings`` under any name.
+extra columns are kept by ``dedup_substrings`` under any name. Rows that repeat both
+doc_id and text share one set of ranges, whatever their number.
 """
 
 from __future__ import annotations
@@ -47,15 +46,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weir.llm.text import (batch_udf, fresh, list_udf, mix, outside, text_key, window_hashes, with_ranges, word_hashes,
-                           words_of, write_table)
+from weir.llm.text import batch_udf, fresh, list_udf, outside, text_key, window_hashes, with_ranges, words_of, write_table
 
 WINDOW = 20
 ANCHOR = 5
 #: Words of pieces compiled into one automaton.
 SHARD_WORDS = 200_000
-#: Parts that the places of one window of a large anchor are dealt to.
-SALTS = 64
+#: Word hashes a worker remembers.
+KNOWN_WORDS = 1 << 18
 
 
 def _slide(x: np.ndarray, k: int, pick) -> np.ndarray:
@@ -68,55 +66,53 @@ def _slide(x: np.ndarray, k: int, pick) -> np.ndarray:
     return x
 
 
-def _anchors(hashes: np.ndarray, window: int, anchor: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the five-word runs, and the anchor of each window."""
-    runs = window_hashes(hashes, anchor)
-    return runs, _slide(runs, window - anchor + 1, np.minimum)
+class _Known(dict):
+    """Word -> 64-bit hash, computed when first asked for."""
 
+    def __missing__(self, word: bytes) -> int:
+        h = self[word] = xxhash.xxh64_intdigest(word)
+        return h
 
-def anchor_places(text: bytes | None, window: int = WINDOW, anchor: int = ANCHOR) -> dict[str, np.ndarray]:
-    """The anchors ``a`` of a text, one for each place where one stands."""
-    words = words_of(text)
-    if len(words) < window:
-        return {"a": np.empty(0, np.int64)}
-    runs, low = _anchors(word_hashes(words), window, anchor)
-    k = window - anchor + 1
-    # A run is an anchor if it equals the largest of the minima of the windows around it.
-    pad = np.concatenate([np.zeros(k - 1, np.uint64), low, np.zeros(k - 1, np.uint64)])
-    return {"a": runs[_slide(pad, k, np.maximum) == runs].astype(np.int64)}
 
+_known = _Known()
 
-def pieces_of(text: bytes | None, window: int = WINDOW, anchor: int = ANCHOR) -> dict[str, np.ndarray]:
-    """Pieces: anchor ``a``, hash ``b`` of the words, first word ``s``, ``n`` windows."""
-    words = words_of(text)
-    if len(words) < window:
-        return {k: np.empty(0, np.int64) for k in "absn"}
-    hashes = word_hashes(words)
-    _, low = _anchors(hashes, window, anchor)
-    cut = np.flatnonzero(low[1:] != low[:-1]) + 1
-    start, stop = np.concatenate([[0], cut]), np.concatenate([cut, [len(low)]])
-    return {"a": low[start].astype(np.int64), "b": _span_hashes(hashes, start, stop + window - 1), "s": start, "n": stop - start}
 
+def hashes_of(words: list[bytes]) -> np.ndarray:
+    if len(_known) > KNOWN_WORDS:
+        _known.clear()
+    return np.fromiter(map(_known.__getitem__, words), np.uint64, len(words))
 
-#: Powers of an odd number modulo 2^64 and of its inverse, as far as needed so far.
-_BASE = 0x9E3779B97F4A7C15
-_POWERS: list[np.ndarray] = []
 
+def _span_hashes(words: list[bytes], start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128-bit xxh3 of the words of each span, as two longs."""
+    text = memoryview(b" ".join(words))
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+    lo, hi = np.where(start > 0, ends[start - 1], 0).tolist(), (ends[stop - 1] - 1).tolist()
+    both = b"".join([xxhash.xxh3_128_digest(text[i:j]) for i, j in zip(lo, hi)])
+    halves = np.frombuffer(both, ">i8").astype(np.int64).reshape(-1, 2)
+    return halves[:, 0], halves[:, 1]
 
-def _powers(n: int) -> list[np.ndarray]:
-    if not _POWERS or len(_POWERS[0]) < n:
-        size = max(1 << 15, 1 << n.bit_length())
-        factors = np.array([[_BASE], [pow(_BASE, -1, 1 << 64)]], np.uint64).repeat(size, 1)
-        factors[:, 0] = 1
-        _POWERS[:] = np.cumprod(factors, axis=1, dtype=np.uint64)
-    return _POWERS
 
+_PIECE = "a long, b long, c long, s int, n int"
 
-def _span_hashes(hashes: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-    """Hash of the words of each span: a polynomial of their hashes, from one prefix sum."""
-    up, down = _powers(len(hashes) + 1)
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * up[:len(hashes)], dtype=np.uint64)])
-    return mix((total[stop] - total[start]) * down[start] + (stop - start).astype(np.uint64)).astype(np.int64)
+
+def pieces_of(text: bytes | None, window: int = WINDOW, anchor: int = ANCHOR) -> dict[str, np.ndarray]:
+    """Pieces: anchor ``a``, hash ``b, c`` of the words, first word ``s``, ``n`` windows, and
+    at how many places ``m`` of the text the anchor stands."""
+    words = words_of(text)
+    if len(words) < window:
+        return {k: np.empty(0, np.int64) for k in "abcsnm"}
+    runs = window_hashes(hashes_of(words), anchor)
+    k = window - anchor + 1
+    low = _slide(runs, k, np.minimum)
+    cut = np.flatnonzero(low[1:] != low[:-1]) + 1
+    start, stop = np.concatenate([[0], cut]), np.concatenate([cut, [len(low)]])
+    b, c = _span_hashes(words, start, stop + window - 1)
+    # A run is an anchor if it equals the largest of the minima of the windows around it.
+    pad = np.concatenate([np.zeros(k - 1, np.uint64), low, np.zeros(k - 1, np.uint64)])
+    places, count = np.unique(runs[_slide(pad, k, np.maximum) == runs], return_counts=True)
+    return {"a": low[start].astype(np.int64), "b": b, "c": c, "s": start, "n": stop - start,
+            "m": count[np.searchsorted(places, low[start])]}
 
 
 def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -126,32 +122,66 @@ def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         {"k": F.xxhash64("doc_id"), "key": text_key(F.col("text"))})
 
 
-def _cut_batch(window: int):
+def _cut_task(window: int):
+    """Task: rows ``k, key, doc_id, text, cuts`` -> ``a, b, c, doc_id, s, words``: the texts of
+    the cuts, once for rows that repeat both id and text."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
+        for batch in batches:
+            kind = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("c", pa.int64()),
+                              batch.schema.field("doc_id"), ("s", pa.int32()), ("words", pa.binary())])
+            out: list[tuple] = []
+            for k, key, doc, text, cuts in zip(*(c.to_pylist() for c in batch.columns)):
+                if (k, key) in seen:
+                    continue
+                seen.add((k, key))
+                words = words_of(text)
+                out += [(x["a"], x["b"], x["c"], doc, x["s"], b" ".join(words[x["s"]:x["s"] + x["n"] + window - 1])) for x in cuts]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), kind.types)], schema=kind)
+    return task
+
+
+def _refile_batch(window: int):
+    """Pieces of a text -> their windows, each a piece of its own under its own hash."""
     def batch(texts, wanted):
         out = []
         for text, cuts in zip(texts, wanted):
             words = words_of(text)
-            out.append(([{"a": c["a"], "b": c["b"], "s": c["s"], "words": b" ".join(words[c["s"]:c["s"] + c["n"] + window - 1])}
-                         for c in cuts or ()],))
+            at = np.concatenate([np.arange(x["s"], x["s"] + x["n"]) for x in cuts])
+            runs = window_hashes(hashes_of(words), window)[at].astype(np.int64)
+            b, c = _span_hashes(words, at, at + window)
+            out.append(([dict(zip("abcsn", x)) for x in zip(runs.tolist(), b.tolist(), c.tolist(), at.tolist(), [1] * len(at))],))
         return out
     return batch
 
 
-def _locate(rows: list[tuple], window: int) -> Iterator[tuple[int, int, list[int]]]:
-    """``(a, b, place, words)`` of whole anchors, in order of ``a`` -> ``a, b`` and the
+def _all_differ(seq: tuple, window: int) -> bool:
+    """Whether one look shows that no window of a short piece repeats: a word that all
+    its windows hold stands there once (equal windows hold it at two places)."""
+    return any(seq.count(w) == 1 for w in seq[len(seq) - window:window])
+
+
+def _locate(rows: list[tuple], window: int) -> Iterator[tuple[int, int, int, list[int]]]:
+    """``(a, b, c, place, words)`` of whole anchors, in order of ``a`` -> ``a, b, c`` and the
     windows of the piece (by offset) that have an earlier place."""
     import ahocorasick
 
     number: dict[bytes, int] = {}
-    pieces = [(a, b, place, tuple([number.setdefault(w, len(number)) for w in words.split()])) for a, b, place, words in rows]
+    pieces = [(a, b, c, place, tuple([number.setdefault(w, len(number)) for w in words.split()])) for a, b, c, place, words in rows]
     phrases: dict[tuple, tuple] = {}
     at = 0
     while at < len(pieces):
         end = at
         while end < len(pieces) and pieces[end][0] == pieces[at][0]:
             end += 1
+        *_, first, seq = pieces[at]
+        if end - at == 1 and _all_differ(seq, window):
+            phrases[seq] = first
+            at = end
+            continue
         seen: dict[tuple, list] = {}
-        for _, _, (doc, s), seq in pieces[at:end]:
+        for *_, (doc, s), seq in pieces[at:end]:
             for o in range(len(seq) - window + 1):
                 place = (doc, s + o)
                 known = seen.get(w := seq[o:o + window])
@@ -162,7 +192,7 @@ def _locate(rows: list[tuple], window: int) -> Iterator[tuple[int, int, list[int
                     known[0] = min(known[0], place)
         again = {w: place for w, (place, n) in seen.items() if n > 1}
         if not again and end - at == 1:
-            again = {pieces[at][3]: pieces[at][2]}
+            again = {seq: first}
         phrases.update(again)
         at = end
     if not phrases:
@@ -171,18 +201,18 @@ def _locate(rows: list[tuple], window: int) -> Iterator[tuple[int, int, list[int
     for seq, place in phrases.items():
         auto.add_word(seq, (len(seq), place))
     auto.make_automaton()
-    for a, b, (doc, s), seq in pieces:
+    for a, b, c, (doc, s), seq in pieces:
         found = set()
         for last, (n, place) in auto.iter(seq):
             o = last - n + 1
             if place != (doc, s + o):
                 found.update(range(o, o + n - window + 1))
         if found:
-            yield a, b, sorted(found)
+            yield a, b, c, sorted(found)
 
 
 def _locate_task(window: int, shard_words: int):
-    kind = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("found", pa.list_(pa.int32()))])
+    kind = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("c", pa.int64()), ("found", pa.list_(pa.int32()))])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -194,13 +224,13 @@ def _locate_task(window: int, shard_words: int):
                 yield pa.RecordBatch.from_arrays([pa.array(list(x), t) for x, t in zip(zip(*found), kind.types)], schema=kind)
 
         for batch in batches:
-            for a, b, doc, s, words in zip(*(c.to_pylist() for c in batch.columns)):
-                if held and held[-1][:2] == (a, b):
+            for a, b, c, doc, s, words in zip(*(col.to_pylist() for col in batch.columns)):
+                if held and held[-1][:3] == (a, b, c):
                     continue  # cut out of a repeated row
                 if size >= shard_words and held[-1][0] != a:
                     yield from run(held)
                     held, size = [], 0
-                held.append((a, b, ((doc is not None, doc or 0), s), words))
+                held.append((a, b, c, ((doc is not None, doc), s), words))
                 size += words.count(b" ") + 1
         if held:
             yield from run(held)
@@ -213,63 +243,51 @@ def large_anchors(pieces: DataFrame, window: int, shard_words: int) -> DataFrame
     one for so many words of the table."""
     words = F.col("n") + F.lit(window - 1)
     # A bound that needs no gathering of equal pieces leaves few anchors to count exactly.
-    some = pieces.groupBy("a").agg(F.sum(words).alias("c")).where(F.col("c") > shard_words).select("a")
-    distinct = pieces.join(F.broadcast(some), "a", "left_semi").groupBy("a", "b").agg(F.min(words).alias("c"))
-    return distinct.groupBy("a").agg(F.sum("c").alias("c")).where(F.col("c") > shard_words).select("a")
+    some = pieces.groupBy("a").agg(F.sum(words).alias("w")).where(F.col("w") > shard_words).select("a")
+    distinct = pieces.join(some, "a", "left_semi").groupBy("a", "b", "c").agg(F.min(words).alias("w"))
+    return distinct.groupBy("a").agg(F.sum("w").alias("w")).where(F.col("w") > shard_words).select("a")
 
 
-def _windows_of(words: bytes | None, window: int) -> dict[str, np.ndarray]:
-    """Windows of a piece: first word ``o`` and two hashes."""
-    words = words_of(words)
-    other = np.fromiter((xxhash.xxh64_intdigest(w, 1) for w in words), np.uint64, len(words))
-    one, two = (window_hashes(h, window).astype(np.int64) for h in (word_hashes(words), other))
-    return {"o": np.arange(len(one)), "h1": one, "h2": two}
+def _per_document(pieces: DataFrame, *cols: str) -> DataFrame:
+    """Pieces gathered per document: row key ``k, key`` and ``cuts``."""
+    rows = pieces.select(F.xxhash64("doc_id").alias("k"), F.col("text_key").alias("key"), F.struct(*cols).alias("x"))
+    return rows.groupBy("k", "key").agg(F.collect_set("x").alias("cuts")).hint("shuffle_hash")
 
 
-def _locate_large(phrases: DataFrame, window: int) -> DataFrame:
-    """As ``_locate`` for pieces of large anchors, window by window."""
-    udf = list_udf("o int, h1 long, h2 long", lambda t: _windows_of(t, window))
-    # One exchange of the pieces feeds both uses of their windows.
-    w = phrases.repartition("a", "b").select("a", "b", "doc_id", "s", F.inline(udf(F.col("words"))))
-    w = w.select("a", "b", "o", "h1", "h2", F.struct("doc_id", (F.col("s") + F.col("o")).alias("s")).alias("place"),
-                 F.pmod(F.col("b"), F.lit(SALTS)).alias("salt"))
-    first = w.groupBy("a", "h1", "h2", "salt").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("c"))
-    first = first.groupBy("a", "h1", "h2").agg(F.min("first").alias("first"), F.sum("c").alias("c"), F.collect_list("salt").alias("salts"))
-    first = first.where("c > 1").select("a", "h1", "h2", "first", F.explode("salts").alias("salt"))
-    later = w.join(first, ["a", "h1", "h2", "salt"]).where(~F.col("place").eqNullSafe(F.col("first")))
-    return later.groupBy("a", "b").agg(F.sort_array(F.collect_set("o")).alias("found"))
+def filed_pieces(docs: DataFrame, window: int, anchor: int, shard_words: int) -> DataFrame:
+    """``a, b, c, doc_id, s, n, text_key``: all pieces whose anchor stands at several places;
+    pieces of large anchors are filed by window."""
+    text = F.col("text").cast("binary")
+    cut_up = list_udf(_PIECE + ", m int", lambda t: pieces_of(t, window, anchor))(text)
+    keyed = ["doc_id", F.col("key").alias("text_key")]
+    pieces = write_table(docs.select(*keyed, cut_up.alias("p")).select("doc_id", "text_key", F.inline("p")), "all-pieces")
+    again = pieces.groupBy("a").agg(F.sum("m").alias("places")).where("places > 1").select("a")
+    names = ["a", "b", "c", "doc_id", "s", "n", "text_key"]
+    pieces = write_table(pieces.join(again, "a", "left_semi").select(*names), "pieces")
+    large = write_table(large_anchors(pieces, window, shard_words), "large-anchors")
+    if large.isEmpty():
+        return pieces
+    wanted = _per_document(pieces.join(large, "a", "left_semi"), "s", "n")
+    refile = batch_udf(f"p array<struct<{', '.join(x.replace(' ', ': ') for x in _PIECE.split(', '))}>>", _refile_batch(window))
+    filed = docs.join(wanted, ["k", "key"]).select(*keyed, F.inline(refile(text, F.col("cuts"))["p"])).select(*names)
+    return write_table(pieces.join(large, "a", "left_anti").unionByName(filed), "filed-pieces")
 
 
 def repeated_ranges(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     window: int = WINDOW, anchor: int = ANCHOR, shard_words: int = SHARD_WORDS) -> DataFrame:
     """``doc_id, text_key, i, j``: word ranges covered by windows that start earlier too."""
     docs = _keyed(df, id_col, text_col)
-    text = F.col("text").cast("binary")
-    places = docs.select(F.inline(list_udf("a long", lambda t: anchor_places(t, window, anchor))(text)))
-    again = places.groupBy("a").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("a")
-    cut_up = list_udf("a long, b long, s int, n int", lambda t: pieces_of(t, window, anchor))(text)
-    pieces = docs.select("doc_id", F.col("key").alias("text_key"), cut_up.alias("p")).select("doc_id", "text_key", F.inline("p"))
-    pieces = write_table(pieces.join(again, "a", "left_semi").select("a", "b", "doc_id", "s", "n", "text_key"), "pieces")
-    firsts = pieces.groupBy("a", "b").agg(F.min(F.struct("doc_id", "s", "n", "text_key")).alias("f"))
-    cut = batch_udf("p array<struct<a: long, b: long, s: int, words: binary>>", _cut_batch(window))
-
-    def phrases(some: DataFrame) -> DataFrame:
-        """Texts of first places, cut out where their documents are."""
-        wanted = some.select(F.xxhash64("f.doc_id").alias("k"), F.col("f.text_key").alias("key"), "a", "b", "f.s", "f.n")
-        wanted = wanted.groupBy("k", "key").agg(F.collect_list(F.struct("a", "b", "s", "n")).alias("cuts"))
-        found = docs.join(wanted.hint("shuffle_hash"), ["k", "key"]).select(
-            "doc_id", F.inline(cut(F.col("text").cast("binary"), F.col("cuts"))["p"]))
-        return found.select("a", "b", "doc_id", "s", "words")
-
-    large = write_table(large_anchors(pieces, window, shard_words), "large-anchors")
-    some = not large.isEmpty()
-    shards = phrases(firsts.join(F.broadcast(large), "a", "left_anti") if some else firsts)
-    found = shards.repartition("a").sortWithinPartitions("a", "b").mapInArrow(
-        _locate_task(window, shard_words), "a long, b long, found array<int>")
-    if some:
-        found = found.unionByName(_locate_large(phrases(firsts.join(F.broadcast(large), "a", "left_semi")), window))
-    verdict = firsts.join(found, ["a", "b"], "left").select("a", "b", "f", "found")
-    hits = pieces.join(verdict, ["a", "b"]).withColumn(
+    pieces = filed_pieces(docs, window, anchor, shard_words)
+    piece = ["a", "b", "c"]
+    firsts = pieces.groupBy(*piece).agg(F.min(F.struct("doc_id", "s", "n", "text_key")).alias("f"))
+    # Texts of first places, cut out where their documents are.
+    wanted = _per_document(firsts.select(*piece, "f.*"), *piece, "s", "n")
+    cut = docs.join(wanted, ["k", "key"]).select("k", "key", "doc_id", F.col("text").cast("binary"), "cuts").mapInArrow(
+        _cut_task(window), f"a long, b long, c long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, s int, words binary")
+    found = cut.repartition("a").sortWithinPartitions(*piece).mapInArrow(
+        _locate_task(window, shard_words), "a long, b long, c long, found array<int>")
+    verdict = firsts.join(found, piece, "left").select(*piece, "f", "found")
+    hits = pieces.join(verdict, piece).withColumn(
         "later", ~F.struct("doc_id", "s").eqNullSafe(F.struct("f.doc_id", "f.s")))
     whole = F.array(F.struct(F.col("s").alias("i"), (F.col("s") + F.col("n") + (window - 1)).alias("j")))
     parts = F.transform("found", lambda o: F.struct((F.col("s") + o).alias("i"), (F.col("s") + o + window).alias("j")))
@@ -303,7 +321,7 @@ def dedup_substrings(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def substring_digest(df: DataFrame, **options) -> DataFrame:
     ranges = repeated_ranges(df, **options).groupBy(F.xxhash64("doc_id").alias("k"), F.col("text_key").alias("key")).agg(
-        F.collect_list(F.struct("i", "j")).alias("ranges"))
+        F.collect_set(F.struct("i", "j")).alias("ranges"))
     rows = _keyed(df, "doc_id", "text").join(ranges, ["k", "key"], "left")
     udf = batch_udf("n_words long, n_removed long, kept_sha256 string", _digest_batch)
     return rows.select("doc_id", udf(F.col("text").cast("binary"), F.col("ranges")).alias("r")).select("doc_id", "r.*")

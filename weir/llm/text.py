@@ -134,11 +134,12 @@ def batch_udf(ddl: str, per_batch: Callable[..., list[tuple]]):
 
 def with_ranges(df: DataFrame, ranges: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]:
     """``df`` plus a column of its rows' ranges, whose name is returned. ``ranges``:
-    ``doc_id, text_key, i, j``, gathered per document (bounded by its text)."""
+    ``doc_id, text_key, i, j``, gathered per document: each range once, however many rows
+    repeat the document, so the group is bounded by its text."""
     name = fresh("__ranges", df.columns)
     keys = [fresh("__id_key", df.columns), fresh("__text_key", df.columns)]
     found = ranges.groupBy(F.xxhash64("doc_id").alias(keys[0]), F.col("text_key").alias(keys[1])).agg(
-        F.collect_list(F.struct("i", "j")).alias(name))
+        F.collect_set(F.struct("i", "j")).alias(name))
     rows = df.withColumns({keys[0]: F.xxhash64(F.col(f"`{id_col}`")), keys[1]: text_key(F.col(f"`{text_col}`"))})
     return rows.join(found, keys, "left").drop(*keys), name
 
