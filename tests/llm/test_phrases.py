@@ -122,3 +122,5 @@ def test_packed_summaries_come_back():
     counts = np.arange(1, len(items) + 1) * 70000 % (1 << 32)
     i, c = phrases.unpack(phrases.pack(items, counts))
     assert (i == items).all() and (c == counts).all()
+    some = [b"", b"a", "é b".encode(), b"x y z w"]
+    assert phrases.unpack_phrases(phrases.pack_phrases(some, np.array([5, 1, 1 << 40, 2]))) == (some, [5, 1, 1 << 40, 2])

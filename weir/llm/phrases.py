@@ -16,8 +16,9 @@ a fingerprint only add up, so none is lost by that.
 The survivors leave as one bit each in a filter of ``FILTER_BITS`` bits, whatever the
 size of the corpus; it is the only thing broadcast. Second pass: the texts are read
 again, n-grams the filter does not know are skipped, the rest is counted exactly, by
-their words, within a chunk and then by a grouping of Spark. What the filter lets through
-wrongly costs a row and is dropped by its exact count. Scores, containment and ranks are
+their words, within a chunk; a chunk sends each (coarser) hash partition one block of
+phrases and counts, and the blocks are added up, by their words again, as they stream by.
+What the filter lets through wrongly costs an entry and is dropped by its exact count. Scores, containment and ranks are
 joins and aggregates over the frequent n-grams alone; a join's hot side ("the ...") is
 split by AQE, and the best rows of a language are taken per hash slice before they meet.
 
@@ -60,7 +61,7 @@ NO_LANG = "und"
 SLACK = 4
 PARTITION_MASS = 1 << 22
 FILTER_BITS = 28
-CHUNK_WORDS = 1 << 21
+CHUNK_WORDS = 1 << 20
 SLICE = 1 << 22
 #: Hash slices in which a language's best rows are taken first.
 SLICES = 64
@@ -150,13 +151,15 @@ def _from_planes(b: bytes) -> np.ndarray:
 
 
 def pack(items: np.ndarray, counts: np.ndarray) -> bytes:
-    """A summary as bytes: ascending 32-bit items as deltas, then counts."""
-    return _planes(np.diff(items, prepend=np.uint64(0))) + _planes(counts)
+    """A summary as bytes: ascending 32-bit items as deltas, then counts; compressed."""
+    raw = _planes(np.diff(items, prepend=np.uint64(0))) + _planes(counts)
+    return len(items).to_bytes(4, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
 def unpack(b: bytes) -> tuple[np.ndarray, np.ndarray]:
-    half = len(b) // 2
-    return np.cumsum(_from_planes(b[:half]), dtype=np.uint64), _from_planes(b[half:]).astype(np.int64)
+    n = int.from_bytes(b[:4], "little")
+    raw = pa.decompress(b[4:], decompressed_size=8 * n, codec="zstd", asbytes=True)
+    return np.cumsum(_from_planes(raw[:4 * n]), dtype=np.uint64), _from_planes(raw[4 * n:]).astype(np.int64)
 
 
 class Summary:
@@ -230,8 +233,9 @@ def _merge_task(bits: int, min_count: int, slack: int, filter_bits: int):
 
 
 def survivor_filter(rows: DataFrame, min_count: int = MIN_COUNT, slack: int = SLACK,
-                    partition_mass: int = PARTITION_MASS, filter_bits: int = FILTER_BITS) -> np.ndarray:
-    """The filter, as bytes, of all n-grams of ``lang, text`` (binary) that may occur ``min_count`` times."""
+                    partition_mass: int = PARTITION_MASS, filter_bits: int = FILTER_BITS) -> tuple[np.ndarray, int]:
+    """The filter, as bytes, of all n-grams of ``lang, text`` (binary) that may occur ``min_count``
+    times, and the bits of a fingerprint that name its hash partition."""
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     mass = LONGEST * size // 6  # sizes the hash partitions, nothing else
     bits = min(max(0, int(np.ceil(np.log2(max(1, mass / partition_mass))))), filter_bits - 3, 16)
@@ -242,40 +246,91 @@ def survivor_filter(rows: DataFrame, min_count: int = MIN_COUNT, slack: int = SL
     width = len(out) >> bits
     for r in slices.toLocalIterator():
         out[r["part"] * width:(r["part"] + 1) * width] = np.frombuffer(r["marks"], np.uint8)
-    return out
+    return out, bits
 
 
 # ---- second pass: exact counts ---------------------------------------------------
 
-def _count_task(known, filter_bits: int):
-    """Task: rows ``lang, text`` -> exact counts of the n-grams the filter knows, per
-    chunk, and one row with a null phrase: the language's words."""
-    out = pa.schema([("lang", pa.string()), ("phrase", pa.binary()), ("n", pa.int32()), ("f", pa.int64())])
+def pack_phrases(phrases: list[bytes], counts: np.ndarray) -> bytes:
+    """Phrases and counts as bytes (no word holds a line feed)."""
+    raw = np.asarray(counts, "<i8").tobytes() + b"\n".join(phrases)
+    return len(phrases).to_bytes(4, "little") + len(raw).to_bytes(4, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unpack_phrases(b: bytes) -> tuple[list[bytes], list[int]]:
+    n, size = int.from_bytes(b[:4], "little"), int.from_bytes(b[4:8], "little")
+    raw = pa.decompress(b[8:], decompressed_size=size, codec="zstd", asbytes=True)
+    return raw[8 * n:].split(b"\n"), np.frombuffer(raw, "<i8", n).tolist()
+
+
+def _count_task(known, filter_bits: int, bits: int):
+    """Task: rows ``lang, text`` -> per chunk, language and hash partition a block of the
+    n-grams the filter knows, with exact counts; the empty phrase counts the words."""
+    out = pa.schema([("part", pa.int32()), ("lang", pa.string()), ("block", pa.binary())])
+
+    def found(chunk: Chunk, marks: np.ndarray) -> Iterator[tuple[int, str, list[bytes], np.ndarray]]:
+        words = list(chunk.number)
+        base = np.int64(len(words))
+        for lang, ids, n, starts, fps in chunk.runs():
+            if n == 1:
+                yield 0, lang, [b""], np.array([len(starts)])
+            bit = (fps >> np.uint64(64 - filter_bits)).astype(np.int64)
+            hit = (marks[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
+            at = starts[hit]
+            if not len(at):
+                continue
+            # Exact numbers of the word sequences, one word after the other.
+            key = ids[at]
+            for i in range(1, n):
+                key = np.unique(key, return_inverse=True)[1].astype(np.int64) * base + ids[at + i]
+            _, first, count = np.unique(key, return_index=True, return_counts=True)
+            part = (fps[hit][first] >> np.uint64(63 - bits) >> np.uint64(1)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            cuts = np.flatnonzero(np.diff(part[order])) + 1
+            for some in np.split(order, cuts):
+                runs = ids[at[first[some], None] + np.arange(n)].tolist()
+                yield int(part[some[0]]), lang, [b" ".join([words[i] for i in r]) for r in runs], count[some]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = known.value
         for chunk in _chunks(batches):
-            words = list(chunk.number)
-            base = np.int64(len(words))
-            for lang, ids, n, starts, fps in chunk.runs():
-                if n == 1:
-                    yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([None], pa.binary()),
-                                                      pa.array([0], pa.int32()), pa.array([len(starts)])], schema=out)
-                bit = (fps >> np.uint64(64 - filter_bits)).astype(np.int64)
-                at = starts[(marks[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1]
-                if not len(at):
-                    continue
-                # Exact numbers of the word sequences, one word after the other.
-                key = ids[at]
-                for i in range(1, n):
-                    key = np.unique(key, return_inverse=True)[1].astype(np.int64) * base + ids[at + i]
-                _, first, f = np.unique(key, return_index=True, return_counts=True)
-                for lo in range(0, len(first), 1 << 16):
-                    some = ids[at[first[lo:lo + (1 << 16)], None] + np.arange(n)].tolist()
-                    phrases = [b" ".join([words[i] for i in p]) for p in some]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(phrases)), pa.array(phrases, pa.binary()),
-                         pa.array(np.full(len(phrases), n, np.int32)), pa.array(f[lo:lo + (1 << 16)].astype(np.int64))], schema=out)
+            rows, size = [], 0
+            for part, lang, phrases, counts in found(chunk, marks):
+                rows.append((part, lang, pack_phrases(phrases, counts)))
+                size += len(rows[-1][2])
+                if size > SLICE:
+                    yield pa.RecordBatch.from_pylist([dict(zip(out.names, r)) for r in rows], schema=out)
+                    rows, size = [], 0
+            if rows:
+                yield pa.RecordBatch.from_pylist([dict(zip(out.names, r)) for r in rows], schema=out)
+    return task
+
+
+def _add_task(min_count: int):
+    """Task: rows ``part, lang, block`` sorted by the first two -> their phrases with
+    ``min_count`` or more occurrences, and every language's words."""
+    out = pa.schema([("lang", pa.string()), ("phrase", pa.binary()), ("n", pa.int32()), ("f", pa.int64())])
+
+    def rows(lang: str, total: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
+        kept = [(p, f) for p, f in total.items() if f >= min_count or not p]
+        for lo in range(0, len(kept), 1 << 16):
+            some = kept[lo:lo + (1 << 16)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(some)), pa.array([p or None for p, _ in some], pa.binary()),
+                 pa.array([p.count(b" ") + 1 if p else 0 for p, _ in some], pa.int32()), pa.array([f for _, f in some])], schema=out)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, total = None, defaultdict(int)
+        for batch in batches:
+            for part, lang, block in zip(*(c.to_pylist() for c in batch.columns)):
+                if (part, lang) != now:
+                    if now:
+                        yield from rows(now[1], total)
+                    now, total = (part, lang), defaultdict(int)
+                for phrase, f in zip(*unpack_phrases(block)):
+                    total[phrase] += f
+        if now:
+            yield from rows(now[1], total)
     return task
 
 
@@ -286,11 +341,13 @@ def frequent(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     phrase, ``n`` 0 and all word occurrences."""
     rows = df.select(F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit(NO_LANG)).alias("lang"),
                      F.col(f"`{text_col}`").cast("binary").alias("text")).where("octet_length(text) > 0")
-    bits = options.get("filter_bits", FILTER_BITS)
-    known = df.sparkSession.sparkContext.broadcast(survivor_filter(rows, min_count, **options))
-    counts = rows.mapInArrow(_count_task(known, bits), "lang string, phrase binary, n int, f long")
-    counts = counts.groupBy("lang", "phrase", "n").agg(F.sum("f").alias("f"))
-    counts = counts.where(F.col("phrase").isNull() | (F.col("f") >= min_count))
+    marks, bits = survivor_filter(rows, min_count, **options)
+    known = df.sparkSession.sparkContext.broadcast(marks)
+    # The survivors are a small part of all n-grams: fewer partitions hold them.
+    counts = rows.mapInArrow(_count_task(known, options.get("filter_bits", FILTER_BITS), max(0, bits - 3)),
+                             "part int, lang string, block binary")
+    counts = counts.repartition("part").sortWithinPartitions("part", "lang").mapInArrow(
+        _add_task(min_count), "lang string, phrase binary, n int, f long")
     return write_table(counts.withColumn("phrase", F.col("phrase").cast("string")), "frequent")
 
 
