@@ -115,17 +115,25 @@ def test_many_copies_of_one_row_share_its_ranges(spark, op):
 
 def test_equal_windows_have_equal_anchors():
     a = [f"n{i}" for i in range(40)]
-    one = substring.pieces_of(" ".join(["x"] * 11 + a).encode())
-    two = substring.pieces_of(" ".join(a + ["y"] * 5).encode())
+    texts = [None, " ".join(["x"] * 11 + a).encode(), b"short", " ".join(a + ["y"] * 5).encode(), " ".join([*a, "z", *a]).encode(), b""]
+    sizes, p = substring.texts_pieces(texts)
+    assert sizes[0] == sizes[2] == sizes[5] == 0
+    ends = np.cumsum(sizes)
+    one, two, twice = ({k: v[ends[i] - sizes[i]:ends[i]] for k, v in p.items()} for i in (1, 3, 4))
 
     def anchor(p, w):
         return next(a for a, s, n in zip(p["a"], p["s"], p["n"]) if s <= w < s + n)
     for w in range(21):
-        assert anchor(one, w + 11) == anchor(two, w)
-    assert (one["m"] == 1).all()
-    twice = substring.pieces_of(" ".join([*a, "z", *a]).encode())
-    m = dict(zip(twice["a"], twice["m"]))
-    assert max(m.values()) == 2 and set(one["a"][1:-1]) & {x for x, n in m.items() if n == 2}
+        assert anchor(one, w + 11) == anchor(two, w) == anchor(twice, w) == anchor(twice, w + 41)
+    # Together or alone, a text has the same pieces and anchors; each piece's anchor is counted.
+    for i, t in enumerate(texts):
+        n, q = substring.texts_pieces([t])
+        assert n[0] == sizes[i] and all((q[k] == p[k][ends[i] - sizes[i]:ends[i]]).all() for k in q)
+    sizes, m = substring.texts_anchors(texts)
+    ends = np.cumsum(sizes)
+    places = [dict(zip(m["a"][e - n:e].tolist(), m["m"][e - n:e].tolist())) for e, n in zip(ends, sizes)]
+    assert set(places[1]) == set(one["a"].tolist()) and set(places[4]) == set(twice["a"].tolist())
+    assert places[4][anchor(twice, 3)] == 2 and places[3][anchor(two, 3)] == 1
 
 
 def test_anchor_larger_than_a_shard(spark):

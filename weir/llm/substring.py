@@ -5,8 +5,8 @@ words also start earlier (smaller doc_id, or same document, earlier start) goes.
 
 1. *Candidates.* Each window is filed under its anchor, the smallest hash of its
    five-word runs: equal windows have equal anchors. Consecutive windows with one anchor
-   form a piece; one pass over the texts writes each piece's place and the 128-bit hash
-   of its words. Anchors that occur at one place only are dropped.
+   form a piece, known by its anchor and the 128-bit hash of its words. Anchors that occur
+   at one place only are dropped (a partial aggregate over hashes and a semi join).
 2. *Confirm.* Pieces with the same words are gathered by a partial aggregate that
    keeps the first place, so a passage copied into a third of all documents is
    one row from here on. The texts of these first places are cut out of their
@@ -45,8 +45,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import ArrayType, StructType
 
-from weir.llm.text import batch_udf, fresh, list_udf, outside, text_key, window_hashes, with_ranges, words_of, write_table
+from weir.llm.text import batch_udf, fresh, outside, text_key, window_hashes, with_ranges, words_of, write_table
 
 WINDOW = 20
 ANCHOR = 5
@@ -67,27 +69,43 @@ def _slide(x: np.ndarray, k: int, pick) -> np.ndarray:
 
 
 class _Known(dict):
-    """Word -> 64-bit hash, computed when first asked for."""
+    """Word -> number; ``hashes`` holds the 64-bit hash of each numbered word."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[int] = []
+        self.hashes = np.empty(0, np.uint64)
 
     def __missing__(self, word: bytes) -> int:
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
+        n = self[word] = len(self.hashes) + len(self.new)
+        self.new.append(xxhash.xxh64_intdigest(word))
+        return n
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        if len(self) > KNOWN_WORDS:
+            self.__init__()
+            self.clear()
+        at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        if self.new:
+            self.hashes = np.concatenate([self.hashes, np.array(self.new, np.uint64)])
+            self.new = []
+        return self.hashes[at]
 
 
 _known = _Known()
 
 
 def hashes_of(words: list[bytes]) -> np.ndarray:
-    if len(_known) > KNOWN_WORDS:
-        _known.clear()
-    return np.fromiter(map(_known.__getitem__, words), np.uint64, len(words))
+    return _known.of(words)
 
 
 def _span_hashes(words: list[bytes], start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """128-bit xxh3 of the words of each span, as two longs."""
-    text = memoryview(b" ".join(words))
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-    lo, hi = np.where(start > 0, ends[start - 1], 0).tolist(), (ends[stop - 1] - 1).tolist()
+    joined = b" ".join(words)
+    # No word holds a blank: the blanks are the borders.
+    ends = np.append(np.flatnonzero(np.frombuffer(joined, np.uint8) == 32), len(joined))
+    lo, hi = np.where(start > 0, ends[start - 1] + 1, 0).tolist(), ends[stop - 1].tolist()
+    text = memoryview(joined)
     both = b"".join([xxhash.xxh3_128_digest(text[i:j]) for i, j in zip(lo, hi)])
     halves = np.frombuffer(both, ">i8").astype(np.int64).reshape(-1, 2)
     return halves[:, 0], halves[:, 1]
@@ -96,23 +114,86 @@ def _span_hashes(words: list[bytes], start: np.ndarray, stop: np.ndarray) -> tup
 _PIECE = "a long, b long, c long, s int, n int"
 
 
-def pieces_of(text: bytes | None, window: int = WINDOW, anchor: int = ANCHOR) -> dict[str, np.ndarray]:
-    """Pieces: anchor ``a``, hash ``b, c`` of the words, first word ``s``, ``n`` windows, and
-    at how many places ``m`` of the text the anchor stands."""
-    words = words_of(text)
+def _windows(counts: np.ndarray, hashes: np.ndarray, window: int, anchor: int):
+    """Of texts of ``counts`` words, one behind the other: the hashes of the five-word runs, the
+    anchor of each window, the text it begins in, and whether it lies in one text."""
+    runs = window_hashes(hashes, anchor)
+    low = _slide(runs, window - anchor + 1, np.minimum)
+    text = np.repeat(np.arange(len(counts)), counts)
+    return runs, low, text[:len(low)], text[:len(low)] == text[window - 1:]
+
+
+def texts_anchors(texts: list[bytes | None], window: int = WINDOW, anchor: int = ANCHOR) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """Per text, the distinct anchors ``a`` and at how many places ``m`` each stands: ``(numbers of
+    rows per text, columns)``."""
+    split = [words_of(t) for t in texts]
+    counts = np.array([len(w) for w in split], np.int64)
+    words = [w for s in split for w in s]
+    none = np.zeros(len(texts), np.int64), {"a": np.empty(0, np.int64), "m": np.empty(0, np.int64)}
     if len(words) < window:
-        return {k: np.empty(0, np.int64) for k in "abcsnm"}
-    runs = window_hashes(hashes_of(words), anchor)
+        return none
+    runs, low, text, inside = _windows(counts, hashes_of(words), window, anchor)
     k = window - anchor + 1
-    low = _slide(runs, k, np.minimum)
-    cut = np.flatnonzero(low[1:] != low[:-1]) + 1
-    start, stop = np.concatenate([[0], cut]), np.concatenate([cut, [len(low)]])
-    b, c = _span_hashes(words, start, stop + window - 1)
     # A run is an anchor if it equals the largest of the minima of the windows around it.
-    pad = np.concatenate([np.zeros(k - 1, np.uint64), low, np.zeros(k - 1, np.uint64)])
-    places, count = np.unique(runs[_slide(pad, k, np.maximum) == runs], return_counts=True)
-    return {"a": low[start].astype(np.int64), "b": b, "c": c, "s": start, "n": stop - start,
-            "m": count[np.searchsorted(places, low[start])]}
+    pad = np.concatenate([np.zeros(k - 1, np.uint64), np.where(inside, low, 0), np.zeros(k - 1, np.uint64)])
+    at = np.flatnonzero(_slide(pad, k, np.maximum) == runs)
+    at = at[runs[at] > 0]
+    if not len(at):
+        return none
+    of = np.repeat(np.arange(len(counts)), counts)[at]
+    order = np.lexsort((runs[at], of))
+    of, a = of[order], runs[at][order]
+    first = np.flatnonzero(np.r_[True, (of[1:] != of[:-1]) | (a[1:] != a[:-1])])
+    return np.bincount(of[first], minlength=len(texts)), {
+        "a": a[first].astype(np.int64), "m": np.diff(np.r_[first, len(a)])}
+
+
+def texts_pieces(texts: list[bytes | None], window: int = WINDOW, anchor: int = ANCHOR) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """Per text its pieces: anchor ``a``, hash ``b, c`` of the words, first word ``s``, ``n`` windows."""
+    split = [words_of(t) for t in texts]
+    counts = np.array([len(w) for w in split], np.int64)
+    words = [w for s in split for w in s]
+    if len(words) < window:
+        return np.zeros(len(texts), np.int64), {k: np.empty(0, np.int64) for k in "abcsn"}
+    _, low, text, inside = _windows(counts, hashes_of(words), window, anchor)
+    new = np.r_[True, (low[1:] != low[:-1]) | (text[1:] != text[:-1]) | (inside[1:] != inside[:-1])]
+    start = np.flatnonzero(new)
+    stop = np.r_[start[1:], len(low)]
+    keep = inside[start]
+    start, stop = start[keep], stop[keep]
+    b, c = _span_hashes(words, start, stop + window - 1) if len(start) else (np.empty(0, np.int64),) * 2
+    begins = np.r_[0, np.cumsum(counts)[:-1]]
+    return np.bincount(text[start], minlength=len(texts)), {
+        "a": low[start].astype(np.int64), "b": b, "c": c, "s": start - begins[text[start]], "n": stop - start}
+
+
+#: Words of texts that are looked at together.
+TOGETHER = 200_000
+
+
+def _texts_udf(ddl: str, per_texts):
+    """Arrow UDF from a binary text to an array of structs: ``per_texts`` takes some texts and
+    gives the number of rows of each and the rows' columns."""
+    kind = to_arrow_schema(StructType.fromDDL(ddl))
+
+    def run(texts: pa.Array) -> pa.Array:
+        values = texts.to_pylist()
+        sizes, parts, at = [], [], 0
+        while at < len(values):
+            end, size = at, 0
+            while end < len(values) and (end == at or size < 6 * TOGETHER):
+                size += len(values[end] or b"")
+                end += 1
+            n, cols = per_texts(values[at:end])
+            sizes.append(n)
+            parts.append(cols)
+            at = end
+        ends = np.concatenate([[0], np.cumsum(np.concatenate(sizes) if sizes else [])]).astype(np.int32)
+        fields = [pa.array(np.concatenate([p[f.name] for p in parts]).astype(f.type.to_pandas_dtype()) if parts else [], f.type) for f in kind]
+        return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(fields, fields=list(kind)))
+
+    run.__annotations__ = {"texts": pa.Array, "return": pa.Array}
+    return F.arrow_udf(run, ArrayType(StructType.fromDDL(ddl)))
 
 
 def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -137,23 +218,31 @@ def _cut_task(window: int):
                 seen.add((k, key))
                 words = words_of(text)
                 out += [(x["a"], x["b"], x["c"], doc, x["s"], b" ".join(words[x["s"]:x["s"] + x["n"] + window - 1])) for x in cuts]
+                if len(out) >= 1 << 13:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), kind.types)], schema=kind)
+                    out = []
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), kind.types)], schema=kind)
     return task
 
 
-def _refile_batch(window: int):
-    """Pieces of a text -> their windows, each a piece of its own under its own hash."""
-    def batch(texts, wanted):
-        out = []
-        for text, cuts in zip(texts, wanted):
-            words = words_of(text)
-            at = np.concatenate([np.arange(x["s"], x["s"] + x["n"]) for x in cuts])
-            runs = window_hashes(hashes_of(words), window)[at].astype(np.int64)
-            b, c = _span_hashes(words, at, at + window)
-            out.append(([dict(zip("abcsn", x)) for x in zip(runs.tolist(), b.tolist(), c.tolist(), at.tolist(), [1] * len(at))],))
-        return out
-    return batch
+def _refile_task(window: int):
+    """Task: rows ``doc_id, text_key, text, cuts`` -> the windows of the cuts, each a piece of
+    its own under its own hash."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                words = words_of(batch.column("text")[i].as_py())
+                cuts = batch.column("cuts")[i].values
+                s, n = (cuts.field(f).to_numpy().astype(np.int64) for f in ("s", "n"))
+                at = np.repeat(s - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
+                runs = window_hashes(hashes_of(words), window)[at].astype(np.int64)
+                b, c = _span_hashes(words, at, at + window)
+                doc, key = (pa.repeat(batch.column(f)[i], len(at)) for f in ("doc_id", "text_key"))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(runs), pa.array(b), pa.array(c), doc, pa.array(at.astype(np.int32)), pa.array(np.ones(len(at), np.int32)), key],
+                    names=["a", "b", "c", "doc_id", "s", "n", "text_key"])
+    return task
 
 
 def _all_differ(seq: tuple, window: int) -> bool:
@@ -258,18 +347,19 @@ def filed_pieces(docs: DataFrame, window: int, anchor: int, shard_words: int) ->
     """``a, b, c, doc_id, s, n, text_key``: all pieces whose anchor stands at several places;
     pieces of large anchors are filed by window."""
     text = F.col("text").cast("binary")
-    cut_up = list_udf(_PIECE + ", m int", lambda t: pieces_of(t, window, anchor))(text)
-    keyed = ["doc_id", F.col("key").alias("text_key")]
-    pieces = write_table(docs.select(*keyed, cut_up.alias("p")).select("doc_id", "text_key", F.inline("p")), "all-pieces")
-    again = pieces.groupBy("a").agg(F.sum("m").alias("places")).where("places > 1").select("a")
     names = ["a", "b", "c", "doc_id", "s", "n", "text_key"]
+    places = docs.select(F.inline(_texts_udf("a long, m int", lambda t: texts_anchors(t, window, anchor))(text)))
+    again = places.groupBy("a").agg(F.sum("m").alias("places")).where("places > 1").select("a")
+    cut_up = _texts_udf(_PIECE, lambda t: texts_pieces(t, window, anchor))(text)
+    pieces = docs.select("doc_id", F.col("key").alias("text_key"), cut_up.alias("p")).select("doc_id", "text_key", F.inline("p"))
     pieces = write_table(pieces.join(again, "a", "left_semi").select(*names), "pieces")
     large = write_table(large_anchors(pieces, window, shard_words), "large-anchors")
     if large.isEmpty():
         return pieces
     wanted = _per_document(pieces.join(large, "a", "left_semi"), "s", "n")
-    refile = batch_udf(f"p array<struct<{', '.join(x.replace(' ', ': ') for x in _PIECE.split(', '))}>>", _refile_batch(window))
-    filed = docs.join(wanted, ["k", "key"]).select(*keyed, F.inline(refile(text, F.col("cuts"))["p"])).select(*names)
+    kinds = ", ".join(f"{c} {pieces.schema[c].dataType.simpleString()}" for c in names)
+    filed = docs.join(wanted, ["k", "key"]).select("doc_id", F.col("key").alias("text_key"), text.alias("text"), "cuts").mapInArrow(
+        _refile_task(window), kinds)
     return write_table(pieces.join(large, "a", "left_anti").unionByName(filed), "filed-pieces")
 
 
