@@ -37,6 +37,33 @@ def test_random_texts(both):
         same(*both, "".join(rng.choice(vocab) for _ in range(4)))
 
 
+def test_transition_table(both):
+    """Every stored transition leads to a state in which the token it completes is the one
+    that may be followed by any arc; a known word is read from the table alone."""
+    auto, lib = both
+    auto._restart()
+    for word in ("antidisestablishment", "hello", "helloworld", "aaaaaaaaaaaa"):
+        path = auto.encode_word(word.encode())
+        assert path == lib.encode(word, add_special_tokens=False).ids
+        states = len(auto.sets)
+        assert auto.encode_word(word.encode()) == path and len(auto.sets) == states   # read from the table alone
+        state = 0
+        for byte in word.encode()[:-1]:
+            state, token = auto.table[state][byte]
+            assert [p for p, node in auto.sets[state] if node == 0] == [token]
+    assert len(auto.sets) == len(auto.table) == len(auto.ends) == len(auto.numbers)
+
+
+def test_a_full_table_starts_again(both, monkeypatch):
+    auto, lib = both
+    monkeypatch.setattr(bpe, "STATES", 50)
+    rng = random.Random(4)
+    for _ in range(300):
+        text = "".join(rng.choice("abcdefghij") for _ in range(rng.randint(1, 40)))
+        assert auto.encode_word(text.encode()) == lib.encode(text, add_special_tokens=False).ids
+        assert len(auto.sets) <= 50 + len(text)
+
+
 def lib_words(lib):
     return sorted(lib.get_vocab())
 

@@ -9,9 +9,16 @@ with an arc ``u`` gets an arc ``w`` to where ``v`` led. All arcs of a token lead
 to one state, so each merge adds at most one state; copies are stored as parent,
 time of birth and removed arc, and ``w``'s arcs as "where ``u`` has one", which
 keeps the tables at a few numbers per merge (bounded by the vocabulary, so they
-may be broadcast). A word has exactly one accepted path over its bytes; encoding
-follows it, longest arc first, and never enters a position twice. Decoding emits
-the labels of the arcs.
+may be broadcast).
+
+The automaton reads tokens; to read bytes it is composed with the trie of the tokens'
+bytes and made deterministic. A state of the byte automaton is the set of (last token,
+trie node) pairs that the bytes so far allow. Since every prefix of a word has exactly
+one accepted path, each byte completes exactly one token that has an arc, and the
+transition table gives the next state and that token: one look per byte, no search and
+nothing taken back. Rows of the table are computed when a state is first met and kept,
+``STATES`` at a time. The path is read off backwards from the word's last byte; decoding
+emits the labels of its arcs.
 
 Texts are split as the tokenizer file says: added tokens first, then NFC, blanks
 collapsed, lower case, and the file's pattern. Texts of characters below U+0250
@@ -19,7 +26,7 @@ collapsed, lower case, and the file's pattern. Texts of characters below U+0250
 differ, by the file's own normalizer and pre-tokenizer.
 
 Defined cases: null text counts as empty and gives no tokens; very long words are
-encoded in linear time and not remembered; repeated rows give repeated rows; an
+encoded in linear time and not remembered (the table's states are); repeated rows give repeated rows; an
 empty table gives no rows; extra columns are kept by ``with_tokens``.
 """
 
@@ -39,8 +46,8 @@ from weir.llm.text import on_text, text_udf
 #: Remembered words per Python worker (about 60 MB), and the longest one remembered.
 CACHE = 250_000
 CACHED_CHARS = 48
-_PAIRS = 250_000
-_HEAD = 5
+#: Byte-automaton states a worker keeps (about 50 MB).
+STATES = 60_000
 _END = 1 << 62
 
 #: Characters split by the rules below alone.
@@ -96,13 +103,17 @@ class Automaton:
                 (self.final if end else self.inner)[raw] = i
         if not self.suffix:
             self.final = self.inner
-        self.longest = max(map(len, [*self.inner, *self.final]))
-        # By its first bytes: length of the longest token that begins so.
-        self.reach: dict[bytes, int] = {}
-        for raw in [*self.inner, *self.final]:
-            if len(raw) >= _HEAD:
-                self.reach[raw[:_HEAD]] = max(len(raw), self.reach.get(raw[:_HEAD], 0))
-        self.pairs: dict[int, bool] = {}
+        # Trie of the tokens' bytes: (node, byte) -> node, and the tokens that end at a node.
+        self.trie: dict[int, int] = {}
+        self.inner_at, self.final_at, self.branches, self.length = [-1], [-1], [True], [0] * size
+        for at, found in ((self.inner_at, self.inner), (self.final_at, self.final)):
+            for raw, i in found.items():
+                node = 0
+                for byte_ in raw:
+                    node = self._child(node, byte_)
+                at[node] = i
+                self.length[i] = len(raw)
+        self._restart()
         self.cache: dict[str, bytes] = {}
 
     def _add_merge(self, u: int, v: int, w: int, now: int) -> None:
@@ -127,43 +138,79 @@ class Automaton:
                 token, now = self.left[token], min(now, t)
 
     def follows(self, prev: int, token: int) -> bool:
-        if len(self.pairs) >= _PAIRS:
-            self.pairs.clear()
-        known = self.pairs[prev * len(self.labels) + token] = self._has_arc(prev, _END, token)
-        return known
+        """Has the state after ``prev`` an arc ``token``?"""
+        return self._has_arc(prev, _END, token)
+
+    def _child(self, node: int, byte: int) -> int:
+        key = node << 8 | byte
+        if key not in self.trie:
+            self.trie[key] = len(self.inner_at)
+            self.inner_at.append(-1)
+            self.final_at.append(-1)
+            self.branches.append(False)
+            self.branches[node] = True
+        return self.trie[key]
+
+    def _restart(self) -> None:
+        """The byte automaton's start: no token yet, the trie's root."""
+        start = ((-1, 0),)
+        self.sets, self.numbers = [start], {start: 0}
+        self.table: list[dict[int, tuple[int, int]]] = [{}]
+        self.ends: list[dict[int, int]] = [{}]
+
+    def _completed(self, state: int, byte: int, tokens: list[int]) -> tuple[list, int]:
+        """The pairs one byte on, and the token it completes along an arc."""
+        on, done = [], -1
+        for prev, node in self.sets[state]:
+            to = self.trie.get(node << 8 | byte)
+            if to is not None:
+                if self.branches[to]:
+                    on.append((prev, to))
+                token = tokens[to]
+                if token >= 0 and (prev < 0 or self.follows(prev, token)):
+                    done = token
+        if done < 0:
+            raise ValueError("a byte without a token")
+        return on, done
+
+    def _add_transition(self, state: int, byte: int) -> tuple[int, int]:
+        on, done = self._completed(state, byte, self.inner_at)
+        pairs = tuple(sorted([*on, (done, 0)]))
+        to = self.numbers.get(pairs)
+        if to is None:
+            to = self.numbers[pairs] = len(self.sets)
+            self.sets.append(pairs)
+            self.table.append({})
+            self.ends.append({})
+        self.table[state][byte] = to, done
+        return to, done
+
+    def _add_end(self, state: int, byte: int) -> int:
+        done = self.ends[state][byte] = self._completed(state, byte, self.final_at)[1]
+        return done
 
     def encode_word(self, word: bytes) -> list[int]:
-        """The one accepted path over a pre-split word."""
-        n, path, starts, dead = len(word), [], [], set()
-        inner, final, pairs, size, reach = self.inner, self.final, self.pairs, len(self.labels), self.reach
-        pos, prev = 0, -1
-        width = min(n, reach.get(word[:_HEAD], _HEAD - 1))
-        while pos < n:
-            while width:
-                end = pos + width
-                token = (final if end == n else inner).get(word[pos:end])
-                if token is not None and end not in dead:
-                    if prev < 0:
-                        break
-                    ok = pairs.get(prev * size + token)
-                    if ok or ok is None and self.follows(prev, token):
-                        break
-                width -= 1
-            if width:
-                path.append(token)
-                starts.append(pos)
-                prev, pos = token, end
-                width = reach.get(word[pos:pos + _HEAD], _HEAD - 1)
-                if width > n - pos:
-                    width = n - pos
-            else:  # no way on: take back the last arc and try a shorter one
-                if not path:
-                    raise ValueError(f"no path over {word!r}")
-                dead.add(pos)
-                path.pop()
-                back = starts.pop()
-                width, pos = pos - back - 1, back
-                prev = path[-1] if path else -1
+        """The one accepted path over a pre-split word, one transition a byte."""
+        if len(self.sets) > STATES:
+            self._restart()
+        table, state, tokens = self.table, 0, []
+        for byte in word[:-1]:
+            step = table[state].get(byte)
+            if step is None:
+                step = self._add_transition(state, byte)
+            state = step[0]
+            tokens.append(step[1])
+        if not word:
+            return []
+        last = self.ends[state].get(word[-1])
+        token = self._add_end(state, word[-1]) if last is None else last
+        # Back along the path: the token that ends at each place says where it began.
+        path, length, pos = [token], self.length, len(word) - self.length[token]
+        while pos:
+            token = tokens[pos - 1]
+            path.append(token)
+            pos -= length[token]
+        path.reverse()
         return path
 
     def _encode_chunk(self, chunk: str) -> bytes:
