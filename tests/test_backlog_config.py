@@ -167,11 +167,14 @@ def test_between_markers_rules(spark):
         ("p2", 1, "a"), ("p2", 2, "b"),                          # never started: nothing
         ("p3", 1, "STOP"), ("p3", 2, "START"), ("p3", 3, "d"),   # stopped before the start: nothing
         ("p4", 1, "START"), ("p4", 2, "e"),                      # no stop: to the end
+        (None, 1, "x"), (None, 2, "START"), (None, 3, "n"), (None, 4, "STOP"), (None, 5, "x"),  # a partition like others
+        ("p5", 1, "START"), ("p5", 2, None), ("p5", 3, "STOP"),  # an unknown message is no marker
     ]
     df = spark.createDataFrame(rows, "part string, seq long, msg string")
-    got = sorted((r.part, r.msg) for r in between_markers(
-        df, F.col("msg") == "START", F.col("msg") == "STOP", "part", order_by=("seq",)).collect())
-    assert got == [("p1", "a"), ("p1", "b"), ("p4", "e")]
+    kept = between_markers(df, F.col("msg") == "START", F.col("msg") == "STOP", "part", order_by=("seq",))
+    got = sorted(((r.part or "", r.msg or "") for r in kept.collect()))
+    assert kept.columns == df.columns
+    assert got == [("", "n"), ("p1", "a"), ("p1", "b"), ("p4", "e"), ("p5", "")]
 
 
 def test_normalize_path_edges(spark):

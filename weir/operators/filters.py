@@ -4,50 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from weir.functions.glob import glob_match, glob_to_regex
+from weir.functions.glob import glob_match
 from weir.operators.joins import prefix_anti_join
 from weir.operators.paths import normalize_path
+from weir.operators.patterns import matching_values
 
 
 def exclude_paths(df: DataFrame, patterns, col: str = "path") -> DataFrame:
     """drop rows whose ``col`` matches any glob (``fnmatch`` flags 0).
 
     ``patterns`` is a list of globs (one anchored regex, a single ``rlike``) or a
-    DataFrame with a ``pattern`` column (F2). A table is matched against the
-    distinct values of ``col``, once however many rows hold them, and the rows are
-    removed by an equi anti join. A pattern is looked up by its literal head (the
-    text before its first wildcard; all of it if it has none) among the leading
-    parts of a value, so a regex only sees values that begin like its pattern.
-    Patterns that begin with a wildcard share the empty head.
+    DataFrame with a ``pattern`` column (F2): a pattern index is walked once by each
+    distinct value of ``col``, and the rows are removed by an equi anti join.
     """
     if not isinstance(patterns, DataFrame):
         return df.where(~glob_match(col, list(patterns)))
-
-    pats = patterns.select(F.col("pattern").cast("string").alias("pattern")).where(F.col("pattern").isNotNull()).distinct()
-    head = F.regexp_extract("pattern", r"(?s)\A([^*?\[\\]*)", 1)
-    regex = F.concat(F.lit("(?s)\\A(?:"), _glob_regex_udf()(F.col("pattern")), F.lit(")\\z"))
-    pats = pats.select(regex.alias("__re"), head.alias("__head"))
-    pats = pats.select("__re", "__head", F.length("__head").alias("__n"), F.xxhash64("__head").alias("__h"))
-    values = df.select(F.col(col).alias("__v")).where(F.col(col).isNotNull()).distinct()
-    heads = F.transform(F.sequence(F.lit(0), F.length("__v")), lambda n: F.struct(
-        n.alias("__n"), F.xxhash64(F.substring(F.col("__v"), F.lit(1), n)).alias("__h")))
-    keyed = values.select("__v", F.explode(heads).alias("__x")).select("__v", "__x.__n", "__x.__h")
-    hit = keyed.join(pats, ["__n", "__h"]).where(
-        F.col("__v").startswith(F.col("__head")) & F.regexp_like(F.col("__v"), F.col("__re")))
-    return df.join(hit.select(F.col("__v").alias(col)).distinct(), col, "left_anti")
-
-
-def _glob_regex_udf():
-    import pandas as pd
-
-    def translate(p):
-        return p.map(glob_to_regex)
-
-    # Real annotations (this module uses postponed ones) select the Series->Series form.
-    translate.__annotations__ = {"p": pd.Series, "return": pd.Series}
-    return F.pandas_udf(translate, T.StringType())
+    return df.join(matching_values(df, col, patterns, whole=True), col, "left_anti")
 
 
 def exclude_prefixes(df: DataFrame, prefixes, col: str = "path") -> DataFrame:
@@ -83,7 +56,8 @@ def apply_sleep(df: DataFrame, sleep_dirs, active, col: str = "prefix") -> DataF
 def between_markers(df: DataFrame, is_start: Column, is_stop: Column, partition_by,
                     order_by=("ts", "seq")) -> DataFrame:
     """per partition, the rows strictly after the first start marker and
-    strictly before the first stop marker; marker rows are never kept.
+    strictly before the first stop marker; marker rows are never kept. Rows with null
+    partition columns are a partition like any other.
 
     Skew-safe: the first-marker positions are a partial aggregate (one row per
     partition), joined back by a plain join (AQE broadcasts the summary or splits
@@ -96,10 +70,14 @@ def between_markers(df: DataFrame, is_start: Column, is_stop: Column, partition_
         F.min(F.when(F.col("__start"), F.col("__pos"))).alias("__first_start"),
         F.min(F.when(F.col("__stop"), F.col("__pos"))).alias("__first_stop"),
     ).where(F.col("__first_start").isNotNull())
-    kept = marked.join(summary, parts, "inner").where(
+    summary = summary.withColumnsRenamed({c: f"__in{i}" for i, c in enumerate(parts)})
+    same = F.lit(True)
+    for i, c in enumerate(parts):
+        same = same & F.col(f"`{c}`").eqNullSafe(F.col(f"__in{i}"))
+    kept = marked.join(summary, same, "inner").where(
         (F.col("__pos") > F.col("__first_start"))
         & (F.col("__first_stop").isNull() | (F.col("__pos") < F.col("__first_stop")))
         & ~F.coalesce(F.col("__start"), F.lit(False))
         & ~F.coalesce(F.col("__stop"), F.lit(False))
     )
-    return kept.drop("__start", "__stop", "__pos", "__first_start", "__first_stop")
+    return kept.select(*[F.col(f"`{c}`") for c in df.columns])

@@ -7,6 +7,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from weir.operators.patterns import matching_values
+
 
 def lookup_join(df: DataFrame, dim: DataFrame, on: str) -> DataFrame:
     """Left join to a dimension keyed by ``on`` (unique).
@@ -19,20 +21,8 @@ def lookup_join(df: DataFrame, dim: DataFrame, on: str) -> DataFrame:
 
 
 def prefix_matches(values: DataFrame, col: str, prefixes: DataFrame) -> DataFrame:
-    """The distinct values of ``col`` that start with some ``prefix``.
-
-    Every leading part of a value is looked up by its length and hash, which
-    partitions like any hash join, and verified; a value is expanded once
-    however many rows hold it, and texts of any length take part.
-    """
-    v = values.select(F.col(col).alias("__v")).where(F.col(col).isNotNull()).distinct()
-    p = prefixes.select(F.col("prefix").alias("__p")).where(F.col("prefix").isNotNull()).distinct().select(
-        "__p", F.length("__p").alias("__n"), F.xxhash64("__p").alias("__h"))
-    heads = F.transform(F.sequence(F.lit(0), F.length("__v")), lambda n: F.struct(
-        n.alias("__n"), F.xxhash64(F.substring(F.col("__v"), F.lit(1), n)).alias("__h")))
-    keyed = v.select("__v", F.explode(heads).alias("__x")).select("__v", "__x.__n", "__x.__h")
-    hit = keyed.join(p, ["__n", "__h"]).where(F.col("__v").startswith(F.col("__p")))
-    return hit.select(F.col("__v").alias(col)).distinct()
+    """The distinct values of ``col`` that start with some ``prefix``."""
+    return matching_values(values, col, prefixes.select(F.col("prefix").alias("pattern")), whole=False)
 
 
 def prefix_anti_join(df: DataFrame, col: str, prefixes: DataFrame) -> DataFrame:
@@ -41,13 +31,12 @@ def prefix_anti_join(df: DataFrame, col: str, prefixes: DataFrame) -> DataFrame:
     return df.join(prefix_matches(df, col, prefixes), col, "left_anti")
 
 
-#: Time width of an as-of bucket, and the parts a bucket's left rows are dealt into.
+#: Time width of an as-of bucket.
 ASOF_BUCKET_SECONDS = 60
-ASOF_SPREAD = 8
 
 
 def asof_join(left: DataFrame, right: DataFrame, left_ts: str, right_ts: str, by=None, seq: str | None = None,
-              bucket_seconds: float = ASOF_BUCKET_SECONDS, spread: int = ASOF_SPREAD) -> DataFrame:
+              bucket_seconds: float = ASOF_BUCKET_SECONDS) -> DataFrame:
     """Left rows with the columns of the latest ``right`` row whose ``right_ts``
     is <= ``left_ts`` (same ``by`` keys); nulls when there is none.
 
@@ -56,50 +45,45 @@ def asof_join(left: DataFrame, right: DataFrame, left_ts: str, right_ts: str, by
     time is kept with nulls; a right row without a time counts for nothing. Null
     ``by`` keys match each other.
 
-    Both sides are keyed by ``(by, time bucket, part)``; inside, the latest right
-    row is carried forward with ``last(..., ignorenulls)`` in time order. Left rows
-    are dealt to ``spread`` parts, right rows go to each, so a busy bucket is not
-    one task. What holds at the start of a bucket comes from one summary row per
-    ``(by, bucket)``.
+    The right side is gathered per ``(by, time bucket)``: the rows inside the bucket,
+    sorted, and the one carried in from the buckets before. Buckets that only left rows
+    fall into get the carried row alone; they come from one aggregate over the left
+    side's keys and times. The left rows themselves are never sorted or packed: one
+    equi join finds their bucket -- without moving them where the planner sees that the
+    gathered side is small, and with AQE splitting a busy bucket -- and the last
+    element not after the row's time is taken.
     """
     by = [] if by is None else ([by] if isinstance(by, str) else list(by))
+    q = lambda c: F.col(f"`{c}`")
     payload = [c for c in right.columns if c not in by and c not in left.columns]
     width = int(bucket_seconds * 1_000_000)
     keys = [f"__by{i}" for i in range(len(by))]
-    key_cols = [F.col(f"`{c}`").alias(k) for c, k in zip(by, keys)]
-    micros = lambda c: F.unix_micros(F.col(f"`{c}`").cast("timestamp"))
-    pay_of = F.struct(*[F.col(f"`{c}`") for c in payload])
-    tie = F.col(f"`{seq}`") if seq else pay_of
-    row_of = F.struct(*[F.col(f"`{c}`") for c in left.columns])
-    pay_type, row_type = right.select(pay_of).schema[0].dataType, left.select(row_of).schema[0].dataType
-
-    latest = right.select(*key_cols, micros(right_ts).alias("__t"), pay_of.alias("__pay"), tie.alias("__tie")) \
-        .where(F.col("__t").isNotNull()).groupBy(*keys, "__t").agg(F.max_by("__pay", "__tie").alias("__pay"))
-    bucket = F.floor(F.col("__t") / width).alias("__b")
-    rside = latest.select(*keys, bucket, "__t", "__pay")
-    lside = left.select(*key_cols, micros(left_ts).alias("__t"), row_of.alias("__row"))
-    lside = lside.select(*keys, bucket, "__t", "__row",
-                         F.pmod(F.xxhash64(*[F.col("__row")[c] for c, kind in left.dtypes if "map" not in kind]),
-                                F.lit(spread)).cast("int").alias("__part"))
-
-    parts = F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("__part")
-    # Left rows without a time fall into a bucket of their own (null), which no right row shares.
-    both = lside.select(
-        *keys, "__b", "__part", "__t", F.lit(1).alias("__side"), "__row", F.lit(None).cast(pay_type).alias("__pay")).unionByName(
-        rside.select(*keys, "__b", parts, "__t", F.lit(0).alias("__side"), F.lit(None).cast(row_type).alias("__row"), "__pay"))
-    inside = Window.partitionBy(*keys, "__b", "__part").orderBy("__t", "__side").rowsBetween(Window.unboundedPreceding, 0)
-    carried = both.withColumn("__last", F.last("__pay", ignorenulls=True).over(inside)).where(F.col("__side") == 1)
-
-    # One row per (by, bucket) of either side: the last right row of the buckets before.
-    ends = rside.groupBy(*keys, "__b").agg(F.max_by("__pay", "__t").alias("__end"))
-    places = lside.where(F.col("__t").isNotNull()).groupBy(*keys, "__b").agg(F.lit(None).cast(pay_type).alias("__end"))
+    key_cols = [q(c).alias(k) for c, k in zip(by, keys)]
+    micros = lambda c: F.unix_micros(q(c).cast("timestamp"))
+    bucket = lambda t: F.floor(t / width)
+    pay = F.struct(*[q(c) for c in payload])
+    version = F.struct(micros(right_ts).alias("t"), (q(seq) if seq else pay).alias("tie"), pay.alias("pay"))
+    kind = right.select(version.alias("v")).schema[0].dataType
+
+    versions = right.where(q(right_ts).isNotNull()).select(*key_cols, bucket(micros(right_ts)).alias("__b"), version.alias("__v"))
+    places = left.where(q(left_ts).isNotNull()).select(*key_cols, bucket(micros(left_ts)).alias("__b")).distinct()
+    both = versions.unionByName(places.withColumn("__v", F.lit(None).cast(kind)))
+    # Compared by time and tie alone: a payload may hold maps.
+    before = lambda x, y: F.when((x["t"] < y["t"]) | ((x["t"] == y["t"]) & (
+        (x["tie"].isNull() & y["tie"].isNotNull()) | (x["tie"] < y["tie"]))), -1).when(
+        (x["t"] == y["t"]) & x["tie"].eqNullSafe(y["tie"]), 0).otherwise(1)
+    cells = both.groupBy(*keys, "__b").agg(F.array_sort(F.collect_list("__v"), before).alias("__in"))
     along = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = ends.unionByName(places).groupBy(*keys, "__b").agg(F.first("__end", ignorenulls=True).alias("__end")) \
-        .withColumn("__carry", F.last("__end", ignorenulls=True).over(along)).where(F.col("__carry").isNotNull()) \
-        .select(*[F.col(k).alias(f"{k}c") for k in keys], F.col("__b").alias("__bc"), "__carry")
-    same = F.col("__b") == F.col("__bc")
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"{k}c"))
-    found = carried.join(carry, same, "left").select("__row", F.coalesce("__last", "__carry").alias("__p"))
-    return found.select(
-        *[F.col("__row")[c].alias(c) for c in left.columns], *[F.col("__p")[c].alias(c) for c in payload])
+    ending = F.when(F.size("__in") > 0, F.element_at("__in", -1))
+    cells = cells.withColumn("__carry", F.last(ending, ignorenulls=True).over(along))
+    cells = cells.where((F.size("__in") > 0) | F.col("__carry").isNotNull()).select(
+        *[F.col(k).alias(f"{k}c") for k in keys], F.col("__b").alias("__bc"), "__in", "__carry")
+
+    t = micros(left_ts)
+    same = bucket(t) == F.col("__bc")
+    for c, k in zip(by, keys):
+        same = same & q(c).eqNullSafe(F.col(f"{k}c"))
+    found = left.join(cells, same, "left")
+    inside = F.filter("__in", lambda v: v["t"] <= t)
+    latest = F.coalesce(F.when(F.size(inside) > 0, F.element_at(inside, -1)), F.col("__carry"))["pay"]
+    return found.withColumn("__pay", latest).select(*[q(c) for c in left.columns], *[F.col("__pay")[c].alias(c) for c in payload])

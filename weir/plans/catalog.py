@@ -21,10 +21,13 @@ from weir.operators import enrich as en
 from weir.operators import filters as fl
 from weir.operators import quota as qt
 from weir.plans import fixtures as fx
+from weir.plans import streams as st
 from weir.session import configure
 from weir.sources import config as scfg
 from weir.sources import lines as ln
 from weir.sources import writes as sw
+from weir.streaming import event_time as ev
+from weir.streaming.gaps import missing_ranges_stream
 
 # Fixed parameters of the registered queries.
 QUOTA = 0.0001                      # bytes/s; splits the events fixture
@@ -34,6 +37,7 @@ SLEEP_DIRS = ["/srv/docs/src1"]
 STATIC_FIELDS = {"site": "rack-7", "note": 'two "quoted" words'}
 STATIC_TAGS = ["orders", "a/b"]
 BACKLOG_N = 1000
+SEGMENT_ROWS = 600
 REPLAY_SPLIT = "2024-01-15 00:00:00"
 ENCODER_BY_TYPE = {"view": "logstash_base64", "click": "logstash", "error": "text",
                    "purchase": "logstash_base64_fpenzoyr", "signup": "csv"}
@@ -206,6 +210,15 @@ def _encoder_col():
     return c
 
 
+def q_exclude_paths_index(spark, sf):
+    """Paths against a table of wildcard-led patterns, one or two a customer."""
+    c = fx.table(spark, sf, "customer")
+    key = F.col("c_custkey").cast("string")
+    pats = c.where("c_nationkey < 5").select(F.concat(F.lit("*/u"), key, F.lit(".log")).alias("pattern")).unionByName(
+        c.where("c_nationkey = 7").select(F.concat(F.lit("[.]/*/u"), key, F.lit(".l?g")).alias("pattern")))
+    return fl.exclude_paths(fx.writes(spark, sf), pats).select("seq", "path")
+
+
 def q_encode_reject(spark, sf):
     _, dead = codec.encode(fx.writes(spark, sf), _encoder_col())
     return dead.select("seq", "encoder", "reason")
@@ -237,6 +250,35 @@ def q_rate_limit_bounded(spark, sf):
     return qt.rate_limit_bounded(w, QUOTA, max_tracked=5, shard="prefix").select("seq", "path", "overflow")
 
 
+def q_rate_limit_bounded_segments(spark, sf):
+    """Hot prefixes: a shard is scanned in several segments at once, from guessed rings, and repaired."""
+    w = fx.writes(spark, sf).withColumn("prefix", F.concat(F.lit("/var/log/"), _event_type()))
+    return qt.rate_limit_bounded(w, QUOTA, max_tracked=5, segment_rows=SEGMENT_ROWS).select("seq", "path", "overflow")
+
+
+def q_stream_rate_limit(spark, sf):
+    df = st.feed(fx.writes(spark, sf))
+    out = st.drained(ev.rate_limit_event_time(df, QUOTA, delay=st.DELAY, bucket_ms=86_400_000), "quota")
+    return out.where(F.col("seq").isNotNull()).select("seq", "path")
+
+
+def q_stream_rate_limit_bounded(spark, sf):
+    w = fx.writes(spark, sf).withColumn("prefix", F.concat(
+        F.lit("/var/log/"), _event_type(), F.lit("/"), (F.col("uid") % 8).cast("string")))
+    df = ev.rate_limit_bounded_stream(st.feed(w), QUOTA, max_tracked=5, delay=st.DELAY, bucket_ms=86_400_000)
+    return st.drained(df, "tracker").where(F.col("seq").isNotNull()).select("seq", "path", "overflow")
+
+
+def q_stream_backlog(spark, sf):
+    """Closed up to a time, then opened with filters: the backlog first, then live rows."""
+    status = spark.createDataFrame([(REPLAY_SPLIT, True, EXCLUDE_GLOBS[:1], QUOTA)],
+                                   "at string, ready boolean, excludes array<string>, quota double")
+    status = status.select(F.col("at").cast("timestamp").alias("ts"), "ready", "excludes", "quota")
+    df = ev.spool_until_ready(st.feed(fx.writes(spark, sf)), st.control_feed(status), n=BACKLOG_N, delay=st.DELAY,
+                              bucket_ms=86_400_000, shards=1)
+    return st.drained(df, "backlog").where(F.col("seq").isNotNull()).select("seq", "path")
+
+
 def q_bounded_backlog(spark, sf):
     return bl.bounded_backlog(fx.writes(spark, sf), BACKLOG_N).select("seq", "path")
 
@@ -265,6 +307,28 @@ def _sink_status(spark, sf):
                      F.col("event_type").isin("signup", "view", "click").alias("ready"))
 
 
+def _sink_history(spark, sf):
+    """The sink's state from the purchases on: one row a time."""
+    ev_ = fx.table(spark, sf, "events").where(F.col("event_type") == "purchase")
+    return ev_.groupBy(F.col("ts").cast("timestamp").alias("since")).agg(
+        F.max_by(F.concat(F.lit("sink-"), (F.col("event_id") % 5).cast("string")), "event_id").alias("state"))
+
+
+def q_stream_with_config(spark, sf):
+    history = st.control_feed(_sink_history(spark, sf))
+    df = ev.with_config_stream(st.feed(fx.writes(spark, sf)), history, effective_col="since", delay=st.DELAY,
+                               bucket_ms=86_400_000, shards=4)
+    return st.drained(df, "config").where(F.col("seq").isNotNull()).select("seq", "state")
+
+
+def q_with_config_history(spark, sf):
+    """The latest order before each shipped line: a history as long as the orders table."""
+    history = fx.table(spark, sf, "orders").select(F.col("o_orderdate").cast("timestamp").alias("since"),
+                                                   F.col("o_orderkey").alias("n"), F.col("o_orderstatus").alias("state"))
+    w = en.with_config(fx.lineitem_writes(spark, sf), history, effective_col="since", seq="n")
+    return w.select("seq", "n", "state")
+
+
 def q_route_ready(spark, sf):
     w = fx.writes(spark, sf)
     w = w.withColumn("ts", F.when(F.col("seq") % 97 != 0, F.col("ts")))  # some rows have lost their time
@@ -426,6 +490,15 @@ def q_delivery_summary(spark, sf):
     return dv.delivery_summary(fx.writes(spark, sf))
 
 
+def q_stream_missing_ranges(spark, sf):
+    """What did not arrive of the ids of ``events``: a stream of received ids, and one closing id."""
+    ids = fx.table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    got = ids.where(F.col("value") > 5).select(F.col("event_id").alias("id"), "ts")
+    total = ids.agg(F.count(F.lit(1)).alias("id")).withColumn("ts", F.lit("2090-01-01 00:00:00").cast("timestamp"))
+    out = missing_ranges_stream(st.feed(got, last=total), delay=st.DELAY)
+    return st.drained(out, "gaps").select("first", "last")
+
+
 def q_compare_captures(spark, sf):
     w = fx.writes(spark, sf).select("path", F.col("buf").cast("string").alias("message"), "ts", "seq", "size")
     a = w

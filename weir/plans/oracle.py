@@ -156,6 +156,9 @@ WHERE NOT starts_with(path, './error/') AND NOT regexp_matches(path, '^.*/u1.\\.
 WHERE path NOT IN (SELECT './view/u' || CAST(c_custkey AS VARCHAR) || '.log' FROM customer)
   AND NOT starts_with(path, './error/') AND NOT regexp_matches(path, '^.*/u1.\\.log$')
   AND NOT regexp_matches(path, '^\\./[cv].*/u7\\.log$')""", "writes"),
+    "exclude_paths_index": sql("""SELECT seq, path FROM writes WHERE path NOT IN (
+  SELECT './' || t || '/u' || CAST(c_custkey AS VARCHAR) || '.log' FROM customer, (SELECT DISTINCT event_type AS t FROM events)
+  WHERE c_nationkey < 5 OR c_nationkey = 7)""", "writes"),
     "exclude_prefixes": sql("""SELECT ord AS seq, dir AS event_path FROM spellings
 WHERE NOT starts_with(norm, '/var/log/view') AND NOT starts_with(norm, '/var/log/click/u1')""", "spellings"),
     "exclude_prefixes_table": sql("""p AS (SELECT '/var/log/click/u' || CAST(c_custkey AS VARCHAR) AS prefix FROM customer),
@@ -230,6 +233,13 @@ FROM writes w LEFT JOIN procs p USING (pid)""", "writes", "procs"),
     "with_config": sql("""SELECT w.seq, c.topic, c.site, c.tag
 FROM (SELECT seq, CASE WHEN seq % 97 <> 0 THEN ts END AS ts FROM writes) w
 ASOF LEFT JOIN config_versions c ON w.ts >= c.effective_from""", "writes", "config_versions"),
+    "with_config_history": """WITH h AS (SELECT o_orderdate AS since, max(o_orderkey) AS n, arg_max(o_orderstatus, o_orderkey) AS state
+  FROM orders GROUP BY o_orderdate),
+w AS (SELECT l_orderkey * 8 + l_linenumber AS seq, CAST(l_shipdate AS TIMESTAMP) + to_seconds(l_linenumber) AS ts FROM lineitem)
+SELECT w.seq, h.n, h.state FROM w ASOF LEFT JOIN h ON w.ts >= CAST(h.since AS TIMESTAMP)""",
+    "stream_with_config": sql("""SELECT w.seq, h.state FROM writes w ASOF LEFT JOIN (
+  SELECT ts AS since, 'sink-' || CAST(max(event_id) % 5 AS VARCHAR) AS state FROM events WHERE event_type = 'purchase' GROUP BY ts) h
+ON w.ts >= h.since""", "writes"),
     # ---------------------------------------------------------------- encode / decode
     "encode_b64": sql("SELECT seq, " + _event_json("to_base64(encode(buf))", STATIC_FIELDS_SQL, STATIC_TAGS_SQL)
                       + " AS value FROM enriched", "writes", "users", "groups", "procs", "enriched"),
@@ -334,6 +344,13 @@ FROM properties_lines WHERE split_part(line, '=', 1) = 'agent_quota' AND strpos(
 GROUP BY file""", "properties_lines"),
 }
 
+# The streams give what their batch twins give; a shard in segments, what it gives as a whole.
+ORACLE["rate_limit_bounded_segments"] = ORACLE["rate_limit_bounded"].replace(f"{ET} || '/' || CAST(uid % 8 AS VARCHAR)", ET)
+ORACLE["stream_rate_limit"] = ORACLE["rate_limit"]
+ORACLE["stream_rate_limit_bounded"] = ORACLE["rate_limit_bounded"]
+ORACLE["stream_backlog"] = ORACLE["drain_backlog"]
+ORACLE["stream_missing_ranges"] = ORACLE["missing_ranges"]
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)

@@ -10,9 +10,10 @@ and tested independently (``bus_frame``).
 from __future__ import annotations
 
 import threading
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weir.schema import DEFAULT_TOPIC
@@ -156,6 +157,37 @@ def write_to(df: DataFrame, name: str, checkpoint: str | None = None, trigger: d
     return query
 
 
+def write_routed(df: DataFrame, routes: dict[str, str], route: Column, checkpoint: str | None = None,
+                 trigger: dict | None = None):
+    """Write a stream to several registered sinks in one query: each row goes to the sink
+    that ``routes`` names for its value of ``route`` (a string column; rows of other values
+    are an error, so that none vanishes). E.g. late rows to a sink of their own::
+
+        write_routed(rows, {"late": "late-rows", "on time": "bus"},
+                     F.when(F.col("late"), "late").otherwise("on time"), checkpoint)
+    """
+    for name in routes.values():
+        if name not in _SINKS:
+            raise KeyError(name)
+
+    def send(batch: DataFrame, batch_id: int) -> None:
+        # One evaluation of the batch, whatever the number of routes.
+        marked = batch.withColumn("__route", route).persist()
+        try:
+            lost = marked.where(F.col("__route").isNull() | ~F.col("__route").isin(*routes)).limit(1).collect()
+            if lost:
+                raise ValueError(f"no sink for route {lost[0]['__route']!r}")
+            for value, name in routes.items():
+                _SINKS[name].send(marked.where(F.col("__route") == value).drop("__route"), batch_id)
+        finally:
+            marked.unpersist()
+
+    name = f"weir-routed-{uuid.uuid4().hex}"
+    register_sink(name, send, setup=lambda: [s.setup() for s in map(_SINKS.get, routes.values()) if s.setup],
+                  clean=lambda: [s.clean() for s in map(_SINKS.get, routes.values()) if s.clean])
+    return write_to(df, name, checkpoint=checkpoint, trigger=trigger)
+
+
 def register_source(spark: SparkSession, source_cls) -> str:
     """Register a custom source (a ``pyspark.sql.datasource.DataSource``
     subclass) so ``spark.read(Stream).format(name)`` finds it."""

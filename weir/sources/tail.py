@@ -29,6 +29,10 @@ source reads a file once and never sees appends, hence this Python data source.
 * ``message`` is BINARY: the bytes of the line as they are. Lines are read in
   blocks and handed over as Arrow record batches.
 
+Without ``manifestPath`` every offset holds the whole map of files: fine for some
+thousands. ``weir.sources.manifest`` has the form for millions, with roots that change
+while the stream runs, and the batch reader of the same format.
+
 Executors must see the same paths as the driver (shared storage).
 """
 
@@ -125,6 +129,54 @@ class TailPartition(InputPartition):
         self.first = first
 
 
+def read_slice(partition):
+    """The lines of one slice, as Arrow record batches."""
+    import time
+
+    import pyarrow as pa
+
+    # Emission time: the read time, one microsecond apart per line, so lines
+    # read together still have distinct, ordered times (as events stamped
+    # one by one would).
+    base_us = time.time_ns() // 1000
+    schema = pa.schema([("prefix", pa.string()), ("path", pa.string()), ("offset", pa.int64()), ("nbytes", pa.int64()),
+                        ("message", pa.binary()), ("ts", pa.timestamp("us", "UTC"))])
+    n = 0
+    if partition.lo >= partition.hi:
+        return
+    with open(partition.path, "rb") as f:
+        pos = partition.lo
+        if not partition.first:
+            # The line running through ``lo`` belongs to the previous slice.
+            f.seek(pos - 1)
+            if f.read(1) != b"\n":
+                f.readline()
+                pos = f.tell()
+        f.seek(pos)
+        stop = min(partition.hi, partition.end)
+        while pos < stop:
+            # The lines of a block; the last one may run past it.
+            block = f.read(min(1 << 20, stop - pos))
+            if not block:
+                break
+            if not block.endswith(b"\n"):
+                block += f.readline(max(0, partition.end - pos - len(block)))
+            lines = block.split(b"\n")
+            last = lines.pop()
+            lines = [x + b"\n" for x in lines] + ([last] if last else [])
+            sizes = [len(x) for x in lines]
+            offsets = []
+            for size in sizes:
+                offsets.append(pos)
+                pos += size
+            k = len(lines)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([partition.prefix] * k, pa.string()), pa.array([partition.path] * k, pa.string()),
+                 pa.array(offsets, pa.int64()), pa.array(sizes, pa.int64()), pa.array(lines, pa.binary()),
+                 pa.array(range(base_us + n, base_us + n + k), pa.int64()).cast(pa.timestamp("us", "UTC"))], schema=schema)
+            n += k
+
+
 class TailStreamReader(DataSourceStreamReader):
     def __init__(self, options):
         self.roots = [p for p in options.get("path", "").split(",") if p]
@@ -230,48 +282,7 @@ class TailStreamReader(DataSourceStreamReader):
         return parts
 
     def read(self, partition):
-        import time
-
-        import pyarrow as pa
-
-        # Emission time: the read time, one microsecond apart per line, so lines
-        # read together still have distinct, ordered times (as events stamped
-        # one by one would).
-        base_us = time.time_ns() // 1000
-        schema = pa.schema([("prefix", pa.string()), ("path", pa.string()), ("offset", pa.int64()), ("nbytes", pa.int64()),
-                            ("message", pa.binary()), ("ts", pa.timestamp("us", "UTC"))])
-        n = 0
-        with open(partition.path, "rb") as f:
-            pos = partition.lo
-            if not partition.first:
-                # The line running through ``lo`` belongs to the previous slice.
-                f.seek(pos - 1)
-                if f.read(1) != b"\n":
-                    f.readline()
-                    pos = f.tell()
-            f.seek(pos)
-            stop = min(partition.hi, partition.end)
-            while pos < stop:
-                # The lines of a block; the last one may run past it.
-                block = f.read(min(1 << 20, stop - pos))
-                if not block:
-                    break
-                if not block.endswith(b"\n"):
-                    block += f.readline(max(0, partition.end - pos - len(block)))
-                lines = block.split(b"\n")
-                last = lines.pop()
-                lines = [x + b"\n" for x in lines] + ([last] if last else [])
-                sizes = [len(x) for x in lines]
-                offsets = []
-                for size in sizes:
-                    offsets.append(pos)
-                    pos += size
-                k = len(lines)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([partition.prefix] * k, pa.string()), pa.array([partition.path] * k, pa.string()),
-                     pa.array(offsets, pa.int64()), pa.array(sizes, pa.int64()), pa.array(lines, pa.binary()),
-                     pa.array(range(base_us + n, base_us + n + k), pa.int64()).cast(pa.timestamp("us", "UTC"))], schema=schema)
-                n += k
+        return read_slice(partition)
 
     def commit(self, end):
         pass
@@ -287,8 +298,15 @@ class TailDataSource(DataSource):
     def schema(self):
         return TAIL_SCHEMA
 
+    #: The batch reader and the manifest's reader, set by ``register``: classes, so that
+    #: they travel with this one.
+    readers: tuple = ()
+
+    def reader(self, schema):
+        return self.readers[0](self.options)
+
     def streamReader(self, schema):
-        return TailStreamReader(self.options)
+        return (self.readers[1] if self.options.get("manifestPath") else TailStreamReader)(self.options)
 
 
 def register(spark):
@@ -298,7 +316,12 @@ def register(spark):
 
     from pyspark import cloudpickle
 
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    from weir.sources import manifest
+
+    for module in (sys.modules[__name__], manifest):
+        cloudpickle.register_pickle_by_value(module)
+    TailDataSource.readers = (manifest.BatchReader, manifest.ManifestReader)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(TailDataSource)
     return spark
 
