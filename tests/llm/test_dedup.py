@@ -71,15 +71,28 @@ def test_small_shards_give_the_same(spark):
 
 def test_span_hashes():
     words = [b"%d" % (i % 977) for i in range(7000)]
+    joined = b" ".join(words)
     spans = [(0, 20), (5, 25), (977, 997), (6980, 7000), (0, 21), (0, 7000)]
     a, b = np.array(spans).T
-    got = list(zip(*(h.tolist() for h in substring._span_hashes(words, a, b))))
+    got = list(zip(*(h.tolist() for h in substring._span_hashes(joined, *substring._borders(joined), a, b))))
     assert got[0] == got[2] and len(set(got)) == 5
     for (i, j), h in zip(spans, got):
         both = xxhash.xxh3_128_intdigest(b" ".join(words[i:j]))
         assert tuple(x & (1 << 64) - 1 for x in h) == (both >> 64, both & (1 << 64) - 1)
 
 
+def test_word_hashes_do_not_depend_on_place_or_block(monkeypatch):
+    rng = np.random.default_rng(1)
+    words = [bytes(rng.choice(list(b"abc\x00\xff"), size=rng.integers(1, 9)).tolist()) for _ in range(3000)] + [b"x" * 500]
+    whole = substring.hashes_of(words)
+    by = {}
+    for w, h in zip(words, whole.tolist()):
+        assert by.setdefault(w, h) == h
+    assert len(set(by.values())) == len(by)
+    monkeypatch.setattr(substring, "BLOCK", 64)
+    assert (substring.hashes_of(words) == whole).all() and len(substring.hashes_of([])) == 0
+
+
 def mirrored(blocks):
     """Two texts of blocks "five fixed words, one of the block's own, left or right", left and
     right in Thue-Morse order in one and its complement in the other: no window repeats,

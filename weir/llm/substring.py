@@ -48,14 +48,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, StructType
 
-from weir.llm.text import batch_udf, fresh, outside, text_key, window_hashes, with_ranges, words_of, write_table
+from weir.llm.text import batch_udf, fresh, mix, outside, text_key, window_hashes, with_ranges, words_of, write_table
 
 WINDOW = 20
 ANCHOR = 5
 #: Words of pieces compiled into one automaton.
 SHARD_WORDS = 200_000
-#: Word hashes a worker remembers.
-KNOWN_WORDS = 1 << 18
 
 
 def _slide(x: np.ndarray, k: int, pick) -> np.ndarray:
@@ -68,49 +66,64 @@ def _slide(x: np.ndarray, k: int, pick) -> np.ndarray:
     return x
 
 
-class _Known(dict):
-    """Word -> number; ``hashes`` holds the 64-bit hash of each numbered word."""
+#: Powers of an odd number modulo 2^64 and of its inverse, as far as needed so far.
+_BASE = 0x9E3779B97F4A7C15
+_POWERS: list[np.ndarray] = []
+#: Bytes whose words are hashed together.
+BLOCK = 1 << 20
 
-    def __init__(self) -> None:
-        super().__init__()
-        self.new: list[int] = []
-        self.hashes = np.empty(0, np.uint64)
 
-    def __missing__(self, word: bytes) -> int:
-        n = self[word] = len(self.hashes) + len(self.new)
-        self.new.append(xxhash.xxh64_intdigest(word))
-        return n
+def _powers(n: int) -> list[np.ndarray]:
+    if not _POWERS or len(_POWERS[0]) < n:
+        factors = np.array([[_BASE], [pow(_BASE, -1, 1 << 64)]], np.uint64).repeat(max(BLOCK + 1, n), 1)
+        factors[:, 0] = 1
+        _POWERS[:] = np.cumprod(factors, axis=1, dtype=np.uint64)
+    return _POWERS
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > KNOWN_WORDS:
-            self.__init__()
-            self.clear()
-        at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        if self.new:
-            self.hashes = np.concatenate([self.hashes, np.array(self.new, np.uint64)])
-            self.new = []
-        return self.hashes[at]
+
+def _borders(joined: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """First byte and end of each word of words joined by one blank (which no word holds)."""
+    ends = np.append(np.flatnonzero(np.frombuffer(joined, np.uint8) == 32), len(joined))
+    return np.append(0, ends[:-1] + 1), ends
 
 
-_known = _Known()
+def joined_hashes(joined: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word, a polynomial of its bytes, from one prefix sum per block.
+    It files windows only: words that share a hash by accident are told apart later."""
+    out = np.empty(len(start), np.uint64)
+    text = np.frombuffer(joined, np.uint8)
+    at = 0
+    while at < len(start):
+        lo = start[at]
+        to = max(at + 1, int(np.searchsorted(end, lo + BLOCK, side="right")))
+        x = text[lo:end[to - 1]].astype(np.uint64) + np.uint64(1)
+        up, down = _powers(len(x) + 1)
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(x * up[:len(x)], dtype=np.uint64)])
+        s, e = start[at:to] - lo, end[at:to] - lo
+        out[at:to] = mix((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64))
+        at = to
+    return out
 
 
 def hashes_of(words: list[bytes]) -> np.ndarray:
-    return _known.of(words)
+    joined = b" ".join(words)
+    return joined_hashes(joined, *_borders(joined)) if words else np.empty(0, np.uint64)
 
 
-def _span_hashes(words: list[bytes], start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """128-bit xxh3 of the words of each span, as two longs."""
-    joined = b" ".join(words)
-    # No word holds a blank: the blanks are the borders.
-    ends = np.append(np.flatnonzero(np.frombuffer(joined, np.uint8) == 32), len(joined))
-    lo, hi = np.where(start > 0, ends[start - 1] + 1, 0).tolist(), ends[stop - 1].tolist()
+def _span_hashes(joined: bytes, first: np.ndarray, end: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128-bit xxh3 of the words of each span of words, as two longs."""
     text = memoryview(joined)
-    both = b"".join([xxhash.xxh3_128_digest(text[i:j]) for i, j in zip(lo, hi)])
+    both = b"".join([xxhash.xxh3_128_digest(text[i:j]) for i, j in zip(first[start].tolist(), end[stop - 1].tolist())])
     halves = np.frombuffer(both, ">i8").astype(np.int64).reshape(-1, 2)
     return halves[:, 0], halves[:, 1]
 
 
+def _together(texts: list[bytes | None]) -> tuple[np.ndarray, bytes]:
+    """Word counts of some texts, and all their words joined by one blank."""
+    split = [words_of(t) for t in texts]
+    return np.array([len(w) for w in split], np.int64), b" ".join([b" ".join(w) for w in split if w])
+
+
 _PIECE = "a long, b long, c long, s int, n int"
 
 
@@ -126,13 +139,11 @@ def _windows(counts: np.ndarray, hashes: np.ndarray, window: int, anchor: int):
 def texts_anchors(texts: list[bytes | None], window: int = WINDOW, anchor: int = ANCHOR) -> tuple[np.ndarray, dict[str, np.ndarray]]:
     """Per text, the distinct anchors ``a`` and at how many places ``m`` each stands: ``(numbers of
     rows per text, columns)``."""
-    split = [words_of(t) for t in texts]
-    counts = np.array([len(w) for w in split], np.int64)
-    words = [w for s in split for w in s]
+    counts, joined = _together(texts)
     none = np.zeros(len(texts), np.int64), {"a": np.empty(0, np.int64), "m": np.empty(0, np.int64)}
-    if len(words) < window:
+    if counts.sum() < window:
         return none
-    runs, low, text, inside = _windows(counts, hashes_of(words), window, anchor)
+    runs, low, text, inside = _windows(counts, joined_hashes(joined, *_borders(joined)), window, anchor)
     k = window - anchor + 1
     # A run is an anchor if it equals the largest of the minima of the windows around it.
     pad = np.concatenate([np.zeros(k - 1, np.uint64), np.where(inside, low, 0), np.zeros(k - 1, np.uint64)])
@@ -150,18 +161,17 @@ def texts_anchors(texts: list[bytes | None], window: int = WINDOW, anchor: int =
 
 def texts_pieces(texts: list[bytes | None], window: int = WINDOW, anchor: int = ANCHOR) -> tuple[np.ndarray, dict[str, np.ndarray]]:
     """Per text its pieces: anchor ``a``, hash ``b, c`` of the words, first word ``s``, ``n`` windows."""
-    split = [words_of(t) for t in texts]
-    counts = np.array([len(w) for w in split], np.int64)
-    words = [w for s in split for w in s]
-    if len(words) < window:
+    counts, joined = _together(texts)
+    if counts.sum() < window:
         return np.zeros(len(texts), np.int64), {k: np.empty(0, np.int64) for k in "abcsn"}
-    _, low, text, inside = _windows(counts, hashes_of(words), window, anchor)
+    first, end = _borders(joined)
+    _, low, text, inside = _windows(counts, joined_hashes(joined, first, end), window, anchor)
     new = np.r_[True, (low[1:] != low[:-1]) | (text[1:] != text[:-1]) | (inside[1:] != inside[:-1])]
     start = np.flatnonzero(new)
     stop = np.r_[start[1:], len(low)]
     keep = inside[start]
     start, stop = start[keep], stop[keep]
-    b, c = _span_hashes(words, start, stop + window - 1) if len(start) else (np.empty(0, np.int64),) * 2
+    b, c = _span_hashes(joined, first, end, start, stop + window - 1)
     begins = np.r_[0, np.cumsum(counts)[:-1]]
     return np.bincount(text[start], minlength=len(texts)), {
         "a": low[start].astype(np.int64), "b": b, "c": c, "s": start - begins[text[start]], "n": stop - start}
@@ -236,8 +246,10 @@ def _refile_task(window: int):
                 cuts = batch.column("cuts")[i].values
                 s, n = (cuts.field(f).to_numpy().astype(np.int64) for f in ("s", "n"))
                 at = np.repeat(s - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
-                runs = window_hashes(hashes_of(words), window)[at].astype(np.int64)
-                b, c = _span_hashes(words, at, at + window)
+                joined = b" ".join(words)
+                borders = _borders(joined)
+                runs = window_hashes(joined_hashes(joined, *borders), window)[at].astype(np.int64)
+                b, c = _span_hashes(joined, *borders, at, at + window)
                 doc, key = (pa.repeat(batch.column(f)[i], len(at)) for f in ("doc_id", "text_key"))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(runs), pa.array(b), pa.array(c), doc, pa.array(at.astype(np.int32)), pa.array(np.ones(len(at), np.int32)), key],
