@@ -244,7 +244,8 @@ def survivor_filter(rows: DataFrame, min_count: int = MIN_COUNT, slack: int = SL
         _merge_task(bits, min_count, slack, filter_bits), "part int, marks binary")
     out = np.zeros(1 << (filter_bits - 3), np.uint8)
     width = len(out) >> bits
-    for r in slices.toLocalIterator():
+    # All slices together are the filter: 2^FILTER_BITS bits, whatever the corpus.
+    for r in slices.collect():
         out[r["part"] * width:(r["part"] + 1) * width] = np.frombuffer(r["marks"], np.uint8)
     return out, bits
 
