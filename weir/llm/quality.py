@@ -185,17 +185,17 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     sample = F.broadcast(picked)  # at most 2 * rows ids
     texts = docs.select(q(id_col).alias("id"), q(text_col).alias("text")).join(sample, "id")
     udf = text_udf("at array<int>, value array<float>", lambda ts: [_features(t) for t in ts])
-    got = on_text(texts, udf, ["id", "y"]).toArrow().combine_chunks()
-    ids, ys = got["id"].to_numpy(), got["y"].to_numpy()
+    # Rows that repeat an id: the one with the fewest n-grams, by their slots on a tie; so at
+    # most 2 * rows of them come to the driver.
+    got = on_text(texts, udf, ["id", "y"]).groupBy("id", "y").agg(
+        F.min_by(F.struct("at", "value"), F.struct(F.size("at"), F.col("at"))).alias("f"))
+    got = got.select("id", "y", "f.at", "f.value").orderBy("id").toArrow().combine_chunks()
+    ys = got["y"].to_numpy()
     ends, at, value = [np.concatenate([[0], np.cumsum(pc.list_value_length(got["at"]).to_numpy())])] + [
         pc.list_flatten(got[c]).to_numpy() for c in ("at", "value")]
-    # Rows that repeat an id: the one with the fewest n-grams, by their slots on a tie.
-    spans = {i: (at[a:b], value[a:b]) for i, (a, b) in enumerate(zip(ends, ends[1:]))}
-    order = sorted(spans, key=lambda i: (ids[i], len(spans[i][0]), spans[i][0].tobytes()))
-    once = [i for n, i in enumerate(order) if not n or ids[order[n - 1]] != ids[i]]
-    if min((ys[once] == 0).sum(), (ys[once] == 1).sum()) < MIN_ROWS:
+    if min((ys == 0).sum(), (ys == 1).sum()) < MIN_ROWS:
         return None
-    return _fit([(*spans[i], int(ys[i])) for i in once])
+    return _fit([(at[a:b], value[a:b], int(y)) for a, b, y in zip(ends, ends[1:], ys)])
 
 
 def _score_batch(shared, threshold: float):
