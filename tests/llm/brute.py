@@ -98,8 +98,8 @@ def mix_copies(rows, seed="mix-1"):
         sizes[s] += n
     goal = targets(sizes)
     order = defaultdict(list)
-    for k, (i, _, s) in enumerate(rows):
-        h, n = md5("null" if i is None else str(i)), str(size[k])
+    for k, (i, t, s) in enumerate(rows):
+        h, n = md5(("null" if i is None else str(i)) + "/" + (t or "")), str(size[k])
         order[s].append((len(n) * 100 + int((n + "0")[:2]), h[:2], size[k], h[2:16], k))
     copies = {}
     for s, docs in order.items():

@@ -55,6 +55,16 @@ def test_repeated_rows_only_nulls_and_empty(spark):
     assert mixing.mix_digest(docs(spark, [])).count() == 0 and mixing.mix(docs(spark, [])).count() == 0
 
 
+def test_rows_without_an_id_are_spread_over_slices(spark):
+    """Null ids and sizes alike: the text cuts the slice, so no cell holds them all."""
+    from pyspark.sql import functions as F
+
+    df = docs(spark, [f"word{i} other" for i in range(2000)], ids=[None] * 2000, sources=["s"] * 2000)
+    check(df)
+    h = F.md5(F.concat(F.lit("null/"), F.col("text")))
+    assert df.groupBy(F.substring(h, 1, mixing.SLICE_DIGITS)).count().agg(F.max("count")).first()[0] < 40
+
+
 def test_reruns_agree_whatever_the_partitions(spark):
     df = spark.read.parquet(f"{SF}/documents.parquet")
     one = sorted(map(tuple, mixing.mix_digest(df).collect()))

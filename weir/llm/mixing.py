@@ -10,9 +10,10 @@ source is added, and a copy is emitted for each integer boundary crossed, so a
 document gets the floor or the ceiling of its expected copies.
 
 The running sum never puts a source into one task: documents are ordered by
-(size class, slice, size, id), counted per (source, class, slice), and only
+(size class, slice, size, hash of id and text), counted per (source, class, slice), and only
 these counts -- a few hundred classes times ``SLICES`` per source, whatever the
-number of rows -- are summed up along the source. Ordering by size class spreads
+number of rows -- are summed up along the source. The slice is a hash of id and text,
+so rows without an id, or with one id, are spread like any others. Ordering by size class spreads
 the copies over short and long documents alike, which keeps the words taken
 close to the target.
 
@@ -80,7 +81,7 @@ def with_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     hashed = [q(c) for c, kind in df.dtypes if not kind.startswith("map")]
     d = df.select(F.struct(*[q(c) for c in carry or df.columns]).alias("row"), q(source_col).alias("source"),
                   word_count(q(text_col)).alias("size"), F.xxhash64(*hashed).alias("tie"),
-                  F.md5(F.coalesce(q(id_col).cast("string"), F.lit("null"))).alias("h"))
+                  F.md5(F.concat(F.coalesce(q(id_col).cast("string"), F.lit("null")), F.lit("/"), F.coalesce(q(text_col), F.lit("")))).alias("h"))
     d = d.select("row", "tie", "source", "size", size_class(F.col("size")).alias("class"),
                  F.substring("h", 1, SLICE_DIGITS).alias("slice"), F.substring("h", 1 + SLICE_DIGITS, 14).alias("h"))
     keys = ["source", "class", "slice"]

@@ -22,7 +22,7 @@ FROM r GROUP BY conv_id
 
 MIXING = rf"""
 WITH d AS (
-  SELECT doc_id, source, len({WORDS})::BIGINT AS size, md5(coalesce(doc_id::VARCHAR, 'null')) AS h FROM documents),
+  SELECT doc_id, source, len({WORDS})::BIGINT AS size, md5(coalesce(doc_id::VARCHAR, 'null') || '/' || coalesce(text, '')) AS h FROM documents),
 e AS (
   SELECT *, length(size::VARCHAR) * 100 + substr(size::VARCHAR || '0', 1, 2)::INT AS class, substr(h, 1, 2) AS slice FROM d),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM e GROUP BY source),
