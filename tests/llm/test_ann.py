@@ -80,3 +80,26 @@ def test_pruning_keeps_diverse_edges():
     norms = (x * x).sum(1)
     out = ann.robust_prune(x, norms, np.array([0]), np.array([[1, 2, 3, 4, -1]]), 3, 1.2)
     assert out[0].tolist() == [1, 3, -1]  # 2 lies behind 1, 4 behind 3
+
+
+def test_many_vectors_under_one_id_are_spread(spark):
+    """Shards are dealt by id and vector: one id with most vectors fills no shard of its own."""
+    rng = np.random.default_rng(2)
+    rows = [(7 if i % 3 else i, [float(v) for v in rng.standard_normal(6)]) for i in range(1500)]
+    vectors = ann._valid(spark.createDataFrame(rows, KIND), "vec_id", "embedding")
+    sizes = [r["count"] for r in ann.build_index(vectors, 1500, shard_rows=300).groupBy("shard").count().collect()]
+    assert len(sizes) == 5 and max(sizes) < 400 and sum(sizes) == 1500
+
+
+def test_recall_over_full_shards_with_clusters(spark):
+    """Several full shards: wide noise, dense clusters and near copies."""
+    rng = np.random.default_rng(9)
+    centres = rng.standard_normal((40, 32))
+    x = np.concatenate([rng.standard_normal((3000, 32)), centres[rng.integers(0, 40, 4000)] + 0.1 * rng.standard_normal((4000, 32)),
+                        centres[0] + 0.001 * rng.standard_normal((1500, 32))]).astype(np.float32)
+    ids = rng.permutation(len(x))
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x)], KIND)
+    want = brute(ids.tolist(), x.astype(np.float64), 100, 10)
+    got = collect(ann.nearest(df))
+    hits = sum(len({j for _, j in got[q]} & {j for _, j in near}) for q, near in want.items())
+    assert got.keys() == want.keys() and hits / (10 * len(want)) >= 0.95

@@ -1,6 +1,6 @@
 """Operator 8, approximate nearest neighbours: robust-pruned directed graphs.
 
-Vectors are dealt to shards of about ``SHARD_ROWS`` by a hash of their id. In each
+Vectors are dealt to shards of about ``SHARD_ROWS`` by a hash of their id and components. In each
 shard equal vectors share a node (with the smallest ids they stand for), and a
 directed graph is built: greedy searches from the medoid propose neighbours, and
 relaxed distance pruning (a candidate is dropped if a kept one is ``alpha`` times
@@ -174,7 +174,7 @@ def _index_task(degree: int, keep: int):
 def build_index(vectors: DataFrame, n: int, nearest: int = NEAREST, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """``shard, node, entry, members, vec, edges``: the graphs of all shards."""
     shards = max(1, -(-n // shard_rows))
-    dealt = vectors.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
+    dealt = vectors.withColumn("shard", F.pmod(F.xxhash64("vec_id", "vec"), F.lit(shards)).cast("int"))
     index = dealt.groupBy("shard").applyInPandas(
         _index_task(DEGREE, nearest + 1),
         "shard int, node int, entry int, members array<long>, vec array<double>, edges array<int>")
