@@ -78,6 +78,36 @@ def test_real_templates_accept_their_own_wording_only():
             assert name not in t.scan(words)[0]
 
 
+def test_common_licenses_and_their_neighbours(spark):
+    """Typical wordings get their label; a changed mandatory word loses it."""
+    bsd = ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following "
+           "conditions\nare met:\n1. Redistributions of source code must retain the above copyright notice, this list of conditions and "
+           "the following disclaimer.\n * Redistributions in binary form must reproduce the above copyright notice, this list of "
+           "conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.\n{}"
+           "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS ``AS IS'' AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+           "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.")
+    third = ("3. Neither the name of Example Corp. nor the names of its contributors may be used to endorse or promote products derived "
+             "from this software without specific prior written permission.\n")
+    texts = {
+        bsd.format(third): "bsd-3-clause", bsd.format(""): "bsd-2-clause", bsd.format(third).replace("permission", "consent"): "",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License "
+        "as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.":
+            "lgpl-or-later-notice",
+        "you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free "
+        "Software Foundation.": "gpl,gpl-2.0-only-notice",
+        "// This Source Code Form is subject to the terms of the Mozilla Public\n// License, v. 2.0. If a copy of the MPL was not distributed "
+        "with this\n// file, You can obtain one at https://mozilla.org/MPL/2.0/.": "mpl-2.0",
+        "Licensed under CC BY-SA 4.0": "cc-by,cc-by-sa-4.0-notice", "Licensed under CC BY-ND 4.0": "cc-by,cc-by-nd-4.0-notice",
+        "GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007\n\nCopyright (C) 2007 Free Software Foundation, Inc. <https://fsf.org/>\n"
+        "Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed.":
+            "gpl,gpl-3.0-text",
+        "This is free and unencumbered software released into the private domain.": "",
+    }
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.scan_licenses(docs(spark, list(texts))).collect()}
+    for i, want in enumerate(texts.values()):
+        assert got[i][0] == want and (got[i][1] == 1.0) == bool(want), (list(texts)[i], got[i])
+
+
 def test_the_table_of_states_may_be_dropped(monkeypatch):
     rng = random.Random(6)
     words = [rng.choice("aabbcdefx").encode() for _ in range(400)]

@@ -35,30 +35,77 @@ PHRASES = {
     "mit license": "mit",
 }
 
-#: Notices and short licenses in template markup.
+_WORK = "<<beginOptional>>This <<var;name=work;words=1-6>> is<<endOptional>> "
+_FSF = (" as published by the Free Software Foundation<<beginOptional>>, either version <<var;name=version;words=1-2>> of the "
+        "License, or (at your option) any later version<<endOptional>>")
+_MODIFY = "you can redistribute it and/or modify it under the terms of the GNU "
+_BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: <<beginOptional>>1.<<endOptional>> Redistributions of source code must retain the above "
+        "copyright notice, this list of conditions and the following disclaimer. <<beginOptional>>2.<<endOptional>> "
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
+        "disclaimer in the documentation and/or other materials provided with the distribution. ")
+_AS_IS = ("THIS SOFTWARE IS PROVIDED BY <<var;name=holder;words=1-8>> \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, "
+          "BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.")
+_VERBATIM = ("Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not "
+             "allowed.")
+
+#: Notices, short licenses and the heads of long ones, in template markup: fixed wording of
+#: published licenses.
 TEMPLATES = {
-    "apache-2.0-notice": "<<beginOptional>>This <<var;name=work;words=1-6>> is<<endOptional>> Licensed under the Apache "
-                         "License, Version 2.0",
-    "cc-by-4.0-notice": "<<beginOptional>>This <<var;name=work;words=1-6>> is<<endOptional>> Licensed under "
-                        "<<beginOptional>>the<<endOptional>> CC BY 4.0",
-    "cc-by-nc-4.0-notice": "<<beginOptional>>This <<var;name=work;words=1-6>> is<<endOptional>> Licensed under "
-                           "<<beginOptional>>the<<endOptional>> CC BY-NC 4.0",
-    "gpl-3.0-notice": "<<beginOptional>>This <<var;name=work;words=1-6>> is<<endOptional>> licensed under the GNU General "
-                      "Public License, version 3",
-    "gpl-or-later-notice": "is free software<<beginOptional>>;<<endOptional>> you can redistribute it and/or modify it under "
-                           "the terms of the GNU General Public License as published by the Free Software Foundation"
-                           "<<beginOptional>>, either version <<var;name=version;words=1-2>> of the License, or (at your "
-                           "option) any later version<<endOptional>>",
+    "agpl-3.0-notice": _WORK + "licensed under the GNU Affero General Public License, version 3",
+    "agpl-3.0-text": "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007 Copyright <<beginOptional>>(C)<<endOptional>> "
+                     "2007 Free Software Foundation, Inc. <<var;name=link;words=0-4>> " + _VERBATIM,
+    "agpl-or-later-notice": _MODIFY + "Affero General Public License" + _FSF,
+    "apache-2.0-header": "you may not use this file except in compliance with the License. You may obtain a copy of the License at "
+                         "<<var;name=scheme;words=1-1>>://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or "
+                         "agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, "
+                         "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
+    "apache-2.0-notice": _WORK + "Licensed under the Apache License, Version 2.0",
+    "apache-2.0-text": "Apache License Version 2.0, January 2004 <<var;name=link;words=0-5>> TERMS AND CONDITIONS FOR USE, "
+                       "REPRODUCTION, AND DISTRIBUTION",
+    "bsd-2-clause": _BSD + _AS_IS,
+    "bsd-3-clause": _BSD + "<<beginOptional>>3.<<endOptional>> Neither the name of <<var;name=owner;words=1-8>> nor the names of its "
+                    "contributors may be used to endorse or promote products derived from this software without specific prior "
+                    "written permission. " + _AS_IS,
+    "cc-by-4.0-notice": _WORK + "Licensed under <<beginOptional>>the<<endOptional>> CC BY 4.0",
+    "cc-by-nc-4.0-notice": _WORK + "Licensed under <<beginOptional>>the<<endOptional>> CC BY-NC 4.0",
+    "cc-by-nc-nd-4.0-notice": _WORK + "Licensed under <<beginOptional>>the<<endOptional>> CC BY-NC-ND 4.0",
+    "cc-by-nc-sa-4.0-notice": _WORK + "Licensed under <<beginOptional>>the<<endOptional>> CC BY-NC-SA 4.0",
+    "cc-by-nd-4.0-notice": _WORK + "Licensed under <<beginOptional>>the<<endOptional>> CC BY-ND 4.0",
+    "cc-by-sa-4.0-notice": _WORK + "Licensed under <<beginOptional>>the<<endOptional>> CC BY-SA 4.0",
+    "cc-by-sa-4.0-long-notice": "licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
+    "cc-by-4.0-long-notice": "licensed under a Creative Commons Attribution 4.0 International License",
+    "cc0-1.0-notice": "To the extent possible under law, <<var;name=owner;words=1-6>> has waived all copyright and related or "
+                      "neighboring rights to <<var;name=work;words=1-6>>",
+    "gpl-2.0-notice": _WORK + "licensed under the GNU General Public License, version 2",
+    "gpl-2.0-only-notice": _MODIFY + "General Public License version 2 as published by the Free Software Foundation",
+    "gpl-2.0-text": "GNU GENERAL PUBLIC LICENSE Version 2, June 1991 Copyright <<beginOptional>>(C)<<endOptional>> 1989, 1991 Free "
+                    "Software Foundation, Inc.<<beginOptional>>,<<endOptional>> <<var;name=address;words=0-12>> " + _VERBATIM,
+    "gpl-3.0-notice": _WORK + "licensed under the GNU General Public License, version 3",
+    "gpl-3.0-text": "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright <<beginOptional>>(C)<<endOptional>> 2007 Free "
+                    "Software Foundation, Inc. <<var;name=link;words=0-4>> " + _VERBATIM,
+    "gpl-or-later-notice": "is free software<<beginOptional>>;<<endOptional>> " + _MODIFY + "General Public License" + _FSF,
     "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
            "granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "lgpl-or-later-notice": _MODIFY + "Lesser General Public License" + _FSF,
+    "lgpl-text": "GNU LESSER GENERAL PUBLIC LICENSE Version <<var;name=version;words=1-6>> Copyright <<beginOptional>>(C)<<endOptional>> "
+                 "<<var;name=years;words=1-2>> Free Software Foundation, Inc. <<var;name=address;words=0-12>> " + _VERBATIM,
     "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of <<var;name=work;words=1-12>> to "
            "deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, "
            "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software "
            "is furnished to do so, subject to the following conditions: The above copyright notice and this permission "
            "notice <<beginOptional>>(including the next paragraph)<<endOptional>> shall be included in all copies or "
            "substantial portions of the Software.",
-    "mit-notice": "<<beginOptional>>This <<var;name=work;words=1-6>> is<<endOptional>> Released under the "
-                  "<<beginOptional>>terms of the<<endOptional>> MIT License",
+    "mit-notice": _WORK + "Released under the <<beginOptional>>terms of the<<endOptional>> MIT License",
+    "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+               "distributed with this file, You can obtain one at <<var;name=scheme;words=1-1>>://mozilla.org/MPL/2.0/",
+    "unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, "
+                 "use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any "
+                 "purpose, commercial or non-commercial, and by any means.",
+    "zlib": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held "
+            "liable for any damages arising from the use of this software. Permission is granted to anyone to use this software "
+            "for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the "
+            "following restrictions:",
 }
 
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
