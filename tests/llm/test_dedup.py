@@ -170,6 +170,11 @@ def test_anchor_larger_than_a_shard(spark):
     for r in filed.select("a", "b", "c", "n").distinct().collect():
         left[r.a] = left.get(r.a, 0) + r.n + 19
     assert not large & set(left) and max(left.values()) <= 500
+    # Where longer runs are common too, windows are filed by themselves.
+    same = docs(spark, [" ".join([*(f"h{i}" for i in range(17)), f"t{k}", *(f"e{i}" for i in range(17))]) for k in range(60)])
+    assert rows(substring.substring_digest(same, shard_words=100)) == expected("substring", same)
+    filed = substring.filed_pieces(substring._keyed(same, "doc_id", "text"), 20, 5, 100)
+    assert filed.where("n > 1").count() < filed.count() and filed.groupBy("a").agg(F.sum("n").alias("n")).where("n > 60").count() == 0
 
 
 def test_texts_that_repeat_themselves():

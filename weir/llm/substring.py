@@ -19,8 +19,9 @@ words also start earlier (smaller doc_id, or same document, earlier start) goes.
    through. A match away from its phrase's first place is a range to remove; a
    piece found again at a later place is a range as a whole.
    An anchor whose distinct pieces have more than ``SHARD_WORDS`` words (five common words
-   in ever different surroundings) is filed anew, with runs as long as a window, before
-   it comes to a shard: then only equal windows share an anchor, and no task holds more.
+   in ever different surroundings) is filed anew before it comes to a shard, by longer
+   runs (``LEVELS``), and by whole windows last: then only equal windows share an anchor,
+   and no task holds more.
 4. Ranges are joined back to the documents, merged and cut out.
 
 No document is read by more shards than it has anchors in, so the work grows
@@ -52,6 +53,8 @@ from weir.llm.text import batch_udf, fresh, mix, outside, text_key, window_hashe
 
 WINDOW = 20
 ANCHOR = 5
+#: Words of the runs by which large anchors are filed anew, level by level; then a window's.
+LEVELS = (10, 15)
 #: Words of pieces compiled into one automaton.
 SHARD_WORDS = 200_000
 
@@ -236,23 +239,26 @@ def _cut_task(window: int):
     return task
 
 
-def _refile_task(window: int):
-    """Task: rows ``doc_id, text_key, text, cuts`` -> the windows of the cuts, each a piece of
-    its own under its own hash."""
+def _refile_task(window: int, run: int):
+    """Task: rows ``doc_id, text_key, text, cuts`` -> the windows of the cuts as pieces filed by
+    runs of ``run`` words."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                words = words_of(batch.column("text")[i].as_py())
+                joined = b" ".join(words_of(batch.column("text")[i].as_py()))
+                first, end = _borders(joined)
                 cuts = batch.column("cuts")[i].values
                 s, n = (cuts.field(f).to_numpy().astype(np.int64) for f in ("s", "n"))
-                at = np.repeat(s - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
-                joined = b" ".join(words)
-                borders = _borders(joined)
-                runs = window_hashes(joined_hashes(joined, *borders), window)[at].astype(np.int64)
-                b, c = _span_hashes(joined, *borders, at, at + window)
-                doc, key = (pa.repeat(batch.column(f)[i], len(at)) for f in ("doc_id", "text_key"))
+                at = np.sort(np.repeat(s - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum()))
+                low = _slide(window_hashes(joined_hashes(joined, first, end), run), window - run + 1, np.minimum)[at]
+                new = np.flatnonzero(np.r_[True, (low[1:] != low[:-1]) | (at[1:] != at[:-1] + 1)])
+                start, count = at[new], np.diff(np.r_[new, len(at)])
+                b, c = _span_hashes(joined, first, end, start, start + count + window - 1)
+                doc, key = (pa.repeat(batch.column(f)[i], len(new)) for f in ("doc_id", "text_key"))
+                # A level's anchors are no other level's.
+                a = mix(low[new] ^ np.uint64(run)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(runs), pa.array(b), pa.array(c), doc, pa.array(at.astype(np.int32)), pa.array(np.ones(len(at), np.int32)), key],
+                    [pa.array(a), pa.array(b), pa.array(c), doc, pa.array(start.astype(np.int32)), pa.array(count.astype(np.int32)), key],
                     names=["a", "b", "c", "doc_id", "s", "n", "text_key"])
     return task
 
@@ -365,14 +371,18 @@ def filed_pieces(docs: DataFrame, window: int, anchor: int, shard_words: int) ->
     cut_up = _texts_udf(_PIECE, lambda t: texts_pieces(t, window, anchor))(text)
     pieces = docs.select("doc_id", F.col("key").alias("text_key"), cut_up.alias("p")).select("doc_id", "text_key", F.inline("p"))
     pieces = write_table(pieces.join(again, "a", "left_semi").select(*names), "pieces")
-    large = write_table(large_anchors(pieces, window, shard_words), "large-anchors")
-    if large.isEmpty():
-        return pieces
-    wanted = _per_document(pieces.join(large, "a", "left_semi"), "s", "n")
     kinds = ", ".join(f"{c} {pieces.schema[c].dataType.simpleString()}" for c in names)
-    filed = docs.join(wanted, ["k", "key"]).select("doc_id", F.col("key").alias("text_key"), text.alias("text"), "cuts").mapInArrow(
-        _refile_task(window), kinds)
-    return write_table(pieces.join(large, "a", "left_anti").unionByName(filed), "filed-pieces")
+    done = None
+    for run in (*(r for r in LEVELS if anchor < r < window), window, None):
+        large = write_table(large_anchors(pieces, window, shard_words), "large-anchors") if run else None
+        more = large is not None and not large.isEmpty()
+        some = pieces.join(large, "a", "left_anti").select(*names) if more else pieces
+        done = some if done is None else done.unionByName(some)
+        if not more:
+            return done
+        wanted = _per_document(pieces.join(large, "a", "left_semi"), "s", "n")
+        pieces = write_table(docs.join(wanted, ["k", "key"]).select(
+            "doc_id", F.col("key").alias("text_key"), text.alias("text"), "cuts").mapInArrow(_refile_task(window, run), kinds), "refiled")
 
 
 def repeated_ranges(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
