@@ -46,8 +46,9 @@ from weir.llm.text import on_text, text_udf
 #: Remembered words per Python worker (about 60 MB), and the longest one remembered.
 CACHE = 250_000
 CACHED_CHARS = 48
-#: Byte-automaton states a worker keeps (about 50 MB).
-STATES = 60_000
+#: Byte-automaton states (about 60 MB) and token arcs (about 30 MB) a worker keeps.
+STATES = 150_000
+ARCS = 300_000
 _END = 1 << 62
 
 #: Characters split by the rules below alone.
@@ -113,6 +114,7 @@ class Automaton:
                     node = self._child(node, byte_)
                 at[node] = i
                 self.length[i] = len(raw)
+        self.arcs: dict[int, bool] = {}
         self._restart()
         self.cache: dict[str, bytes] = {}
 
@@ -139,7 +141,13 @@ class Automaton:
 
     def follows(self, prev: int, token: int) -> bool:
         """Has the state after ``prev`` an arc ``token``?"""
-        return self._has_arc(prev, _END, token)
+        key = prev * len(self.labels) + token
+        known = self.arcs.get(key)
+        if known is None:
+            if len(self.arcs) >= ARCS:
+                self.arcs.clear()
+            known = self.arcs[key] = self._has_arc(prev, _END, token)
+        return known
 
     def _child(self, node: int, byte: int) -> int:
         key = node << 8 | byte
@@ -155,8 +163,9 @@ class Automaton:
         """The byte automaton's start: no token yet, the trie's root."""
         start = ((-1, 0),)
         self.sets, self.numbers = [start], {start: 0}
-        self.table: list[dict[int, tuple[int, int]]] = [{}]
-        self.ends: list[dict[int, int]] = [{}]
+        # (state, byte) -> (next state, completed token), and the token at a word's last byte.
+        self.table: dict[int, tuple[int, int]] = {}
+        self.ends: dict[int, int] = {}
 
     def _completed(self, state: int, byte: int, tokens: list[int]) -> tuple[list, int]:
         """The pairs one byte on, and the token it completes along an arc."""
@@ -180,30 +189,29 @@ class Automaton:
         if to is None:
             to = self.numbers[pairs] = len(self.sets)
             self.sets.append(pairs)
-            self.table.append({})
-            self.ends.append({})
-        self.table[state][byte] = to, done
+        self.table[state << 8 | byte] = to, done
         return to, done
 
     def _add_end(self, state: int, byte: int) -> int:
-        done = self.ends[state][byte] = self._completed(state, byte, self.final_at)[1]
+        done = self.ends[state << 8 | byte] = self._completed(state, byte, self.final_at)[1]
         return done
 
     def encode_word(self, word: bytes) -> list[int]:
         """The one accepted path over a pre-split word, one transition a byte."""
         if len(self.sets) > STATES:
             self._restart()
-        table, state, tokens = self.table, 0, []
-        for byte in word[:-1]:
-            step = table[state].get(byte)
-            if step is None:
-                step = self._add_transition(state, byte)
-            state = step[0]
-            tokens.append(step[1])
         if not word:
             return []
-        last = self.ends[state].get(word[-1])
-        token = self._add_end(state, word[-1]) if last is None else last
+        step, state, tokens = self.table.get, 0, []
+        for byte in word[:-1]:
+            to = step(state << 8 | byte)
+            if to is None:
+                to = self._add_transition(state, byte)
+            state, token = to
+            tokens.append(token)
+        token = self.ends.get(state << 8 | word[-1])
+        if token is None:
+            token = self._add_end(state, word[-1])
         # Back along the path: the token that ends at each place says where it began.
         path, length, pos = [token], self.length, len(word) - self.length[token]
         while pos:
