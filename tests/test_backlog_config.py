@@ -180,7 +180,8 @@ def test_between_markers_rules(spark):
 def test_normalize_path_edges(spark):
     import posixpath
 
-    cases = ["/../a", "/a/./b/../../c", "rel/x/", "/", "//double//slash", "/a/b/.."]
+    cases = ["/../a", "/a/./b/../../c", "rel/x/", "/", "//double//slash", "/a/b/..", "/a/b", "/a/", "/.", "/..", "/a/.b/..c/d..", "/a\nb/c.", ".",
+             "/a/..", "/...", "/a//", "/é/日"]
     df = spark.createDataFrame([(c,) for c in cases], "p string")
     got = [r.n for r in df.select(normalize_path("p", "/srv").alias("n")).collect()]
     want = [posixpath.normpath(posixpath.join("/srv", c)).replace("//", "/") for c in cases]

@@ -247,3 +247,30 @@ def test_late_ids_correct_an_emitted_gap(spark, scratch):
     s = sorted((r.first, r.last, r.late) for r in got.collect() if '"s"' in r.key)
     assert (1, 8, False) in s and (3, 4, True) in s and (6, 6, True) in s and not [r for r in s if r[:2] == (9, 9)]
     assert (0, 2, False) in [(r.first, r.last, r.late) for r in got.collect() if '"other"' in r.key]
+
+
+def test_capture_live_encodes_by_the_version_of_each_event(spark, scratch):
+    from weir.operators.codec import decode
+    from weir.schema import WRITE_SCHEMA
+    from weir.streaming.pipeline import capture_live
+
+    rows = [{"seq": i, "ts": at(i), "prefix": "/p", "path": ["a.log", "b.tmp"][i % 2], "buf": "aGk=", "size": 2, "offset": 0, "pid": 1,
+             "uid": 0, "gid": 0} for i in range(30)]
+    end = [[{**rows[0], "seq": -1, "ts": at(END + k * 1000)}] for k in range(3)]
+    files(f"{scratch}/in", split(rows, random.Random(2), 3, 4) + end)
+    said = [{"effective_from": at(0), "topic": "t0", "tags": ["x"], "fields": {"dc": "eu"}},
+            {"effective_from": at(10), "topic": "t1", "encoder": "csv"},
+            {"effective_from": at(20), "encoder": "logstash_base64", "excludes": ["*.tmp"], "fields": {"dc": "us"}}]
+    files(f"{scratch}/v", [said])
+    versions = stream(spark, f"{scratch}/v", "effective_from timestamp, topic string, tags array<string>, fields map<string,string>, "
+                                             "encoder string, excludes array<string>")
+    users = spark.createDataFrame([(0, "root")], "uid int, name string")
+    out = capture_live(stream(spark, f"{scratch}/in", WRITE_SCHEMA), versions, users, delay="60 seconds", shards=2)
+    got = run(out, scratch).where("seq >= 0")
+    rejected = got.where("reason IS NOT NULL")
+    assert {(r.seq, r.reason) for r in rejected.collect()} == {(i, "unsupported encoder: csv") for i in range(10, 20)}
+    events, dead = decode(got.where("reason IS NULL"), keep=["seq", "topic"])
+    assert dead.count() == 0
+    sent = {r.seq: (r.topic, r["@tags"], r["@fields"], r.user, r["@message"]) for r in events.collect()}
+    assert sorted(sent) == [*range(10), *range(20, 30, 2)]
+    assert sent[3] == ("t0", ["x"], {"dc": "eu"}, "root", "hi") and sent[20] == ("logs", [], {"dc": "us"}, "root", "hi")

@@ -258,14 +258,14 @@ def q_rate_limit_bounded_segments(spark, sf):
 
 def q_stream_rate_limit(spark, sf):
     df = st.feed(fx.writes(spark, sf))
-    out = st.drained(ev.rate_limit_event_time(df, QUOTA, delay=st.DELAY, bucket_ms=86_400_000), "quota")
+    out = st.drained(ev.rate_limit_event_time(df, QUOTA, delay=st.DELAY, bucket_ms=st.BUCKET_MS), "quota")
     return out.where(F.col("seq").isNotNull()).select("seq", "path")
 
 
 def q_stream_rate_limit_bounded(spark, sf):
     w = fx.writes(spark, sf).withColumn("prefix", F.concat(
         F.lit("/var/log/"), _event_type(), F.lit("/"), (F.col("uid") % 8).cast("string")))
-    df = ev.rate_limit_bounded_stream(st.feed(w), QUOTA, max_tracked=5, delay=st.DELAY, bucket_ms=86_400_000)
+    df = ev.rate_limit_bounded_stream(st.feed(w), QUOTA, max_tracked=5, delay=st.DELAY, bucket_ms=st.BUCKET_MS)
     return st.drained(df, "tracker").where(F.col("seq").isNotNull()).select("seq", "path", "overflow")
 
 
@@ -275,7 +275,7 @@ def q_stream_backlog(spark, sf):
                                    "at string, ready boolean, excludes array<string>, quota double")
     status = status.select(F.col("at").cast("timestamp").alias("ts"), "ready", "excludes", "quota")
     df = ev.spool_until_ready(st.feed(fx.writes(spark, sf)), st.control_feed(status), n=BACKLOG_N, delay=st.DELAY,
-                              bucket_ms=86_400_000, shards=1)
+                              bucket_ms=st.BUCKET_MS, shards=1)
     return st.drained(df, "backlog").where(F.col("seq").isNotNull()).select("seq", "path")
 
 
@@ -317,7 +317,7 @@ def _sink_history(spark, sf):
 def q_stream_with_config(spark, sf):
     history = st.control_feed(_sink_history(spark, sf))
     df = ev.with_config_stream(st.feed(fx.writes(spark, sf)), history, effective_col="since", delay=st.DELAY,
-                               bucket_ms=86_400_000, shards=4)
+                               bucket_ms=st.BUCKET_MS, shards=4)
     return st.drained(df, "config").where(F.col("seq").isNotNull()).select("seq", "state")
 
 

@@ -19,6 +19,9 @@ CLOSING = ("2199-01-01 00:00:00", "2199-06-01 00:00:00")
 #: Every row of a table arrives inside the watermark, whatever file it lies in.
 DELAY = "36500 days"
 
+#: One bucket holds a key's rows of ten years.
+BUCKET_MS = 315_360_000_000
+
 
 def scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -196,7 +196,8 @@ def in_event_order(df: DataFrame, key: Sequence[str], steps: Sequence[Step], ts:
     if control is not None:
         if not shards:
             raise ValueError("control rows go to every shard: say how many")
-        order = q(control_seq).cast("long") if control_seq else F.xxhash64(*[q(c) for c in control.columns])
+        # Without a sequence, versions of one time come in the order of a hash of their rows.
+        order = q(control_seq).cast("long") if control_seq else F.xxhash64(F.to_json(F.struct(*[q(c) for c in control.columns]), _JSON))
         kinds = dict(rows.dtypes)
         order = F.coalesce(order, F.lit(-(1 << 63))) if integral else F.format_string("%020d", F.coalesce(order, F.lit(0)))
         copies = staged(control.withColumn("weir_time", q(control_ts).cast("timestamp")), [
