@@ -358,7 +358,7 @@ def large_anchors(pieces: DataFrame, window: int, shard_words: int) -> DataFrame
 def _per_document(pieces: DataFrame, *cols: str) -> DataFrame:
     """Pieces gathered per document: row key ``k, key`` and ``cuts``."""
     rows = pieces.select(F.xxhash64("doc_id").alias("k"), F.col("text_key").alias("key"), F.struct(*cols).alias("x"))
-    return rows.groupBy("k", "key").agg(F.collect_set("x").alias("cuts")).hint("shuffle_hash")
+    return rows.groupBy("k", "key").agg(F.collect_set("x").alias("cuts"))
 
 
 def filed_pieces(docs: DataFrame, window: int, anchor: int, shard_words: int) -> DataFrame:
@@ -380,7 +380,9 @@ def filed_pieces(docs: DataFrame, window: int, anchor: int, shard_words: int) ->
         done = some if done is None else done.unionByName(some)
         if not more:
             return done
-        wanted = _per_document(pieces.join(large, "a", "left_semi"), "s", "n")
+        # Few documents hold a large anchor, as a rule: written, their size tells the planner
+        # whether the texts have to move.
+        wanted = write_table(_per_document(pieces.join(large, "a", "left_semi"), "s", "n"), "refile")
         pieces = write_table(docs.join(wanted, ["k", "key"]).select(
             "doc_id", F.col("key").alias("text_key"), text.alias("text"), "cuts").mapInArrow(_refile_task(window, run), kinds), "refiled")
 
@@ -393,7 +395,7 @@ def repeated_ranges(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     piece = ["a", "b", "c"]
     firsts = pieces.groupBy(*piece).agg(F.min(F.struct("doc_id", "s", "n", "text_key")).alias("f"))
     # Texts of first places, cut out where their documents are.
-    wanted = _per_document(firsts.select(*piece, "f.*"), *piece, "s", "n")
+    wanted = _per_document(firsts.select(*piece, "f.*"), *piece, "s", "n").hint("shuffle_hash")
     cut = docs.join(wanted, ["k", "key"]).select("k", "key", "doc_id", F.col("text").cast("binary"), "cuts").mapInArrow(
         _cut_task(window), f"a long, b long, c long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, s int, words binary")
     found = cut.repartition("a").sortWithinPartitions(*piece).mapInArrow(
