@@ -100,7 +100,7 @@ def test_stages_take_awkward_rows(spark, tmp_path):
 
 def test_queries_are_registered():
     names = list(queries.queries())
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14))
     found = E.queries()
     assert set(names) <= set(found) and found["pipeline"] is P.run
     assert set(oracle.oracle_sql()) <= set(E.oracle_sql())
