@@ -22,14 +22,15 @@ PATTERNS = {
     "cartesian": r"CartesianProduct",
     "sort-merge joins": r"SortMergeJoin",
     "windows": r"\bWindow \[",
-    "python": r"ArrowEvalPython|MapInPandas|FlatMapGroupsInPandas|PythonUDF",
+    "python": r"ArrowEvalPython|MapInPandas|MapInArrow|FlatMapGroupsInPandas|PythonUDF",
 }
 
 
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = build_session()
-    plans = {"flagship": flagship, **catalog.queries()}
+    # A stream's plan is one per micro-batch: the table it leaves says nothing.
+    plans = {"flagship": flagship, **{n: f for n, f in catalog.queries().items() if not n.startswith("stream_")}}
     print(f"# Physical plans at {os.path.basename(sf)} (static, before AQE re-planning)\n")
     print("| query | " + " | ".join(PATTERNS) + " | scans |")
     print("| --- | " + " | ".join("---" for _ in PATTERNS) + " | --- |")
