@@ -39,6 +39,22 @@ def test_asof_against_brute_force(spark, by, bucket):
         assert {r.seq: r.val for r in got} == _brute(left, right, by)
 
 
+def test_asof_keeps_one_version_a_time_and_halves_a_busy_bucket(spark):
+    """Many versions of one time and many times in one bucket: no left row looks at all of them."""
+    rnd = random.Random(3)
+    at = lambda: T0 + dt.timedelta(milliseconds=rnd.randint(0, 200))
+    left = [(i, "a", at()) for i in range(300)]
+    right = [("a", at(), rnd.randint(0, 10**6) * 1000 + j if j % 9 else None, f"v{j}") for j in range(3000)]
+    right += [("a", T0 + dt.timedelta(milliseconds=300), None, "last")]
+    frames = (spark.createDataFrame(left, "seq long, k string, ts timestamp"),
+              spark.createDataFrame(right, "k string, eff timestamp, n long, val string"))
+    out = asof_join(*frames, "ts", "eff", seq="n")
+    want = _brute(left, [(k, t, -1 if n is None else n, v) for k, t, n, v in right], None)
+    assert {r.seq: r.val for r in out.collect()} == want
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "max_by" in plan and "filter(__in" not in plan
+
+
 def test_asof_payload_may_hold_maps_and_clashing_names(spark):
     left = spark.createDataFrame([(1, T0, "left"), (2, None, "left")], "seq long, ts timestamp, val string")
     right = spark.createDataFrame([(T0, 1, {"a": 1}, "right"), (T0, None, {"b": 2}, "right")], "eff timestamp, n long, m map<string,long>, val string")
@@ -74,6 +90,18 @@ def test_pattern_index_against_each_pattern(spark, whole):
         assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_globs_without_wildcards_are_joined_and_not_indexed(spark):
+    vals = [f"./a/u{i}.log" for i in range(300)] + ["./a/[x", "", None]
+    pats = [f"./a/u{i}.log" for i in range(0, 300, 3)] + ["", "./a/[x", "*/u1?.log", None]
+    out = matching_values(spark.createDataFrame([(v,) for v in vals], "v string"), "v",
+                          spark.createDataFrame([(p,) for p in pats], "pattern string"), True)
+    rules = [re.compile(f"(?s:{glob_to_regex(p)})") for p in pats if p is not None]
+    want = sorted(v for v in vals if v is not None and any(r.fullmatch(v) for r in rules))
+    assert sorted(r.v for r in out.collect()) == want
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan
+
+
 def test_many_wildcard_led_patterns_and_a_long_path(spark):
     """100,000 patterns that begin with a wildcard, and a path of 20 KB, each walked once."""
     long = "/x" * 10_000 + "/u77777.log"

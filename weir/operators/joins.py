@@ -4,7 +4,7 @@ and AQE, which check the sizes themselves."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weir.operators.patterns import matching_values
@@ -35,6 +35,20 @@ def prefix_anti_join(df: DataFrame, col: str, prefixes: DataFrame) -> DataFrame:
 ASOF_BUCKET_SECONDS = 60
 
 
+def _last_until(cell: str, t: Column) -> Column:
+    """The last element of the array ``cell`` (sorted by ``t``) whose ``t`` is not after ``t``;
+    null when there is none. Looks at log2 of the elements."""
+    def halve(ends: Column, _: Column) -> Column:
+        middle = F.shiftright(ends["lo"] + ends["hi"] + 1, 1)
+        fits = (ends["lo"] < ends["hi"]) & (F.get(F.col(cell), middle - 1)["t"] <= t)
+        return F.struct(F.when(fits, middle).otherwise(ends["lo"]).alias("lo"),
+                        F.when(fits | (ends["lo"] >= ends["hi"]), ends["hi"]).otherwise(middle - 1).alias("hi"))
+
+    steps = F.sequence(F.lit(0), F.floor(F.log2(F.size(cell))).cast("int"))
+    first = F.struct(F.lit(0).alias("lo"), F.size(cell).alias("hi"))
+    return F.get(F.col(cell), F.aggregate(steps, first, halve, lambda ends: ends["lo"]) - 1)
+
+
 def asof_join(left: DataFrame, right: DataFrame, left_ts: str, right_ts: str, by=None, seq: str | None = None,
               bucket_seconds: float = ASOF_BUCKET_SECONDS) -> DataFrame:
     """Left rows with the columns of the latest ``right`` row whose ``right_ts``
@@ -45,13 +59,13 @@ def asof_join(left: DataFrame, right: DataFrame, left_ts: str, right_ts: str, by
     time is kept with nulls; a right row without a time counts for nothing. Null
     ``by`` keys match each other.
 
-    The right side is gathered per ``(by, time bucket)``: the rows inside the bucket,
-    sorted, and the one carried in from the buckets before. Buckets that only left rows
+    The right side, one row a time, is gathered per ``(by, time bucket)``: the rows inside
+    the bucket, sorted, and the one carried in from the buckets before. Buckets that only left rows
     fall into get the carried row alone; they come from one aggregate over the left
     side's keys and times. The left rows themselves are never sorted or packed: one
     equi join finds their bucket -- without moving them where the planner sees that the
     gathered side is small, and with AQE splitting a busy bucket -- and the last
-    element not after the row's time is taken.
+    element not after the row's time is found by halving.
     """
     by = [] if by is None else ([by] if isinstance(by, str) else list(by))
     q = lambda c: F.col(f"`{c}`")
@@ -67,11 +81,11 @@ def asof_join(left: DataFrame, right: DataFrame, left_ts: str, right_ts: str, by
 
     versions = right.where(q(right_ts).isNotNull()).select(*key_cols, bucket(micros(right_ts)).alias("__b"), version.alias("__v"))
     places = left.where(q(left_ts).isNotNull()).select(*key_cols, bucket(micros(left_ts)).alias("__b")).distinct()
-    both = versions.unionByName(places.withColumn("__v", F.lit(None).cast(kind)))
-    # Compared by time and tie alone: a payload may hold maps.
-    before = lambda x, y: F.when((x["t"] < y["t"]) | ((x["t"] == y["t"]) & (
-        (x["tie"].isNull() & y["tie"].isNotNull()) | (x["tie"] < y["tie"]))), -1).when(
-        (x["t"] == y["t"]) & x["tie"].eqNullSafe(y["tie"]), 0).otherwise(1)
+    both = versions.unionByName(places.withColumn("__v", F.lit(None).cast(kind))).repartition(*keys, "__b")
+    # Of the versions of one time only the last can be met; a tie that is null comes first.
+    both = both.groupBy(*keys, "__b", F.col("__v")["t"].alias("__t")).agg(F.max_by("__v", F.struct(F.col("__v")["tie"])).alias("__v"))
+    # Compared by time alone: a payload may hold maps.
+    before = lambda x, y: F.when(x["t"] < y["t"], -1).when(x["t"] == y["t"], 0).otherwise(1)
     cells = both.groupBy(*keys, "__b").agg(F.array_sort(F.collect_list("__v"), before).alias("__in"))
     along = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     ending = F.when(F.size("__in") > 0, F.element_at("__in", -1))
@@ -84,6 +98,5 @@ def asof_join(left: DataFrame, right: DataFrame, left_ts: str, right_ts: str, by
     for c, k in zip(by, keys):
         same = same & q(c).eqNullSafe(F.col(f"{k}c"))
     found = left.join(cells, same, "left")
-    inside = F.filter("__in", lambda v: v["t"] <= t)
-    latest = F.coalesce(F.when(F.size(inside) > 0, F.element_at(inside, -1)), F.col("__carry"))["pay"]
+    latest = F.coalesce(F.when(F.size("__in") > 0, _last_until("__in", t)), F.col("__carry"))["pay"]
     return found.withColumn("__pay", latest).select(*[q(c) for c in left.columns], *[F.col("__pay")[c].alias(c) for c in payload])
