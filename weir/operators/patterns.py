@@ -7,9 +7,11 @@ through each shard's automaton once, whatever its length and the number of patte
 and only patterns whose piece it holds (at its start, where the pattern begins with
 the piece) are tried on it, until one matches.
 
-Distinct values are dealt to ``PARTS`` tasks per shard; a task gets its shard's patterns
-first and then a stream of values, so it holds one shard and one batch of values. No
-value is expanded into parts, no pattern kind shares a join key.
+Distinct values are dealt to about ``PARTS`` tasks, shards and their parts together; a task
+gets its shard's patterns first and then a stream of values, so it holds one shard and one
+batch of values. More patterns make more shards and fewer copies of each. No value is
+expanded into parts, no pattern kind shares a join key. Globs without wildcards are no part
+of the index: they match the values that equal them, by an equi join.
 """
 
 from __future__ import annotations
@@ -135,14 +137,25 @@ def matching_values(values: DataFrame, col: str, patterns: DataFrame, whole: boo
     """The distinct values of ``col`` that match some ``pattern``: as a glob over the whole
     value, or (``whole=False``) as a plain prefix. Nulls match nothing."""
     pats = patterns.select(F.col("pattern").cast("string").alias("pattern")).where(F.col("pattern").isNotNull()).distinct()
+    vals = values.select(F.col(f"`{col}`").cast("string").alias("v")).where(F.col("v").isNotNull()).distinct()
+    if not whole:
+        return _indexed(vals, pats, whole, shard_chars, parts).select(F.col("v").alias(col)).distinct()
+    wild = F.col("pattern").rlike(r"[*?\[\\]")
+    same = vals.join(pats.where(~wild).withColumnRenamed("pattern", "v"), "v", "left_semi")
+    return same.unionByName(_indexed(vals, pats.where(wild), whole, shard_chars, parts)).select(F.col("v").alias(col)).distinct()
+
+
+def _indexed(vals: DataFrame, pats: DataFrame, whole: bool, shard_chars: int, parts: int) -> DataFrame:
+    """The values ``v`` that the index of ``pats`` finds, once for each shard that holds a match."""
     chars = pats.agg(F.sum(F.length("pattern") + 1).alias("n"))
-    shards = F.greatest(F.lit(1), F.ceil(F.coalesce(chars.scalar(), F.lit(0)) / shard_chars)).cast("int")
+    sizes = chars.select(F.greatest(F.lit(1), F.ceil(F.coalesce("n", F.lit(0)) / shard_chars)).cast("int").alias("n"))
+    sizes = sizes.select(F.struct("n", F.ceil(F.lit(parts) / F.col("n")).cast("int").alias("parts")).alias("s")).scalar()
     every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    rules = pats.withColumn("shard", F.pmod(F.xxhash64("pattern"), shards).cast("int")).withColumn("part", every(F.lit(parts)))
-    vals = values.select(F.col(f"`{col}`").cast("string").alias("v")).where(F.col("v").isNotNull()).distinct()
-    vals = vals.withColumns({"part": F.pmod(F.xxhash64("v"), F.lit(parts)).cast("int"), "n": shards})
-    vals = vals.withColumn("shard", every(F.col("n")))
+    rules = pats.withColumn("s", sizes).withColumn("shard", F.pmod(F.xxhash64("pattern"), F.col("s.n")).cast("int"))
+    rules = rules.withColumn("part", every(F.col("s.parts")))
+    vals = vals.withColumn("s", sizes).withColumn("part", F.pmod(F.xxhash64("v"), F.col("s.parts")).cast("int"))
+    vals = vals.withColumn("shard", every(F.col("s.n")))
     rows = rules.select("shard", "part", F.lit(None).cast("string").alias("v"), "pattern").unionByName(
         vals.select("shard", "part", "v", F.lit(None).cast("string").alias("pattern")))
     rows = rows.repartition("shard", "part").sortWithinPartitions("shard", "part", F.asc_nulls_first("v"))
-    return rows.mapInArrow(_match_task(whole), "v string").select(F.col("v").alias(col)).distinct()
+    return rows.mapInArrow(_match_task(whole), "v string")
