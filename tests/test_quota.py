@@ -106,6 +106,27 @@ def test_segments_of_a_hot_shard_equal_the_sequential_scan(spark, order):
         assert {r.seq: r.overflow for r in got.collect()} == want
 
 
+def test_short_segments_make_no_more_than_so_many_pieces(spark, monkeypatch):
+    import glob
+
+    from weir.operators import quota
+    from weir.session import checkpoint_dir
+
+    monkeypatch.setattr(quota, "PIECES", 4)
+    rng = random.Random(2)
+    data = [(i, f"p{rng.randint(0, 6)}", i * 0.25, rng.choice([1, 9]), "hot") for i in range(600)]
+    df = spark.createDataFrame([(s, p, T0 + dt.timedelta(seconds=sec), n, sh) for s, p, sec, n, sh in data],
+                               "seq long, path string, ts timestamp, size long, prefix string")
+    folders = lambda: set(glob.glob(f"{checkpoint_dir(spark).removeprefix('file:')}/tracker-*/rows"))
+    before = folders()
+    got = rate_limit_bounded(df, 10, max_tracked=3, segment_rows=5)
+    (rows,) = folders() - before
+    assert 2 <= len(glob.glob(f"{rows}/part-*")) <= 4
+    assert {r.seq: r.overflow for r in got.collect()} == slow_ring(data, 10, 3)
+    # One piece a task: by a hash, several could meet in one.
+    assert "hashpartitioning(__piece" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_tracker_takes_null_keys_shards_and_times(spark):
     df = spark.createDataFrame([(1, None, None, 5, None), (2, None, T0, 5, None), (3, "a", T0, 5, None), (4, None, T0, 5, None)],
                                "seq long, path string, ts timestamp, size long, prefix string")

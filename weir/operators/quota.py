@@ -119,6 +119,8 @@ def ring_key(key: str):
 
 #: Rows of a shard that one task scans between two looks at the ring.
 SEGMENT_ROWS = 1 << 20
+#: Pieces at most, unless one would hold more than ``SEGMENT_ROWS``.
+PIECES = 256
 #: Rows of one piece are numbered below this.
 _PIECE = 1 << 33
 
@@ -177,7 +179,8 @@ def rate_limit_bounded(df: DataFrame, quota: float, max_tracked: int = DEFAULT_T
     Which keys are tracked depends on the order of *all* keys of the shard, but a hit
     leaves the ring's order alone, and rings that started apart soon hold the same keys.
     So rows are range-sorted by ``(shard, ts, seq)`` into pieces of about ``segment_rows``
-    and written once; a shard that runs over several pieces is scanned in all of them at
+    (longer ones, up to ``SEGMENT_ROWS``, where that would make more than ``PIECES``, whose
+    start would cost more than their scan) and written once; a shard that runs over several pieces is scanned in all of them at
     once, each from a guess (an empty ring). A piece whose guess was wrong -- the one before
     leaves another ring -- is scanned again from that ring, until no ring changes: as many
     rounds as the longest chain of wrong guesses, usually two, and for an adversarial order
@@ -194,7 +197,8 @@ def rate_limit_bounded(df: DataFrame, quota: float, max_tracked: int = DEFAULT_T
     staged = df.withColumns({"__us": F.coalesce(_micros(ts), F.lit(0)), "__shard": name, "__key": ring_key(key),
                              "__size": F.col(f"`{size}`").cast("double")})
     order = ["__shard", F.col("__us"), F.col(f"`{seq}`")]
-    n = -(-df.count() // segment_rows)
+    total = df.count()
+    n = min(-(-total // segment_rows), max(PIECES, -(-total // SEGMENT_ROWS)))
     if n <= 1:
         parts = staged.withColumns({"__piece": F.lit(0), "__ring": F.lit(None).cast("string")}).repartition("__shard")
         return parts.sortWithinPartitions(*order).mapInPandas(_scan_task(*args, df.columns), out_schema)
@@ -213,7 +217,8 @@ def rate_limit_bounded(df: DataFrame, quota: float, max_tracked: int = DEFAULT_T
     def scanned(some: DataFrame, rings: DataFrame, cols, schema) -> DataFrame:
         given = rings.select((F.col("piece") * _PIECE).alias("__first"), F.col("ring").alias("__ring"))
         some = some.join(given, F.col("__id") == F.col("__first"), "left").drop("__first")
-        some = some.repartition(n, "__piece").sortWithinPartitions("__id")
+        # One piece a task: by a hash, some tasks would sort several pieces and others none.
+        some = some.repartitionById(n, F.col("__piece").cast("int")).sortWithinPartitions("__id")
         return some.mapInPandas(_scan_task(*args, cols), schema)
 
     # A piece goes on where the one before it ends in the same shard.
