@@ -4,7 +4,9 @@ Ids are issued in order of time, ``0, 1, 2, ...``; they may arrive in any order
 the watermark. A run of missing ids is final once the watermark has passed the time of an
 id beyond it, and is then emitted, once. A task merges the ids of its share of a
 micro-batch into ranges before the shuffle, and the state of a key is the sorted list of
-ranges beyond the last final id, so it grows with the open gaps and not with the ids.
+ranges beyond the last final id, packed, so it grows with the open gaps and not with the
+ids. A micro-batch's ranges are gathered until they are as many as the state's (``GATHER`` at
+least) before they are merged into it, so the work does not grow with the square of either.
 
 Ids that arrive behind the last final id are *late*: ids of an emitted gap come out as
 ranges flagged ``late`` (a correction of that gap), repeats of received ids do not. The
@@ -24,6 +26,8 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from weir.streaming.ordered import DEFAULT_DELAY, PROVIDER, by_value
 
 _NEVER = -(1 << 62)
+#: Ranges gathered before they are merged into the state.
+GATHER = 1 << 20
 _RANGES = "key string, lo long, hi long, since long"
 
 
@@ -53,16 +57,28 @@ def _merge_task(batches: Iterator) -> Iterator:
             yield pd.concat(out)
 
 
+def _packed(arrays) -> tuple:
+    return tuple(a.astype("<i8").tobytes() for a in arrays)
+
+
+def _unpacked(row) -> list:
+    import numpy as np
+
+    return [np.frombuffer(bytes(b), dtype="<i8") for b in row]
+
+
+def _lists(*names: str) -> T.StructType:
+    return T.StructType([T.StructField(n, T.BinaryType()) for n in names])
+
+
 def gap_processor() -> StatefulProcessor:
     class Gaps(StatefulProcessor):
         def init(self, handle: StatefulProcessorHandle) -> None:
             self.handle = handle
-            self.ranges = handle.getValueState("weir_ranges", T.StructType([
-                T.StructField(n, T.ArrayType(T.LongType())) for n in ("lo", "hi", "since")]))
+            self.ranges = handle.getValueState("weir_ranges", _lists("lo", "hi", "since"))
             # Ids up to ``done`` are final; ``gone`` are those of them that did not arrive.
             self.done = handle.getValueState("weir_done", T.StructType([T.StructField("id", T.LongType())]))
-            self.gone = handle.getValueState("weir_gone", T.StructType([
-                T.StructField("lo", T.ArrayType(T.LongType())), T.StructField("hi", T.ArrayType(T.LongType()))]))
+            self.gone = handle.getValueState("weir_gone", _lists("lo", "hi"))
             self.timer = handle.getValueState("weir_timer", T.StructType([T.StructField("ms", T.LongType())]))
 
         def handleInputRows(self, key, rows, timerValues):
@@ -72,7 +88,8 @@ def gap_processor() -> StatefulProcessor:
             done = self.done.get()
             done = done[0] if done else -1
             held = self.ranges.get()
-            parts = [np.array(x, dtype=np.int64) for x in held] if held else [np.empty(0, np.int64)] * 3
+            parts = _unpacked(held) if held else [np.empty(0, np.int64)] * 3
+            fresh, n = [], 0
             for pdf in rows:
                 lo, hi, since = (pdf[c].to_numpy(dtype=np.int64) for c in ("lo", "hi", "since"))
                 behind = lo <= done
@@ -81,14 +98,23 @@ def gap_processor() -> StatefulProcessor:
                     if len(late):
                         yield pd.DataFrame({"key": key[0], "first": late[:, 0], "last": late[:, 1], "late": True})
                 ahead = hi > done
-                parts = [np.concatenate([p, x]) for p, x in zip(parts, (np.maximum(lo[ahead], done + 1), hi[ahead], since[ahead]))]
-                if len(parts[0]):
-                    parts = list(merge_ranges(*parts))
+                fresh.append((np.maximum(lo[ahead], done + 1), hi[ahead], since[ahead]))
+                n += len(fresh[-1][0])
+                if n >= max(GATHER, len(parts[0])):
+                    parts, fresh, n = self.merged(parts, fresh), [], 0
+            if n:
+                parts = self.merged(parts, fresh)
             if len(parts[0]):
                 self.keep(parts)
 
+        @staticmethod
+        def merged(parts, fresh) -> list:
+            import numpy as np
+
+            return list(merge_ranges(*(np.concatenate(some) for some in zip(parts, *fresh))))
+
         def keep(self, parts) -> None:
-            self.ranges.update(tuple(p.tolist() for p in parts))
+            self.ranges.update(_packed(parts))
             # One timer: when the first of the open ranges is due.
             due = int(parts[2].min()) // 1000 + 1
             old = self.timer.get()
@@ -107,7 +133,7 @@ def gap_processor() -> StatefulProcessor:
                 return np.empty((0, 2), np.int64)
             lo, hi, _ = merge_ranges(lo, hi, lo)
             late, left = [], []
-            for a, b in zip(*gone):
+            for a, b in zip(*(x.tolist() for x in _unpacked(gone))):
                 at = a
                 for x, y in zip(lo.tolist(), hi.tolist()):
                     if x > b or y < at:
@@ -121,7 +147,7 @@ def gap_processor() -> StatefulProcessor:
                 if at <= b:
                     left.append((at, b))
             if left:
-                self.gone.update(tuple(list(x) for x in zip(*left)))
+                self.gone.update(_packed(np.array(left, dtype=np.int64).T))
             else:
                 self.gone.clear()
             return np.array(late, dtype=np.int64).reshape(-1, 2)
@@ -136,7 +162,7 @@ def gap_processor() -> StatefulProcessor:
             held = self.ranges.get()
             if not held:
                 return
-            lo, hi, since = (np.array(x, dtype=np.int64) for x in held)
+            lo, hi, since = _unpacked(held)
             passed = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs()) * 1000
             due = np.flatnonzero(since < passed)
             if not len(due):
@@ -149,8 +175,9 @@ def gap_processor() -> StatefulProcessor:
             first, last = before[gap] + 1, lo[:n][gap] - 1
             self.done.update((int(hi[n - 1]),))
             if len(first):
-                gone = self.gone.get() or ([], [])
-                self.gone.update((list(gone[0]) + first.tolist(), list(gone[1]) + last.tolist()))
+                gone = self.gone.get()
+                both = zip(_unpacked(gone), (first, last)) if gone else ((first,), (last,))
+                self.gone.update(_packed([np.concatenate(some) for some in both]))
                 yield pd.DataFrame({"key": key[0], "first": first, "last": last, "late": False})
             if n < len(lo):
                 self.keep([lo[n:], hi[n:], since[n:]])
