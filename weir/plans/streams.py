@@ -32,7 +32,8 @@ def feed(rows: DataFrame, ts: str = "ts", last: DataFrame | None = None) -> Data
     rows of ``last``, and two closing rows (nulls but for ``ts``) behind them."""
     spark = rows.sparkSession
     folder = scratch(spark, "feed")
-    rows.repartition(BATCHES).write.parquet(folder)
+    # Row groups small enough for several tasks to read one file.
+    rows.repartition(BATCHES).write.option("parquet.block.size", 8 << 20).parquet(folder)
     if last is not None:
         last.coalesce(1).write.mode("append").parquet(folder)
     for end in CLOSING:
@@ -45,7 +46,7 @@ def feed(rows: DataFrame, ts: str = "ts", last: DataFrame | None = None) -> Data
 def control_feed(rows: DataFrame) -> DataFrame:
     """A control stream: all rows with the first micro-batch."""
     folder = scratch(rows.sparkSession, "control")
-    rows.coalesce(1).write.parquet(folder)
+    rows.write.parquet(folder)
     return rows.sparkSession.readStream.schema(rows.schema).parquet(folder)
 
 

@@ -20,10 +20,12 @@ DEFAULT_SHARDS = 32
 
 
 def rate_limit_event_time(df: DataFrame, quota: float, key: str = "path", ts: str = "ts", seq: str = "seq", size: str = "size",
-                          delay: str = DEFAULT_DELAY, bucket_ms: int = DEFAULT_BUCKET_MS, keep_dropped: bool = False) -> DataFrame:
+                          delay: str = DEFAULT_DELAY, bucket_ms: int = DEFAULT_BUCKET_MS, keep_dropped: bool = False,
+                          shards: int = DEFAULT_SHARDS) -> DataFrame:
     """Q2 in event time: the rows of ``operators.quota.rate_limit`` (with ``overflow``;
-    ``keep_dropped``: all rows, as ``flag_overflow``), and late rows with ``late``."""
-    return in_event_order(df, [key], [Quota(quota, size, drop=not keep_dropped)], ts, seq, delay, bucket_ms)
+    ``keep_dropped``: all rows, as ``flag_overflow``), and late rows with ``late``. Keys are
+    dealt to ``shards``, which buffer and release the rows of all their keys together."""
+    return in_event_order(df, [key], [Quota(quota, size, drop=not keep_dropped, key=key)], ts, seq, delay, bucket_ms, shards=shards)
 
 
 def rate_limit_bounded_stream(df: DataFrame, quota: float, max_tracked: int = DEFAULT_TRACKED_PATHS, shard: str = "prefix",

@@ -6,9 +6,12 @@ bucket is sorted by ``(ts, seq)`` and handed to the steps, which keep what they
 state of their own. Any interleaving of micro-batches inside the watermark therefore
 gives the steps the rows in the same order, and gives what the batch operators give.
 
-* The buffer is a map ``(bucket, part) -> rows`` (an Arrow stream each), so one bucket of
-  ``bucket_ms`` is read and held at a time, and a micro-batch appends parts without
-  rewriting older ones. One event-time timer per bucket releases it.
+* The buffer is a map ``(bucket, part) -> rows`` (an Arrow stream each). A micro-batch sorts
+  ``RUN_ROWS`` rows of a key at a time and appends them to their bucket in parts of
+  ``PART_ROWS``, without rewriting older ones. One event-time timer per bucket releases it:
+  its parts are merged in order of their first time and go to the steps in slices of about
+  ``SLICE_ROWS``, so a bucket of any size is never held whole, only a slice and one part of
+  each run (and the rows of one microsecond).
 * Rows whose bucket has been released, and rows without a time, are *late*: they come
   out at once, flagged ``late``, and no step sees them. ``sinks.write_routed`` sends them
   to a sink of their own.
@@ -43,7 +46,12 @@ _JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZForm
 _ROWS = T.StructType([T.StructField("rows", T.BinaryType())])
 _PLACE = T.StructType([T.StructField("bucket", T.LongType()), T.StructField("part", T.IntegerType())])
 _BUCKET = T.StructType([T.StructField("bucket", T.LongType())])
-_COUNT = T.StructType([T.StructField("n", T.IntegerType())])
+#: The first time and the number of rows of each part of a bucket.
+_PARTS = T.StructType([T.StructField("lows", T.ArrayType(T.LongType())), T.StructField("sizes", T.ArrayType(T.LongType()))])
+
+RUN_ROWS = 1 << 16
+PART_ROWS = 1 << 10
+SLICE_ROWS = 1 << 15
 
 DATA, CONTROL = 1, 0
 
@@ -54,7 +62,8 @@ class Step:
     ``run`` gets a frame with the columns ``weir_us`` (time), ``weir_seq``, ``weir_kind``
     (``DATA`` or ``CONTROL``), ``weir_row`` (the row as JSON), those named by ``needs``
     and those added by earlier steps; it returns the rows that go on, with the columns of
-    ``adds``. Control rows are passed on for later steps."""
+    ``adds``. Control rows are passed on for later steps. The rows of one time come in one
+    frame; ``done`` is called when all frames that a timer releases have been run."""
 
     #: Input columns: name -> expression over the input, of a type that pandas holds exactly.
     needs: dict[str, Column] = {}
@@ -67,6 +76,9 @@ class Step:
     def run(self, rows):
         raise NotImplementedError
 
+    def done(self) -> None:
+        """Write what ``run`` held back."""
+
 
 def pack_rows(pdf) -> bytes:
     import pyarrow as pa
@@ -84,6 +96,28 @@ def unpack_rows(data: bytes):
     return pa.ipc.open_stream(data).read_all().to_pandas()
 
 
+def to_table(pdf):
+    import pyarrow as pa
+
+    return pa.Table.from_pandas(pdf, preserve_index=False)
+
+
+def pack_table(table) -> bytes:
+    import pyarrow as pa
+
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, table.schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as w:
+        w.write_table(table)
+    return out.getvalue().to_pybytes()
+
+
+def joined(tables: list):
+    """Tables of the same columns; one that holds nulls only has a type of its own."""
+    import pyarrow as pa
+
+    return pa.concat_tables(tables, promote_options="permissive") if len(tables) > 1 else tables[0]
+
+
 def ordered_processor(steps: Sequence[Step], bucket_ms: int, columns: Sequence[str]) -> StatefulProcessor:
     """The processor of ``in_event_order``; ``columns`` are those of its output."""
     width = int(bucket_ms)
@@ -92,7 +126,7 @@ def ordered_processor(steps: Sequence[Step], bucket_ms: int, columns: Sequence[s
         def init(self, handle: StatefulProcessorHandle) -> None:
             self.handle = handle
             self.buffer = handle.getMapState("weir_buffer", _PLACE, _ROWS)
-            self.parts = handle.getMapState("weir_parts", _BUCKET, _COUNT)
+            self.parts = handle.getMapState("weir_parts", _BUCKET, _PARTS)
             for step in steps:
                 step.open(handle)
 
@@ -100,6 +134,7 @@ def ordered_processor(steps: Sequence[Step], bucket_ms: int, columns: Sequence[s
             import numpy as np
 
             passed = timerValues.getCurrentWatermarkInMs()
+            held, n = {}, 0
             for pdf in rows:
                 if not len(pdf):
                     continue
@@ -114,33 +149,74 @@ def ordered_processor(steps: Sequence[Step], bucket_ms: int, columns: Sequence[s
                 stays = ~late | ~data & ~untimed
                 for b in np.unique(bucket[stays]).tolist():
                     chosen = pdf[stays & (bucket == b)].drop(columns=["weir_untimed", "weir_key"])
-                    n = self.parts.getValue((b,))
-                    n = n[0] if n else 0
-                    if not n:
-                        self.handle.registerTimer((b + 1) * width)
-                    self.buffer.updateValue((b, n), (pack_rows(chosen),))
-                    self.parts.updateValue((b,), (n + 1,))
+                    held.setdefault(b, []).append(to_table(chosen))
+                    n += len(chosen)
+                if n >= RUN_ROWS:
+                    self.keep(held)
+                    held, n = {}, 0
+            self.keep(held)
+
+        def keep(self, held: dict) -> None:
+            """Append the rows of each bucket, sorted by time, in parts."""
+            import numpy as np
 
-        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-            import pandas as pd
+            for b, tables in held.items():
+                table = joined(tables)
+                us = table["weir_us"].to_numpy()
+                order = np.argsort(us, kind="stable")
+                table, us = table.take(order), us[order]
+                known = self.parts.getValue((b,))
+                if not known:
+                    self.handle.registerTimer((b + 1) * width)
+                lows, sizes = (list(known[0]), list(known[1])) if known else ([], [])
+                for at in range(0, len(us), PART_ROWS):
+                    part = table.slice(at, PART_ROWS)
+                    self.buffer.updateValue((b, len(lows)), (pack_table(part),))
+                    lows.append(int(us[at]))
+                    sizes.append(len(part))
+                self.parts.updateValue((b,), (lows, sizes))
+
+        def released(self, b: int):
+            """The rows of a bucket in order, in slices; it is empty afterwards."""
+            import numpy as np
+            import pyarrow as pa
+
+            lows, sizes = self.parts.getValue((b,))
+            order = np.argsort(np.array(lows, dtype=np.int64), kind="stable").tolist()
+            rest, at = None, 0
+            while at < len(order) or rest is not None:
+                tables, n = [] if rest is None else [rest], 0
+                target = max(SLICE_ROWS, 0 if rest is None else len(rest))
+                while at < len(order) and n < target:
+                    i = order[at]
+                    tables.append(pa.ipc.open_stream(bytes(self.buffer.getValue((b, i))[0])).read_all())
+                    self.buffer.removeKey((b, i))
+                    n, at = n + sizes[i], at + 1
+                table, rest = joined(tables), None
+                if at < len(order):
+                    # Parts that are still to be read begin here.
+                    ready = table["weir_us"].to_numpy() < lows[order[at]]
+                    rest = table.filter(pa.array(~ready))
+                    table = table.filter(pa.array(ready))
+                    rest = rest if len(rest) else None
+                if len(table):
+                    pdf = table.to_pandas()
+                    yield pdf.sort_values(["weir_us", "weir_kind", "weir_seq"], kind="stable").reset_index(drop=True)
+            self.parts.removeKey((b,))
 
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
             passed = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
             # Timers of one key may fire in any order; its buckets are released in theirs.
             due = sorted(b for (b,) in list(self.parts.keys()) if (b + 1) * width <= passed)
             for b in due:
-                n = self.parts.getValue((b,))[0]
-                held = []
-                for i in range(n):
-                    held.append(unpack_rows(bytes(self.buffer.getValue((b, i))[0])))
-                    self.buffer.removeKey((b, i))
-                self.parts.removeKey((b,))
-                pdf = pd.concat(held, ignore_index=True) if n > 1 else held[0]
-                pdf = pdf.sort_values(["weir_us", "weir_kind", "weir_seq"], kind="stable").reset_index(drop=True)
-                for step in steps:
-                    pdf = step.run(pdf)
-                pdf = pdf[pdf["weir_kind"] == DATA]
-                if len(pdf):
-                    yield self.finish(pdf, False)
+                for pdf in self.released(b):
+                    for step in steps:
+                        pdf = step.run(pdf)
+                    pdf = pdf[pdf["weir_kind"] == DATA]
+                    if len(pdf):
+                        yield self.finish(pdf, False)
+            for step in steps if due else ():
+                step.done()
 
         @staticmethod
         def finish(pdf, late: bool):

@@ -13,26 +13,74 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessorHandle
 from weir.functions.glob import glob_to_regex
 from weir.operators.quota import ring_key, scan_ring
 from weir.schema import DEFAULT_BACKLOG, DEFAULT_TRACKED_PATHS
-from weir.streaming.ordered import CONTROL, DATA, Step, pack_rows, unpack_rows
+from weir.streaming.ordered import _JSON, CONTROL, DATA, Step, pack_rows, unpack_rows
 
-_LONG = T.StructType([T.StructField("v", T.LongType())])
 _TEXT = T.StructType([T.StructField("v", T.StringType())])
 
 
-def over_quota(us, size, start: int | None, quota: float):
-    """``overflow`` of rows in time order, measured from ``start`` (None: the first row is
-    the key's first), as nullable booleans: a rate is unknown where the size is."""
+def over_quotas(codes, us, size, starts, quota: float):
+    """``(overflow, last)`` of rows in time order: ``overflow`` by the key's row before, as nullable
+    booleans (a rate is unknown where the size is), and the last time of each key. ``codes``: the
+    keys, numbered from 0; ``starts``: the time each was last seen before (None: never)."""
     import numpy as np
 
-    seen = np.concatenate([[us[0] if start is None else start], us[:-1]])
-    dt = us - seen
+    order = np.argsort(codes, kind="stable")
+    code, at = codes[order], us[order]
+    first = np.concatenate([[True], code[1:] != code[:-1]])
+    seen = np.concatenate([[0], at[:-1]])
+    known = [starts[c] for c in code[first].tolist()]
+    seen[first] = [t if k is None else k for k, t in zip(known, at[first].tolist())]
+    dt, some = at - seen, size[order]
     with np.errstate(divide="ignore", invalid="ignore"):
-        rate = size * 1e6 / dt
+        rate = some * 1e6 / dt
     over = np.where((dt == 0) | (dt > 0) & (rate > quota), True, False).astype(object)
-    over[(dt > 0) & np.isnan(size)] = None
-    if start is None:
-        over[0] = False
-    return over
+    over[(dt > 0) & np.isnan(some)] = None
+    over[np.flatnonzero(first)[[k is None for k in known]]] = False
+    out = np.empty(len(us), dtype=object)
+    out[order] = over
+    last = np.empty(len(starts), dtype=np.int64)
+    last[code] = at
+    return out, last
+
+
+#: Slots that the last times of a shard's keys are dealt to.
+SLOTS = 64
+
+
+class Seen:
+    """The time each key of a shard was last seen: a map ``slot -> keys, times``. What a timer
+    releases reads and writes a slot at most once, however many keys it holds."""
+
+    def __init__(self, handle: StatefulProcessorHandle, name: str):
+        self.slots = handle.getMapState(name, T.StructType([T.StructField("slot", T.IntegerType())]), T.StructType([
+            T.StructField("keys", T.ArrayType(T.StringType())), T.StructField("last", T.ArrayType(T.LongType()))]))
+        self.read, self.changed = {}, set()
+
+    def flags(self, names, us, size, quota: float):
+        """``overflow`` of rows in time order, as ``over_quotas``; their times count as seen."""
+        import zlib
+
+        import pandas as pd
+
+        codes, keys = pd.factorize(names)
+        places, starts = [], []
+        for k in keys:
+            slot = zlib.crc32(k.encode("utf-8", "surrogatepass")) % SLOTS
+            if slot not in self.read:
+                known = self.slots.getValue((slot,))
+                self.read[slot] = dict(zip(known[0], known[1])) if known else {}
+            places.append(slot)
+            starts.append(self.read[slot].get(k))
+        flags, last = over_quotas(codes, us, size, starts, quota)
+        for k, slot, t in zip(keys, places, last.tolist()):
+            self.read[slot][k] = t
+        self.changed.update(places)
+        return flags
+
+    def write(self) -> None:
+        for slot in self.changed:
+            self.slots.updateValue((slot,), (list(self.read[slot]), list(self.read[slot].values())))
+        self.read, self.changed = {}, set()
 
 
 class Quota(Step):
@@ -40,34 +88,35 @@ class Quota(Step):
 
     adds = (("overflow", "boolean"),)
 
-    def __init__(self, quota: float, size: str = "size", drop: bool = False):
+    def __init__(self, quota: float, size: str = "size", drop: bool = False, key: str = "path"):
         self.quota, self.drop = float(quota), drop
-        self.needs = {"weir_size": F.col(f"`{size}`").cast("double")}
+        self.needs = {"weir_name": F.to_json(F.struct(F.col(f"`{key}`").alias("k0")), _JSON),
+                      "weir_size": F.col(f"`{size}`").cast("double")}
 
     def __getstate__(self):  # columns stay on the driver
         return {"quota": self.quota, "drop": self.drop}
 
     def open(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("weir_last", _LONG)
+        self.seen = Seen(handle, "weir_seen")
 
     def run(self, rows):
         import numpy as np
 
         rows = rows.copy()
-        rows["overflow"] = None
         data = (rows["weir_kind"] == DATA).to_numpy()
+        flags = np.full(len(rows), None, dtype=object)
         if data.any():
-            us = rows["weir_us"].to_numpy(dtype=np.int64)[data]
-            known = self.last.get()
-            over = over_quota(us, rows["weir_size"].to_numpy(dtype=np.float64)[data], known[0] if known else None, self.quota)
-            self.last.update((int(us[-1]),))
-            flags = np.full(len(rows), None, dtype=object)
-            flags[data] = over
-            rows["overflow"] = flags
-            if self.drop:
-                rows = rows[~data | (flags == False)]  # noqa: E712 -- unknown is neither
+            some = rows[data]
+            flags[data] = self.seen.flags(some["weir_name"].to_numpy(dtype=object), some["weir_us"].to_numpy(dtype=np.int64),
+                                          some["weir_size"].to_numpy(dtype=np.float64), self.quota)
+        rows["overflow"] = flags
+        if self.drop:
+            rows = rows[~data | (flags == False)]  # noqa: E712 -- unknown is neither
         return rows
 
+    def done(self) -> None:
+        self.seen.write()
+
 
 class Tracker(Step):
     """Q3: the quota with a ring of ``max_tracked`` keys per shard, replaced first in, first
@@ -120,14 +169,16 @@ class InForce(Step):
 
         known = self.now.get()
         at, now = json.loads(known[0]) if known else (None, None)
-        versions = np.full(len(rows), None, dtype=object)
-        last = 0
-        for i in np.flatnonzero((rows["weir_kind"] == CONTROL).to_numpy()).tolist():
-            versions[last:i], last = now, i
-            place = _place(rows, i)
-            if at is None or place >= at:
-                at, now = place, rows["weir_row"].iloc[i]
-        versions[last:] = now
+        control = np.flatnonzero((rows["weir_kind"] == CONTROL).to_numpy())
+        # Rows are in order: of versions that came late, those older than the one known come first.
+        old = 0
+        while at is not None and old < len(control) and _place(rows, control[old]) < at:
+            old += 1
+        control = control[old:]
+        texts = np.concatenate([np.array([now], dtype=object), rows["weir_row"].to_numpy(dtype=object)[control]])
+        versions = texts[np.searchsorted(control, np.arange(len(rows)), side="right")]
+        if len(control):
+            at, now = _place(rows, control[-1]), texts[-1]
         if at is not None:
             self.now.update((json.dumps([at, now]),))
         return rows.assign(version=versions)
@@ -192,7 +243,7 @@ class Gate(Step):
         self.ends = handle.getValueState("weir_ends", T.StructType([
             T.StructField("lo", T.LongType()), T.StructField("hi", T.LongType()), T.StructField("gone", T.LongType()),
             T.StructField("held", T.LongType())]))
-        self.seen = handle.getMapState("weir_seen", _TEXT, _LONG)
+        self.seen = Seen(handle, "weir_seen")
 
     def spool(self, rows) -> None:
         lo, hi, gone, held = self.ends.get() or (0, 0, 0, 0)
@@ -229,15 +280,9 @@ class Gate(Step):
         quota = float(settings["quota"])
         if quota < 0 or not len(rows):
             return rows
-        keep = np.zeros(len(rows), dtype=bool)
         us, size = rows["weir_us"].to_numpy(dtype=np.int64), rows["weir_size"].to_numpy(dtype=np.float64)
         names = np.array([p if isinstance(p, str) else "" for p in rows["weir_path"].tolist()], dtype=object)
-        for name in dict.fromkeys(names.tolist()):
-            at = np.flatnonzero(names == name)
-            known = self.seen.getValue((name,))
-            over = over_quota(us[at], size[at], known[0] if known else None, quota)
-            keep[at] = over == False  # noqa: E712 -- unknown is neither
-            self.seen.updateValue((name,), (int(us[at[-1]]),))
+        keep = self.seen.flags(names, us, size, quota) == False  # noqa: E712 -- unknown is neither
         return rows[keep]
 
     def run(self, rows):
@@ -278,3 +323,6 @@ class Gate(Step):
                         leave(held, int(rows["weir_us"].iloc[i]), True)
         self.mode.update((json.dumps(settings), place))
         return pd.concat(out, ignore_index=True) if out else rows.iloc[:0].assign(replayed=None, sent_at=None, place=None)
+
+    def done(self) -> None:
+        self.seen.write()
