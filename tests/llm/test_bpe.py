@@ -1,7 +1,9 @@
 """BPE automaton against the tokenizers library, exactly."""
 
 import hashlib
+import pickle
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -64,6 +66,38 @@ def test_a_full_table_starts_again(both, monkeypatch):
         assert len(auto.sets) <= 50 + len(text)
 
 
+def test_tables_stay_bounded_and_right(both, monkeypatch):
+    """Words that leave a full table walk on beside it; after enough of them it starts again."""
+    auto, lib = pickle.loads(pickle.dumps(both[0])), both[1]
+    for name, value in (("STATES", 60), ("CACHE", 40), ("MISSED", 5)):
+        monkeypatch.setattr(bpe, name, value)
+    rng, starts = random.Random(5), 0
+    for _ in range(1500):
+        missed = auto.missed
+        same(auto, lib, " ".join("".join(rng.choice("abcdefghié日") for _ in range(rng.randint(1, 12))) for _ in range(3)))
+        starts += auto.missed < missed
+        assert len(auto.sets) == len(auto.numbers) <= 60 and len(auto.table) <= 240 and len(auto.ends) <= 120
+        assert len(auto.cache) <= 20 and len(auto.old) <= 20
+    assert starts > 1
+
+
+def test_a_worker_holds_little(both):
+    """Tables and everything remembered, with more rare words than fit: one worker's share of an
+    executor, which has several (127 MB before, and not yet full)."""
+    auto = pickle.dumps(both[0])
+    assert len(auto) < 5_000_000
+    rng = random.Random(6)
+    tracemalloc.start()
+    try:
+        auto = pickle.loads(auto)
+        for _ in range(120_000):
+            auto.encode("".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(3, 9))))
+        assert len(auto.sets) == bpe.STATES and len(auto.cache) + len(auto.old) > bpe.CACHE // 2
+        assert tracemalloc.get_traced_memory()[1] < 70e6
+    finally:
+        tracemalloc.stop()
+
+
 def lib_words(lib):
     return sorted(lib.get_vocab())
 
